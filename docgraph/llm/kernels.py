@@ -115,10 +115,10 @@ def shingles(w: np.ndarray, count: np.ndarray, size: int = 5) -> tuple[np.ndarra
     dst = to[text[good]] + good - at[text[good]]
     out[dst] = run[good]
     for d in np.flatnonzero((count > 0) & (count < size)):
-        h = U64(count[d] + 1000)
-        for x in w[at[d] : at[d + 1]]:
-            h = mix(np.array([h * _COEF[0] + x], U64))[0]
-        out[to[d]] = h
+        h = np.array([count[d] + 1000], U64)
+        for i in range(at[d], at[d + 1]):
+            h = mix(h * _COEF[0] + w[i : i + 1])
+        out[to[d]] = h[0]
     return out, each
 
 

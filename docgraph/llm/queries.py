@@ -6,6 +6,7 @@ import importlib
 
 #: name -> module of this package that defines the function of that name
 MODULES = {
+    "op2_ngram_join": "ngram_join",
     "op3_pii": "pii",
     "op10_toxicity": "toxicity",
 }
