@@ -8,6 +8,7 @@ import importlib
 MODULES = {
     "op2_ngram_join": "ngram_join",
     "op3_pii": "pii",
+    "op5_language": "language",
     "op10_toxicity": "toxicity",
 }
 
