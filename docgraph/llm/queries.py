@@ -9,6 +9,7 @@ MODULES = {
     "op2_ngram_join": "ngram_join",
     "op3_pii": "pii",
     "op5_language": "language",
+    "op7_sentencepiece": "pieces",
     "op10_toxicity": "toxicity",
 }
 
