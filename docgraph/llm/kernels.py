@@ -22,6 +22,9 @@ LOWER[65:91] += 32
 TABLE_LOWER = TABLE[LOWER]
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+#: For matching across punctuation: every ASCII character but letters and digits separates words.
+SIGNS = np.zeros(256, bool)
+SIGNS[:128] = [not chr(i).isalnum() for i in range(128)]
 _COEF = [U64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 _pow: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 
@@ -61,12 +64,12 @@ def packed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, off - off[0]
 
 
-def words(buf: np.ndarray, off: np.ndarray, table: np.ndarray = TABLE_LOWER) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(buf: np.ndarray, off: np.ndarray, table: np.ndarray = TABLE_LOWER, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words [^\\x20\\x09-\\x0D]+ after lower-casing A-Z: (hashes, first byte, end byte, words per text)."""
     n = len(buf)
     if not n:
         return np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off) - 1, np.int64)
-    inside = ~SPACE[buf]
+    inside = ~space[buf]
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
     ends = inside.copy()

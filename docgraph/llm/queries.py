@@ -8,6 +8,7 @@ import importlib
 MODULES = {
     "op2_ngram_join": "ngram_join",
     "op3_pii": "pii",
+    "op4_decontamination": "decontaminate",
     "op5_language": "language",
     "op7_sentencepiece": "pieces",
     "op10_toxicity": "toxicity",
