@@ -11,6 +11,7 @@ MODULES = {
     "op4_decontamination": "decontaminate",
     "op5_language": "language",
     "op7_sentencepiece": "pieces",
+    "op8_embedding_dedup": "embedding_dedup",
     "op10_toxicity": "toxicity",
 }
 
