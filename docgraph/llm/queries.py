@@ -10,6 +10,7 @@ MODULES = {
     "op3_pii": "pii",
     "op4_decontamination": "decontaminate",
     "op5_language": "language",
+    "op6_suffix_dedup": "suffix_dedup",
     "op7_sentencepiece": "pieces",
     "op8_embedding_dedup": "embedding_dedup",
     "op10_toxicity": "toxicity",
