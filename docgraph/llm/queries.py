@@ -6,6 +6,7 @@ import importlib
 
 #: name -> module of this package that defines the function of that name
 MODULES = {
+    "op1_sharding": "sharding",
     "op2_ngram_join": "ngram_join",
     "op3_pii": "pii",
     "op4_decontamination": "decontaminate",
@@ -22,4 +23,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .sharding import SQL
+
+    return {"op1_sharding": SQL}
