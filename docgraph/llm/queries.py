@@ -14,6 +14,7 @@ MODULES = {
     "op6_suffix_dedup": "suffix_dedup",
     "op7_sentencepiece": "pieces",
     "op8_embedding_dedup": "embedding_dedup",
+    "op9_token_counts": "token_counts",
     "op10_toxicity": "toxicity",
 }
 
