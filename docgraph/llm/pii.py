@@ -110,15 +110,19 @@ def bootstrap(scanned: DataFrame, rounds: int = ROUNDS, precision: float = PRECI
     return patterns.select("pat", F.col("rank").alias("as_rank"))
 
 
+def _more(scanned: DataFrame, patterns: DataFrame) -> DataFrame:
+    """rid, doc_id and extra: the spans that the patterns (and long hexadecimal keys) add to a scanned row."""
+    cands = scanned.where("size(cands) > 0").select("rid", "doc_id", F.explode("cands").alias("c"))
+    key = F.lit(KINDS.index("key"))
+    own = cands.where("c.seed").select("rid", "doc_id", F.struct("c.start", key.alias("rank"), "c.end").alias("span"))
+    more = cands.where("not c.seed and c.pat <> ''").select("rid", "doc_id", "c.*").join(patterns, "pat").select("rid", "doc_id", F.struct("start", F.col("as_rank").alias("rank"), "end").alias("span"))
+    return own.union(more).groupBy("rid", "doc_id").agg(F.collect_list("span").alias("extra"))
+
+
 def extract(docs: DataFrame, rounds: int = ROUNDS, precision: float = PRECISION, support: int = SUPPORT) -> DataFrame:
     """rid, doc_id, base and spans (arrays of start, rank, end) for every row of docs (doc_id, text)."""
     scanned = common.cut(scan(docs), "pii-scan")
-    patterns = bootstrap(scanned, rounds, precision, support)
-    cands = scanned.where("size(cands) > 0").select("rid", F.explode("cands").alias("c"))
-    key = F.lit(KINDS.index("key"))
-    own = cands.where("c.seed").select("rid", F.struct("c.start", key.alias("rank"), "c.end").alias("span"))
-    more = cands.where("not c.seed and c.pat <> ''").select("rid", "c.*").join(patterns, "pat").select("rid", F.struct("start", F.col("as_rank").alias("rank"), "end").alias("span"))
-    extra = own.union(more).groupBy("rid").agg(F.collect_list("span").alias("extra"))
+    extra = _more(scanned, bootstrap(scanned, rounds, precision, support)).select("rid", "extra")
     none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
     return scanned.join(extra, "rid", "left").select("rid", "doc_id", F.col("spans").alias("base"), F.array_sort(F.concat("spans", F.coalesce("extra", none))).alias("spans"))
 
@@ -137,6 +141,19 @@ def redact(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(F.concat(F.array_join(done["out"], ""), F.substring(text, done["at"] + 1, F.length(text))))
 
 
+def redacted(docs: DataFrame, rounds: int = ROUNDS, precision: float = PRECISION, support: int = SUPPORT) -> DataFrame:
+    """The rows of docs, whose doc_id is unique, with all personal data in their texts marked; null texts stay null.
+
+    Only the spans that bootstrapping adds are joined, base spans are found where they are replaced.
+    """
+    scanned = common.cut(scan(docs), "pii-scan")
+    extra = _more(scanned, bootstrap(scanned, rounds, precision, support)).select(F.col("doc_id").alias("extra_id"), "extra")
+    none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
+    base = F.transform(base_spans(F.col("text")), lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))
+    rows = docs.join(extra, docs.doc_id == F.col("extra_id"), "left").withColumn("extra", F.array_sort(F.concat(base, F.coalesce("extra", none))))
+    return rows.withColumn("text", redact(F.col("text"), F.col("extra"))).select(*docs.columns)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extract(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = lambda i: F.size(F.filter("base", lambda s: s["rank"] == i)).cast("long").alias(f"n_{KINDS[i]}")

@@ -216,6 +216,19 @@ def score(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD) -> Data
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def clean(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all their columns, that score below the threshold."""
+    parts, weights, at = scorer_parts(scorer), scorer.weights, docs.columns.index("text")
+
+    def run(batches):
+        s = Scorer(*parts, weights)
+        for batch in batches:
+            for part in common.by_bytes(batch, "text"):
+                yield part.filter(pa.array([s.score(t) < threshold for t in part.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
     scorer = learn(docs.where(~common.held_out()), labels.where(~common.held_out()))
