@@ -1,9 +1,13 @@
-"""The queries of the engine and their SQL; filled from the modules of plans/."""
+"""The queries of the engine and their SQL."""
+
+from __future__ import annotations
+
+from .plans import pages, registry, typed  # noqa: F401
 
 
 def queries() -> dict:
-    return {}
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(registry.SQL)
