@@ -89,7 +89,7 @@ def _pieces(a: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     order = np.argsort(group, kind="stable")
     a, group = a[order], group[order]
     cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
-    ends = np.append(cuts[1:], len(group))
+    ends = np.append(cuts[1:], len(group))[: len(cuts)]
     return group[cuts], [a[i:j].tobytes() for i, j in zip(cuts, ends, strict=True)]
 
 
