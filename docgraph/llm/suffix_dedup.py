@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import common, kernels
 
-SIZE, PIECE, RUN, HOT = 200, 64, 128, 1000
+SIZE, PIECE, HOT = 200, 64, 1000
 U64 = np.uint64
 
 
@@ -69,19 +69,20 @@ def contexts(buf: np.ndarray, off: np.ndarray, size: int = SIZE):
         starts = np.flatnonzero(new)
         ends = np.append(starts[1:], n)
         starts, ends = starts[good[starts]], ends[good[starts]]
-        if len(starts) and (ends - starts).max() > RUN:
-            parts = -(-(ends - starts) // RUN)
-            first = np.repeat(starts, parts) + (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)) * RUN
-            starts, ends = first, np.minimum(first + RUN, np.repeat(ends, parts))
+        most = size - piece + 1  # strings that hold one place of the key; a longer run repeats itself
+        if len(starts) and (ends - starts).max() > most:
+            parts = -(-(ends - starts) // most)
+            first = np.repeat(starts, parts) + (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)) * most
+            starts, ends = first, np.minimum(first + most, np.repeat(ends, parts))
         ctx = kernels.mix((c[ends + size - 1] - c[starts]) * q[starts] + (ends - starts).astype(U64))
         own = np.searchsorted(off, starts + at, "right") - 1
         out.append((m[starts], ctx, own, starts + at - off[own], ends - starts, eq[ends - 1] > eq[starts]))
     return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, U64)] * 2 + [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
 
 
-CONTEXT = np.dtype([("key", "<u8"), ("ctx", "<u8"), ("doc", "<i8"), ("at", "<i8"), ("n", "<u1"), ("self", "?")])
-REQUEST = np.dtype([("key", "<u8"), ("at", "<i8"), ("n", "<u1"), ("hot", "?"), ("many", "?")])
-SPAN = np.dtype([("at", "<i8"), ("end", "<i8")])
+CONTEXT = np.dtype([("key", "<u8"), ("ctx", "<u8"), ("doc", "<i8"), ("at", "<i8"), ("n", "<u2"), ("self", "?")])
+REQUEST = np.dtype([("doc", "<i8"), ("key", "<u8"), ("at", "<i8"), ("n", "<u2"), ("hot", "?"), ("many", "?")])
+SPAN = np.dtype([("doc", "<i8"), ("at", "<i8"), ("end", "<i8")])
 
 
 def _pieces(a: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
@@ -108,6 +109,26 @@ def _rows(data: bytes, dtype: np.dtype) -> np.ndarray:
     return out
 
 
+def _to_documents(a: np.ndarray, buckets: int) -> tuple[np.ndarray, list[bytes]]:
+    """(bucket, rows) of rows with a document: few records, however many documents they are of."""
+    return _pieces(a, (kernels.mix(a["doc"].astype(U64)) % U64(buckets)).astype(np.int64))
+
+
+def _by_document(dtype: np.dtype):
+    """One record with all rows of each document, from whole buckets."""
+
+    def run(batches):
+        got = [np.frombuffer(x.as_buffer(), dtype).copy() for batch in batches for x in batch.column("a")]
+        if got:
+            a = np.concatenate(got)
+            got.clear()
+            docs, blobs = _pieces(a, a["doc"])
+            for k in range(0, len(docs), 2000):
+                yield pa.RecordBatch.from_arrays([pa.array(docs[k : k + 2000]), pa.array(blobs[k : k + 2000], pa.binary())], ["doc", "a"])
+
+    return run
+
+
 def _deal(docs: DataFrame, size: int, ranges: int) -> DataFrame:
     def run(part: pa.RecordBatch) -> pa.RecordBatch | None:
         buf, off = kernels.packed(part.column(1))
@@ -126,8 +147,8 @@ def _deal(docs: DataFrame, size: int, ranges: int) -> DataFrame:
     return common.arrow_map(docs, run, "range int, a binary", "text")
 
 
-def _meet(size: int, hot: int, first: bool):
-    """Duplicate contexts as spans, and requests for the bytes of those that must be looked at; by document."""
+def _meet(size: int, hot: int, first: bool, buckets: int):
+    """Duplicate contexts as spans, and requests for the bytes of those that must be looked at."""
 
     def run(batches):
         got = [_rows(x.as_buffer().to_pybytes(), CONTEXT) for batch in batches for x in batch.column(1)]
@@ -145,16 +166,15 @@ def _meet(size: int, hot: int, first: bool):
         kinds = np.bincount(of_key[new])
         span = copies[kind] > 1 if not first else ~new
         spans = np.empty(int(span.sum()), SPAN)
-        spans["at"], spans["end"] = a["at"][span], a["at"][span] + a["n"][span].astype(np.int64) + size - 1
+        spans["doc"], spans["at"], spans["end"] = a["doc"][span], a["at"][span], a["at"][span] + a["n"][span].astype(np.int64) + size - 1
         ask = new & ((kinds[of_key] > 1) | a["self"])
         requests = np.empty(int(ask.sum()), REQUEST)
-        for f in ("key", "at", "n"):
+        for f in ("doc", "key", "at", "n"):
             requests[f] = a[f][ask]
         requests["hot"], requests["many"] = kinds[of_key[ask]] > hot, copies[kind[ask]] > 1
-        for docs, blobs, which in ((*_pieces(spans, a["doc"][span]), 0), (*_pieces(requests, a["doc"][ask]), 1)):
-            for k in range(0, len(docs), 5000):
-                d, b = docs[k : k + 5000], blobs[k : k + 5000]
-                yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(np.full(len(d), which, np.int32)), pa.array(b, pa.binary())], ["doc", "kind", "a"])
+        for rows, which in ((spans, 0), (requests, 1)):
+            to, blobs = _to_documents(rows, buckets)
+            yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(np.full(len(to), which, np.int32)), pa.array(blobs, pa.binary())], ["bucket", "kind", "a"])
 
     return run
 
@@ -169,12 +189,11 @@ def _fetch(size: int, ranges: int):
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 for k in range(part.num_rows):
                     data = part.column(1)[k].as_buffer().to_pybytes()
-                    for blob in part.column(2)[k].as_py():
-                        for key, at, n, is_hot, many in np.frombuffer(blob, REQUEST).tolist():
-                            if is_hot:
-                                hot.append((k, at, n, many, data[at : at + n + size - 1]))
-                            else:
-                                rows.append((key - (1 << 64) if key >> 63 else key, int(ids[k]), at, n, many, data[at : at + n + size - 1]))
+                    for _, key, at, n, is_hot, many in np.frombuffer(part.column(2)[k].as_buffer(), REQUEST).tolist():
+                        if is_hot:
+                            hot.append((k, at, n, many, data[at : at + n + size - 1]))
+                        else:
+                            rows.append((key - (1 << 64) if key >> 63 else key, int(ids[k]), at, n, many, data[at : at + n + size - 1]))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()), strict=True)], FETCHED)
                 if hot:
@@ -279,8 +298,8 @@ def _runs(gone: np.ndarray, at: int, size: int) -> list[tuple[int, int]]:
     return [(at + i, at + j - 1 + size) for i, j in zip(np.flatnonzero(d == 1).tolist(), np.flatnonzero(d == -1).tolist(), strict=True)]
 
 
-def _decide(size: int, first: bool):
-    """Spans of the repeated strings, by document; rows come sorted by key, with whole keys."""
+def _decide(size: int, first: bool, buckets: int):
+    """Spans of the repeated strings; rows come sorted by key, with whole keys."""
 
     def judged(rows: list[tuple]) -> list[tuple[int, int, int]]:
         out, hs = [], []
@@ -301,15 +320,12 @@ def _decide(size: int, first: bool):
                 out += [(r[1], i, j) for i, j in _runs(gone, r[2], size)]
         return out
 
-    def batch(spans: list[tuple[int, int, int]]) -> pa.RecordBatch:
-        a = np.array(spans, np.int64).reshape(-1, 3)
-        s = np.empty(len(a), SPAN)
-        s["at"], s["end"] = a[:, 1], a[:, 2]
-        docs, blobs = _pieces(s, a[:, 0])
-        return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(blobs, pa.binary())], ["doc", "a"])
+    def batch(a: np.ndarray) -> pa.RecordBatch:
+        to, blobs = _to_documents(a, buckets)
+        return pa.RecordBatch.from_arrays([pa.array(to), pa.array(blobs, pa.binary())], ["bucket", "a"])
 
     def run(batches):
-        rows, size_, strings = [], 0, []
+        rows, size_, strings, found = [], 0, [], []
         for b in batches:
             key, doc, at, n, many = (b.column(i).to_pylist() for i in range(5))
             for k in range(b.num_rows):
@@ -318,13 +334,14 @@ def _decide(size: int, first: bool):
                     strings.append(np.frombuffer(data, STRING))
                     continue
                 if size_ > 2 << 20 and rows and rows[-1][0] != key[k]:
-                    if spans := judged(rows):
-                        yield batch(spans)
+                    found += judged(rows)
                     rows, size_ = [], 0
                 rows.append((key[k], doc[k], at[k], n[k], many[k], data))
                 size_ += len(data)
-        if rows and (spans := judged(rows)):
-            yield batch(spans)
+        if rows:
+            found += judged(rows)
+        if found:
+            yield batch(np.array(found, SPAN))
         if strings:
             a = np.concatenate(strings)
             a = a[np.lexsort((a["at"], a["doc"], a["hash"]))]
@@ -336,10 +353,8 @@ def _decide(size: int, first: bool):
                 gone = (cnt[np.cumsum(new) - 1] > 1) | a["many"]
             a = a[gone]
             s = np.empty(len(a), SPAN)
-            s["at"], s["end"] = a["at"], a["at"] + size
-            docs, blobs = _pieces(s, a["doc"])
-            for k in range(0, len(docs), 5000):
-                yield pa.RecordBatch.from_arrays([pa.array(docs[k : k + 5000]), pa.array(blobs[k : k + 5000], pa.binary())], ["doc", "a"])
+            s["doc"], s["at"], s["end"] = a["doc"], a["at"], a["at"] + size
+            yield batch(merged_each(s))
 
     return run
 
@@ -352,7 +367,18 @@ def merged(spans: np.ndarray) -> np.ndarray:
     end = np.maximum.accumulate(spans["end"])
     new = np.concatenate([[True], spans["at"][1:] > end[:-1]])
     out = np.empty(int(new.sum()), SPAN)
-    out["at"], out["end"] = spans["at"][new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]
+    out["doc"], out["at"], out["end"] = spans["doc"][new], spans["at"][new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]
+    return out
+
+
+def merged_each(spans: np.ndarray) -> np.ndarray:
+    """merged() within each document."""
+    if not len(spans):
+        return spans
+    spans = spans[np.lexsort((spans["at"], spans["doc"]))]
+    new = np.concatenate([[True], (spans["doc"][1:] != spans["doc"][:-1]) | (spans["at"][1:] > spans["end"][:-1])])  # all of one length, so ends are in order
+    out = spans[new]
+    out["end"] = spans["end"][np.append(np.flatnonzero(new)[1:] - 1, len(spans) - 1)]
     return out
 
 
@@ -362,20 +388,20 @@ def dedup(docs: DataFrame, size: int = SIZE, keep: str = "first", hot: int = HOT
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(512, 8 * parts)
     clean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where("doc_id is not null")
-    met = common.cut(_deal(clean, size, ranges).repartition("range").mapInArrow(_meet(size, hot, first), "doc long, kind int, a binary"), "suffix-met")
-    asked = met.where("kind = 1").groupBy("doc").agg(F.collect_list("a").alias("asked"))
-    fetched = clean.join(asked, clean.doc_id == asked.doc).select("doc_id", "text", "asked").mapInArrow(_fetch(size, ranges), "key long, doc long, at long, n int, many boolean, data binary")
-    decided = fetched.repartition("key").sortWithinPartitions("key").mapInArrow(_decide(size, first), "doc long, a binary")
-    spans = common.cut(met.where("kind = 0").select("doc", "a").union(decided).groupBy("doc").agg(F.collect_list("a").alias("spans")), "suffix-spans")
+    met = common.cut(_deal(clean, size, ranges).repartition("range").mapInArrow(_meet(size, hot, first, parts), "bucket long, kind int, a binary"), "suffix-met")
+    asked = met.where("kind = 1").select("bucket", "a").repartition("bucket").mapInArrow(_by_document(REQUEST), "doc long, a binary")
+    fetched = clean.join(asked, clean.doc_id == asked.doc).select("doc_id", "text", "a").mapInArrow(_fetch(size, ranges), "key long, doc long, at long, n int, many boolean, data binary")
+    decided = fetched.repartition("key").sortWithinPartitions("key").mapInArrow(_decide(size, first, parts), "bucket long, a binary")
+    spans = common.cut(met.where("kind = 0").select("bucket", "a").union(decided).repartition("bucket").mapInArrow(_by_document(SPAN), "doc long, a binary"), "suffix-spans")
 
     def cut_out(part: pa.RecordBatch) -> pa.RecordBatch:
         n, removed, count, sha, kept = [], [], [], [], []
         for k in range(part.num_rows):
             data = part.column(1)[k].as_buffer().to_pybytes()
-            blobs = part.column(2)[k].as_py()
-            s = merged(np.frombuffer(b"".join(blobs), SPAN)) if blobs else np.zeros(0, SPAN)
+            blob = part.column(2)[k].as_py()
+            s = merged(np.frombuffer(blob, SPAN)) if blob else np.zeros(0, SPAN)
             left, at = [], 0
-            for i, j in s.tolist():
+            for _, i, j in s.tolist():
                 left.append(data[at:i])
                 at = j
             left = b"".join([*left, data[at:]])
@@ -387,7 +413,7 @@ def dedup(docs: DataFrame, size: int = SIZE, keep: str = "first", hot: int = HOT
         out = [part.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha), pa.array(kept, pa.string())]
         return pa.RecordBatch.from_arrays(out[: 5 + with_text], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"][: 5 + with_text])
 
-    rows = clean.join(spans, clean.doc_id == spans.doc, "left").select("doc_id", "text", "spans")
+    rows = clean.join(spans, clean.doc_id == spans.doc, "left").select("doc_id", "text", "a")
     return common.arrow_map(rows, cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text, "text")
 
 
