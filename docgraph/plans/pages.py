@@ -134,10 +134,10 @@ def chain_walk(t, spark):
 _EDGES = f"SELECT DISTINCT p.url AS u, a.link AS v FROM pages p JOIN ({_ABSOLUTE}) a ON a.page_id = p.page_id"
 
 
-@query(f"WITH RECURSIVE e AS ({_EDGES}), r(url) AS (SELECT url FROM pages WHERE page_id < 3 UNION SELECT e.v FROM r JOIN e ON e.u = r.url) SELECT url FROM r")
+@query(f"WITH RECURSIVE e AS ({_EDGES}), r(url) AS (SELECT url FROM pages WHERE contains(url, '/en/') UNION SELECT e.v FROM r JOIN e ON e.u = r.url) SELECT url FROM r")
 def frontier_fixpoint(t, spark):
     links = t("pages").select("url", F.explode(parse.anchors_udf("url", "html")).alias("a")).select("url", F.col("a.url").alias("to"))
-    return frontier(t("pages").where("page_id < 3").select("url"), links).select("url")
+    return frontier(t("pages").where(F.contains("url", F.lit("/en/"))).select("url"), links).select("url")
 
 
 @query("SELECT user_id, max_by(event_type, event_id) AS hint FROM events e WHERE event_id < coalesce((SELECT min(event_id) FROM events v WHERE v.user_id = e.user_id AND v.event_type = 'purchase'), 9000000000000) GROUP BY 1")

@@ -161,9 +161,11 @@ def node_degree(t, spark):
 
 @query(None)
 def communities_local_move(t, spark):
-    edges = t("lineitem").where("l_returnflag = 'R' and l_linenumber = 1").select((F.col("l_orderkey")).alias("ord"), F.concat(F.lit("P"), "l_partkey").alias("source"), F.concat(F.lit("S"), "l_suppkey").alias("target"))
-    nodes = edges.select(F.col("source").alias("id")).union(edges.select("target")).distinct()
-    return community.detect(nodes, edges)
+    """Nations as nodes, order lines from a customer's to a supplier's nation as edges; only the 25 nations' projection is moved."""
+    nation = lambda name: t("nation").select(F.col("n_nationkey").alias(f"{name}_k"), F.col("n_name").alias(name))
+    lines = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    edges = lines.join(nation("source"), F.col("c_nationkey") == F.col("source_k")).join(nation("target"), F.col("s_nationkey") == F.col("target_k")).select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"), "source", "target")
+    return community.detect(t("nation").select(F.col("n_name").alias("id")), edges)
 
 
 _REGIONS = "SELECT n_regionkey AS community_id, n_name AS id, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) + (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS ends FROM nation"
@@ -221,23 +223,23 @@ def descriptor_corroborate(t, spark):
     return corroborate.descriptor_results(edges, reference).select("p_partkey", F.col("lookup_referenced").alias("referenced"), "descriptor_class")
 
 
-@query("SELECT o_orderkey, l.n IS NOT NULL AS member_found, l.n IS NOT NULL AND r.k IS NOT NULL AS edge_found FROM orders LEFT JOIN (SELECT l_orderkey AS k, count(*) AS n FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1) l ON l.k = o_orderkey LEFT JOIN (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R') r ON r.k = o_orderkey")
+@query("SELECT o_orderkey, l.n IS NOT NULL AS member_found, l.n IS NOT NULL AND r.k IS NOT NULL AS edge_found FROM orders LEFT JOIN (SELECT l_orderkey AS k, count(*) AS n FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1) l ON l.k = o_orderkey LEFT JOIN (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R') r ON r.k = o_orderkey")
 def known_edge_report(t, spark):
     name = lambda c: F.concat(F.lit("N.O"), c)
     checks = t("orders").select(F.col("o_orderkey").alias("check_ord"), name("o_orderkey").alias("source_type"), F.lit("Get").alias("member_name"))
-    members = t("lineitem").where("l_linenumber <= 2").select(name("l_orderkey").alias("full_type_name"), F.lit("Get").alias("member_name"), F.col("l_linenumber").cast("long").alias("ord"))
+    members = t("lineitem").where("l_linestatus = 'O'").select(name("l_orderkey").alias("full_type_name"), F.lit("Get").alias("member_name"), F.col("l_linenumber").cast("long").alias("ord"))
     edges = t("lineitem").where("l_returnflag = 'R'").select(name("l_orderkey").alias("source_type"), F.lit("Get").alias("member_name"), F.lit("X").alias("candidate_edge_type"), F.lit("Y").alias("candidate_target_type"), F.col("l_linenumber").cast("long").alias("ord"))
     chains = spark.createDataFrame([], "full_type_name string, chain array<string>")
     return corroborate.known_edges(checks, members, chains, edges).select(F.col("check_ord").alias("o_orderkey"), "member_found", "edge_found")
 
 
-@query("SELECT o_orderkey, o_orderkey % 2 = 0 AS found, l.k IS NOT NULL AS parsed, coalesce(p, 0) AS properties, coalesce(m, 0) AS methods FROM orders LEFT JOIN (SELECT l_orderkey AS k, count(*) FILTER (l_returnflag = 'R') AS m, count(*) FILTER (l_returnflag <> 'R') AS p FROM lineitem GROUP BY 1) l ON l.k = o_orderkey")
+@query("SELECT o_orderkey, o_orderstatus = 'F' AS found, l.k IS NOT NULL AS parsed, coalesce(p, 0) AS properties, coalesce(m, 0) AS methods FROM orders LEFT JOIN (SELECT l_orderkey AS k, count(*) FILTER (l_returnflag = 'R') AS m, count(*) FILTER (l_returnflag <> 'R') AS p FROM lineitem GROUP BY 1) l ON l.k = o_orderkey")
 def target_report(t, spark):
     name = lambda c: F.concat(F.lit("N.O"), c)
     wanted = t("orders").select(name("o_orderkey").alias("full_type_name"))
     members = F.collect_list(F.struct(F.when(F.col("l_returnflag") == "R", "method").otherwise("property").alias("kind"), name("l_orderkey").alias("declaring_type")))
     pages = t("lineitem").groupBy("l_orderkey").agg(members.alias("members")).select(name("l_orderkey").alias("full_type_name"), F.lit("class").alias("kind"), "members")
-    found = t("orders").where("o_orderkey % 2 = 0").select(name("o_orderkey").alias("full_type_name"))
+    found = t("orders").where("o_orderstatus = 'F'").select(name("o_orderkey").alias("full_type_name"))
     return corroborate.targets(wanted, found, pages).select(F.substring_index("full_type_name", "O", -1).cast("long").alias("o_orderkey"), "found", "parsed", "properties", "methods")
 
 
