@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel  # noqa: F401  (kept importable for callers that persist)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        import tempfile
-
-        at = f"{tempfile.gettempdir()}/docgraph-shared"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/docgraph-shared").rstrip("/")
 
 
 def hadoop_path(spark: SparkSession, path: str):
