@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SAMPLE, BINS, EPOCHS = 4_000, 1 << 12, 12
+SAMPLE, BINS, EPOCHS = 4_000, 1 << 11, 12
 
 
 def _folded(text: str) -> np.ndarray:
@@ -163,7 +163,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
         return pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.binary()), pa.array([k for _, k in got], pa.string())], ["c", "known"])
 
     got = sorted((r.known, bytes(r.c)) for r in common.arrow_map(rows, run, "c binary, known string", "text").collect())
-    raw = np.array([np.frombuffer(c, np.float32) for _, c in got], np.float64).reshape(len(got), BINS)
+    raw = np.frombuffer(b"".join(c for _, c in got), np.float32).reshape(len(got), BINS)
     vectors = np.sqrt(raw)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)[:, None]
     return fit(vectors, raw, [k for k, _ in got])
