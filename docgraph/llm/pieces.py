@@ -164,13 +164,23 @@ class Encoder:
             self.meet[tuple(np.array([[self.kind[ord(c)] for c in x] for x in inner]).T)] = True
         self.worst = min((s for s, n in zip(v.scores, v.normal, strict=True) if n), default=0.0) - 10
         self.plain = [bool(x) for x in v.normal]
+        self.sizes = [len(p) for p in v.pieces]
+        self.chars = {p for p in self.ids if len(p) == 1}
         self.pairs: dict[int, bool] = {}
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.made: list[list[int]] = []
-        self.exact: list[bool] = []
+        self.new: list[tuple[list[int], bool]] = []  # made since the arrays below were
+        self.flat, self.begin, self.exact = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool)
+
+    def settle(self) -> None:
+        """Moves the new units' ids into the arrays: unit k has flat[begin[k] : begin[k + 1]]."""
+        if self.new:
+            self.flat = np.concatenate([self.flat, np.array([t for x, _ in self.new for t in x], np.int32)])
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(x) for x, _ in self.new])])
+            self.exact = np.concatenate([self.exact, np.array([e for _, e in self.new], bool)])
+            self.new = []
 
     def joins(self, a: int, b: int) -> bool:
         """Whether pieces a and b, side by side, stay as they are."""
@@ -190,6 +200,30 @@ class Encoder:
             self.pairs[key] = got
         return got
 
+    def walk(self, text: str) -> list[int] | None:
+        """viterbi() of a merge model, for a text whose characters all have pieces; None if no path is left."""
+        last: list[int | None] = [None] * (len(text) + 1)
+        pairs, sizes = self.pairs, self.sizes
+        for end, (t, k) in self.automaton.iter(text):
+            end += 1
+            if last[end] is None:
+                if end != k:
+                    p = last[end - k]
+                    if p is None:
+                        continue
+                    fits = pairs.get(p << 32 | t)
+                    if not (self.joins(p, t) if fits is None else fits):
+                        continue
+                last[end] = t
+        out, n = [], len(text)
+        while n:
+            t = last[n]
+            if t is None:
+                return None
+            out.append(t)
+            n -= sizes[t]
+        return out[::-1]
+
     def viterbi(self, text: str) -> list[int]:
         """Ids of a text in which spaces are U+2581 already; -1 - c stands for a character c without piece."""
         n, merges, scores = len(text), self.v.merges, self.v.scores
@@ -247,10 +281,12 @@ class Encoder:
     def unit(self, u: str) -> int:
         k = self.known.get(u)
         if k is None:
-            k = self.known[u] = len(self.made)
+            k = self.known[u] = len(self.known)
+            if self.v.merges and self.chars.issuperset(u) and (ids := self.walk(u)):
+                self.new.append((ids, True))
+                return k
             ids = self.spelled(self.viterbi(u))
-            self.made.append(ids)
-            self.exact.append(all(map(self.plain.__getitem__, ids)) or self.joined(ids) == u)
+            self.new.append((ids, all(map(self.plain.__getitem__, ids)) or self.joined(ids) == u))
         return k
 
     def joined(self, ids: list[int]) -> str:
@@ -278,17 +314,13 @@ class Encoder:
         n = np.diff(np.searchsorted(marks, np.concatenate([[0], ends])))
         got = [known.get(u, -1) for u in units]
         at = np.array([unit(u) if k < 0 else k for k, u in zip(got, units, strict=True)], np.int64)
-        used, inv = np.unique(at, return_inverse=True)
-        lists = [self.made[k] for k in used]
-        size = np.array([len(x) for x in lists], np.int64)
-        flat = np.array([t for x in lists for t in x], np.int32)
-        begin = np.concatenate([[0], np.cumsum(size)])[:-1] if len(size) else size
-        each = size[inv] if len(inv) else np.zeros(0, np.int64)
+        self.settle()
+        begin = self.begin[at]
+        each = self.begin[at + 1] - begin
         to = np.concatenate([[0], np.cumsum(each)])
-        ids = flat[np.arange(to[-1]) - np.repeat(to[:-1] - begin[inv], each)] if to[-1] else np.zeros(0, np.int32)
+        ids = self.flat[np.arange(to[-1]) + np.repeat(begin - to[:-1], each)]
         cuts = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
-        right = np.array([self.exact[k] for k in used], bool)[inv] if len(inv) else np.zeros(0, bool)
-        bad = np.concatenate([[0], np.cumsum(~right)])
+        bad = np.concatenate([[0], np.cumsum(~self.exact[at])])
         plain = np.array([SPACE not in (t or "") for t in texts], bool)
         return ids, np.diff(to[cuts]), (np.diff(bad[cuts]) == 0) & plain
 
