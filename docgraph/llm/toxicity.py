@@ -7,7 +7,7 @@ negated or reported insult has its own label and its own learned weight.
 
 Insults are learned: words, and stems that take many endings, whose document frequency in labelled toxic
 rows stands out. The rows to learn from are at most `sample` labelled rows, those of the smallest hash of
-doc_id; both the lexicon and the weights come from them. Without labelled rows of both kinds the lexicon
+doc_id; of near copies among them one counts. Both the lexicon and the weights come from them. Without labelled rows of both kinds the lexicon
 is empty and every score is the share of toxic labels (0 without any).
 
 Null and empty texts have no clause and get the score of a document without matches. Repeated rows are
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,6 +95,7 @@ class Scorer:
     """The composition of the lexical transducer and the clause grammar, walked only over clauses with a trigger."""
 
     def __init__(self, lexicon: dict[str, float], stems: dict[str, float], weights: list[float] | None = None):
+        self.parts = lexicon, stems
         self.first, self.second = lexical(lexicon, stems), grammar()
         self.weights = weights
         self.triggers = ahocorasick.Automaton()
@@ -158,11 +160,26 @@ def fit_weights(x: np.ndarray, y: np.ndarray) -> list[float]:
     return w.tolist()
 
 
+def _signed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    signs = []
+    for text in batch.column(1).to_pylist():
+        long = {t for t in TOKEN.findall((text or "").lower()) if len(t) >= 8}
+        signs.append(min(map(_hash, long)) if long else _hash(text or ""))
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(signs, pa.int64())], ["doc_id", "text", "toxic", "sign"])
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) >> 1
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     """A scorer from labelled rows of docs (doc_id, text); labels: (doc_id, toxic). At most `sample` rows are read."""
     ids = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "toxic")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic")
+    # near copies share their smallest long-word hash: one of them counts, so that no group of copies teaches its own words
+    signed = common.arrow_map(rows, _signed, "doc_id long, text string, toxic int, sign long", "text")
+    rows = common.cut(signed.groupBy("sign").agg(F.min_by(F.struct("text", "toxic"), F.struct("doc_id", "text")).alias("r")).select("r.text", "r.toxic"), "toxic-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list[int]] = {"": [0, 0]}
@@ -182,7 +199,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
         share = (n1 + 0.0) / max(1, n1 + n0)
         return Scorer({}, {}, [math.log((share + 1e-6) / (1 - share + 1e-6)), *[0.0] * len(LABELS)])
     scorer = Scorer(*choose([(r.f, r.a, r.b) for r in top if r.f], n1, n0))
-    lexicon = scorer_parts(scorer)
+    lexicon = scorer.parts
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
         s = Scorer(*lexicon)
@@ -195,16 +212,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     return scorer
 
 
-def scorer_parts(s: Scorer) -> tuple[dict[str, float], dict[str, float]]:
-    """The lexicon and the stems of a scorer, for shipping to executors."""
-    words = {w: x for (_, w), (_, c, x) in s.first.arcs.items() if c == "I"}
-    stems = {w: 1.0 for w in s.triggers if w not in words and w not in THREATS} if len(s.triggers) else {}
-    return words, stems
-
-
 def score(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, score (0 to 1) and predicted (1 from the threshold on) of every row of docs."""
-    parts, weights = scorer_parts(scorer), scorer.weights
+    parts, weights = scorer.parts, scorer.weights
 
     def run(batches):
         s = Scorer(*parts, weights)
@@ -218,7 +228,7 @@ def score(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD) -> Data
 
 def clean(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, with all their columns, that score below the threshold."""
-    parts, weights, at = scorer_parts(scorer), scorer.weights, docs.columns.index("text")
+    parts, weights, at = scorer.parts, scorer.weights, docs.columns.index("text")
 
     def run(batches):
         s = Scorer(*parts, weights)
