@@ -71,3 +71,48 @@ def stream(spark: SparkSession, folder: str, checkpoint: str, write: Callable[[d
     finally:
         write(outputs(read()), True)
     return query
+
+
+def fetch_all(fetcher, entries: list[dict], version: str, write: Callable[[list[tuple], bool], None], most: int | None = None, every: int = 25, gap: float = 30.0) -> dict[str, list]:
+    """The polite crawl itself, on the driver: it is bound by the throttle, one page at a time.
+
+    entries: dicts with url and declaring_type_hint. Members pages and member links of a page join the queue; a link to a
+    page that is known but not yet visited corrects its hint. write(rows, final) gets (ord, url, html, version, hint) of
+    the pages since the last call: after `every` pages if `gap` seconds have passed since it ended, and always at the
+    end, also by an error. Returns what was visited and what failed.
+    """
+    hints = {e["url"]: e.get("declaring_type_hint") for e in reversed(entries)}
+    queue, known = [*dict.fromkeys(e["url"] for e in entries)], {e["url"] for e in entries}
+    visited: list[str] = []
+    failed: list[tuple[str, str]] = []
+    rows: list[tuple] = []
+    wrote, at = fetcher.clock(), 0
+    try:
+        while at < len(queue) and (most is None or len(visited) < most):
+            url = queue[at]
+            at += 1
+            visited.append(url)
+            try:
+                html = fetcher.fetch(url)
+            except Exception as e:
+                failed.append((url, str(e)))
+                continue
+            page = parse.parse_page(url, html, version, hints.get(url))
+            if page["kind"] == "unknown":
+                failed.append((url, "unknown kind of page"))
+            rows.append((len(visited), url, html, version, hints.get(url)))
+            own = page["full_type_name"] if page["kind"] in ("class", "struct", "interface", "members_index") else None
+            links = [(x["url"], x["declaring_type_hint"] or own) for x in page["links"]] + ([(page["members_page"], own)] if page["members_page"] and own else [])
+            done = set(visited)
+            for to, hint in links:
+                if to not in done and f"/{version}/" in to:
+                    hints[to] = hint or hints.get(to)
+                    if to not in known:
+                        known.add(to)
+                        queue.append(to)
+            if len(visited) % every == 0 and fetcher.clock() - wrote >= gap:
+                write(rows, False)
+                rows, wrote = [], fetcher.clock()
+    finally:
+        write(rows, True)
+    return {"visited": visited, "failed": failed}
