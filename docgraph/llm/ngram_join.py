@@ -5,7 +5,9 @@ least T = ceil(4 (n + m) / 9), and at least ceil(0.8 n), so of any n - ceil(0.8
 the other. Elements that one document alone has (most of them) can't be shared: a document with that many of its
 own has no link and leaves. The steps, none of which emits pairs:
 
-1. One pass over the texts makes the sets. Shingle hashes go out in byte blocks by hash range, 8 bytes each.
+1. One pass over the texts makes the sets. Shingle hashes go out in byte blocks by hash range, 8 bytes each. A hash
+   that several documents of a block have goes out once, with their number: a very common one costs a range an entry
+   for each block, not for each document.
 2. Every range finds the hashes of two documents or more and returns them, with how frequent they are, to the
    block of documents they came from. Only these shared hashes travel on.
 3. A document keeps its shared hashes if it can link at all. Equal sets become one class with a representative.
@@ -35,6 +37,8 @@ from . import common, kernels
 
 #: Documents of one side of a tile; bytes of text of one block of documents.
 TILE, BLOCK = 128, 6 << 20
+#: Parts of an inverted list that go to tasks of their own.
+PARTS = 32
 U64 = np.uint64
 
 
@@ -52,7 +56,8 @@ def _binary(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _spread(docs: DataFrame, ranges: int) -> DataFrame:
-    """(range, block, kind, a, b): kind 0 has shingle hashes and their documents' places, kind 1 doc_ids and set sizes."""
+    """(range, block, kind, a, b): kind 0 has shingle hashes and their documents' places, kind 1 doc_ids and set sizes,
+    kind 2 hashes of several documents of the block and how many, kind 3 (for the block itself) these with all places."""
 
     def run(batches):
         block = (TaskContext.get().partitionId() << 32) - 1
@@ -65,19 +70,19 @@ def _spread(docs: DataFrame, ranges: int) -> DataFrame:
                     size = np.array([len(x) for x in each], np.int64)
                     h = np.concatenate(each) if each else np.zeros(0, U64)
                     place = np.repeat(np.arange(len(each), dtype=np.uint16), size)
-                    at = ((h >> U64(32)) * U64(ranges) >> U64(32)).astype(np.uint16 if ranges <= 65536 else np.int64)
-                    order = np.argsort(at, kind="stable")
-                    h, place, cuts = h[order], place[order], np.searchsorted(at[order], np.arange(ranges + 1))
-                    full = np.flatnonzero(np.diff(cuts))
+                    # in order of the hashes, and so of the ranges
+                    order = np.argsort(h, kind="stable")
+                    h, place = h[order], place[order]
+                    new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+                    count = np.diff(np.append(new, len(h)))
+                    several = np.repeat(count > 1, count)
                     ids = some.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                    rows = [(block % ranges, 1, ids, size), (block % ranges, 3, h[several], place[several])]
+                    for kind, x, y in ((0, h[~several], place[~several]), (2, h[new][count > 1], count[count > 1].astype(np.uint32))):
+                        cuts = np.searchsorted((x >> U64(32)) * U64(ranges) >> U64(32), np.arange(ranges + 1))
+                        rows += [(i, kind, x[cuts[i] : cuts[i + 1]], y[cuts[i] : cuts[i + 1]]) for i in np.flatnonzero(np.diff(cuts)).tolist()]
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.concatenate([full, [block % ranges]]).astype(np.int32)),
-                            pa.array(np.full(len(full) + 1, block)),
-                            pa.array(np.concatenate([np.zeros(len(full)), [1]]).astype(np.int32)),
-                            _binary([*(h[cuts[i] : cuts[i + 1]] for i in full), ids]),
-                            _binary([*(place[cuts[i] : cuts[i + 1]] for i in full), size]),
-                        ],
+                        [pa.array([r[0] for r in rows], pa.int32()), pa.array(np.full(len(rows), block)), pa.array([r[1] for r in rows], pa.int32()), _binary([r[2] for r in rows]), _binary([r[3] for r in rows])],
                         ["range", "block", "kind", "a", "b"],
                     )
 
@@ -88,38 +93,42 @@ SHARED = "block long, kind int, a binary, b binary, c binary"
 
 
 def _shared(batches):
-    """Of each range, the hashes that two documents or more have, by block, with the logarithm of their frequency."""
-    blocks, hashes, places = [], [], []
+    """Of each range, the hashes that two documents or more have, by block, with the logarithm of their frequency.
+
+    Kind 0 comes back with places, kind 2 without; kinds 1 and 3 pass."""
+    blocks, hashes, values, many = [], [], [], []
     for batch in batches:
         kind = batch.column(2).to_numpy()
-        for i in np.flatnonzero(kind == 1):
-            yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, 1), batch.column(2).slice(i, 1), batch.column(3).slice(i, 1), batch.column(4).slice(i, 1), pa.array([b""], pa.binary())], ["block", "kind", "a", "b", "c"])
         own = batch.column(1).to_numpy()
-        for i in np.flatnonzero(kind == 0):
+        for i in range(batch.num_rows):
+            if kind[i] in (1, 3):
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, 1), batch.column(2).slice(i, 1), batch.column(3).slice(i, 1), batch.column(4).slice(i, 1), pa.array([b""], pa.binary())], ["block", "kind", "a", "b", "c"])
+                continue
             a = np.frombuffer(batch.column(3)[i].as_buffer(), U64)
             hashes.append(a.copy())
-            places.append(np.frombuffer(batch.column(4)[i].as_buffer(), np.uint16).copy())
+            values.append(np.frombuffer(batch.column(4)[i].as_buffer(), np.uint32 if kind[i] else np.uint16).astype(np.uint32))
             blocks.append(np.full(len(a), own[i]))
+            many.append(np.full(len(a), kind[i] == 2))
     if not hashes:
         return
-    h, p, b = np.concatenate(hashes), np.concatenate(places), np.concatenate(blocks)
-    hashes.clear(), places.clear(), blocks.clear()
+    h, v, b, m = np.concatenate(hashes), np.concatenate(values), np.concatenate(blocks), np.concatenate(many)
+    for x in (hashes, values, blocks, many):
+        x.clear()
     order = np.argsort(h)
     s = h[order]
     new = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-    count = np.diff(np.concatenate([new, [len(s)]]))
-    df = np.repeat(count, count)
+    df = np.repeat(np.add.reduceat(np.where(m, v, 1)[order].astype(np.int64), new), np.diff(np.append(new, len(s))))
     keep = order[df >= 2]
     rank = np.minimum(np.log2(df[df >= 2]) * 4, 255).astype(np.uint8)
-    h, p, b = h[keep], p[keep], b[keep]
-    order = np.argsort(b, kind="stable")
-    h, p, b, rank = h[order], p[order], b[order], rank[order]
-    cuts = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])) if len(b) else np.zeros(0, np.int64)
+    h, v, b, m = h[keep], v[keep], b[keep], m[keep]
+    order = np.lexsort((m, b))
+    h, v, b, m, rank = h[order], v[order], b[order], m[order], rank[order]
+    cuts = np.flatnonzero(np.concatenate([[True], (b[1:] != b[:-1]) | (m[1:] != m[:-1])])) if len(b) else np.zeros(0, np.int64)
     ends = np.append(cuts[1:], len(b))
     for k in range(0, len(cuts), 64):
         x, y = cuts[k : k + 64], ends[k : k + 64]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(b[x]), pa.array(np.zeros(len(x), np.int32)), _binary([h[i:j] for i, j in zip(x, y, strict=True)]), _binary([p[i:j] for i, j in zip(x, y, strict=True)]), _binary([rank[i:j] for i, j in zip(x, y, strict=True)])],
+            [pa.array(b[x]), pa.array(np.where(m[x], 2, 0).astype(np.int32)), _binary([h[i:j] for i, j in zip(x, y, strict=True)]), _binary([v[i:j].astype(np.uint16) if not m[i] else v[:0] for i, j in zip(x, y, strict=True)]), _binary([rank[i:j] for i, j in zip(x, y, strict=True)])],
             ["block", "kind", "a", "b", "c"],
         )
 
@@ -131,15 +140,26 @@ def _gathered(batches):
     """For each document of each block: its set's size and, if it can have a link, its shared hashes, rarest first."""
     ids: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     parts: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+    several: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    ranks: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     for batch in batches:
         block, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         for i in range(batch.num_rows):
-            a, b = batch.column(2)[i].as_buffer(), batch.column(3)[i].as_buffer()
-            if kind[i]:
+            a, b, c = (batch.column(k)[i].as_buffer() for k in (2, 3, 4))
+            if kind[i] == 1:
                 ids[block[i]] = np.frombuffer(a, np.int64).copy(), np.frombuffer(b, np.int64).copy()
+            elif kind[i] == 3:
+                several[block[i]] = np.frombuffer(a, U64).copy(), np.frombuffer(b, np.uint16).copy()
+            elif kind[i] == 2:
+                ranks.setdefault(block[i], []).append((np.frombuffer(a, U64).copy(), np.frombuffer(c, np.uint8).copy()))
             else:
-                parts.setdefault(block[i], []).append((np.frombuffer(a, U64).copy(), np.frombuffer(b, np.uint16).copy(), np.frombuffer(batch.column(4)[i].as_buffer(), np.uint8).copy()))
+                parts.setdefault(block[i], []).append((np.frombuffer(a, U64).copy(), np.frombuffer(b, np.uint16).copy(), np.frombuffer(c, np.uint8).copy()))
     for block, (doc, n) in ids.items():
+        if block in ranks:
+            h, r = (np.concatenate(x) for x in zip(*ranks.pop(block), strict=True))
+            order = np.argsort(h)
+            own, place = several.pop(block)
+            parts.setdefault(block, []).append((own, place, r[order][np.searchsorted(h[order], own)]))
         h, p, r = (np.concatenate(x) for x in zip(*parts.pop(block), strict=True)) if block in parts else (np.zeros(0, U64), np.zeros(0, np.uint16), np.zeros(0, np.uint8))
         order = np.lexsort((h, r, p))
         h, p, r = h[order], p[order], r[order]
@@ -283,9 +303,12 @@ def join(docs: DataFrame, tile: int = TILE) -> DataFrame:
     classes = common.cut(classes.select("rep", "copies").union(alone.groupBy("rep").agg(F.count("*"))).groupBy("rep").agg(F.max("copies").alias("copies")), "ngram-classes")
     reps = common.cut(able.join(classes, F.col("doc_id") == F.col("rep")).select("doc_id", "n", "own", "hashes", "copies").dropDuplicates(["doc_id"]), "ngram-reps")
 
-    lists = common.arrow_map(reps.select("doc_id", "n", "own", "hashes"), _prefixes, "hash long, doc_id long")
-    heads = lists.groupBy("hash").agg(F.min("doc_id").alias("head"), F.count("*").alias("k")).where("k > 1").select("hash", "head")
-    near = lists.join(heads, "hash").where("doc_id <> head").select("doc_id", "head").distinct()
+    # a long list is split: its members go to the first one of their part, those to the first one of all
+    lists = common.arrow_map(reps.select("doc_id", "n", "own", "hashes"), _prefixes, "hash long, doc_id long").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)))
+    heads = common.cut(lists.groupBy("hash", "part").agg(F.min("doc_id").alias("head"), F.count("*").alias("k")), "ngram-heads")
+    top = heads.groupBy("hash").agg(F.min("head").alias("top"), F.count("*").alias("k")).where("k > 1")
+    near = lists.join(heads.where("k > 1"), ["hash", "part"]).where("doc_id <> head").select("doc_id", "head")
+    near = near.union(heads.join(top.select("hash", "top"), "hash").where("head <> top").select("head", "top")).distinct()
     family = common.components(near, "doc_id", "head", "ngram-families")
     family = common.cut(family.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "family"), "ngram-family")
     size = family.groupBy("family").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"))

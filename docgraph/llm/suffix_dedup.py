@@ -5,7 +5,8 @@ need every suffix in one order; here the strings are first dealt by content, so
 
 1. The key of a string is the smallest hash of its 64-byte pieces. Neighbouring strings mostly have one key; such a
    run of strings is its context. One pass over the texts sends key, hash and place of each context, about one for 70
-   bytes, in byte blocks by key range.
+   bytes, in byte blocks by key range; of equal contexts of a batch, one. A very common context costs a range an entry
+   for each batch, not for each document.
 2. Contexts that are wholly equal to another one are duplicates at once. If a key has different contexts, or one that
    repeats itself, the first of each kind is asked for with its bytes. Keys without a second context end here.
 3. The asked-for contexts of a key come together. They are put into suffix order up to `size` bytes by prefix doubling;
@@ -80,7 +81,7 @@ def contexts(buf: np.ndarray, off: np.ndarray, size: int = SIZE):
     return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, U64)] * 2 + [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
 
 
-CONTEXT = np.dtype([("key", "<u8"), ("ctx", "<u8"), ("doc", "<i8"), ("at", "<i8"), ("n", "<u2"), ("self", "?")])
+CONTEXT = np.dtype([("key", "<u8"), ("ctx", "<u8"), ("doc", "<i8"), ("at", "<i8"), ("n", "<u2"), ("self", "?"), ("many", "?")])
 REQUEST = np.dtype([("doc", "<i8"), ("key", "<u8"), ("at", "<i8"), ("n", "<u2"), ("hot", "?"), ("many", "?")])
 SPAN = np.dtype([("doc", "<i8"), ("at", "<i8"), ("end", "<i8")])
 
@@ -129,29 +130,52 @@ def _by_document(dtype: np.dtype):
     return run
 
 
-def _deal(docs: DataFrame, size: int, ranges: int) -> DataFrame:
+def _deal(docs: DataFrame, size: int, ranges: int, first: bool, buckets: int) -> DataFrame:
+    """(range, kind, a): kind 0 has contexts by key range, kind 1 spans that are repeated within the batch, by document
+    bucket. Of equal contexts of a batch the first one goes on alone, marked as one of many."""
+
     def run(part: pa.RecordBatch) -> pa.RecordBatch | None:
         buf, off = kernels.packed(part.column(1))
         key, ctx, own, at, n, selfish = contexts(buf, off, size)
         if not len(key):
             return None
         a = np.empty(len(key), CONTEXT)
+        a["many"] = False
         a["key"], a["ctx"], a["doc"], a["at"], a["n"], a["self"] = key, ctx, part.column(0).to_numpy(zero_copy_only=False)[own], at, n, selfish
-        bucket = ((key >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int32 if ranges > 65535 else np.uint16)
-        order = np.argsort(bucket, kind="stable")
-        a, bucket = a[order], bucket[order]
-        cuts = np.searchsorted(bucket, np.arange(ranges + 1))
+        a = a[np.lexsort((a["at"], a["doc"], a["ctx"], a["key"]))]
+        new = np.concatenate([[True], (a["key"][1:] != a["key"][:-1]) | (a["ctx"][1:] != a["ctx"][:-1])])
+        copies = np.bincount(np.cumsum(new) - 1)
+        here = _spans(a[~new] if first else a[(copies > 1)[np.cumsum(new) - 1]], size)
+        a = a[new]
+        a["many"] = copies > 1
+        cuts = np.searchsorted((a["key"] >> U64(32)) * U64(ranges) >> U64(32), np.arange(ranges + 1))
         full = np.flatnonzero(np.diff(cuts))
-        return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([_columns(a[cuts[i] : cuts[i + 1]]) for i in full], pa.binary())], ["range", "a"])
+        to, blobs = _to_documents(here, buckets)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([full, to]).astype(np.int32)), pa.array([0] * len(full) + [1] * len(to), pa.int32()), pa.array([_columns(a[cuts[i] : cuts[i + 1]]) for i in full] + blobs, pa.binary())], ["range", "kind", "a"]
+        )
+
+    return common.arrow_map(docs, run, "range int, kind int, a binary", "text")
+
 
-    return common.arrow_map(docs, run, "range int, a binary", "text")
+def _spans(contexts: np.ndarray, size: int) -> np.ndarray:
+    """The bytes that the strings of contexts cover."""
+    out = np.empty(len(contexts), SPAN)
+    out["doc"], out["at"], out["end"] = contexts["doc"], contexts["at"], contexts["at"] + contexts["n"].astype(np.int64) + size - 1
+    return out
 
 
 def _meet(size: int, hot: int, first: bool, buckets: int):
     """Duplicate contexts as spans, and requests for the bytes of those that must be looked at."""
 
     def run(batches):
-        got = [_rows(x.as_buffer().to_pybytes(), CONTEXT) for batch in batches for x in batch.column(1)]
+        got = []
+        for batch in batches:
+            kind = batch.column(1).to_numpy()
+            passing = batch.take(np.flatnonzero(kind == 1))
+            if passing.num_rows:
+                yield pa.RecordBatch.from_arrays([passing.column(0).cast(pa.int64()), pa.array(np.zeros(passing.num_rows, np.int32)), passing.column(2)], ["bucket", "kind", "a"])
+            got += [_rows(batch.column(2)[int(i)].as_buffer().to_pybytes(), CONTEXT) for i in np.flatnonzero(kind == 0)]
         if not got:
             return
         a = np.concatenate(got)
@@ -161,12 +185,11 @@ def _meet(size: int, hot: int, first: bool, buckets: int):
         new_key = np.concatenate([[True], a["key"][1:] != a["key"][:-1]])
         new = new_key | np.concatenate([[True], a["ctx"][1:] != a["ctx"][:-1]])
         kind = np.cumsum(new) - 1
-        copies = np.bincount(kind)
+        copies = np.bincount(kind) + np.bincount(kind, a["many"]).astype(np.int64)
         of_key = np.cumsum(new_key) - 1
         kinds = np.bincount(of_key[new])
         span = copies[kind] > 1 if not first else ~new
-        spans = np.empty(int(span.sum()), SPAN)
-        spans["doc"], spans["at"], spans["end"] = a["doc"][span], a["at"][span], a["at"][span] + a["n"][span].astype(np.int64) + size - 1
+        spans = _spans(a[span], size)
         ask = new & ((kinds[of_key] > 1) | a["self"])
         requests = np.empty(int(ask.sum()), REQUEST)
         for f in ("doc", "key", "at", "n"):
@@ -179,8 +202,9 @@ def _meet(size: int, hot: int, first: bool, buckets: int):
     return run
 
 
-def _fetch(size: int, ranges: int):
-    """Contexts with their bytes by key; single strings of hot keys by hash range."""
+def _fetch(size: int, ranges: int, first: bool, buckets: int):
+    """Contexts with their bytes by key; single strings of hot keys by hash range (n is -1), of equal ones of a batch the
+    first; spans of the others (n is -2)."""
 
     def run(batches):
         for batch in batches:
@@ -209,11 +233,19 @@ def _fetch(size: int, ranges: int):
                     h = np.concatenate(hs)
                     a = np.empty(len(h), STRING)
                     a["hash"], a["doc"], a["at"], a["many"] = h, np.concatenate(ds), np.concatenate(ps), np.concatenate(ms)
-                    bucket = ((h >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64)
-                    full, blobs = _pieces(a, bucket)
-                    n = len(full)
-                    # kind of row: n = -1; its key is the hash range
-                    yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, np.int64)), pa.array(np.full(n, -1, np.int32)), pa.array(np.zeros(n, bool)), pa.array(blobs, pa.binary())], FETCHED)
+                    a = a[np.lexsort((a["at"], a["doc"], a["hash"]))]
+                    new = np.concatenate([[True], a["hash"][1:] != a["hash"][:-1]])
+                    copies = np.bincount(np.cumsum(new) - 1)
+                    here = a[~new] if first else a[(copies > 1)[np.cumsum(new) - 1]]
+                    many = np.logical_or.reduceat(a["many"], np.flatnonzero(new)) | (copies > 1)
+                    a = a[new]
+                    a["many"] = many
+                    spans = np.empty(len(here), SPAN)
+                    spans["doc"], spans["at"], spans["end"] = here["doc"], here["at"], here["at"] + size
+                    full, blobs = _pieces(a, ((a["hash"] >> U64(32)) * U64(ranges) >> U64(32)).astype(np.int64))
+                    to, more = _to_documents(merged_each(spans), buckets)
+                    n, zero = [*[-1] * len(full), *[-2] * len(to)], np.zeros(len(full) + len(to), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([full, to]).astype(np.int64)), pa.array(zero), pa.array(zero), pa.array(n, pa.int32()), pa.array(zero > 0), pa.array(blobs + more, pa.binary())], FETCHED)
 
     return run
 
@@ -325,14 +357,17 @@ def _decide(size: int, first: bool, buckets: int):
         return pa.RecordBatch.from_arrays([pa.array(to), pa.array(blobs, pa.binary())], ["bucket", "a"])
 
     def run(batches):
-        rows, size_, strings, found = [], 0, [], []
+        rows, size_, strings, spans, found = [], 0, [], [], []
         for b in batches:
             key, doc, at, n, many = (b.column(i).to_pylist() for i in range(5))
             for k in range(b.num_rows):
                 data = b.column(5)[k].as_buffer().to_pybytes()
-                if n[k] < 0:
+                if n[k] == -1:
                     strings.append(np.frombuffer(data, STRING))
                     continue
+                if n[k] == -2:
+                    spans.append(np.frombuffer(data, SPAN))
+                    continue
                 if size_ > 2 << 20 and rows and rows[-1][0] != key[k]:
                     found += judged(rows)
                     rows, size_ = [], 0
@@ -342,6 +377,8 @@ def _decide(size: int, first: bool, buckets: int):
             found += judged(rows)
         if found:
             yield batch(np.array(found, SPAN))
+        if spans:
+            yield batch(np.concatenate(spans))
         if strings:
             a = np.concatenate(strings)
             a = a[np.lexsort((a["at"], a["doc"], a["hash"]))]
@@ -388,9 +425,9 @@ def dedup(docs: DataFrame, size: int = SIZE, keep: str = "first", hot: int = HOT
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(512, 8 * parts)
     clean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where("doc_id is not null")
-    met = common.cut(_deal(clean, size, ranges).repartition("range").mapInArrow(_meet(size, hot, first, parts), "bucket long, kind int, a binary"), "suffix-met")
+    met = common.cut(_deal(clean, size, ranges, first, parts).repartition("range").mapInArrow(_meet(size, hot, first, parts), "bucket long, kind int, a binary"), "suffix-met")
     asked = met.where("kind = 1").select("bucket", "a").repartition("bucket").mapInArrow(_by_document(REQUEST), "doc long, a binary")
-    fetched = clean.join(asked, clean.doc_id == asked.doc).select("doc_id", "text", "a").mapInArrow(_fetch(size, ranges), "key long, doc long, at long, n int, many boolean, data binary")
+    fetched = clean.join(asked, clean.doc_id == asked.doc).select("doc_id", "text", "a").mapInArrow(_fetch(size, ranges, first, parts), "key long, doc long, at long, n int, many boolean, data binary")
     decided = fetched.repartition("key").sortWithinPartitions("key").mapInArrow(_decide(size, first, parts), "bucket long, a binary")
     spans = common.cut(met.where("kind = 0").select("bucket", "a").union(decided).repartition("bucket").mapInArrow(_by_document(SPAN), "doc long, a binary"), "suffix-spans")
 
