@@ -39,7 +39,7 @@ def mark_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encode(docs, pieces.read_model(spark))
+    return pieces.encode(docs, pieces.read_model(spark), cache=100_000)  # executors still hold what earlier stages left
 
 
 STAGES = [("toxicity", drop_toxic), ("ngram_join", one_of_each_group), ("decontamination", drop_leaks), ("pii", mark_personal), ("sentencepiece", encode)]

@@ -333,12 +333,12 @@ def read_model(spark: SparkSession, path: str = MODEL) -> Vocabulary:
     return load(bytes(spark.read.format("binaryFile").load(path).select("content").first()[0]))
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, n_tokens, round_trip and ids of every row of docs (doc_id, text)."""
+def encode(docs: DataFrame, vocabulary: Vocabulary, cache: int = CACHE) -> DataFrame:
+    """doc_id, n_tokens, round_trip and ids of every row of docs (doc_id, text). cache: units that a worker keeps."""
     shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)  # bounded by the model's vocabulary
 
     def run(batches):
-        encoder = Encoder(shipped.value)
+        encoder = Encoder(shipped.value, cache)
         for batch in batches:
             for part in common.by_bytes(batch, "text", 2 << 20):
                 ids, n, right = encoder.encode_batch(part.column(1).to_pylist())
