@@ -12,7 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of an Arrow batch between Spark and Python: a batch of long texts must not fill a worker.
+ARROW_BYTES = 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder; Arrow batches of the session are held to ARROW_BYTES."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -305,7 +305,7 @@ def join(docs: DataFrame, tile: int = TILE) -> DataFrame:
 
     # a long list is split: its members go to the first one of their part, those to the first one of all
     lists = common.arrow_map(reps.select("doc_id", "n", "own", "hashes"), _prefixes, "hash long, doc_id long").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)))
-    heads = common.cut(lists.groupBy("hash", "part").agg(F.min("doc_id").alias("head"), F.count("*").alias("k")), "ngram-heads")
+    heads = lists.groupBy("hash", "part").agg(F.min("doc_id").alias("head"), F.count("*").alias("k"))
     top = heads.groupBy("hash").agg(F.min("head").alias("top"), F.count("*").alias("k")).where("k > 1")
     near = lists.join(heads.where("k > 1"), ["hash", "part"]).where("doc_id <> head").select("doc_id", "head")
     near = near.union(heads.join(top.select("hash", "top"), "hash").where("head <> top").select("head", "top")).distinct()
