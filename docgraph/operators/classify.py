@@ -12,11 +12,12 @@ TYPE_KINDS = ["class", "struct", "enum", "interface"]
 _ONE_ARGUMENT = rf"^(?:{'|'.join(V.COLLECTIONS)})\s*<\s*([\w.]+)\s*>$"
 
 
-def chains(pages: DataFrame, most: int = 64) -> DataFrame:
+def chains(pages: DataFrame) -> DataFrame:
     """full_type_name, chain (bases upwards, as spelled) and is_element (true, false, unknown) of class and struct pages.
 
-    A base is looked up by its full name, else by its short name in the last page of that short name. Each round
-    joins all unfinished chains to their next base; rounds end when no chain grows, at the latest after `most`.
+    A base is looked up by its full name, else by its short name in the last page of that short name. Each round appends
+    to every unfinished chain the chain of its last base, so their lengths double; rounds end when all chains have ended,
+    at a name without a base or before the first name that would come again. No length is too long.
     """
     own = pages.where(F.col("kind").isin(TYPE_KINDS))
     typed = own.where(F.col("kind").isin("class", "struct"))
@@ -25,21 +26,22 @@ def chains(pages: DataFrame, most: int = 64) -> DataFrame:
     # a short name leads to a page, and from there to that page's base
     to_full = last(own, R.short_name(F.col("full_type_name")), F.col("full_type_name")).select(F.col("k").alias("s"), F.col("v").alias("f"))
     by_short = to_full.join(by_full, F.col("f") == F.col("k")).select("s", F.col("v").alias("bv"))
-    step_full, step_short = by_full.select(F.col("k").alias("fk"), F.col("v").alias("fv")), by_short
-    now = own.select("full_type_name").distinct().withColumn("at", F.col("full_type_name")).withColumn("chain", F.array().cast("array<string>")).withColumn("seen", F.array("full_type_name")).withColumn("end", F.lit(None).cast("string"))
-    done = None
-    for _ in range(most):
-        stepped = now.join(step_full, F.col("at") == F.col("fk"), "left").withColumn("sn", R.short_name(F.col("at"))).join(step_short, F.col("sn") == F.col("s"), "left")
-        stepped = stepped.withColumn("next", F.nullif(F.coalesce("fv", "bv"), F.lit("")))
-        stepped = stepped.withColumn("loop", F.coalesce(F.array_contains("seen", F.col("next")), F.lit(False)))
-        cols = ["full_type_name", "at", "chain", "seen"]
-        ended = stepped.where("next is null or loop").select("full_type_name", "chain", F.when(F.col("loop"), "loop").otherwise("open").alias("end"))
-        done = ended if done is None else done.union(ended)
-        grown = stepped.where("next is not null and not loop").select("full_type_name", F.col("next").alias("at"), F.array_append("chain", F.col("next")).alias("chain"), F.array_append("seen", F.col("next")).alias("seen"))
-        grown = grown.select(*cols).cache()
-        if grown.isEmpty():
-            break
-        now = grown
+    step_full = by_full.select(F.col("k").alias("fk"), F.col("v").alias("fv"))
+    names = own.select("full_type_name").distinct()
+    at = names.select(F.col("full_type_name").alias("at")).union(by_full.where("v <> ''").select("v")).distinct()
+    stepped = at.join(step_full, F.col("at") == F.col("fk"), "left").withColumn("sn", R.short_name(F.col("at"))).join(by_short, F.col("sn") == F.col("s"), "left").withColumn("next", F.nullif(F.coalesce("fv", "bv"), F.lit("")))
+    none = F.array().cast("array<string>")
+    stepped = stepped.withColumn("end", F.when(F.col("next") == F.col("at"), "loop").when(F.col("next").isNull(), "open"))
+    now = stepped.select("at", F.when(F.col("end").isNull(), F.array("next")).otherwise(none).alias("chain"), F.when(F.col("end").isNull(), F.col("next")).alias("last"), "end")
+    held = lambda df: df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df.localCheckpoint()
+    now = held(now)
+    while not now.where("last is not null").isEmpty():
+        far = now.select(F.col("at").alias("fat"), F.col("chain").alias("more"), F.col("last").alias("further"), F.col("end").alias("far_end"))
+        grown = now.join(far, F.col("last") == F.col("fat"), "left").withColumn("all", F.concat("chain", F.coalesce("more", none)))
+        # each name has one base: behind the first name that comes again nothing is new
+        grown = grown.withColumn("whole", F.array_distinct(F.concat(F.array("at"), "all"))).withColumn("again", F.size("whole") <= F.size("all"))
+        now = held(grown.select("at", F.slice("whole", F.lit(2), F.greatest(F.size("whole") - 1, F.lit(0))).alias("chain"), F.when(~F.col("again"), F.col("further")).alias("last"), F.when(F.col("again"), "loop").otherwise(F.coalesce("end", "far_end")).alias("end")))
+    done = names.join(now, F.col("full_type_name").eqNullSafe(F.col("at"))).select("full_type_name", "chain", "end")
     shorts = F.transform("chain", lambda c: F.substring_index(c, ".", -1))
     end = F.element_at(shorts, -1)
     element = (
