@@ -1,19 +1,26 @@
-"""Embedding near-dedup by a forest of random-projection trees with spill.
+"""Embedding near-dedup: exact balls for dense groups, a forest of random-projection trees with spill for the rest.
 
-Each tree splits recursively at random directions, at the median of the projections, and vectors near a split go to
-both sides. Trees are fitted on a bounded sample (`sample` vectors, those of the smallest hash of vec_id), so deep that
-a last leaf has about TILE of all vectors (with 8 sample vectors in each at least: raise `sample` with the input);
-every vector is routed by them. All pairs of a leaf are compared by cosine in double precision, so no reported link is
-below the threshold; a leaf of many vectors, such as a dense ball that splits can't part, is compared in square tiles.
+Dense groups first. Each vector of a bounded sample (`sample` vectors, those of the smallest hash of vec_id) moves twice to
+the mean of its neighbours; places with about TILE / 2 of all vectors within the threshold (4 sample vectors at least) become
+centres, until none is left. A vector within the threshold of a centre is in the core of the nearest one, and goes to the
+ball of every centre within twice that angle: whatever it links with is there. So all links of core vectors are found,
+however large and dense the group, and each pair is counted in the smaller centre of its cores. A ball of n vectors takes
+about n * n / 2 comparisons, as its links are about as many.
+
+The other vectors go through trees. Each tree splits recursively at random directions, at the median of the projections, and
+vectors near a split go to both sides. Trees are fitted on the rest of the sample, so deep that a last leaf has about
+TILE of all vectors (with 8 sample vectors in each at least: raise `sample` with the input); every vector outside the cores
+is routed by them. All pairs of a leaf or ball are compared by cosine in double precision, so no reported link is below
+the threshold; one of many vectors is compared in square tiles.
 
 A pair that shares leaves of several trees is counted in the first such leaf only: vectors carry their leaves of all
 trees with them. A tile returns counts and a spanning forest, never its pairs. Equal vectors are one class with a
 count; the class is compared once.
 
-Recall is below one by design; tests hold it against brute force (0.9 is asked for). Vectors that are null, zero, of
-another length than the other vector, or hold null or non-finite components link with nothing: n_links 0, their own
-component. Rows with a null vec_id are left out; repeated vec_ids count as vectors of their own that are linked if
-their vectors are. Labels and other columns are never read.
+Recall is below one by design outside the cores; tests hold it against brute force (0.9 is asked for). Vectors that are
+null, zero, of another length than the other vector, or hold null or non-finite components link with nothing: n_links 0,
+their own component. Rows with a null vec_id are left out; repeated vec_ids count as vectors of their own that are linked
+if their vectors are. Labels and other columns are never read.
 """
 
 from __future__ import annotations
@@ -34,6 +41,40 @@ def _directions(seed: int, dim: int) -> np.ndarray:
     return v / np.linalg.norm(v)
 
 
+def centres(x: np.ndarray, least: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Centres of balls that hold `least` rows of x each that no ball before holds; and the rows outside all balls."""
+    near = x.astype(np.float32)
+    made, count = near.copy(), np.zeros(len(x), np.int64)
+    for k in range(0, len(x), 256):
+        some = k + np.flatnonzero((near[k : k + 256] @ near.T >= threshold).sum(axis=1) > 1)
+        c = near[some]
+        for _ in range(2):
+            c = (c @ near.T >= threshold).astype(np.float32) @ near
+            c /= np.maximum(np.linalg.norm(c, axis=1), 1e-12)[:, None]
+        made[some], count[some] = c, (c @ near.T >= threshold).sum(axis=1)
+    left, found = np.ones(len(x), bool), []
+    for i in np.argsort(-count, kind="stable"):
+        if count[i] < least:
+            break
+        if left[i]:
+            own = left & (near @ made[i] >= threshold)
+            if own.sum() >= least:
+                found.append(made[i])
+                left &= ~own
+    return np.array(found, np.float64).reshape(len(found), x.shape[1] if x.ndim > 1 else 0), left
+
+
+def balls(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of each row of x the centre whose core it is in, or -1, and all centres in whose balls it is."""
+    if not len(c):
+        return np.full(len(x), -1), [np.zeros(0, np.int64)] * len(x)
+    cos = x @ (c / np.linalg.norm(c, axis=1)[:, None]).T
+    nearest = cos.argmax(axis=1)
+    core = np.where(cos[np.arange(len(x)), nearest] >= threshold, nearest, -1)
+    far = 2 * threshold**2 - 1 if threshold > 0 else -2  # the cosine of the double angle
+    return core, [np.flatnonzero(r) for r in cos >= far - 1e-9]
+
+
 def grow(x: np.ndarray, leaf: int, spill: float, seed: int) -> list[tuple]:
     """A tree as nested (direction's seed, low, high, left, right) or None for a leaf; rows between low and high go both ways."""
 
@@ -85,16 +126,18 @@ def _vectors(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 class Tile:
-    """Two blocks of the vectors of a leaf of one tree, or one block with itself, in one task."""
+    """Two blocks of the vectors of a leaf of one tree or of a ball (tree -1), or one block with itself, in one task."""
 
     def __init__(self, tree: int, leaf: int, rows: list[tuple], threshold: float):
         self.tree, self.leaf, self.threshold = tree, leaf, threshold
         self.ids = np.array([r[0] for r in rows])
         self.copies = np.array([r[1] for r in rows], np.int64)
         self.x = np.array([np.frombuffer(r[2], np.float64) for r in rows])
-        width = max(len(v) for r in rows for v in r[3])
-        self.leaves = np.array([[v + [-1] * (width - len(v)) for v in r[3]] for r in rows], np.int64)  # rows x trees x leaves
+        if tree >= 0:
+            width = max(len(v) for r in rows for v in r[3])
+            self.leaves = np.array([[v + [-1] * (width - len(v)) for v in r[3]] for r in rows], np.int64)  # rows x trees x leaves
         self.side = np.array([r[4] for r in rows])
+        self.core = np.array([r[5] for r in rows], np.int64)
         self.links = np.zeros(len(rows), np.int64)
         self.parent = np.arange(len(rows))
         self.edges: list[tuple[int, int]] = []
@@ -118,6 +161,40 @@ class Tile:
                 if len(u):
                     self.take(p[u], q[v])
 
+    def compare_ball(self, same: bool) -> None:
+        inside = self.core == self.leaf
+        a, b = np.flatnonzero(self.side == 0), np.flatnonzero(self.side == 1)
+        core, shell = a[inside[a]], a[~inside[a]]
+        for p, q, half in [(core, core, True), (core, shell, False)] if same else [(core, b, False), (shell, b[inside[b]], False)]:
+            for i in range(0, len(p), TILE):
+                for j in range(i if half else 0, len(q), TILE):
+                    self.take_block(p[i : i + TILE], q[j : j + TILE], half and i == j)
+
+    def take_block(self, p: np.ndarray, q: np.ndarray, half: bool) -> None:
+        link = self.x[p] @ self.x[q].T >= self.threshold
+        if half:
+            link = np.triu(link, 1)
+        # a pair with two cores meets in both balls: it counts in the smaller one
+        own = np.where(self.core < 0, np.iinfo(np.int64).max, self.core)
+        link &= (own[p] >= self.leaf)[:, None] & (own[q] >= self.leaf)[None, :]
+        some = link.astype(np.float64)
+        self.links[p] += (some @ self.copies[q]).astype(np.int64)
+        self.links[q] += (self.copies[p] @ some).astype(np.int64)
+        while True:
+            root = np.array([self.root(x) for x in p.tolist()]), np.array([self.root(y) for y in q.tolist()])
+            link &= root[0][:, None] != root[1][None, :]
+            rows = np.flatnonzero(link.any(axis=1))
+            if not len(rows):
+                return
+            for x, y in zip(p[rows].tolist(), q[link[rows].argmax(axis=1)].tolist(), strict=True):
+                self.unite(x, y)
+
+    def unite(self, x: int, y: int) -> None:
+        r, s = self.root(x), self.root(y)
+        if r != s:
+            self.parent[max(r, s)] = min(r, s)
+            self.edges.append((x, y))
+
     def take(self, u: np.ndarray, v: np.ndarray) -> None:
         keep = np.ones(len(u), bool)
         for t in range(self.tree + 1):  # those that met in an earlier tree, or in an earlier leaf of this one
@@ -130,16 +207,13 @@ class Tile:
         np.add.at(self.links, u, self.copies[v])
         np.add.at(self.links, v, self.copies[u])
         for x, y in zip(u.tolist(), v.tolist(), strict=True):
-            r, s = self.root(x), self.root(y)
-            if r != s:
-                self.parent[max(r, s)] = min(r, s)
-                self.edges.append((x, y))
+            self.unite(x, y)
 
 
 def link(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, sample: int = SAMPLE, spill: float = SPILL, part: int = 2 * TILE) -> DataFrame:
     """vec_id, n_links, component_id of every row of vectors (vec_id, embedding).
 
-    part: a leaf of more vectors is dealt to tasks as pairs of parts of about this size.
+    part: a leaf of more vectors is dealt to tasks as pairs of parts of about this size, a ball as pairs of 8 times it.
     """
     made = common.cut(common.arrow_map(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>")).where("vec_id is not null"), _vectors, VECTORS), "rp-vectors")
     good = made.where("x is not null")
@@ -148,36 +222,44 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, s
     for d, n in sorted((r.dim, r["count"]) for r in classes.groupBy("dim").count().collect()):
         rows = classes.where(F.col("dim") == d).select("rep", "x").orderBy(F.xxhash64("rep"), "rep").limit(sample).collect()
         x = np.array([np.frombuffer(r.x, np.float64) for r in rows])
-        forests[d] = [grow(x, max(8, len(x) * TILE // n), spill, 7919 * (t + 1)) for t in range(trees)]
-    shipped = vectors.sparkSession.sparkContext.broadcast(forests)  # bounded by trees x sample / 8 nodes
+        leaf = max(8, len(x) * TILE // n)
+        middle, left = centres(x, leaf // 2, threshold)
+        forests[d] = middle, [grow(x[left], leaf, spill, 7919 * (t + 1)) for t in range(trees)]
+    shipped = vectors.sparkSession.sparkContext.broadcast(forests)  # bounded by sample / 4 centres and trees x sample / 8 nodes
 
     def routed(batch: pa.RecordBatch) -> pa.RecordBatch:
         dim = batch.column(3).to_numpy()
-        leaves = [[[] for _ in range(trees)] for _ in range(len(dim))]
+        leaves, core, near = [[[] for _ in range(trees)] for _ in range(len(dim))], np.full(len(dim), -1), [[] for _ in range(len(dim))]
         for d in np.unique(dim):
             own = np.flatnonzero(dim == d)
             x = np.array([np.frombuffer(batch.column(2)[int(i)].as_buffer(), np.float64) for i in own])
-            for t, tree in enumerate(shipped.value[int(d)]):
-                for r, k in zip(*route(tree, x), strict=True):
-                    leaves[own[r]][t].append(int(k))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(3), pa.array(leaves, pa.list_(pa.list_(pa.int64())))], ["rep", "copies", "x", "dim", "leaves"])
-
-    dealt = common.cut(common.arrow_map(classes, routed, "rep long, copies long, x binary, dim int, leaves array<array<bigint>>"), "rp-routed")
+            middle, forest = shipped.value[int(d)]
+            core[own], of = balls(x, middle, threshold)
+            for r, k in enumerate(of):
+                near[own[r]] = k.tolist()
+            out = np.flatnonzero(core[own] < 0)
+            for t, tree in enumerate(forest):
+                for r, k in zip(*route(tree, x[out]), strict=True):
+                    leaves[own[out[r]]][t].append(int(k))
+        return pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(leaves, pa.list_(pa.list_(pa.int64()))), pa.array(near, pa.list_(pa.int64())), pa.array(core, pa.int64())], ["rep", "copies", "x", "dim", "leaves", "near", "core"])
+
+    dealt = common.cut(common.arrow_map(classes, routed, "rep long, copies long, x binary, dim int, leaves array<array<bigint>>, near array<bigint>, core long"), "rp-routed")
     at = dealt.select("rep", "dim", F.posexplode("leaves").alias("tree", "own")).select("rep", "dim", "tree", F.explode("own").alias("leaf"))
-    size = at.groupBy("dim", "tree", "leaf").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    at = at.union(dealt.select("rep", "dim", F.lit(-1), F.explode("near")))
+    size = at.groupBy("dim", "tree", "leaf").agg(F.ceil(F.count("*") / F.when(F.col("tree") < 0, 8 * part).otherwise(part)).cast("int").alias("parts"))
     at = at.join(size, ["dim", "tree", "leaf"]).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     at = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "rep", "tree", "leaf", F.concat_ws(":", "dim", "tree", "leaf", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), (F.col("mine") > F.col("other")).cast("int").alias("side")
     )
-    rows = at.join(dealt.select("rep", "copies", "x", "leaves"), "rep").select("key", "tree", "leaf", "rep", "copies", "x", "leaves", "side")
+    rows = at.join(dealt.select("rep", "copies", "x", "leaves", "core"), "rep").select("key", "tree", "leaf", "rep", "copies", "x", F.when(F.col("tree") >= 0, F.col("leaves")).alias("leaves"), "side", "core")
 
     def compare(batches):
         key, own = None, []
 
         def done():
-            b = Tile(own[0][5], own[0][6], [r[:5] for r in own], threshold)
-            _, _, _, i, j = key.split(":")
-            b.compare(i == j)
+            b = Tile(own[0][6], own[0][7], [r[:6] for r in own], threshold)
+            _, tree, _, i, j = key.split(":")
+            (b.compare_ball if tree == "-1" else b.compare)(i == j)
             linked = np.flatnonzero(b.links)
             a = [*(int(b.ids[u]) for u, _ in b.edges), *b.ids[linked].tolist()]
             z = [*(int(b.ids[v]) for _, v in b.edges), *[None] * len(linked)]
@@ -190,7 +272,7 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, s
                     if own and (out := done()):
                         yield out
                     key, own = r["key"], []
-                own.append((r["rep"], r["copies"], r["x"], r["leaves"], r["side"], r["tree"], r["leaf"]))
+                own.append((r["rep"], r["copies"], r["x"], r["leaves"], r["side"], r["core"], r["tree"], r["leaf"]))
         if own and (out := done()):
             yield out
 

@@ -263,6 +263,18 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.link(df.where("false")).count() == 0
 
 
+def test_embedding_dedup_of_a_dense_group_larger_than_a_leaf(spark):
+    g = np.random.Generator(np.random.PCG64(5))
+    x = np.concatenate([g.standard_normal(64) + 0.32 * g.standard_normal((2500, 64)), g.standard_normal(64) + 0.4 * g.standard_normal((1300, 64)), g.standard_normal((400, 64))])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for part in (100, 2048):
+        got = {r.vec_id: r.n_links for r in embedding_dedup.link(df, part=part).collect()}
+        assert [got[k] for k in range(2500)] == near.sum(1)[:2500].tolist() and sum(got.values()) >= 0.999 * near.sum()
+
+
 # decontamination
 
 
