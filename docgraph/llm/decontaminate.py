@@ -1,11 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: pairs of words as seeds, counted, then Smith-Waterman alignment of words.
 
-Words are runs of ASCII letters, digits and non-ASCII bytes, A-Z lower-cased. Of each test item the rarer half of
-its three-word sequences in the corpus (by documents that have them; four at least, ties by hash) are its seeds. A seed
-in a document opens a window around the place where the item would lie; windows of one item that overlap are one.
-The item is aligned locally with each window: 2 for an equal word, -1 for another one, -1 for one left out. The score
-is divided by that of the whole item, so edited, shortened and reordered-by-a-few copies still score; a document holds
-an item from `threshold` on, if at least `least` words are equal.
+Words are runs of ASCII letters, digits and non-ASCII bytes, A-Z lower-cased. An item is aligned locally: 2 for an equal
+word, -1 for another one, -1 for one left out. The score is divided by that of the whole item, so edited, shortened and
+reordered-by-a-few copies still score; a document holds an item from `threshold` on, if at least `least` words are equal.
+
+No alignment that scores is missed. Its equal words are at most 2 apart, in item and document, at k places at least, where
+k is threshold * words of the item - 1: were fewer so near, the words between would cost more. So pairs of words that are 1 or
+2 apart, in that order, are the seeds. Of each item the k / 2 places whose pairs stand in most items are left out, and a window
+opens where the other k / 2 seeds are met within the length that an alignment can have; it reaches as far to both
+sides. Windows of one item that overlap are one, and are aligned whole.
 
 Items are shipped to the executors in blocks of bounded size, every block against all documents; nothing else is
 collected. Null and empty texts hold nothing; items with fewer words than `least` (or null) can't be found. Items and
@@ -22,46 +25,47 @@ from pyspark.sql import functions as F
 
 from . import common, kernels
 
-GRAM, LEAST, THRESHOLD, BLOCK = 3, 8, 0.4, 8 << 20
+LEAST, THRESHOLD, BLOCK = 8, 0.4, 8 << 20
 U64 = np.uint64
 
 
+def _pairs(w: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of two words of a text that are 1 or 2 apart, and the place of the first in w."""
+    end, at = np.repeat(np.cumsum(count), count), np.arange(len(w))
+    first = [np.flatnonzero(at + d < end) for d in (1, 2)]
+    made = [kernels.mix(w[j] * U64(0xD6E8FEB86659FD93) + w[j + d] * U64(0xA0761D6478BD642F)) for d, j in zip((1, 2), first, strict=True)]
+    return np.concatenate(made), np.concatenate(first)
+
+
 class Items:
-    """A block of test items: their words, and their grams as sorted hashes with a bit table in front."""
+    """A block of test items: their words, and their seeds as sorted hashes with a bit table in front."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self, rows: list[tuple[int, str]], threshold: float = THRESHOLD):
         w, _, _, count = kernels.words(*kernels.packed(pa.array([t for _, t in rows], pa.string())), space=kernels.SIGNS)
         at = np.concatenate([[0], np.cumsum(count)])
         keep = [k for k in range(len(rows)) if count[k] >= LEAST]
         self.ids = [rows[k][0] for k in keep]
         self.words = [w[at[k] : at[k + 1]] for k in keep]
-        each = [kernels.shingles(x, np.array([len(x)]), GRAM)[0] for x in self.words]
-        self.gram = np.concatenate(each) if each else np.zeros(0, U64)
-        self.item = np.repeat(np.arange(len(each)), [len(x) for x in each])
-        self.place = np.concatenate([np.arange(len(x)) for x in each]) if each else np.zeros(0, np.int64)
-        self.index()
-
-    def index(self) -> None:
-        order = np.argsort(self.gram, kind="stable")
-        self.gram, self.item, self.place = self.gram[order], self.item[order], self.place[order]
+        size = np.array([len(x) for x in self.words], np.int64)
+        k = np.maximum(1, np.ceil(threshold * size - 1 - 1e-9)).astype(np.int64)
+        self.need = k - k // 2
+        self.span = np.ceil(size + 2 * size * max(0, 1 - threshold)).astype(np.int64)  # equal words, and as many others as the score allows
+        w = np.concatenate(self.words) if len(size) else np.zeros(0, U64)
+        gram, place = _pairs(w, size)
+        item = np.repeat(np.arange(len(size)), size)
+        once = np.unique(np.stack([gram, item[place].astype(U64)]), axis=1)[0]  # a pair once for each item
+        unique, shared = np.unique(once, return_counts=True)
+        common = np.zeros(len(w), np.int64)
+        np.maximum.at(common, place, shared[np.searchsorted(unique, gram)])
+        order = np.lexsort((-common, item))
+        left = np.ones(len(w), bool)
+        left[order] = np.arange(len(w)) - np.repeat(np.cumsum(size) - size, size) >= np.repeat(k // 2, size)
+        both = np.unique(np.stack([gram, item[place].astype(U64)])[:, left[place]], axis=1)
+        self.gram, self.item = both[0], both[1].astype(np.int64)
         self.unique = np.unique(self.gram)
         self.front = np.zeros(1 << 20, bool)
         self.front[(self.unique >> U64(44)).astype(np.int64)] = True
 
-    def only_rare(self, df: dict[int, int]) -> Items:
-        """Keeps of each item the rarer half of its different grams, four at least."""
-        n = np.array([df.get(int(g), 0) for g in self.gram], np.int64)
-        keep = np.zeros(len(n), bool)
-        for k in range(len(self.ids)):
-            own = np.flatnonzero(self.item == k)
-            own = own[np.lexsort((self.gram[own], n[own]))]
-            different = np.unique(self.gram[own])
-            least = self.gram[own][: max(4, (len(own) + 1) // 2)] if len(different) > 4 else different
-            keep[own[np.isin(self.gram[own], least)]] = True
-        self.gram, self.item, self.place = self.gram[keep], self.item[keep], self.place[keep]
-        self.index()
-        return self
-
     def hits(self, grams: np.ndarray) -> np.ndarray:
         """Places in grams where one of ours stands."""
         at = np.flatnonzero(self.front[(grams >> U64(44)).astype(np.int64)])
@@ -71,15 +75,6 @@ class Items:
         return at[self.unique[k] == grams[at]]
 
 
-def _grams(column: pa.Array):
-    """Words, their places and number, grams and their texts and word numbers."""
-    buf, off = kernels.packed(column)
-    w, s, e, count = kernels.words(buf, off, space=kernels.SIGNS)
-    run, each = kernels.shingles(w, count, GRAM)
-    text = np.repeat(np.arange(len(count)), each)
-    return w, s - np.repeat(off[:-1], count), e - np.repeat(off[:-1], count), np.concatenate([[0], np.cumsum(count)]), run, text, np.arange(len(run)) - np.repeat(np.cumsum(each) - each, each)
-
-
 def align(item: np.ndarray, windows: list[np.ndarray]) -> list[tuple[int, int, int]]:
     """Smith-Waterman of an item with each window: (score, first word, end word) of the best alignment, the first of equals."""
     width = max(len(x) for x in windows)
@@ -109,44 +104,31 @@ def align(item: np.ndarray, windows: list[np.ndarray]) -> list[tuple[int, int, i
     return [(int(b // far), int(width - b % far) if b else 0, int(e)) for b, e in zip(best, end, strict=True)]
 
 
-def frequency(docs: DataFrame, items: Items) -> dict[int, int]:
-    """Of each gram of the items, the number of documents that have it. Bounded by the block of items."""
-
-    def count(batches):
-        total = np.zeros(len(items.unique), np.int64)
-        for batch in batches:
-            for part in common.by_bytes(batch, "text"):
-                *_, run, text, _ = _grams(part.column(0))
-                at = items.hits(run)
-                pairs = np.unique(text[at] * len(items.unique) + np.searchsorted(items.unique, run[at])) if len(at) else at
-                total += np.bincount(pairs % max(1, len(items.unique)), minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(items.unique[some].view(np.int64)), pa.array(total[some])], ["gram", "n"])
-
-    got = docs.select(F.col("text").cast("string")).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    return {r.gram & (1 << 64) - 1: r.n for r in got}
-
-
 FOUND = "doc_id long, item_id long, score double, equal_words long, first_byte long, end_byte long"
 
 
 def matches(docs: DataFrame, items: Items, threshold: float, least: int = LEAST) -> DataFrame:
     def run(part: pa.RecordBatch) -> pa.RecordBatch | None:
-        w, s, e, at, grams, text, number = _grams(part.column(1))
+        buf, off = kernels.packed(part.column(1))
+        w, s, e, count = kernels.words(buf, off, space=kernels.SIGNS)
+        s, e, at = s - np.repeat(off[:-1], count), e - np.repeat(off[:-1], count), np.concatenate([[0], np.cumsum(count)])
+        grams, place = _pairs(w, count)
         hit = items.hits(grams)
         if not len(hit):
             return None
         lo, hi = np.searchsorted(items.gram, grams[hit], "left"), np.searchsorted(items.gram, grams[hit], "right")
         k = np.repeat(np.arange(len(hit)), hi - lo)
         g = np.arange(len(k)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
-        doc, item = text[hit[k]], items.item[g]
-        begin = number[hit[k]] - items.place[g]
-        size = np.array([len(x) for x in items.words])[item]
-        pad = np.maximum(8, size // 3)
-        first, last = np.maximum(begin - pad, 0), begin + size + pad
-        order = np.lexsort((first, doc, item))
+        item, place = np.divmod(np.unique(items.item[g] * len(w) + place[hit[k]]), len(w))
+        doc = np.searchsorted(at, place, "right") - 1
+        to = np.arange(len(place)) + items.need[item] - 1
+        there = to < len(place)
+        to = np.minimum(to, len(place) - 1)
+        met = np.flatnonzero(there & (item[to] == item) & (doc[to] == doc) & (place[to] - place <= items.span[item]))
+        doc, item, place = doc[met], item[met], place[met] - at[doc[met]]
+        first, last = np.maximum(place - items.span[item], 0), place + items.span[item] + 1
         windows: dict[int, list[tuple[int, int, int]]] = {}
-        for d, i, a, z in zip(doc[order].tolist(), item[order].tolist(), first[order].tolist(), last[order].tolist(), strict=True):
+        for d, i, a, z in zip(doc.tolist(), item.tolist(), first.tolist(), last.tolist(), strict=True):
             own = windows.setdefault(i, [])
             if own and own[-1][0] == d and a < own[-1][2]:
                 own[-1] = d, own[-1][1], max(z, own[-1][2])
@@ -184,8 +166,8 @@ def find(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, bl
     out = None
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
-        own = Items([(r.item_id, r.text) for r in rows])
-        found = matches(docs, own.only_rare(frequency(docs, own)), threshold)
+        own = Items([(r.item_id, r.text) for r in rows], threshold)
+        found = matches(docs, own, threshold)
         out = found if out is None else out.union(found)
     return out
 

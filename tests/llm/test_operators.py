@@ -292,6 +292,27 @@ def test_decontamination(spark):
     assert decontaminate.find(empty(spark), tests).count() == 0 and decontaminate.find(docs, tests.where("false")).count() == 0
 
 
+def test_decontamination_finds_what_a_full_alignment_finds(spark):
+    items = [" ".join(R.choice(["the", "of", "a", f"k{R.randint(0, 400)}"]) for _ in range(R.randint(16, 40))) for _ in range(25)]
+    texts = [f"{prose(40)} {i} {prose(40)}" for i in items[:5]]  # exact copies, so that no gram of these is rare
+    for i in items:
+        for share in (0.2, 0.25, 0.3, 0.35, 0.4):
+            kept = [R.choice([f"e{R.randint(0, 999)}", "", f"{x} more"]) if R.random() < share else x for x in i.split()]
+            texts.append(f"{prose(30)} {' '.join(kept)} {prose(30)}")
+        texts.append(" ".join(x if k % 3 else f"e{k}" for k, x in enumerate(i.split())))
+        texts.append(" zz ".join(i.split()))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    number = {}
+    words = lambda t: np.array([number.setdefault(x, len(number)) for x in re.findall(r"[0-9a-z\x80-\U0010ffff]+", t.lower())], np.uint64)
+    want = set()
+    for k, i in enumerate(map(words, items)):
+        for d, (score, _, _) in enumerate(decontaminate.align(i, [words(t) for t in texts])):
+            if score >= 0.4 * 2 * len(i) and -(-score // 2) >= 8:
+                want.add((d, k))
+    assert got == want and len(want) > 100
+
+
 def test_alignment_is_smith_waterman():
     def plain(a, b):
         h, top = [[0] * (len(b) + 1) for _ in range(len(a) + 1)], 0
