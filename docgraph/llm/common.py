@@ -23,8 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/docgraph-shared").rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary folder in local mode
+    (tests) and an error on a cluster, whose machines share none."""
+    if at := spark.conf.get("spark.checkpoint.dir", None):
+        return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{tempfile.gettempdir()}/docgraph-shared"
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -83,26 +88,55 @@ def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None
     return df.mapInArrow(run, schema)
 
 
+#: Parts to which the rows of one key are dealt where they are joined.
+PARTS = 32
+
+
+def _salted(df: DataFrame, by: str) -> DataFrame:
+    return df.withColumn("_part", F.pmod(F.xxhash64(by), F.lit(PARTS)).cast("int"))
+
+
+def _mask():
+    """The parts that have rows, as bits of a long."""
+    return F.expr("bit_or(shiftleft(1L, _part))").alias("_parts")
+
+
+def _each():
+    """A row for each of these parts."""
+    return F.expr(f"explode(filter(sequence(0, {PARTS - 1}), i -> (shiftright(_parts, i) & 1L) = 1L))").alias("_part")
+
+
+def join_hot(rows: DataFrame, per_key: DataFrame, keys: list[str], by: str, how: str = "inner") -> DataFrame:
+    """rows joined with per_key on keys, where one key may have any share of the rows.
+
+    They are dealt by the column `by` to PARTS parts; what per_key has for a key is sent to the parts that have rows of it.
+    """
+    own = _salted(rows, by)
+    there = own.groupBy(*keys).agg(_mask())
+    sent = per_key.join(there, keys).select(*per_key.columns, _each())
+    return own.join(sent, [*keys, "_part"], how).drop("_part")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", what: str = "cc") -> DataFrame:
     """Connected components of undirected edges: (node, component = smallest reachable node).
 
     Alternating large-star and small-star rounds; every round is cut to the shared folder. Edges only
-    shrink in number, a hub is split by aggregation before it is shuffled, nothing comes to the driver
-    but two counts. Nodes without edges are not returned; loops and nulls are ignored.
+    shrink in number, the edges of a hub are dealt to parts, nothing comes to the driver but a
+    signature of each round. Nodes without edges are not returned; loops and nulls are ignored.
     """
     spark = edges.sparkSession
     e = edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u is not null and v is not null and u <> v").distinct()
     e = cut(e, what)
     last = None
     while True:
-        both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        both = _salted(e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))), "v")
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), _mask())
         # large star: neighbours above u go to the smallest neighbour of u
-        large = e.join(low, "u").select(F.col("m").alias("u"), "v").where("u <> v")
+        large = _salted(e, "v").join(low.select("u", "m", _each()), ["u", "_part"]).select(F.col("m").alias("u"), "v").where("u <> v")
         # small star: u and its smaller neighbours go to the smallest of them
         large = large.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).union(low.where("m <> u").select(F.col("m").alias("u"), F.col("u").alias("v"))).distinct()
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(least, "v").select(F.col("m").alias("u"), F.col("u").alias("v")).where("u <> v").union(least.select(F.col("m").alias("u"), F.col("v"))).distinct()
+        least = _salted(large, "u").groupBy("v").agg(F.min("u").alias("m"), _mask())
+        small = _salted(large, "u").join(least.select("v", "m", _each()), ["v", "_part"]).select(F.col("m").alias("u"), F.col("u").alias("v")).where("u <> v").union(least.select(F.col("m").alias("u"), F.col("v"))).distinct()
         new = cut(small, what)
         sign = tuple(new.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % 1000003)).first())
         forget(spark, e)
@@ -111,3 +145,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", what: str = "cc") -
             break
         last = sign
     return e.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("component")).union(e.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())
+
+
+def named(nodes: DataFrame, group: DataFrame, node: str, name: str) -> DataFrame:
+    """nodes with `_least`, the smallest `name` of all nodes of their component.
+
+    nodes: a row for each node; group: (node, component) of components(), without lone nodes.
+    """
+    of = nodes.join(group.select(F.col("node").alias(node), "component"), node, "left").withColumn("_of", F.coalesce("component", node))
+    return join_hot(of, of.groupBy("_of").agg(F.min(name).alias("_least")), ["_of"], node).drop("_of", "component")

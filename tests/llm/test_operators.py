@@ -50,6 +50,7 @@ def word_sets(text):
 
 
 def joined(rows):
+    """Brute force over all pairs of (doc_id, text)."""
     s = [word_sets(t) for _, t in rows]
     parent, n = list(range(len(s))), [0] * len(s)
 
@@ -66,25 +67,63 @@ def joined(rows):
                 n[j] += 1
     low = {}
     for i, (d, _) in enumerate(rows):
-        low[root(i)] = min(low.get(root(i), d), d)
-    return sorted((d, len(s[i]), n[i], low[root(i)]) for i, (d, _) in enumerate(rows))
+        low[root(i)] = least(low.get(root(i)), d)
+    return sorted(((d, len(s[i]), n[i], low[root(i)]) for i, (d, _) in enumerate(rows)), key=lambda r: (r[0] is None, r))
 
 
-@pytest.mark.parametrize("tile", [2, 128])
-def test_ngram_join(spark, tile):
-    docs, rows = hostile(spark)
-    assert sorted(tuple(r) for r in ngram_join.join(docs, tile).collect()) == joined(rows)
+def least(a, b):
+    return b if a is None else a if b is None else min(a, b)
+
+
+@pytest.mark.parametrize("tile, sent", [(2, 3), (128, 512)])
+def test_ngram_join(spark, tile, sent):
+    docs, _ = hostile(spark)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = ngram_join.join(docs, tile, sent).select("doc_id", "n_shingles", "n_links", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(joined(rows), key=str)
     assert ngram_join.join(empty(spark)).count() == 0
 
 
+def test_ngram_join_one_id_of_two_texts(spark):
+    rows = [(1, BASE), (1, LONG), (2, BASE + " tail"), (3, LONG + " end"), (None, BASE), (None, "of a kind of its own here"), (None, "of a kind of its own here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = ngram_join.join(docs).orderBy("rid").collect()
+    assert [(r.doc_id, r.n_links, r.component_id) for r in got] == [(1, 2, 1), (1, 1, 1), (2, 2, 1), (3, 1, 1), (None, 2, 1), (None, 1, None), (None, 1, None)]
+    kept = ngram_join.first_of_each(docs.withColumn("rid", F.lit(1)).withColumn("RID0", F.lit(2))).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("1", BASE), ("1", LONG), ("None", rows[-1][1])])
+
+
+@pytest.mark.parametrize("tile", [3, 128])
+def test_ngram_join_common_passage(spark, tile):
+    """One passage in every document, most of many; groups of near copies beside each other."""
+    passage = " ".join(f"stock{k}" for k in range(40))
+    rows = []
+    for g in range(12):
+        body = [f"g{g}w{k}" for k in range(60 if g % 3 else 6)]
+        for c in range(R.randint(1, 7)):
+            own = list(body)
+            own[R.randrange(len(own))] = f"edit{c}"
+            rows.append((len(rows), passage + " " + " ".join(own)))
+    rows += [(len(rows) + k, passage) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in ngram_join.join(docs, tile, 4).select("doc_id", "n_shingles", "n_links", "component_id").collect()) == joined(rows)
+
+
 def test_divide_skip():
     for _ in range(300):
         n = R.randint(1, 30)
-        lists = [np.array(sorted(R.sample(range(n), R.randint(1, n)))) for _ in range(R.randint(1, 25))]
+        lists = [sorted(R.sample(range(n), R.randint(1, n))) for _ in range(R.randint(1, 25))]
         least = np.array([R.randint(1, 12) for _ in range(n)])
         count = np.bincount(np.concatenate(lists), minlength=n)
-        ids, total = ngram_join.divide_skip(lists, least, int(least.min()), n)
-        assert ids.tolist() == np.flatnonzero(count >= least).tolist() and total.tolist() == count[ids].tolist()
+        ids, total = ngram_join.divide_skip(lists, least, int(least.min()))
+        order = np.argsort(ids)
+        assert ids[order].tolist() == np.flatnonzero(count >= least).tolist() and total[order].tolist() == count[ids[order]].tolist()
+
+
+def test_components_of_a_star(spark):
+    edges = [(0, k) for k in range(1, 300)] + [(900, k) for k in range(500, 900)] + [(1000, 1001), (1001, 1002), (5, 5)]
+    got = dict(map(tuple, common.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {**dict.fromkeys(range(300), 0), **dict.fromkeys(range(500, 901), 500), 1000: 1000, 1001: 1000, 1002: 1000}
 
 
 # personal data
