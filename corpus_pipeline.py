@@ -1,13 +1,15 @@
 """A training-data pipeline over `documents`: each stage calls one operator of docgraph.llm on what the one before kept.
 
 toxicity             documents that score as toxic go
-ngram_join           of each group of near-duplicates the document of smallest doc_id stays (rows without doc_id go)
+ngram_join           of each group of near-duplicates the document of smallest doc_id stays; rows are told apart by their
+                     place, so texts that share a doc_id, or have none, are documents of their own
 decontamination      documents that hold a test item go
 pii                  personal data in texts is replaced by marks; n_chars follows
 sentencepiece        the texts' ids, their number and whether they decode to the text
 
-All stages but the last return the columns of `documents`. A repeated row is a near-duplicate of itself: one stays.
-Null and empty texts pass every stage.
+All stages but the last return the columns of `documents`, and further ones of any name that the table has. A repeated
+row is a near-duplicate of itself: one stays. Of ties in doc_id the first row stays. Null and empty texts pass every
+stage, very long ones are read whole, and an empty table gives no rows.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_join.join(docs.select("doc_id", "text"))
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return ngram_join.first_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
