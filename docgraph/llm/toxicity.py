@@ -1,17 +1,27 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Lexical transducers map tokens to symbols (insult, threat, target, negation, reported speech); a clause
-grammar over these symbols is composed with them and emits one label for each matched clause. A document's
-score is a logistic function of its clause labels, so matched clauses count and isolated words do not: a
-negated or reported insult has its own label and its own learned weight.
-
-Insults are learned: words, and stems that take many endings, whose document frequency in labelled toxic
-rows stands out. The rows to learn from are at most `sample` labelled rows, those of the smallest hash of
-doc_id; of near copies among them one counts. Both the lexicon and the weights come from them. Without labelled rows of both kinds the lexicon
-is empty and every score is the share of toxic labels (0 without any).
-
-Null and empty texts have no clause and get the score of a document without matches. Repeated rows are
-scored alike. Other columns are never read.
+Five lexical transducers (insult, threat, target, negation, reported speech) turn tokens into symbols; each passes on what it
+does not know. They are composed, and the result is composed with transducers over symbols that look at order and scope:
+
+    negation    an insult or threat within SCOPE tokens behind a negation is a negated one
+    reporting   an insult or threat behind a verb of saying, to the end of the clause, is a reported one
+    target      an insult or threat within SCOPE tokens behind a target is aimed at it
+    clause      the strongest insult and threat of a clause; one that a target follows within SCOPE tokens is aimed at it,
+                one that a verb of saying follows is reported; at the end of the clause its labels are emitted
+
+Arcs have weights: those of the insult transducer are the log-odds of the words (a threat has 1), those that close a clause the learned
+weights of its labels. A document's score is a logistic function of its labels, each counted by the logarithm of the weights
+of its clauses, so matched clauses count and isolated words do not.
+
+Insults are learned: words, and stems that take many endings, which stand in labelled toxic rows so much more often than in
+clean ones that no chance explains it, however few the rows (choose()). The rows to learn from are at most `sample` labelled
+rows, those of the smallest hash of doc_id; all of them if there are fewer. Of rows that are copies by all of SIGNS
+min-hashes of their three-word shingles, and have the same label, one counts. Both the lexicon and the weights come from
+them. Without labelled rows of both kinds the lexicon is empty and every score is the share of toxic labels (0 without any).
+
+Null and empty texts have no clause and get the score of a document without matches. Very long texts are walked once; clauses
+without insult or threat are skipped. Rows with a null doc_id are scored but never learned from. Repeated rows, and ties of
+any kind, are scored alike. An empty table gives no rows. Other columns, of whatever name, are never read.
 """
 
 from __future__ import annotations
@@ -23,11 +33,10 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, kernels
 
 SAMPLE = 20_000
 THRESHOLD = 0.3
@@ -36,76 +45,140 @@ THREATS = {"kill", "hurt", "destroy", "beat", "shoot", "stab", "burn", "töten",
 TARGETS = {"you", "your", "he", "she", "they", "him", "her", "them", "this", "that", "these", "those", "du", "sie", "er", "ihr", "tu", "vous", "il", "elle", "ils", "usted", "tú", "él", "ella", "ellos"}
 NEGATIONS = {"not", "never", "no", "isn't", "aren't", "wasn't", "nicht", "kein", "keine", "nie", "ne", "pas", "jamais", "nunca", "tampoco"}
 REPORTS = {"said", "says", "quoted", "quote", "wrote", "reported", "called", "sagte", "schrieb", "dit", "écrit", "dijo", "escribió"}
-LABELS = ["insult", "insult_target", "insult_negated", "insult_reported", "threat_target", "threat_negated", "threat_reported"]
+#: Labels of clauses, and what a label weighs before any row is seen.
+LABELS = {"insult": 1.0, "insult_target": 1.5, "insult_negated": 0.0, "insult_reported": 0.0, "threat": 0.0, "threat_target": 1.0, "threat_negated": 0.0, "threat_reported": 0.0}
 CLAUSE_END = re.compile(r"[.!?;\n]")
 TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
-STEMS = (4, 5, 6)
+STEMS, SCOPE, SIGNS = (4, 5, 6, 7), 4, 6
+#: How much more frequent an insult is in toxic rows than in clean ones, at least.
+RATIO = 8.0
+#: Symbols: insult I, threat H, target T, negation N, report R, the end of a clause ".", any other token "-"; a letter behind
+#: I or H says how it was met.
+PLAIN = ["I", "H", "T", "N", "R", ".", "-"]
+HOW = {"n": "negated", "r": "reported", "t": "target", "": ""}
+SYMBOLS = [*PLAIN, *(c + h for c in "IH" for h in "nrt")]
+
+Arcs = dict[tuple, tuple]
 
 
 class Transducer:
-    """Arcs (state, symbol) -> (state, output, weight); '*' stands for any other symbol, which keeps the state."""
+    """Arcs (state, symbol) -> (state, output, weight) over SYMBOLS."""
+
+    def __init__(self, start, arcs: Arcs):
+        self.start, self.arcs = start, arcs
+
+
+def transducer(start, step) -> Transducer:
+    """All arcs that step(state, symbol) has from the start on."""
+    arcs, open_ = {}, [start]
+    seen = {start}
+    while open_:
+        state = open_.pop()
+        for symbol in SYMBOLS:
+            arcs[state, symbol] = to, _, _ = step(state, symbol)
+            if to not in seen:
+                seen.add(to)
+                open_.append(to)
+    return Transducer(start, arcs)
+
+
+def composed(first: Transducer, second: Transducer) -> Transducer:
+    """The transducer whose second part reads what the first one writes; weights add up."""
+
+    def step(state, symbol):
+        p, out, x = first.arcs[state[0], symbol]
+        q, out, y = second.arcs[state[1], out]
+        return (p, q), out, x + y
+
+    return transducer((first.start, second.start), step)
+
+
+def negation(scope: int = SCOPE) -> Transducer:
+    def step(left, symbol):
+        if symbol == ".":
+            return 0, symbol, 0.0
+        out = symbol + "n" if symbol in ("I", "H") and left else symbol
+        return scope if symbol == "N" else max(0, left - 1), out, 0.0
 
-    def __init__(self, arcs: dict[tuple[str, str], tuple[str, str, float]], start: str = ""):
-        self.arcs, self.start = arcs, start
+    return transducer(0, step)
 
-    def step(self, state: str, symbol: str) -> tuple[str, str, float]:
-        return self.arcs.get((state, symbol)) or self.arcs.get((state, "*")) or (state, symbol, 0.0)
 
+def reporting() -> Transducer:
+    def step(said, symbol):
+        out = symbol + "r" if symbol in ("I", "H") and said else symbol
+        return symbol == "R" or said and symbol != ".", out, 0.0
 
-def lexical(lexicon: dict[str, float], stems: dict[str, float]) -> Transducer:
-    """Token -> class symbol: I insult, H threat, T target, N negation, R report, '-' other."""
-    arcs = {("", w): ("", c, 0.0) for c, ws in (("T", TARGETS), ("N", NEGATIONS), ("R", REPORTS), ("H", THREATS)) for w in ws}
-    arcs |= {("", w): ("", "I", x) for w, x in lexicon.items()}
-    arcs["", "*"] = ("", "-", 0.0)
+    return transducer(False, step)
 
-    class Stemmed(Transducer):
-        def step(self, state, symbol):
-            if (got := self.arcs.get(("", symbol))) is None:
-                for n in STEMS:
-                    if (x := stems.get(symbol[:n])) is not None and len(symbol) >= n:
-                        return "", "I", x
-                return self.arcs["", "*"]
-            return got
 
-    return Stemmed(arcs)
+def target(scope: int = SCOPE) -> Transducer:
+    def step(left, symbol):
+        if symbol == ".":
+            return 0, symbol, 0.0
+        out = symbol + "t" if symbol in ("I", "H") and left else symbol
+        return scope if symbol == "T" else max(0, left - 1), out, 0.0
 
+    return transducer(0, step)
 
-def grammar() -> Transducer:
-    """States are the sets of classes seen so far in the clause, written as sorted letters."""
-    letters, arcs = "HINRT", {}
-    subsets = ["".join(c for i, c in enumerate(letters) if m >> i & 1) for m in range(32)]
-    for s in subsets:
-        for c in letters:
-            arcs[s, c] = ("".join(sorted(set(s) | {c})), "", 0.0)
-        arcs[s, "*"] = (s, "", 0.0)
-    return Transducer(arcs)
 
+def clause(weights: dict[str, float], scope: int = SCOPE) -> Transducer:
+    """States (insult, threat, tokens for which a target may follow): how each was met, None if it was not. Writes labels."""
+    order = [None, "n", "r", "", "t"]
 
-def final(state: str) -> list[str]:
-    """The labels that the grammar emits at the end of a clause."""
-    out = []
-    if "I" in state:
-        out.append("insult_negated" if "N" in state else "insult_reported" if "R" in state else "insult_target" if "T" in state else "insult")
-    if "H" in state and "T" in state:
-        out.append("threat_negated" if "N" in state else "threat_reported" if "R" in state else "threat_target")
-    return out
+    def step(state, symbol):
+        insult, threat, left = state
+        if symbol == ".":
+            out = tuple(name + ("_" + HOW[h] if h else "") for name, h in (("insult", insult), ("threat", threat)) if h is not None)
+            return (None, None, 0), out, sum(weights[x] for x in out)
+        left = max(0, left - 1)
+        if symbol[0] in "IH":
+            how = symbol[1:]
+            if symbol[0] == "I":
+                insult = max(insult, how, key=order.index)
+            else:
+                threat = max(threat, how, key=order.index)
+            left = scope
+        elif symbol == "T" and left:
+            insult, threat = ("t" if h == "" else h for h in (insult, threat))
+        elif symbol == "R":
+            insult, threat = ("r" if h in ("", "t") else h for h in (insult, threat))
+        return (insult, threat, left), (), 0.0
+
+    return transducer((None, None, 0), step)
+
+
+class Lexicon:
+    """The composition of the five lexical transducers: token -> (symbol, weight)."""
+
+    def __init__(self, words: dict[str, float], stems: dict[str, float]):
+        self.words, self.stems = words, stems
+        self.known = {w: (c, float(c == "H")) for c, ws in (("H", THREATS), ("R", REPORTS), ("N", NEGATIONS), ("T", TARGETS)) for w in ws} | {w: ("I", x) for w, x in words.items()}
+
+    def read(self, token: str) -> tuple[str, float]:
+        if (got := self.known.get(token)) is None:
+            for n in STEMS:
+                if (x := self.stems.get(token[:n])) is not None and len(token) >= n:
+                    return "I", x
+            return "-", 0.0
+        return got
 
 
 class Scorer:
-    """The composition of the lexical transducer and the clause grammar, walked only over clauses with a trigger."""
+    """The composed grammar, walked only over clauses with a trigger."""
 
-    def __init__(self, lexicon: dict[str, float], stems: dict[str, float], weights: list[float] | None = None):
-        self.parts = lexicon, stems
-        self.first, self.second = lexical(lexicon, stems), grammar()
-        self.weights = weights
+    def __init__(self, words: dict[str, float], stems: dict[str, float], weights: list[float] | None = None):
+        self.parts, self.weights, self.lexicon = (words, stems), weights, Lexicon(words, stems)
+        grammar = composed(composed(composed(negation(), reporting()), target()), clause(dict(zip(LABELS, weights[1:] if weights else [0.0] * len(LABELS), strict=True))))
+        names = {s: k for k, s in enumerate({grammar.start: 0} | {s: 0 for s, _ in grammar.arcs})}
+        self.arcs = {(names[s], x): (names[to], out, w) for (s, x), (to, out, w) in grammar.arcs.items() if x in PLAIN}
         self.triggers = ahocorasick.Automaton()
-        for w in (*lexicon, *stems, *THREATS):
+        for w in (*words, *stems, *THREATS):
             self.triggers.add_word(w, len(w))
         if len(self.triggers):
             self.triggers.make_automaton()
 
     def features(self, text: str | None) -> list[float]:
-        """log(1 + weighted clauses) for each label."""
+        """log(1 + weights of the clauses) for each label."""
         out = dict.fromkeys(LABELS, 0.0)
         if text and len(self.triggers):
             low, done = text.lower(), 0
@@ -116,13 +189,13 @@ class Scorer:
                 begin = max(low.rfind(c, done, at) for c in ".!?;\n") + 1 or done
                 stop = CLAUSE_END.search(low, at)
                 done = stop.end() if stop else len(low)
-                state, weight = self.second.start, 0.0
+                state, weight = 0, 0.0
                 for token in TOKEN.finditer(low, begin, done):
-                    _, symbol, w = self.first.step("", token.group())
-                    state, _, w2 = self.second.step(state, symbol)
-                    weight += w + w2
-                for label in final(state):
-                    out[label] += max(weight, 1.0)
+                    symbol, w = self.lexicon.read(token.group())
+                    state = self.arcs[state, symbol][0]
+                    weight += w
+                for label in self.arcs[state, "."][1]:
+                    out[label] += weight
         return [math.log1p(out[x]) for x in LABELS]
 
     def score(self, text: str | None) -> float:
@@ -130,11 +203,20 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
-def choose(counts: list[tuple[str, int, int]], n1: int, n0: int, precision: float = 0.97) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and stems (marked by a final '*') whose share of toxic rows stands out, with log-odds capped to 1..3."""
-    least = max(3, math.ceil(0.012 * n1))
-    good = {f: (a, b) for f, a, b in counts if a >= least and a / max(n1, 1) >= precision / (1 - precision) * b / max(n0, 1)}
-    odds = lambda a, b: min(3.0, max(1.0, math.log10((a + 0.5) / n1 * n0 / (b + 0.5))))
+def stands_out(a: int, b: int, share: float, features: int) -> bool:
+    """Whether a of a + b rows being toxic is less likely than once in all features by chance (Chernoff's bound)."""
+    p = a / (a + b)
+    gain = p * math.log(p / share) + ((1 - p) * math.log((1 - p) / (1 - share)) if p < 1 else 0.0)
+    return p > share and (a + b) * gain >= math.log(features)
+
+
+def choose(counts: list[tuple[str, int, int]], n1: int, n0: int, features: int, ratio: float = RATIO) -> tuple[dict[str, float], dict[str, float]]:
+    """Words and stems (marked by a final '*') that stand out in toxic rows, with log-odds between 0.5 and 3.
+
+    They must be `ratio` times as frequent there as in clean rows, and not by chance among as many features as there are.
+    """
+    good = {f: (a, b) for f, a, b in counts if a / n1 >= ratio * b / n0 and stands_out(a, b, n1 / (n1 + n0), features)}
+    odds = lambda a, b: min(3.0, max(0.5, math.log10((a + 0.5) / n1 * n0 / (b + 0.5))))
     lexicon, stems = {}, {}
     words = {f: x for f, x in good.items() if f[-1] != "*"}
     for f, (a, b) in sorted(((f, x) for f, x in good.items() if f[-1] == "*"), key=lambda y: (len(y[0]), y[0])):
@@ -148,28 +230,28 @@ def choose(counts: list[tuple[str, int, int]], n1: int, n0: int, precision: floa
 
 
 def fit_weights(x: np.ndarray, y: np.ndarray) -> list[float]:
-    """Ridge logistic regression by Newton steps; the intercept comes first."""
+    """Ridge logistic regression towards the weights of LABELS by Newton steps; the intercept comes first."""
     x = np.column_stack([np.ones(len(x)), x])
-    w, ridge = np.zeros(x.shape[1]), np.eye(x.shape[1]) * 0.1
+    before = np.array([0.0, *LABELS.values()])
+    w, ridge = before.copy(), np.eye(x.shape[1]) * 0.1
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (y - p) - ridge @ (w - before))
         w += step
         if np.abs(step).max() < 1e-8:
             break
     return w.tolist()
 
 
-def _signed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    signs = []
-    for text in batch.column(1).to_pylist():
-        long = {t for t in TOKEN.findall((text or "").lower()) if len(t) >= 8}
-        signs.append(min(map(_hash, long)) if long else _hash(text or ""))
-    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(signs, pa.int64())], ["doc_id", "text", "toxic", "sign"])
+def sign(text: str) -> bytes:
+    """SIGNS minima of differently mixed hashes of the text's three-word shingles."""
+    w, _, _, count = kernels.words(*kernels.packed(pa.array([text])))
+    run, _ = kernels.shingles(w, count, 3)
+    return b"".join(int(kernels.mix(run + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))).min()).to_bytes(8, "little") for k in range(SIGNS)) if len(run) else b""
 
 
-def _hash(text: str) -> int:
-    return xxhash.xxh64_intdigest(text) >> 1
+def _signed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array([sign(t or "") for t in batch.column(1).to_pylist()], pa.binary())], ["doc_id", "text", "toxic", "sign"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
@@ -177,9 +259,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     ids = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic")
-    # near copies share their smallest long-word hash: one of them counts, so that no group of copies teaches its own words
-    signed = common.arrow_map(rows, _signed, "doc_id long, text string, toxic int, sign long", "text")
-    rows = common.cut(signed.groupBy("sign").agg(F.min_by(F.struct("text", "toxic"), F.struct("doc_id", "text")).alias("r")).select("r.text", "r.toxic"), "toxic-sample")
+    # one of near copies counts, so that no group of copies teaches its own words
+    signed = common.arrow_map(rows, _signed, "doc_id long, text string, toxic int, sign binary", "text")
+    rows = common.cut(signed.groupBy("sign", "toxic").agg(F.min(F.struct("doc_id", "text")).alias("r")).select("r.text", "toxic"), "toxic-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list[int]] = {"": [0, 0]}
@@ -192,24 +274,25 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
                     found.setdefault(t, [0, 0])[toxic] += 1
         yield pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array([x[1] for x in found.values()]), pa.array([x[0] for x in found.values()])], ["f", "a", "b"])
 
-    counts = rows.mapInArrow(count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    top = counts.where("f = '' or a >= 3 and a > 20 * b").orderBy(F.col("f") != "", F.desc("a"), "f").limit(20_000).collect()
-    n1, n0 = next(((r.a, r.b) for r in top if r.f == ""), (0, 0))
+    counts = common.cut(rows.mapInArrow(count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "toxic-counts")
+    n1, n0 = next(((r.a, r.b) for r in counts.where("f = ''").collect()), (0, 0))
     if not n1 or not n0:
         share = (n1 + 0.0) / max(1, n1 + n0)
         return Scorer({}, {}, [math.log((share + 1e-6) / (1 - share + 1e-6)), *[0.0] * len(LABELS)])
-    scorer = Scorer(*choose([(r.f, r.a, r.b) for r in top if r.f], n1, n0))
+    features = counts.where("a + b >= 3").count()
+    # what can pass choose(); bounded by the words of the sample
+    top = counts.where((F.col("f") != "") & (F.col("a") + F.col("b") >= 3) & (F.col("a") * n0 >= RATIO * F.col("b") * n1)).collect()
+    scorer = Scorer(*choose([(r.f, r.a, r.b) for r in top], n1, n0, max(2, features)))
     lexicon = scorer.parts
 
-    def features(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def features_of(batch: pa.RecordBatch) -> pa.RecordBatch:
         s = Scorer(*lexicon)
         x = [s.features(t) for t in batch.column(0).to_pylist()]
         return pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], ["x", "toxic"])
 
-    got = common.arrow_map(rows, features, "x array<double>, toxic int", "text").groupBy("x", "toxic").count().collect()
+    got = common.arrow_map(rows, features_of, "x array<double>, toxic int", "text").groupBy("x", "toxic").count().orderBy("x", "toxic").collect()
     x, y = np.array([r.x for r in got for _ in range(r["count"])]), np.array([r.toxic for r in got for _ in range(r["count"])], float)
-    scorer.weights = fit_weights(x, y)
-    return scorer
+    return Scorer(*lexicon, fit_weights(x, y))
 
 
 def score(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD) -> DataFrame:
