@@ -10,25 +10,54 @@ one below; a tier with `fan_in` shards or more is merged into files of about `ta
 if that is less). Similarly sized shards are merged by reading several to a task: no row is shuffled. Shards of half
 the target or more are left alone, so every row is rewritten a logarithmic number of times.
 
+A later arrival may have further columns: the schema of the store grows, and older rows read them as null. A column that comes
+back with another type, or with the same name in other letters, is refused.
+
+vacuum() deletes what only expired versions name, file by file, and these versions. Files that no version names may belong to a
+writer that has not committed yet: they go only when they are older than `age`. A writer whose base version expires while it
+works plans again on the newest one; a reader of an expired version must start again.
+
+Commits need a file system whose rename fails if the target exists (HDFS, local disks, stores with a hierarchical name space);
+on object stores without that, two writers at once are not safe.
+
 Nulls, empty texts, very long texts, repeated rows and further columns of any name are kept as they are; a column
-without a type becomes string. An empty table adds no shard, and reads back as empty with its columns. The order of
-rows is not kept. Sizes of shards, not rows, are what comes to the driver.
+without a type becomes string. Ties have no effect. An empty table adds no shard, and reads back as empty with its columns.
+The order of rows is not kept. Sizes and paths of shards, not rows, are what comes to the driver.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from . import common
 
 TARGET, FAN_IN, LEAST, ROWS = 128 << 20, 4, 64 << 10, 4000
+#: Seconds for which files that no version names are kept, for writers that have not committed yet.
+AGE = 7 * 24 * 3600
 MANIFEST = "path string, bytes long, rows long, tier int, added long"
 
 
+def grown(old: StructType | None, new: StructType) -> StructType:
+    """The columns of old, and those that new has besides; ValueError if they contradict each other."""
+    if old is None:
+        return new
+    known = {f.name.lower(): f for f in old}
+    more = []
+    for f in new:
+        own = known.setdefault(f.name.lower(), f)
+        if own is f:
+            more.append(f)
+        elif own.name != f.name or own.dataType.simpleString() != f.dataType.simpleString():
+            raise ValueError(f"column {f.name} of {f.dataType.simpleString()} against {own.name} of {own.dataType.simpleString()}")
+    return StructType([StructField(f.name, f.dataType, True) for f in [*old, *more]])
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str, target: int = TARGET, fan_in: int = FAN_IN, least: int = LEAST):
         self.spark, self.root, self.target, self.fan_in, self.least = spark, root.rstrip("/"), target, fan_in, least
@@ -39,13 +68,15 @@ class Store:
 
     # versions
 
+    def versions(self) -> list[int]:
+        """All versions that have not expired, in order."""
+        at = self.path("commits")
+        names = [x.getPath().getName() for x in self.fs.listStatus(at)] if self.fs.exists(at) else []
+        return sorted(int(x[1:9]) for x in names if x.endswith(".json") and not x.startswith("."))
+
     def version(self) -> int:
         """The newest version, 0 for a new store."""
-        at = self.path("commits")
-        if not self.fs.exists(at):
-            return 0
-        names = [x.getPath().getName() for x in self.fs.listStatus(at)]
-        return max([0, *(int(x[1:9]) for x in names if x.endswith(".json"))])
+        return max(self.versions(), default=0)
 
     def _commit_file(self, version: int) -> dict:
         text = self.spark.read.text("/".join([self.root, "commits", f"v{version:08d}.json"]), wholetext=True).first()[0]
@@ -58,9 +89,7 @@ class Store:
             return self.spark.createDataFrame([], MANIFEST)
         return self.spark.read.schema(MANIFEST).parquet("/".join([self.root, self._commit_file(version)["table"]]))
 
-    def schema(self, version: int | None = None):
-        from pyspark.sql.types import StructType
-
+    def schema(self, version: int | None = None) -> StructType | None:
         version = self.version() if version is None else version
         return StructType.fromJson(self._commit_file(version)["schema"]) if version else None
 
@@ -111,32 +140,41 @@ class Store:
         """Adds rows as small shards; the new version."""
         rows = rows.select(*[F.col(f"`{c}`").cast("string") if t == "void" else F.col(f"`{c}`") for c, t in rows.dtypes])
         base = self.version()
+        grown(self.schema(base), rows.schema)  # refused before anything is written
         new = common.cut(self._written(rows, base + 1, most_rows), "shards-new")
         while True:
-            schema = self.schema(base) or rows.schema
             try:
-                return self.commit(self.manifest(base).union(new), schema, base)
-            except FileExistsError:
-                base = self.version()
+                return self.commit(self.manifest(base).union(new), grown(self.schema(base), rows.schema), base)
+            except Exception as e:
+                base = self._newer_than(base, e)
+
+    def _newer_than(self, base: int, error: Exception) -> int:
+        """The newest version; the error if there is none newer, so that another writer can't be its reason."""
+        if (now := self.version()) <= base:
+            raise error
+        return now
 
     def compact(self) -> int:
         """Merges one tier, the lowest that has enough shards; the new version, or the same one if there is nothing to do."""
-        base = self.version()
+        while True:
+            base = self.version()
+            try:
+                return self._compacted(base)
+            except Exception as e:
+                self._newer_than(base, e)
+
+    def _compacted(self, base: int) -> int:
         small = self.manifest(base).where(F.col("bytes") < self.target // 2)
-        full = small.groupBy("tier").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).where(F.col("n") >= self.fan_in).orderBy("tier").first()
+        tiers = small.groupBy("tier").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).where(F.col("n") >= self.fan_in)
+        full = tiers.where(F.greatest(F.lit(1), F.round(F.col("bytes") / self.target)) < F.col("n")).orderBy("tier").first()
         if full is None:
             return base
         old = small.where(F.col("tier") == full.tier)
         paths = [r.path for r in old.select("path").orderBy("path").collect()]
         files = max(1, round(full.bytes / self.target))
         merged = self._written(self.spark.read.schema(self.schema(base)).parquet(*paths).coalesce(files), base + 1)
-        if files >= len(paths):
-            return base
         kept = self.manifest(base).join(old.select("path"), "path", "left_anti").select("path", "bytes", "rows", "tier", "added")
-        try:
-            return self.commit(kept.union(merged), self.schema(base), base)
-        except FileExistsError:
-            return self.compact()
+        return self.commit(kept.union(merged), self.schema(base), base)
 
     def settle(self) -> int:
         """Compacts until no tier has enough shards, deleting what older versions alone used."""
@@ -146,18 +184,31 @@ class Store:
             self.vacuum()
         return last
 
-    def vacuum(self, keep: int = 1) -> int:
-        """Deletes data files that none of the last `keep` versions names; how many."""
-        now = self.version()
-        live = {r.path.rsplit("/", 2)[-2] + "/" + r.path.rsplit("/", 1)[-1] for v in range(max(1, now - keep + 1), now + 1) for r in self.manifest(v).select("path").collect()}
-        n = 0
-        if self.fs.exists(self.path("data")):
-            for folder in self.fs.listStatus(self.path("data")):
-                names = [x.getPath() for x in self.fs.listStatus(folder.getPath())]
-                own = [x for x in names if f"{folder.getPath().getName()}/{x.getName()}" in live]
-                if not own:
-                    self.fs.delete(folder.getPath(), True)
-                    n += len(names)
+    def vacuum(self, keep: int = 1, age: float = AGE) -> int:
+        """Deletes all versions but the last `keep`, data files that only those name, and files of no version that are older
+        than `age` seconds; how many data files."""
+        versions = self.versions()
+        old, kept = versions[: max(0, len(versions) - keep)], versions[max(0, len(versions) - keep) :]
+        named = lambda vs: {"/".join(r.path.rsplit("/", 2)[-2:]) for v in vs for r in self.manifest(v).select("path").collect()}
+        live = named(kept)
+        dead, n, before = named(old) - live, 0, (time.time() - age) * 1000
+        tables = {self._commit_file(v)["table"].rsplit("/", 1)[-1] for v in kept}
+        expired = {self._commit_file(v)["table"].rsplit("/", 1)[-1] for v in old}
+        for v in old:
+            self.fs.delete(self.path("commits", f"v{v:08d}.json"), False)
+        for folder in self.fs.listStatus(self.path("tables")) if versions else []:
+            name = folder.getPath().getName()
+            if name in expired or name not in tables and folder.getModificationTime() < before:
+                self.fs.delete(folder.getPath(), True)
+        for folder in self.fs.listStatus(self.path("data")) if self.fs.exists(self.path("data")) else []:
+            files = [x for x in self.fs.listStatus(folder.getPath())]
+            shards = [x for x in files if x.getPath().getName().endswith(".parquet")]
+            gone = [x for x in shards if (name := f"{folder.getPath().getName()}/{x.getPath().getName()}") in dead or name not in live and x.getModificationTime() < before]
+            for x in gone:
+                self.fs.delete(x.getPath(), False)
+            n += len(gone)
+            if gone and len(gone) == len(shards):
+                self.fs.delete(folder.getPath(), True)
         return n
 
 
