@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from . import common, kernels
 
 #: Sets of a tile, their bytes, and sets that come to it in one task; bytes of text of one block of documents.
-TILE, SIZE, SENT, BLOCK = 128, 4 << 20, 512, 6 << 20
+TILE, SIZE, SENT, BLOCK = 128, 4 << 20, 128, 6 << 20
 U64 = np.uint64
 ROW = np.dtype([("rid", "<i8"), ("doc", "<i8"), ("null", "?"), ("n", "<i8")])
 
