@@ -3,48 +3,45 @@
 Base spans come from four fixed patterns (email, ip, card, phone), leftmost and non-overlapping per kind. They
 and long hexadecimal keys are the seeds. The text left of a seed is its lexical pattern (a word with an optional
 sign and quote). Patterns and instances form a bipartite graph: a pattern's score is the share of its instances
-that are trusted, an instance's the best score of its patterns; a few rounds raise both. Identifier-like tokens
-behind a pattern that ends with `precision` and `support` become further spans. Base spans always stay.
-
-Positions come from lengths: split() gives what lies between matches and regexp_extract_all() the matches, so
-no mark is put into the text. The patterns are written so that Java's matcher needs no recursion and no
-rescan: where a group would repeat, a first replacement of equal length makes one character class enough.
-
-Null texts are empty. A repeated row is scanned as often as it stands there. Ties: spans are ordered by start,
-then by kind as listed. Rows with a null doc_id are kept. Other columns are never read.
+that are trusted, an instance's the best score of its patterns; rounds go on until the trusted patterns stay the
+same. Identifier-like tokens behind a pattern that ends with `precision` and `support` become further spans. Base spans
+always stay.
+
+split() gives what lies between matches and regexp_extract_all() the matches; each match goes on as a row with the length
+of the gap before it, and a running sum over the matches of a text gives positions, so that a text is read once for each
+kind and a very long one with very many matches takes time in proportion. The patterns are written so that Java's matcher
+needs no recursion and no rescan: where a group would repeat, a first replacement of equal length makes one character
+class enough. Words, tokens and gaps may have any length.
+
+Null texts are empty. Rows are told apart by their place in the table, not by doc_id: a repeated row, and one with a null
+doc_id, is scanned and returned like any other. Ties: spans are ordered by start, then by kind as listed. An empty table
+gives no rows. Further columns of any name are kept by redacted() and never read. docs must give the same rows in the
+same order whenever it is read, as a stored table does.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 KINDS = ["email", "ip", "card", "phone", "key"]
+#: Ranks beside those of KINDS: candidates, and words that may stand before a span.
+TOKEN_RANK, WORD_RANK = 4, 5
 #: A pattern that ends with a sign or quote is trusted from PRECISION on, a bare word from BARE on.
-ROUNDS, PRECISION, BARE, SUPPORT = 3, 0.5, 0.9, 3
+PRECISION, BARE, SUPPORT = 0.5, 0.9, 3
 _LOCAL = "[A-Za-z0-9._%+-]"
 EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+"
 CARD = r"(?<![0-9 -])(?=[0-9](?:[ -]?[0-9]){11})[0-9 -]+"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-TOKEN = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]{0,63}[0-9])[A-Za-z0-9_-]{6,64}(?![A-Za-z0-9_@-])"
+TOKEN = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{6,}+(?!@)"
 SEED_KEY = "^[0-9a-f]{32,64}$"
-LEFT = r"(?U)([\p{L}_]{2,24}[ \t]*[:=#]?[ \t]*[\"'(]?)$"
-
-
-def _located(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, hit>> of the matches in text, in code points from 0."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    steps = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.struct(F.length(g).alias("g"), h.alias("h")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,hit:string>>").alias("out"))
-    add = lambda acc, x: F.struct(
-        (acc["at"] + x["g"] + F.length(x["h"])).alias("at"),
-        F.array_append(acc["out"], F.struct((acc["at"] + x["g"]).alias("start"), (acc["at"] + x["g"] + F.length(x["h"])).alias("end"), x["h"].alias("hit"))).alias("out"),
-    )
-    return F.aggregate(steps, start, add)["out"]
+#: A word with sign and quote, directly before something with a digit or an @.
+WORD = r"(?U)(?<![\p{L}_])[\p{L}_]{2,}+[ \t]*+[:=#]?+[ \t]*+[\"'(]?+(?=[A-Za-z._%+-]*+[0-9@])"
+#: Code points of the pieces in which a text is cut before parts are taken out of it.
+BLOCK = 4096
 
 
 def _digits(hit: Column) -> Column:
@@ -56,102 +53,132 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10 == 0
 
 
-def _ranked(found: Column, rank: int) -> Column:
-    return F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"), x["hit"].alias("hit")))
-
-
-def base_spans(text: Column) -> Column:
-    """array<struct<start, rank, end, hit>> sorted by start, then kind; rank is the kind's place in KINDS."""
-    none = F.array().cast("array<struct<start:int,end:int,hit:string>>")
-    email = F.when(text.contains("@"), _located(F.regexp_replace(text, r"\.(?![A-Za-z0-9-])", "_"), EMAIL)).otherwise(none)
-    ip = F.when(text.rlike(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]"), F.filter(_located(text, IP), lambda x: F.forall(F.split(x["hit"], r"\."), lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3) & (F.coalesce(F.regexp_extract(p, "([0-9]{1,3})$", 1).cast("int"), F.lit(0)) <= 255)))).otherwise(none)
-    runs = F.regexp_replace(text, "(?<![0-9])[ -]|[ -](?![0-9])", "x")
-    card = F.when(text.rlike("[0-9](?:[ -]?[0-9]){11}"), F.filter(_located(runs, CARD), lambda x: F.length(_digits(x["hit"])).between(12, 19) & _luhn(_digits(x["hit"])))).otherwise(none)
-    phone = F.when(text.rlike(r"\+[0-9]"), F.filter(_located(text, PHONE), lambda x: F.length(_digits(x["hit"])).between(9, 15))).otherwise(none)
-    return F.array_sort(F.concat(*[_ranked(k, i) for i, k in enumerate((email, ip, card, phone))]))
-
-
-def joined(spans: Column) -> Column:
-    """kind:start:end, comma-joined."""
-    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(F.array(*[F.lit(k) for k in KINDS]), x["rank"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
+def _found(text: Column, rank: int, pattern: str, when: Column, good=None) -> Column:
+    """array<struct<rank, gap, size, good, inst, seed, pat>> of the matches, in order; behind them one of size null."""
 
+    def one(gap, hit):
+        return F.struct(
+            F.lit(rank).alias("rank"), F.length(gap).alias("gap"), F.length(hit).alias("size"), (good(hit) if good else F.lit(True)).alias("good"), F.xxhash64(hit).alias("inst"),
+            (hit.rlike(SEED_KEY) if rank == TOKEN_RANK else F.lit(False)).alias("seed"), (F.lower(hit) if rank == WORD_RANK else F.lit("")).alias("pat"),
+        )
 
-def _left(text: Column, start: Column) -> Column:
-    return F.lower(F.regexp_extract(F.substring(text, F.greatest(start - 29, F.lit(1)), F.least(start, F.lit(30))), LEFT, 1))
+    return F.when(when, F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), one))
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """One pass over the texts: rid, doc_id, spans (base), seeds and cands with their lexical patterns."""
+def matches(docs: DataFrame) -> DataFrame:
+    """rid, rank, i, gap, size, good, inst, seed, pat: a row for each match; gap is what lies between it and the one before."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    d = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", text.alias("text")).withColumn("spans", base_spans(F.col("text")))
-    none = F.array().cast("array<struct<start:int,end:int,hit:string>>")
-    tokens = F.when(F.col("text").rlike("[0-9]"), _located(F.col("text"), TOKEN)).otherwise(none)
-    d = d.withColumn("tokens", F.filter(tokens, lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))))
-    seeds = F.transform("spans", lambda s: F.struct(s["rank"].alias("rank"), F.xxhash64(s["hit"]).alias("inst"), _left(F.col("text"), s["start"]).alias("pat")))
-    cands = F.transform("tokens", lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.xxhash64(t["hit"]).alias("inst"), _left(F.col("text"), t["start"]).alias("pat"), t["hit"].rlike(SEED_KEY).alias("seed")))
-    return d.select("rid", "doc_id", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"))).alias("spans"), seeds.alias("seeds"), cands.alias("cands"))
+    t = F.col("text")
+    part = lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3) & (F.coalesce(F.regexp_extract(p, "([0-9]{1,3})$", 1).cast("int"), F.lit(0)) <= 255)
+    found = [
+        _found(F.regexp_replace(t, r"\.(?![A-Za-z0-9-])", "_"), 0, EMAIL, t.contains("@")),
+        _found(t, 1, IP, t.rlike(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]"), lambda h: F.forall(F.split(h, r"\."), part)),
+        _found(F.regexp_replace(t, "(?<![0-9])[ -]|[ -](?![0-9])", "x"), 2, CARD, t.rlike("[0-9](?:[ -]?[0-9]){11}"), lambda h: F.length(_digits(h)).between(12, 19) & _luhn(_digits(h))),
+        _found(t, 3, PHONE, t.rlike(r"\+[0-9]"), lambda h: F.length(_digits(h)).between(9, 15)),
+        _found(t, TOKEN_RANK, TOKEN, t.rlike("[0-9]")),
+        _found(t, WORD_RANK, WORD, t.rlike("[0-9@]")),
+    ]
+    d = docs.select(F.monotonically_increasing_id().alias("rid"), text.alias("text"))
+    each = d.select("rid", F.explode(F.array(*found)).alias("own")).select("rid", F.posexplode("own").alias("i", "m"))
+    return each.select("rid", "i", "m.*").where("size is not null")
 
 
-def bootstrap(scanned: DataFrame, rounds: int = ROUNDS, precision: float = PRECISION, support: int = SUPPORT) -> DataFrame:
-    """(pat, rank) of the patterns that are trusted in the end."""
-    key = F.lit(KINDS.index("key"))
-    seeds = scanned.select(F.explode("seeds").alias("s")).select("s.pat", "s.inst", "s.rank")
-    cands = scanned.select(F.explode("cands").alias("c")).select("c.pat", "c.inst", F.when(F.col("c.seed"), key).alias("rank"))
-    graph = common.cut(seeds.union(cands).where("pat <> ''").groupBy("pat", "inst").agg(F.min("rank").alias("rank")), "pii-graph")
-    trusted = graph.where("rank is not null").select("inst", "rank", F.lit(1.0).alias("score")).distinct()
-    for _ in range(rounds):
-        each = graph.groupBy("pat").agg(F.count("*").alias("n"))
-        good = graph.select("pat", "inst").join(trusted, "inst").groupBy("pat", "rank").agg(F.count("*").alias("k"), F.sum("score").alias("s"))
-        scored = good.join(each, "pat").where(F.col("k") >= support).select("pat", "rank", (F.col("s") / F.col("n")).alias("score")).where(F.col("score") >= F.when(F.col("pat").rlike("[:=#\"'(]"), precision).otherwise(max(precision, BARE)))
+def scan(docs: DataFrame) -> DataFrame:
+    """rid, start, end, rank, inst, pat, seed of the base spans, and of the tokens (TOKEN_RANK) that overlap none of them."""
+    m = matches(docs).repartition("rid")
+    own = Window.partitionBy("rid", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    m = m.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(own).cast("int")).where("good").withColumn("start", (F.col("end") - F.col("size")).cast("int"))
+    word, base = F.col("rank") == WORD_RANK, F.col("rank") < TOKEN_RANK
+    # words stand where they end, before what starts there
+    m = m.withColumn("at", F.when(word, F.col("end")).otherwise(F.col("start")))
+    order = [F.col("at"), (~word).cast("int"), F.col("rank")]
+    before = Window.partitionBy("rid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy("rid").orderBy(*[c.desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    m = m.withColumn("last", F.last(F.when(word, F.struct("end", "pat")), True).over(before)).withColumn("reach", F.max(F.when(base, F.col("end"))).over(before)).withColumn("next", F.last(F.when(base, F.col("start")), True).over(behind))
+    apart = base | ((F.coalesce("reach", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end")))
+    pat = F.when(F.col("last.end") == F.col("start"), F.col("last.pat")).otherwise("")
+    return m.where(~word & apart).select("rid", "start", "end", "rank", "inst", pat.alias("pat"), "seed")
+
+
+def bootstrap(scanned: DataFrame, precision: float = PRECISION, support: int = SUPPORT) -> DataFrame:
+    """(pat, as_rank) of the patterns that are trusted in the end."""
+    known = F.when(F.col("rank") < TOKEN_RANK, F.col("rank")).when(F.col("seed"), KINDS.index("key"))
+    graph = common.cut(scanned.where("pat <> ''").groupBy("pat", "inst").agg(F.min(known).alias("rank")), "pii-graph")
+    size = common.cut(graph.groupBy("pat").agg(F.count("*").alias("n")), "pii-sizes")
+    seeds = graph.where("rank is not null").select("inst", "rank", F.lit(1.0).alias("score")).groupBy("inst", "rank").agg(F.max("score").alias("score"))
+    trusted, seen = seeds, []
+    while True:
+        good = common.join_hot(graph.select("pat", "inst"), trusted, ["inst"], "pat").groupBy("pat", "rank").agg(F.count("*").alias("k"), F.sum("score").alias("s"))
+        least = F.when(F.col("pat").rlike("[:=#\"'(]"), precision).otherwise(max(precision, BARE))
+        scored = good.join(size, "pat").where(F.col("k") >= support).select("pat", "rank", (F.col("s") / F.col("n")).alias("score")).where(F.col("score") >= least)
         best = scored.groupBy("pat").agg(F.max_by("rank", F.struct("score", -F.col("rank"))).alias("rank"), F.max("score").alias("score"))
         patterns = common.cut(best, "pii-patterns")
-        found = graph.where("rank is null").select("pat", "inst").join(patterns, "pat").groupBy("inst").agg(F.max_by("rank", F.struct("score", -F.col("rank"))).alias("rank"), F.max("score").alias("score"))
-        trusted = graph.where("rank is not null").select("inst", "rank", F.lit(1.0).alias("score")).distinct().union(found)
-    return patterns.select("pat", F.col("rank").alias("as_rank"))
+        sign = tuple(patterns.agg(F.count("*"), F.bit_xor(F.xxhash64("pat", "rank"))).first())
+        if sign in seen:
+            return patterns.select("pat", F.col("rank").alias("as_rank"))
+        seen.append(sign)
+        found = common.join_hot(graph.where("rank is null").select("pat", "inst"), patterns, ["pat"], "inst").groupBy("inst").agg(F.max_by("rank", F.struct("score", -F.col("rank"))).alias("rank"), F.max("score").alias("score"))
+        trusted = seeds.union(found)
 
 
-def _more(scanned: DataFrame, patterns: DataFrame) -> DataFrame:
-    """rid, doc_id and extra: the spans that the patterns (and long hexadecimal keys) add to a scanned row."""
-    cands = scanned.where("size(cands) > 0").select("rid", "doc_id", F.explode("cands").alias("c"))
+def _spans(scanned: DataFrame, precision: float, support: int) -> DataFrame:
+    """rid, start, rank, end, base of all spans: base ones, long hexadecimal keys, and tokens behind trusted patterns."""
     key = F.lit(KINDS.index("key"))
-    own = cands.where("c.seed").select("rid", "doc_id", F.struct("c.start", key.alias("rank"), "c.end").alias("span"))
-    more = cands.where("not c.seed and c.pat <> ''").select("rid", "doc_id", "c.*").join(patterns, "pat").select("rid", "doc_id", F.struct("start", F.col("as_rank").alias("rank"), "end").alias("span"))
-    return own.union(more).groupBy("rid", "doc_id").agg(F.collect_list("span").alias("extra"))
+    sure = scanned.where((F.col("rank") < TOKEN_RANK) | F.col("seed")).select("rid", "start", F.when(F.col("seed"), key).otherwise(F.col("rank")).alias("rank"), "end", (~F.col("seed")).alias("base"))
+    tokens = scanned.where((F.col("rank") == TOKEN_RANK) & ~F.col("seed") & (F.col("pat") != "")).select("rid", "start", "end", "pat")
+    more = common.join_hot(tokens, bootstrap(scanned, precision, support), ["pat"], "rid").select("rid", "start", F.col("as_rank").alias("rank"), "end", F.lit(False).alias("base"))
+    return sure.union(more)
+
 
+def joined(spans: Column) -> Column:
+    """kind:start:end, comma-joined."""
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(F.array(*[F.lit(k) for k in KINDS]), x["rank"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
-def extract(docs: DataFrame, rounds: int = ROUNDS, precision: float = PRECISION, support: int = SUPPORT) -> DataFrame:
-    """rid, doc_id, base and spans (arrays of start, rank, end) for every row of docs (doc_id, text)."""
-    scanned = common.cut(scan(docs), "pii-scan")
-    extra = _more(scanned, bootstrap(scanned, rounds, precision, support)).select("rid", "extra")
-    none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
-    return scanned.join(extra, "rid", "left").select("rid", "doc_id", F.col("spans").alias("base"), F.array_sort(F.concat("spans", F.coalesce("extra", none))).alias("spans"))
 
+def extract(docs: DataFrame, precision: float = PRECISION, support: int = SUPPORT) -> DataFrame:
+    """rid, doc_id, base and spans (arrays of start, rank, end, base) for every row of docs (doc_id, text)."""
+    spans = _spans(common.cut(scan(docs), "pii-scan"), precision, support)
+    each = spans.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "end", "base"))).alias("all"))  # of one text
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id").join(each, "rid", "left")
+    all_ = F.coalesce("all", F.array().cast("array<struct<start:int,rank:int,end:int,base:boolean>>"))
+    return rows.select("rid", "doc_id", F.filter(all_, lambda x: x["base"]).alias("base"), all_.alias("spans"))
 
-def redact(text: Column, spans: Column) -> Column:
-    """The text with each run of overlapping spans replaced by the mark of its first kind, such as <EMAIL>."""
+
+def redact(text: Column, runs: Column) -> Column:
+    """The text with each run (start, rank, end), which are sorted and apart, replaced by the mark of its kind, such as <EMAIL>."""
     mark = lambda rank: F.element_at(F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS]), rank + 1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def piece(blocks: Column, a: Column, b: Column) -> Column:
+        first = F.floor(a / BLOCK).cast("int")
+        return F.substring(F.array_join(F.slice(blocks, first + 1, F.floor(b / BLOCK).cast("int") - first + 1), ""), a - first * BLOCK + 1, b - a)
 
-    def add(acc, s):
-        inside = s["start"] < acc["at"]
-        piece = F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), mark(s["rank"]))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(inside, acc["out"]).otherwise(F.array_append(acc["out"], piece)).alias("out"))
+    def whole(blocks: Column) -> Column:
+        end = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.element_at(runs, F.greatest(k, F.lit(1)))["end"])
+        marked = F.transform(runs, lambda r, k: F.concat(piece(blocks, end(k), r["start"]), mark(r["rank"])))
+        return F.concat(F.array_join(marked, ""), piece(blocks, end(F.size(runs)), F.length(text)))
 
-    done = F.aggregate(spans, start, add)
-    return F.when(F.size(spans) == 0, text).otherwise(F.concat(F.array_join(done["out"], ""), F.substring(text, done["at"] + 1, F.length(text))))
+    # the blocks are made once: a list of one element is transformed
+    return F.when(F.coalesce(F.size(runs), F.lit(0)) <= 0, text).otherwise(F.element_at(F.transform(F.array(blocks), whole), 1))
 
 
-def redacted(docs: DataFrame, rounds: int = ROUNDS, precision: float = PRECISION, support: int = SUPPORT) -> DataFrame:
-    """The rows of docs, whose doc_id is unique, with all personal data in their texts marked; null texts stay null.
+def redacted(docs: DataFrame, precision: float = PRECISION, support: int = SUPPORT) -> DataFrame:
+    """The rows of docs with all personal data in their texts marked; null texts stay null.
 
-    Only the spans that bootstrapping adds are joined, base spans are found where they are replaced.
+    Spans that overlap are one run, which has the mark of the first one.
     """
-    scanned = common.cut(scan(docs), "pii-scan")
-    extra = _more(scanned, bootstrap(scanned, rounds, precision, support)).select(F.col("doc_id").alias("extra_id"), "extra")
-    none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
-    base = F.transform(base_spans(F.col("text")), lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))
-    rows = docs.join(extra, docs.doc_id == F.col("extra_id"), "left").withColumn("extra", F.array_sort(F.concat(base, F.coalesce("extra", none))))
-    return rows.withColumn("text", redact(F.col("text"), F.col("extra"))).select(*docs.columns)
+    spans = _spans(common.cut(scan(docs), "pii-scan"), precision, support)
+    before = Window.partitionBy("rid").orderBy("start", "rank", "end").rowsBetween(Window.unboundedPreceding, -1)
+    to_here = Window.partitionBy("rid").orderBy("start", "rank", "end").rowsBetween(Window.unboundedPreceding, 0)
+    new = spans.withColumn("new", (F.coalesce(F.max("end").over(before), F.lit(0)) <= F.col("start")).cast("int"))
+    runs = new.withColumn("run", F.sum("new").over(to_here)).groupBy("rid", "run").agg(F.min(F.struct("start", "rank")).alias("first"), F.max("end").alias("end"))
+    runs = runs.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("first.start", "first.rank", "end"))).alias("runs"))  # of one text
+    taken, names = {c.lower() for c in docs.columns}, []
+    for name in ("rid", "runs"):
+        names.append(next(x for k in range(len(taken) + 2) if (x := f"{name}{k}") not in taken))
+    rows = docs.withColumn(names[0], F.monotonically_increasing_id()).join(runs.toDF(*names), names[0], "left")
+    text = docs.columns.index("text")
+    return rows.select(*[redact(F.col("text"), F.col(names[1])).alias("text") if i == text else F.col(f"`{c}`") for i, c in enumerate(docs.columns)])
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
