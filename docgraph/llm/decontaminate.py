@@ -2,18 +2,23 @@
 
 Words are runs of ASCII letters, digits and non-ASCII bytes, A-Z lower-cased. An item is aligned locally: 2 for an equal
 word, -1 for another one, -1 for one left out. The score is divided by that of the whole item, so edited, shortened and
-reordered-by-a-few copies still score; a document holds an item from `threshold` on, if at least `least` words are equal.
+reordered-by-a-few copies still score; a document holds an item from `threshold` on, if at least `least` words are equal
+(all words of an item that has fewer). Items of fewer than FEW words are phrases that stand anywhere and can't be found.
 
 No alignment that scores is missed. Its equal words are at most 2 apart, in item and document, at k places at least, where
 k is threshold * words of the item - 1: were fewer so near, the words between would cost more. So pairs of words that are 1 or
 2 apart, in that order, are the seeds. Of each item the k / 2 places whose pairs stand in most items are left out, and a window
 opens where the other k / 2 seeds are met within the length that an alignment can have; it reaches as far to both
-sides. Windows of one item that overlap are one, and are aligned whole.
+sides. Windows of one item that overlap are one. A very long one is aligned in pieces that overlap by the length of
+an alignment, and alignments are done for so many windows at a time that their cells are bounded: memory depends neither on
+the text's length nor on how often it repeats an item.
 
 Items are shipped to the executors in blocks of bounded size, every block against all documents; nothing else is
-collected. Null and empty texts hold nothing; items with fewer words than `least` (or null) can't be found. Items and
-documents that stand twice give their rows twice per item_id and doc_id; rows with a null id are left out. Ties between
-windows of one document go to the first. Other columns are never read.
+collected. Null and empty texts hold nothing, nor do null items. Rows are told apart by their place in the table: rows
+that are repeated, share a doc_id or have none each give rows of their own, and so do items that stand twice. Items with a
+null item_id count like others. Of equal alignments of a document the first counts. Without documents or items there
+are no rows. Other columns, of whatever name, are never read. clean() needs docs that give the same rows in the same order
+whenever they are read, as a stored table does.
 """
 
 from __future__ import annotations
@@ -25,7 +30,9 @@ from pyspark.sql import functions as F
 
 from . import common, kernels
 
-LEAST, THRESHOLD, BLOCK = 8, 0.4, 8 << 20
+LEAST, FEW, THRESHOLD, BLOCK = 8, 5, 0.4, 8 << 20
+#: Cells of the windows that are aligned at once.
+AREA = 1 << 19
 U64 = np.uint64
 
 
@@ -43,7 +50,7 @@ class Items:
     def __init__(self, rows: list[tuple[int, str]], threshold: float = THRESHOLD):
         w, _, _, count = kernels.words(*kernels.packed(pa.array([t for _, t in rows], pa.string())), space=kernels.SIGNS)
         at = np.concatenate([[0], np.cumsum(count)])
-        keep = [k for k in range(len(rows)) if count[k] >= LEAST]
+        keep = [k for k in range(len(rows)) if count[k] >= FEW]
         self.ids = [rows[k][0] for k in keep]
         self.words = [w[at[k] : at[k + 1]] for k in keep]
         size = np.array([len(x) for x in self.words], np.int64)
@@ -75,17 +82,20 @@ class Items:
         return at[self.unique[k] == grams[at]]
 
 
-def align(item: np.ndarray, windows: list[np.ndarray]) -> list[tuple[int, int, int]]:
-    """Smith-Waterman of an item with each window: (score, first word, end word) of the best alignment, the first of equals."""
-    width = max(len(x) for x in windows)
+def align(item: np.ndarray, windows: list[np.ndarray]) -> list[tuple[int, int, int, int]]:
+    """Smith-Waterman of an item with each window: (score, equal words, first word, end word) of the best alignment.
+
+    Of equal scores the one that starts first, then the one with more equal words.
+    """
+    width, n = max(len(x) for x in windows), len(item)
     grid = np.zeros((len(windows), width), U64)
     there = np.zeros((len(windows), width), bool)
     for k, x in enumerate(windows):
         grid[k, : len(x)], there[k, : len(x)] = x, True
     ramp = np.arange(width)
-    far = np.int64(width + 1)
-    # a cell holds score * far + (width - first word), so the larger number also starts earlier
-    fresh = np.broadcast_to(np.int64(width) - ramp, grid.shape)
+    # a cell holds (score, width - first word, equal words) as one number
+    one, far = np.int64(n + 1), np.int64((n + 1) * (width + 1))
+    fresh = np.broadcast_to((width - ramp) * one, grid.shape)
     row = np.zeros(grid.shape, np.int64)
     best, end = np.zeros(len(windows), np.int64), np.zeros(len(windows), np.int64)
     for word in item:
@@ -93,7 +103,7 @@ def align(item: np.ndarray, windows: list[np.ndarray]) -> list[tuple[int, int, i
         diagonal[:, 0] = 0
         diagonal[:, 1:] = row[:, :-1]
         diagonal = np.where(diagonal >= far, diagonal, fresh)
-        cell = np.where((grid == word) & there, diagonal + 2 * far, diagonal - far)
+        cell = np.where((grid == word) & there, diagonal + 2 * far + 1, diagonal - far)
         cell = np.maximum(cell, row - far)
         cell = np.maximum.accumulate(cell + ramp * far, axis=1) - ramp * far
         row = np.where((cell >= far) & there, cell, 0)
@@ -101,15 +111,38 @@ def align(item: np.ndarray, windows: list[np.ndarray]) -> list[tuple[int, int, i
         top = row[np.arange(len(windows)), at]
         better = top > best
         best[better], end[better] = top[better], at[better] + 1
-    return [(int(b // far), int(width - b % far) if b else 0, int(e)) for b, e in zip(best, end, strict=True)]
+    return [(b // int(far), b % int(one), width - b % int(far) // int(one) if b else 0, e) for b, e in zip(best.tolist(), end.tolist(), strict=True)]
+
+
+def pieces(windows: list[tuple[int, int, int]], span: int) -> list[tuple[int, int, int]]:
+    """Windows (document, first, end) with the long ones cut, so that each run of `span` words is whole in one of them."""
+    out = []
+    for d, a, z in windows:
+        while z - a > 4 * span:
+            out.append((d, a, a + 4 * span))
+            a += 3 * span
+        out.append((d, a, z))
+    return out
 
 
-FOUND = "doc_id long, item_id long, score double, equal_words long, first_byte long, end_byte long"
+def batches(windows: list[tuple[int, int, int]], area: int = AREA):
+    """Lists of windows of similar length that have about `area` cells at most."""
+    own: list[tuple[int, int, int]] = []
+    for w in sorted(windows, key=lambda x: x[2] - x[1]):
+        if own and (len(own) + 1) * (w[2] - w[1]) > area:
+            yield own
+            own = []
+        own.append(w)
+    if own:
+        yield own
+
+
+FOUND = "rid long, doc_id long, item_id long, score double, equal_words long, first_byte long, end_byte long"
 
 
 def matches(docs: DataFrame, items: Items, threshold: float, least: int = LEAST) -> DataFrame:
     def run(part: pa.RecordBatch) -> pa.RecordBatch | None:
-        buf, off = kernels.packed(part.column(1))
+        buf, off = kernels.packed(part.column(2))
         w, s, e, count = kernels.words(buf, off, space=kernels.SIGNS)
         s, e, at = s - np.repeat(off[:-1], count), e - np.repeat(off[:-1], count), np.concatenate([[0], np.cumsum(count)])
         grams, place = _pairs(w, count)
@@ -126,7 +159,7 @@ def matches(docs: DataFrame, items: Items, threshold: float, least: int = LEAST)
         to = np.minimum(to, len(place) - 1)
         met = np.flatnonzero(there & (item[to] == item) & (doc[to] == doc) & (place[to] - place <= items.span[item]))
         doc, item, place = doc[met], item[met], place[met] - at[doc[met]]
-        first, last = np.maximum(place - items.span[item], 0), place + items.span[item] + 1
+        first, last = np.maximum(place - items.span[item], 0), np.minimum(place + items.span[item] + 1, count[doc])
         windows: dict[int, list[tuple[int, int, int]]] = {}
         for d, i, a, z in zip(doc.tolist(), item.tolist(), first.tolist(), last.tolist(), strict=True):
             own = windows.setdefault(i, [])
@@ -134,34 +167,34 @@ def matches(docs: DataFrame, items: Items, threshold: float, least: int = LEAST)
                 own[-1] = d, own[-1][1], max(z, own[-1][2])
             else:
                 own.append((d, a, z))
-        ids, rows = part.column(0).to_pylist(), []
+        rows = []
         for i, own in windows.items():
             n = len(items.words[i])
-            own.sort(key=lambda x: x[2] - x[1])
             best: dict[int, tuple] = {}
-            for c in range(0, len(own), 256):
-                some = own[c : c + 256]
-                got = align(items.words[i], [w[at[d] + a : min(at[d] + z, at[d + 1])] for d, a, z in some])
-                for (d, a, _), (score, x, y) in zip(some, got, strict=True):
-                    equal = -(-score // 2)
-                    if score >= threshold * 2 * n and equal >= least:
+            for some in batches(pieces(own, int(items.span[i]))):
+                got = align(items.words[i], [w[at[d] + a : at[d] + z] for d, a, z in some])
+                for (d, a, _), (score, equal, x, y) in zip(some, got, strict=True):
+                    if score >= threshold * 2 * n and equal >= min(least, n):
                         new = score, -(a + x), equal, a + x, a + y
                         best[d] = max(best.get(d, new), new)
-            rows += [(ids[d], items.ids[i], b[0] / (2 * n), b[2], int(s[at[d] + b[3]]), int(e[at[d] + b[4] - 1])) for d, b in best.items()]
+            rows += [(d, items.ids[i], b[0] / (2 * n), b[2], int(s[at[d] + b[3]]), int(e[at[d] + b[4] - 1])) for d, b in best.items()]
         if not rows:
             return None
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "item_id", "score", "equal_words", "first_byte", "end_byte"])
+        d, *rest = zip(*rows, strict=True)
+        types = pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()
+        names = [c.split()[0] for c in FOUND.split(", ")]
+        return pa.RecordBatch.from_arrays([part.column(0).take(pa.array(d)), part.column(1).take(pa.array(d)), *(pa.array(c, t) for c, t in zip(rest, types, strict=True))], names)
 
-    return common.arrow_map(docs.select("doc_id", "text"), run, FOUND, "text")
+    return common.arrow_map(docs.select("rid", "doc_id", "text"), run, FOUND, "text")
 
 
 def find(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """doc_id, item_id, score, equal_words and the bytes of the passage, a row for each item that a document holds.
+    """rid, doc_id, item_id, score, equal_words and the bytes of the passage, a row for each item that a document holds.
 
-    block: bytes of test items that are shipped at once.
+    rid is the row's monotonically_increasing_id() in docs. block: bytes of test items that are shipped at once.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+    docs = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     blocks = max(1, -(-int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block))
     out = None
     for k in range(blocks):
@@ -172,5 +205,12 @@ def find(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, bl
     return out
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, with all their columns, that hold no item."""
+    rid = next(x for k in range(len(docs.columns) + 1) if (x := f"rid{k}") not in {c.lower() for c in docs.columns})
+    found = find(docs, benchmark, threshold).select(F.col("rid").alias(rid)).distinct()
+    return docs.withColumn(rid, F.monotonically_increasing_id()).join(found, rid, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    return find(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark")).drop("rid")
