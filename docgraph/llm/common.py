@@ -117,33 +117,54 @@ def join_hot(rows: DataFrame, per_key: DataFrame, keys: list[str], by: str, how:
     return own.join(sent, [*keys, "_part"], how).drop("_part")
 
 
+def _stars(batches):
+    """The edges (u, v) of a partition as stars: every node with the smallest node that the partition links it with."""
+    got = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    if not got:
+        return
+    u, v = (np.concatenate(x) for x in zip(*got, strict=True))
+    ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    u, v = at[: len(u)], at[len(u) :]
+    root = np.arange(len(ids))
+    while len(u):
+        a, b = root[u], root[v]
+        apart = a != b
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        to = np.arange(len(ids))
+        np.minimum.at(to, np.maximum(a, b), np.minimum(a, b))  # a larger root hooks onto a smaller one
+        while (to[to] != to).any():
+            to = to[to]
+        root = to[root]
+    own = np.flatnonzero(root != np.arange(len(ids)))
+    yield pa.RecordBatch.from_arrays([pa.array(ids[root[own]]), pa.array(ids[own])], ["u", "v"])
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", what: str = "cc") -> DataFrame:
     """Connected components of undirected edges: (node, component = smallest reachable node).
 
-    Alternating large-star and small-star rounds; every round is cut to the shared folder. Edges only
-    shrink in number, the edges of a hub are dealt to parts, nothing comes to the driver but a
-    signature of each round. Nodes without edges are not returned; loops and nulls are ignored.
+    Edges are contracted within each partition first. Then alternating large-star and small-star rounds; every round is
+    cut to the shared folder. Edges only shrink in number, the edges of a hub are dealt to parts, nothing comes to the
+    driver but a signature of each round. Nodes without edges are not returned; loops and nulls are ignored.
     """
     spark = edges.sparkSession
-    e = edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u is not null and v is not null and u <> v").distinct()
-    e = cut(e, what)
-    last = None
+    e = edges.select(F.least(a, b).cast("long").alias("u"), F.greatest(a, b).cast("long").alias("v")).where("u is not null and v is not null and u <> v")
+    e = cut(e.mapInArrow(_stars, "u long, v long"), what)
+    sign = lambda e: tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % 1000003)).first())
+    last = sign(e)
     while True:
         both = _salted(e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))), "v")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), _mask())
         # large star: neighbours above u go to the smallest neighbour of u
         large = _salted(e, "v").join(low.select("u", "m", _each()), ["u", "_part"]).select(F.col("m").alias("u"), "v").where("u <> v")
         # small star: u and its smaller neighbours go to the smallest of them
-        large = large.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).union(low.where("m <> u").select(F.col("m").alias("u"), F.col("u").alias("v"))).distinct()
-        least = _salted(large, "u").groupBy("v").agg(F.min("u").alias("m"), _mask())
-        small = _salted(large, "u").join(least.select("v", "m", _each()), ["v", "_part"]).select(F.col("m").alias("u"), F.col("u").alias("v")).where("u <> v").union(least.select(F.col("m").alias("u"), F.col("v"))).distinct()
+        large = _salted(large.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).union(low.where("m <> u").select(F.col("m").alias("u"), F.col("u").alias("v"))), "u")
+        least = large.groupBy("v").agg(F.min("u").alias("m"), _mask())
+        small = large.join(least.select("v", "m", _each()), ["v", "_part"]).select(F.col("m").alias("u"), F.col("u").alias("v")).where("u <> v").union(least.select(F.col("m").alias("u"), F.col("v"))).distinct()
         new = cut(small, what)
-        sign = tuple(new.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % 1000003)).first())
         forget(spark, e)
-        e = new
-        if sign == last:
+        e, before, last = new, last, sign(new)
+        if last == before:
             break
-        last = sign
     return e.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("component")).union(e.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())
 
 
