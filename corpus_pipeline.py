@@ -29,8 +29,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.find(docs, common.table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return decontaminate.clean(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def mark_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
