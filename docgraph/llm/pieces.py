@@ -14,7 +14,10 @@ in no piece; equal units of a worker are encoded once. The cache is bounded, so
 the number of words.
 
 Null and empty texts have no ids. A character that no piece has is spelled in bytes. Decoding gives the text back,
-but for U+2581 itself, which comes back as a space. Other columns are never read.
+but for U+2581 itself, which comes back as a space; encode() decodes what it has made, and says for each text whether
+that is the text. Very long texts are cut like others. Ties: of equal scores the path found first wins, which is the
+library's. Repeated rows, and rows with a null doc_id, are encoded like others. An empty table gives no rows. Other
+columns, of whatever name, are never read.
 """
 
 from __future__ import annotations
@@ -163,7 +166,10 @@ class Encoder:
         if inner:
             self.meet[tuple(np.array([[self.kind[ord(c)] for c in x] for x in inner]).T)] = True
         self.worst = min((s for s, n in zip(v.scores, v.normal, strict=True) if n), default=0.0) - 10
-        self.plain = [bool(x) for x in v.normal]
+        # what each piece decodes to; control pieces to nothing
+        spelled = [bytes([b]) if b >= 0 else p.replace(SPACE, " ").encode() if n else b"\xff" if i == v.unknown else b"" for i, (p, b, n) in enumerate(zip(v.pieces, v.byte, v.normal, strict=True))]
+        self.raw = np.frombuffer(b"".join(spelled), np.uint8)
+        self.raw_at = np.concatenate([[0], np.cumsum([len(x) for x in spelled])])
         self.sizes = [len(p) for p in v.pieces]
         self.chars = {p for p in self.ids if len(p) == 1}
         self.pairs: dict[int, bool] = {}
@@ -171,15 +177,14 @@ class Encoder:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.new: list[tuple[list[int], bool]] = []  # made since the arrays below were
-        self.flat, self.begin, self.exact = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool)
+        self.new: list[list[int]] = []  # made since the arrays below were
+        self.flat, self.begin = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def settle(self) -> None:
         """Moves the new units' ids into the arrays: unit k has flat[begin[k] : begin[k + 1]]."""
         if self.new:
-            self.flat = np.concatenate([self.flat, np.array([t for x, _ in self.new for t in x], np.int32)])
-            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(x) for x, _ in self.new])])
-            self.exact = np.concatenate([self.exact, np.array([e for _, e in self.new], bool)])
+            self.flat = np.concatenate([self.flat, np.array([t for x in self.new for t in x], np.int32)])
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(x) for x in self.new])])
             self.new = []
 
     def joins(self, a: int, b: int) -> bool:
@@ -282,23 +287,28 @@ class Encoder:
         k = self.known.get(u)
         if k is None:
             k = self.known[u] = len(self.known)
-            if self.v.merges and self.chars.issuperset(u) and (ids := self.walk(u)):
-                self.new.append((ids, True))
-                return k
-            ids = self.spelled(self.viterbi(u))
-            self.new.append((ids, all(map(self.plain.__getitem__, ids)) or self.joined(ids) == u))
+            ids = self.walk(u) if self.v.merges and self.chars.issuperset(u) else None
+            self.new.append(ids or self.spelled(self.viterbi(u)))
         return k
 
-    def joined(self, ids: list[int]) -> str:
-        raw = b"".join(bytes([self.v.byte[t]]) if self.v.byte[t] >= 0 else self.v.pieces[t].encode() if self.v.normal[t] else b"\xff" for t in ids)
-        return raw.decode("utf-8", "replace")
+    def decoded(self, ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of texts whose ids stand behind each other, n of each, and their offsets (one more than texts)."""
+        begin, size = self.raw_at[ids], self.raw_at[ids + 1] - self.raw_at[ids]
+        to = np.concatenate([[0], np.cumsum(size)])
+        out = self.raw[np.arange(to[-1]) + np.repeat(begin - to[:-1], size)]
+        off = to[np.concatenate([[0], np.cumsum(n)])]
+        if self.v.prefix:  # the space that encoding puts in front
+            first = off[:-1][np.diff(off) > 0]
+            first = first[out[first] == 32]
+            out = np.delete(out, first)
+            off = off - np.searchsorted(first, off)
+        return out, off
 
     def decode(self, ids: list[int]) -> str:
-        text = self.joined([t for t in ids if self.v.normal[t] or self.v.byte[t] >= 0 or t == self.v.unknown]).replace(SPACE, " ")
-        return text[1:] if self.v.prefix and text.startswith(" ") else text
+        return self.decoded(np.array(ids, np.int64), np.array([len(ids)]))[0].tobytes().decode("utf-8", "replace")
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids of all texts, number of each, whether decoding gives each one back)."""
+        """(ids of all texts, number of each, whether they decode to the text)."""
         if len(self.known) > self.most:
             self.clear()
         known, unit = self.known, self.unit
@@ -320,9 +330,11 @@ class Encoder:
         to = np.concatenate([[0], np.cumsum(each)])
         ids = self.flat[np.arange(to[-1]) + np.repeat(begin - to[:-1], each)]
         cuts = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
-        bad = np.concatenate([[0], np.cumsum(~self.exact[at])])
-        plain = np.array([SPACE not in (t or "") for t in texts], bool)
-        return ids, np.diff(to[cuts]), (np.diff(bad[cuts]) == 0) & plain
+        n = np.diff(to[cuts])
+        out, off = self.decoded(ids, n)
+        back = memoryview(np.ascontiguousarray(out))
+        right = np.array([back[i:j] == (t or "").encode("utf-8", "surrogatepass") for i, j, t in zip(off.tolist(), off[1:].tolist(), texts, strict=False)], bool)
+        return ids, n, right
 
 
 def read_model(spark: SparkSession, path: str = MODEL) -> Vocabulary:
