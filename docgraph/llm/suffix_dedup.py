@@ -5,7 +5,7 @@ need every suffix in one order; here the strings are first dealt by content, so
 
 1. The key of a string is the smallest hash of its 64-byte pieces. Neighbouring strings mostly have one key; such a
    run of strings is its context. One pass over the texts sends key, hash and place of each context, about one for 70
-   bytes, in byte blocks by key range; of equal contexts of a batch, one. A very common context costs a range an entry
+   bytes, in byte blocks by range of mixed keys, which are even; of equal contexts of a batch, one. A very common context costs a range an entry
    for each batch, not for each document.
 2. Contexts that are wholly equal to another one are duplicates at once. If a key has different contexts, or one that
    repeats itself, the first of each kind is asked for with its bytes. Keys without a second context end here.
@@ -15,10 +15,13 @@ need every suffix in one order; here the strings are first dealt by content, so
 4. A key with more than `hot` different contexts would burden one task. Its strings are dealt singly by hash instead,
    which evens out, and those with an equal are repeated.
 
+Contexts are told apart by hashes of 64 bits; within a key all else is decided by the suffix order of bytes.
+
 keep="first" removes a repeated string except where it comes first (by doc_id, then place); keep="none" removes all
 its places. All bytes that a removed string covers go; strings are judged on the input. Matches do not cross documents.
-Null texts are empty; texts below `size` bytes lose nothing. Rows with a null doc_id are left out; rows of one doc_id
-count as copies of each other and should be equal. Other columns are never read. Cut characters decode with U+FFFD.
+Null and empty texts, and texts below `size` bytes, lose nothing. Very long texts are read in segments. Rows with a null
+doc_id are left out; rows of one doc_id count as copies of each other and should be equal. Ties of places do not occur.
+An empty table gives no rows. Other columns, of whatever name, are never read. Cut characters decode with U+FFFD.
 """
 
 from __future__ import annotations
@@ -142,13 +145,16 @@ def _deal(docs: DataFrame, size: int, ranges: int, first: bool, buckets: int) ->
         a = np.empty(len(key), CONTEXT)
         a["many"] = False
         a["key"], a["ctx"], a["doc"], a["at"], a["n"], a["self"] = key, ctx, part.column(0).to_numpy(zero_copy_only=False)[own], at, n, selfish
-        a = a[np.lexsort((a["at"], a["doc"], a["ctx"], a["key"]))]
+        # keys are minima and crowd at the low end: ranges are of mixed keys
+        of = (kernels.mix(a["key"]) >> U64(32)) * U64(ranges) >> U64(32)
+        order = np.lexsort((a["at"], a["doc"], a["ctx"], a["key"], of))
+        a, of = a[order], of[order]
         new = np.concatenate([[True], (a["key"][1:] != a["key"][:-1]) | (a["ctx"][1:] != a["ctx"][:-1])])
         copies = np.bincount(np.cumsum(new) - 1)
         here = _spans(a[~new] if first else a[(copies > 1)[np.cumsum(new) - 1]], size)
         a = a[new]
         a["many"] = copies > 1
-        cuts = np.searchsorted((a["key"] >> U64(32)) * U64(ranges) >> U64(32), np.arange(ranges + 1))
+        cuts = np.searchsorted(of[new], np.arange(ranges + 1))
         full = np.flatnonzero(np.diff(cuts))
         to, blobs = _to_documents(here, buckets)
         return pa.RecordBatch.from_arrays(
@@ -334,21 +340,11 @@ def _decide(size: int, first: bool, buckets: int):
     """Spans of the repeated strings; rows come sorted by key, with whole keys."""
 
     def judged(rows: list[tuple]) -> list[tuple[int, int, int]]:
-        out, hs = [], []
-        # equal strings have one key: contexts whose strings have no equal hash need no suffix order
-        rows.sort(key=lambda r: (r[0], r[1], r[2]))
-        for r in rows:
-            b = np.frombuffer(r[5], np.uint8)
-            p, q = kernels.powers(len(b) + 1)
-            c = np.concatenate([[U64(0)], np.cumsum(kernels.TABLE[b] * p[: len(b)], dtype=U64)])
-            hs.append((c[size:] - c[:-size]) * q[: len(b) - size + 1])
-        h = np.concatenate(hs)
-        _, inv, cnt = np.unique(h, return_inverse=True, return_counts=True)
-        often = np.add.reduceat((cnt[inv] > 1).astype(np.int64), np.cumsum([0, *map(len, hs)])[:-1])
-        some = [r for r, k in zip(rows, often, strict=True) if k]
-        some.sort(key=lambda r: (r[1], r[2]))
-        if some:
-            for r, gone in zip(some, repeated([r[5] for r in some], np.array([r[4] for r in some]), size, first), strict=True):
+        """Spans of some whole keys, by one suffix order of all their contexts; equal strings have one key."""
+        rows.sort(key=lambda r: (r[1], r[2]))
+        out = []
+        for r, gone in zip(rows, repeated([r[5] for r in rows], np.array([r[4] for r in rows]), size, first), strict=True):
+            if gone.any():
                 out += [(r[1], i, j) for i, j in _runs(gone, r[2], size)]
         return out
 
