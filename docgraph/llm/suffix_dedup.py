@@ -17,10 +17,11 @@ need every suffix in one order; here the strings are first dealt by content, so
 
 Contexts are told apart by hashes of 64 bits; within a key all else is decided by the suffix order of bytes.
 
-keep="first" removes a repeated string except where it comes first (by doc_id, then place); keep="none" removes all
+keep="first" removes a repeated string except where it comes first (by row, then place); keep="none" removes all
 its places. All bytes that a removed string covers go; strings are judged on the input. Matches do not cross documents.
-Null and empty texts, and texts below `size` bytes, lose nothing. Very long texts are read in segments. Rows with a null
-doc_id are left out; rows of one doc_id count as copies of each other and should be equal. Ties of places do not occur.
+Null and empty texts, and texts below `size` bytes, lose nothing. Very long texts are read in segments. Rows are told apart
+by their place in the table, not by doc_id: repeated rows, rows that share a doc_id and those without one are documents of
+their own. docs must give the same rows in the same order whenever it is read, as a stored table does. Ties do not occur.
 An empty table gives no rows. Other columns, of whatever name, are never read. Cut characters decode with U+FFFD.
 """
 
@@ -420,10 +421,11 @@ def dedup(docs: DataFrame, size: int = SIZE, keep: str = "first", hot: int = HOT
     first = keep == "first"
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(512, 8 * parts)
-    clean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where("doc_id is not null")
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    clean = rows.select("rid", "text")
     met = common.cut(_deal(clean, size, ranges, first, parts).repartition("range").mapInArrow(_meet(size, hot, first, parts), "bucket long, kind int, a binary"), "suffix-met")
     asked = met.where("kind = 1").select("bucket", "a").repartition("bucket").mapInArrow(_by_document(REQUEST), "doc long, a binary")
-    fetched = clean.join(asked, clean.doc_id == asked.doc).select("doc_id", "text", "a").mapInArrow(_fetch(size, ranges, first, parts), "key long, doc long, at long, n int, many boolean, data binary")
+    fetched = clean.join(asked, clean.rid == asked.doc).select("rid", "text", "a").mapInArrow(_fetch(size, ranges, first, parts), "key long, doc long, at long, n int, many boolean, data binary")
     decided = fetched.repartition("key").sortWithinPartitions("key").mapInArrow(_decide(size, first, parts), "bucket long, a binary")
     spans = common.cut(met.where("kind = 0").select("bucket", "a").union(decided).repartition("bucket").mapInArrow(_by_document(SPAN), "doc long, a binary"), "suffix-spans")
 
@@ -446,7 +448,7 @@ def dedup(docs: DataFrame, size: int = SIZE, keep: str = "first", hot: int = HOT
         out = [part.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha), pa.array(kept, pa.string())]
         return pa.RecordBatch.from_arrays(out[: 5 + with_text], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"][: 5 + with_text])
 
-    rows = clean.join(spans, clean.doc_id == spans.doc, "left").select("doc_id", "text", "a")
+    rows = rows.join(spans, rows.rid == spans.doc, "left").select("doc_id", "text", "a")
     return common.arrow_map(rows, cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text, "text")
 
 
