@@ -9,7 +9,9 @@ Models are learned from at most `sample` rows of known language, those of the sm
 is a logistic function of the smallest margin that the winner has over another language, of the family models for
 languages of other families. Text that is null or has no letter gives `und` and 0. With one learned language that
 one is given with score 1 to every text with a letter; with none, `und`. Ties go to the first name in order.
-Repeated rows get the same answer. Other columns are never read.
+Repeated rows get the same answer; of rows that share a doc_id one is learned from. Rows with a null doc_id are
+answered, not learned from. Very long texts are read whole, in pieces. An empty table gives no rows, and no languages
+to learn. Other columns, of whatever name, are never read.
 """
 
 from __future__ import annotations
@@ -155,14 +157,17 @@ def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = EPOCHS) ->
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from at most `sample` rows of docs (doc_id, text, lang) whose lang is not null."""
-    ids = docs.where("lang is not null and doc_id is not null").groupBy("doc_id").agg(F.min("lang").alias("known")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.col("text").cast("string"), "known")
+    one = docs.where("lang is not null and doc_id is not null").select("doc_id", "lang", F.xxhash64("text").alias("h"))
+    ids = one.groupBy("doc_id").agg(F.min("lang").alias("known"), F.min("h").alias("h")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h")).join(F.broadcast(ids), ["doc_id", "h"]).select(F.col("doc_id").cast("string").alias("doc_id"), "text", "known")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        got = [(c.astype(np.float32).tobytes(), k) for t, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if (c := counts(t)) is not None]
-        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in got], pa.binary()), pa.array([k for _, k in got], pa.string())], ["c", "known"])
+        got = [(d, c.astype(np.float32).tobytes(), k) for d, t, k in zip(*(x.to_pylist() for x in batch.columns), strict=True) if (c := counts(t)) is not None]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in got], t) for i, t in enumerate((pa.string(), pa.binary(), pa.string()))], ["doc_id", "c", "known"])
 
-    got = sorted((r.known, bytes(r.c)) for r in common.arrow_map(rows, run, "c binary, known string", "text").collect())
+    # a row that stands many times counts once, so no more than `sample` vectors come to the driver
+    made = common.arrow_map(rows, run, "doc_id string, c binary, known string", "text").groupBy("doc_id").agg(F.min("c").alias("c"), F.min("known").alias("known"))
+    got = sorted((r.known, bytes(r.c)) for r in made.collect())
     raw = np.frombuffer(b"".join(c for _, c in got), np.float32).reshape(len(got), BINS)
     vectors = np.sqrt(raw)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)[:, None]

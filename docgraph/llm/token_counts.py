@@ -9,7 +9,8 @@ differ. Then the sums on the way to the root are set.
 
 Edits are (start, end, replacement) in code points of the old text, in any order, not overlapping; an edit beyond the
 text is cut to it, a null replacement is empty, overlapping ones are an error (ValueError). Null texts are empty and
-count 0. Repeated rows are counted each. Other columns are never read.
+count 0. Very long texts have a tree of more leaves. Repeated rows, and rows with a null doc_id, are counted each; ties
+do not occur. An empty table gives no rows. Other columns, of whatever name, are never read.
 """
 
 from __future__ import annotations

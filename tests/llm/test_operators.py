@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,8 +50,8 @@ def word_sets(text):
     return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
 
 
-def joined(rows):
-    """Brute force over all pairs of (doc_id, text)."""
+def grouped(rows):
+    """Brute force over all pairs of (doc_id, text): the sets, and of each row its links and its group's first place."""
     s = [word_sets(t) for _, t in rows]
     parent, n = list(range(len(s))), [0] * len(s)
 
@@ -62,13 +63,29 @@ def joined(rows):
     for i in range(len(s)):
         for j in range(i):
             if s[i] and s[j] and 100 * len(s[i] & s[j]) >= 80 * len(s[i] | s[j]):
-                parent[root(i)] = root(j)
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
                 n[i] += 1
                 n[j] += 1
+    return s, n, [root(i) for i in range(len(s))]
+
+
+def joined(rows):
+    """doc_id, n_shingles, n_links, component_id of each row."""
+    s, n, root = grouped(rows)
     low = {}
     for i, (d, _) in enumerate(rows):
-        low[root(i)] = least(low.get(root(i)), d)
-    return sorted(((d, len(s[i]), n[i], low[root(i)]) for i, (d, _) in enumerate(rows)), key=lambda r: (r[0] is None, r))
+        low[root[i]] = least(low.get(root[i]), d)
+    return sorted(((d, len(s[i]), n[i], low[root[i]]) for i, (d, _) in enumerate(rows)), key=lambda r: (r[0] is None, r))
+
+
+def first_of_each(rows):
+    """The rows of which each is the first of its group: smallest doc_id, none last, then place."""
+    _, _, root = grouped(rows)
+    best = {}
+    for i, (d, _) in enumerate(rows):
+        best[root[i]] = min(best.get(root[i], (True, 0, 1 << 40)), (d is None, d or 0, i))
+    return [rows[i] for _, _, i in best.values()]
 
 
 def least(a, b):
@@ -515,6 +532,9 @@ def test_language(spark, data):
     docs, _ = hostile(spark)
     r = {x.text: x for x in language.identify(docs, model).join(docs.select("doc_id", "text"), "doc_id").collect()}
     assert all((r[t].lang_pred, r[t].score) == ("und", 0.0) for t in ("", " \n\t ")) and all(0 <= x.score <= 1 for x in r.values())
+    assert language.identify(empty(spark), model).count() == 0 and language.learn(empty(spark)).languages == []
+    many = language.learn(docs.union(docs).union(docs).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b")))
+    assert many.languages == ["a", "b"]
     none = language.learn(docs.withColumn("lang", F.lit(None).cast("string")))
     assert none.predict(language.counts("abc")) == ("und", 0.0)
     one = language.learn(docs.withColumn("lang", F.lit("en")))
