@@ -23,17 +23,22 @@ class Node:
 
     def walk(self) -> Iterator[Node]:
         """All nodes below, in document order."""
-        for c in self.children:
-            if isinstance(c, Node):
-                yield c
-                yield from c.walk()
+        return (x for x in self.below() if isinstance(x, Node))
 
     def texts(self) -> Iterator[str]:
-        for c in self.children:
-            if isinstance(c, str):
-                yield c
-            else:
-                yield from c.texts()
+        return (x for x in self.below() if isinstance(x, str))
+
+    def below(self) -> Iterator[Node | str]:
+        """Nodes and pieces of text below, in document order. A stack of open lists: tags may nest to any depth."""
+        stack = [iter(self.children)]
+        while stack:
+            x = next(stack[-1], None)
+            if x is None:
+                stack.pop()
+                continue
+            yield x
+            if isinstance(x, Node):
+                stack.append(iter(x.children))
 
     def text(self, between: str = "") -> str:
         """Stripped pieces of text, without the empty ones, joined."""

@@ -14,7 +14,7 @@ from ..functions import vocabulary as V
 from ..operators.parse import anchors, udf
 
 TOC = "struct<ord:int,url:string,link_text:string,tag:string,namespace:string,full_name:string,declaring_type_hint:string>"
-KIND_WORDS = ("Class", "Structure", "Enumeration", "Interface")
+KIND_WORDS = ("Class", "Structure", "Struct", "Enumeration", "Enum", "Interface")
 
 
 def toc_rows(text: str | None, root: str | None, prefix: str | None, wanted: list[str] | None = None) -> list[dict]:
@@ -54,7 +54,7 @@ def toc_rows(text: str | None, root: str | None, prefix: str | None, wanted: lis
 def from_toc(tocs: DataFrame, root: str, prefix: str = V.DB_NAMESPACE, wanted: list[str] | None = None) -> DataFrame:
     """Entries of TOC files (text); the first of equal URLs counts."""
     rows = tocs.select(F.explode(udf(lambda t: toc_rows(t, root, prefix, wanted), f"array<{TOC}>")("text")).alias("x")).select("x.*")
-    return first_wins(rows, "url", "ord").withColumn("discovered_via", F.lit("namespace_json"))
+    return first_wins(rows, "url", "ord").withColumn("discovered_via", F.concat(F.lit("namespace_json:"), F.coalesce("tag", F.lit(""))))
 
 
 def found_targets(wanted: DataFrame, entries: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docgraph.functions import html as H
-from docgraph.functions.text import block, top_level_parts, without_trailing_group
+from docgraph.functions.text import closing, tokens, top_level_parts, without_trailing_group
 from docgraph.operators import classify, graph
 from docgraph.operators import parse as P
 
@@ -57,7 +57,41 @@ def test_html_tree():
 def test_brackets():
     assert without_trailing_group("F Method (A(B), C)") == "F Method" and without_trailing_group("F )x)") == "F )x)"
     assert top_level_parts("a<b,c>,d[e,f],g>") == ["a<b,c>", "d[e,f]", "g>"]
-    assert block("x{a{b}c}d", 1) == "{a{b}c}" and block("{a", 0) == "{a"
+    assert top_level_parts("a>,b") == ["a>", "b"] and top_level_parts("") == [] and top_level_parts("a,") == ["a"]
+
+
+def test_tokens():
+    ts = tokens('x{ /* } */ a("}", \'}\') // }\n#if }\n@"c""}" => $"{y}" }z')
+    assert [t.text for t in ts if t.kind == "string"] == ['"}"', '@"c""}"', '$"{y}"'] and [t.kind for t in ts].count("comment") == 2
+    assert ts[closing(ts, 1, "{}")].end == ts[-1].at and closing(tokens("{a"), 0, "{}") == 2 and "=>" in [t.text for t in ts]
+
+
+@pytest.mark.parametrize("depth", [1, 5000])
+def test_deep_pages(depth):
+    page = P.parse_page("u", SPACE + "<h1>Wall Class</h1>" + "<p>" * depth + "deep", "1", None)
+    assert page["kind"] == "class" and H.tree("<p>" * depth + "deep").text() == "deep" and len(H.tree("<b>" * depth).all("b")) == depth
+
+
+@pytest.mark.parametrize(
+    "syntax, want",
+    [
+        ("public class Wall : HostObject, IDisposable { }", ("HostObject", ["IDisposable"])), ("public class Foo<T> : Bar", (None, [])), ("public enum A : int", ("int", [])), ("interface X : IFoo, IBar", (None, ["IFoo", "IBar"])),
+    ],
+)
+def test_bases(syntax, want):
+    assert P.bases(syntax)[:2] == want
+
+
+@pytest.mark.parametrize(
+    "syntax, want",
+    [
+        ("public IList < ElementId > GetX ( )", ("IList < ElementId >", [])), ("public int[] F(ref A.B x)", ("int[]", ["ref A.B"])), ("int? X {", ("int?", [])), ("public static A.B.C<D, E> Make(IDictionary<F, G> m, H[,] n)", ("A.B.C<D, E>", ["IDictionary<F, G>", "H[,]"])),
+        ("public Element this[int x] { get; }", (None, [])), ("void F(int a", (None, [])), ("", (None, [])),
+    ],
+)
+def test_signatures(syntax, want):
+    returns, parameters, _ = P.signature(syntax)
+    assert (returns, [p["type"] for p in parameters]) == want
 
 
 def pages(spark, rows):
