@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,13 +29,32 @@ def _save(df: DataFrame, out: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{out}/{name}.parquet")
 
 
+def _renamed(spark: SparkSession, out: str, name: str, to: str) -> bool:
+    """Whether out/name.parquet was there and has the new name now."""
+    path = lambda x: spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{x}.parquet")
+    fs = path(name).getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(path(name)) and fs.rename(path(name), path(to))
+
+
 def _replace(df: DataFrame, out: str, name: str) -> DataFrame:
-    """As _save(), for a table that df itself is read from."""
+    """As _save(), for a table that df itself is read from: written beside it, then the two are switched by renaming.
+
+    At every moment one whole version is there; _table() takes up what a crash between the two renamings left.
+    """
+    spark = df.sparkSession
     _save(df, out, f"{name}.new")
-    return _save(df.sparkSession.read.parquet(f"{out}/{name}.new.parquet"), out, name)
+    old = f"{name}.old-{uuid.uuid4().hex}"
+    if _renamed(spark, out, name, old):
+        _renamed(spark, out, f"{name}.new", name)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{old}.parquet")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return spark.read.schema(df.schema).parquet(f"{out}/{name}.parquet")
 
 
 def _table(spark: SparkSession, out: str, name: str) -> DataFrame:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{name}.parquet")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        _renamed(spark, out, f"{name}.new", name)
     return spark.read.parquet(f"{out}/{name}.parquet")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import vocabulary as V
+from .lineage import cut
 
 TYPE_KINDS = ["class", "struct", "enum", "interface"]
 _ONE_ARGUMENT = rf"^(?:{'|'.join(V.COLLECTIONS)})\s*<\s*([\w.]+)\s*>$"
@@ -33,14 +34,13 @@ def chains(pages: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     stepped = stepped.withColumn("end", F.when(F.col("next") == F.col("at"), "loop").when(F.col("next").isNull(), "open"))
     now = stepped.select("at", F.when(F.col("end").isNull(), F.array("next")).otherwise(none).alias("chain"), F.when(F.col("end").isNull(), F.col("next")).alias("last"), "end")
-    held = lambda df: df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df.localCheckpoint()
-    now = held(now)
+    now = cut(now)
     while not now.where("last is not null").isEmpty():
         far = now.select(F.col("at").alias("fat"), F.col("chain").alias("more"), F.col("last").alias("further"), F.col("end").alias("far_end"))
         grown = now.join(far, F.col("last") == F.col("fat"), "left").withColumn("all", F.concat("chain", F.coalesce("more", none)))
         # each name has one base: behind the first name that comes again nothing is new
         grown = grown.withColumn("whole", F.array_distinct(F.concat(F.array("at"), "all"))).withColumn("again", F.size("whole") <= F.size("all"))
-        now = held(grown.select("at", F.slice("whole", F.lit(2), F.greatest(F.size("whole") - 1, F.lit(0))).alias("chain"), F.when(~F.col("again"), F.col("further")).alias("last"), F.when(F.col("again"), "loop").otherwise(F.coalesce("end", "far_end")).alias("end")))
+        now = cut(grown.select("at", F.slice("whole", F.lit(2), F.greatest(F.size("whole") - 1, F.lit(0))).alias("chain"), F.when(~F.col("again"), F.col("further")).alias("last"), F.when(F.col("again"), "loop").otherwise(F.coalesce("end", "far_end")).alias("end")))
     done = names.join(now, F.col("full_type_name").eqNullSafe(F.col("at"))).select("full_type_name", "chain", "end")
     shorts = F.transform("chain", lambda c: F.substring_index(c, ".", -1))
     end = F.element_at(shorts, -1)

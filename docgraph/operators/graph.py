@@ -52,10 +52,15 @@ def core(g: Graph) -> Graph:
     return Graph(g.nodes.join(ends, "id", "left_semi"), e)
 
 
-def projection(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Undirected edges a < b with their multiplicity and first place; loops, nulls and foreign ends are left out."""
-    inside = nodes.select("id").distinct()
-    e = edges.where("source <> target").join(inside.select(F.col("id").alias("source")), "source", "left_semi").join(inside.select(F.col("id").alias("target")), "target", "left_semi")
+def projection(nodes: DataFrame, edges: DataFrame, inside: bool = False) -> DataFrame:
+    """Undirected edges a < b with their multiplicity and first place; loops, nulls and foreign ends are left out.
+
+    inside: all ends are known to be nodes, as those of build() and core() are, and need not be looked up again.
+    """
+    e = edges.where("source <> target")
+    if not inside:
+        ids = nodes.select("id").distinct()
+        e = e.join(ids.select(F.col("id").alias("source")), "source", "left_semi").join(ids.select(F.col("id").alias("target")), "target", "left_semi")
     return e.groupBy(F.least("source", "target").alias("a"), F.greatest("source", "target").alias("b")).agg(F.count("*").alias("weight"), F.min("ord").alias("first"))
 
 

@@ -19,10 +19,25 @@ def rates(log: DataFrame, key: list[str] | None = None, order: str = "seq", elap
     return log.withColumn("trailing_rate", F.when(dt > 0, dp / dt).otherwise(0.0)).withColumn("overall_rate", F.when(F.col(elapsed) > 0, F.col(pages) / F.col(elapsed)).otherwise(0.0))
 
 
-def trailing_mean(log: DataFrame, value: str, key: list[str], order: str = "seq", last: int = 50, fallback: float | None = None) -> DataFrame:
-    """Mean of the last `last` values of the row's key; the fallback where there is none."""
-    w = Window.partitionBy(*key).orderBy(order).rowsBetween(1 - last, 0)
-    return log.withColumn("trailing_mean", F.coalesce(F.avg(value).over(w), F.lit(fallback)))
+def trailing_mean(log: DataFrame, value: str, key: list[str], order: str = "seq", last: int = 50, fallback: float | None = None, ranges: int = 64) -> DataFrame:
+    """Mean of the last `last` values of the row's key; the fallback where there is none.
+
+    The order is cut into `ranges` ranges, and each range of a key gets the last values of the key before it, so that
+    keys of few values and very many rows are not one task each.
+    """
+    share = [k / ranges for k in range(1, ranges)]
+    bounds = log.agg(F.percentile_approx(order, F.array(*map(F.lit, share)), F.lit(1000)).alias("b")).first().b or []
+    rows = log.withColumn("_range", F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col(order))) if bounds else F.lit(0))
+    place = Window.partitionBy(*key, "_range").orderBy(F.desc(order))
+    ends = rows.select(*key, "_range", order, value, F.row_number().over(place).alias("_n")).where(F.col("_n") < last)
+    ends = ends.groupBy(*key, "_range").agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v")))).alias("tail"))
+    # of a key at most `ranges` lists of less than `last` values
+    tails = ends.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_range", "tail"))).alias("all")).withColumn("own", F.explode("all"))
+    before = F.flatten(F.transform(F.filter("all", lambda x: x["_range"] < F.col("own._range")), lambda x: x["tail"]))
+    carried_in = tails.select(*key, F.col("own._range").alias("_range"), F.explode(F.slice(before, F.greatest(F.size(before) - (last - 2), F.lit(1)), last - 1)).alias("x")).select(*key, "_range", F.col("x.o").alias(order), F.col("x.v").alias(value), F.lit(False).alias("_own"))
+    w = Window.partitionBy(*key, "_range").orderBy(order, "_own").rowsBetween(1 - last, 0)
+    both = rows.withColumn("_own", F.lit(True)).unionByName(carried_in, allowMissingColumns=True)
+    return both.withColumn("trailing_mean", F.coalesce(F.avg(value).over(w), F.lit(fallback))).where("_own").drop("_own", "_range")
 
 
 def carried(rows: DataFrame, value, key: list[str], order: str, as_: str, default: str | None = None) -> DataFrame:

@@ -150,13 +150,13 @@ def target_resolutions(t, spark):
 @query("SELECT least('P' || l_partkey, 'S.S' || l_suppkey) AS a, greatest('P' || l_partkey, 'S.S' || l_suppkey) AS b, count(*) AS weight FROM lineitem GROUP BY 1, 2")
 def undirected_projection(t, spark):
     g = _graph(t)
-    return graph.projection(g.nodes, g.edges).select("a", "b", "weight")
+    return graph.projection(g.nodes, g.edges, inside=True).select("a", "b", "weight")
 
 
 @query("SELECT id, count(*) AS degree FROM (SELECT 'P' || l_partkey AS id FROM lineitem UNION ALL SELECT 'S.S' || l_suppkey FROM lineitem) GROUP BY 1")
 def node_degree(t, spark):
     g = _graph(t)
-    return graph.degrees(graph.projection(g.nodes, g.edges))
+    return graph.degrees(graph.projection(g.nodes, g.edges, inside=True))
 
 
 @query(None)
@@ -212,7 +212,6 @@ def overload_match(t, spark):
 @query("SELECT p_partkey, CASE WHEN p_partkey % 3 <> 0 AND (p_partkey % 2 = 0 OR p_partkey % 5 = 0) THEN TRUE END AS referenced, CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 2 = 0 THEN 'A' WHEN p_partkey % 3 <> 0 AND p_partkey % 5 = 0 THEN 'B' END AS descriptor_class FROM part WHERE p_size <= 25")
 def descriptor_corroborate(t, spark):
     """Parts as members of type T: class A resolves the even ones, B every fifth; both add every third themselves."""
-    names = lambda cond: [f"M{k}" for k in range(7) if cond(k)]  # noqa: E731, F841
     part = t("part").select("p_partkey", "p_size", F.concat(F.lit("M"), "p_partkey").alias("m"))
     resolved = lambda cond: F.transform(F.filter(F.collect_list(F.when(cond, F.col("m"))), lambda x: x.isNotNull()), lambda x: F.struct(x.alias("member_name"), F.lit("nameof").alias("name_source"), F.lit(False).alias("requires_document_context"), F.lit(False).alias("has_multiple_variants")))
     k = F.col("p_partkey")

@@ -8,24 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import classify, graph, parse
+from ..operators.lineage import cut
 from ..sources.discover import first_wins
 
 
 def frontier(seeds: DataFrame, links: DataFrame, most: int | None = None, rounds: int = 10_000) -> DataFrame:
     """(url, round) of all pages reachable from seeds (url) by links (url, to), breadth first.
 
-    Each round is one join with what is not visited yet; rounds end at the fixpoint or when `most` pages are visited.
+    Each round is one join with what is not visited yet; rounds end at the fixpoint or when `most` pages are visited. Every
+    round is cut, and what is visited each 8 rounds, so that plans do not grow with the depth.
     """
-    visited = seeds.select("url").distinct().withColumn("round", F.lit(0)).cache()
+    visited = cut(seeds.select("url").distinct().withColumn("round", F.lit(0)))
     now, n = visited, visited.count()
     for k in range(1, rounds):
         if most is not None and n >= most:
             break
         new = now.join(links, "url").select(F.col("to").alias("url")).distinct().join(visited.select("url"), "url", "left_anti").withColumn("round", F.lit(k))
-        new = new.checkpoint() if new.sparkSession.conf.get("spark.checkpoint.dir", None) else new.cache()
+        new = cut(new)
         if not (grown := new.count()):
             break
         visited, now, n = visited.union(new), new, n + grown
+        visited = cut(visited) if k % 8 == 0 else visited
     return visited.orderBy("round", "url").limit(most) if most is not None else visited
 
 
@@ -50,16 +53,17 @@ def outputs(pages: DataFrame) -> dict[str, DataFrame]:
 
 
 def stream(spark: SparkSession, folder: str, checkpoint: str, write: Callable[[dict[str, DataFrame], bool], None], table: str, every: str = "30 seconds", once: bool = True):
-    """Parses arriving Parquet files of pages (url, html, version, hint), each url once, and rewrites the outputs.
+    """Parses arriving Parquet files of pages (url, html, version, hint) and rewrites the outputs.
 
-    Pages are kept as a table; each batch appends and recomputes (that is what a checkpoint of the crawl is). The sink
-    is idempotent: a batch that is repeated after a failure replaces its own part. On the end of the stream, also by an
-    error, write() is called once more with final=True.
+    Pages are kept as a table, of which the first page of each url counts, so that the stream needs no state that grows;
+    each batch appends and recomputes (that is what a checkpoint of the crawl is). The sink is idempotent: a batch that is
+    repeated after a failure replaces its own part. On the end of the stream, also by an error, write() is called once
+    more with final=True.
     """
-    arriving = spark.readStream.schema("ord long, url string, html string, version string, hint string").parquet(folder).dropDuplicates(["url"])
+    arriving = spark.readStream.schema("ord long, url string, html string, version string, hint string").parquet(folder)
 
     def batch(rows: DataFrame, epoch: int) -> None:
-        parse.parse(rows, F.col("hint")).write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
+        parse.parse(first_wins(rows, "url", "ord"), F.col("hint")).write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
         write(outputs(read()), False)
 
     def read() -> DataFrame:
@@ -84,6 +88,7 @@ def fetch_all(fetcher, entries: list[dict], version: str, write: Callable[[list[
     hints = {e["url"]: e.get("declaring_type_hint") for e in reversed(entries)}
     queue, known = [*dict.fromkeys(e["url"] for e in entries)], {e["url"] for e in entries}
     visited: list[str] = []
+    done: set[str] = set()
     failed: list[tuple[str, str]] = []
     rows: list[tuple] = []
     wrote, at = fetcher.clock(), 0
@@ -103,7 +108,7 @@ def fetch_all(fetcher, entries: list[dict], version: str, write: Callable[[list[
             rows.append((len(visited), url, html, version, hints.get(url)))
             own = page["full_type_name"] if page["kind"] in ("class", "struct", "interface", "members_index") else None
             links = [(x["url"], x["declaring_type_hint"] or own) for x in page["links"]] + ([(page["members_page"], own)] if page["members_page"] and own else [])
-            done = set(visited)
+            done.add(url)
             for to, hint in links:
                 if to not in done and f"/{version}/" in to:
                     hints[to] = hint or hints.get(to)

@@ -80,6 +80,8 @@ def test_toc():
     assert [(r["url"], r["declaring_type_hint"]) for r in rows] == [("http://h/1/t.htm", "A.B.T"), ("http://h/1/m.htm", "A.B.T"), ("http://h/1/t.htm", "A.B.T"), ("http://h/1/v.htm", "A.B.C.V")]
     assert [r["url"] for r in discover.toc_rows(TREE, "http://h/1/", "A.B", ["A.B.C.V", "A.B.X"])] == ["http://h/1/v.htm"]
     assert discover.toc_rows("{", "", "A") == []
+    kinds = json.dumps({"children": [{"title": "A Namespace", "children": [{"title": f"N{k} {w}", "tag": t, "href": f"{k}.htm"} for k, (w, t) in enumerate([("Struct", "Struct"), ("Structure", "Structure"), ("Enum", "Enum"), ("Enumeration", "Enumeration"), ("Interface", "Interface")])]}]})
+    assert [r["full_name"] for r in discover.toc_rows(kinds, "", "A")] == [f"A.N{k}" for k in range(5)]
 
 
 def test_discovery_merge(spark):
@@ -89,7 +91,7 @@ def test_discovery_merge(spark):
     site = discover.from_sitemap(spark.createDataFrame([("http://h/sitemap.xml", "<u xmlns='x'><loc> http://h/1/s.htm </loc><loc>http://z/1/s.htm</loc></u>"), ("http://h/b.xml", "<broken")], "url string, text string"), "h", "1")
     got = discover.merge([toc, page, site]).collect()
     assert [(r.url, r.discovered_via, r.declaring_type_hint) for r in got] == [
-        ("http://h/1/t.htm", "root_page_anchor", None), ("http://h/1/m.htm", "namespace_json", "A.B.T"), ("http://h/1/v.htm", "namespace_json", "A.B.C.V"), ("http://h/1/0123456789ab.htm", "root_page_anchor:regex_guid", None), ("http://h/1/s.htm", "sitemap_xml", None),
+        ("http://h/1/t.htm", "root_page_anchor", None), ("http://h/1/m.htm", "namespace_json:Method", "A.B.T"), ("http://h/1/v.htm", "namespace_json:Class", "A.B.C.V"), ("http://h/1/0123456789ab.htm", "root_page_anchor:regex_guid", None), ("http://h/1/s.htm", "sitemap_xml", None),
     ]
     assert discover.safely({"a": lambda: 1, "b": lambda: 1 / 0})[0] == [1]
 
@@ -199,6 +201,19 @@ def test_stream(spark, tmp_path):
     assert said[-1] == (True, ["A", "B", "C"]) and said[0][0] is False
 
 
+@pytest.mark.parametrize("last, ranges", [(4, 7), (50, 3), (1, 5)])
+def test_trailing_mean_over_ranges(spark, last, ranges):
+    rows = [(k * k % 101, ("a", "b")[k % 11 == 0], float(k % 13) if k % 7 else None) for k in range(101)]
+    rows = [(s, k, v) for s, (k, v) in {s: (k, v) for s, k, v in rows}.items()]
+    log = spark.createDataFrame(rows, "seq long, k string, v double")
+    got = {r.seq: r.trailing_mean for r in progress.trailing_mean(log, "v", ["k"], "seq", last, -1.0, ranges).collect()}
+    for s, k, _ in rows:
+        own = [v for t, j, v in sorted(rows) if j == k and t <= s][-last:]
+        own = [v for v in own if v is not None]
+        assert got[s] == pytest.approx(sum(own) / len(own) if own else -1.0)
+    assert len(got) == len(rows) and progress.trailing_mean(log.where("false"), "v", ["k"], "seq").count() == 0
+
+
 def test_frontier(spark):
     links = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "y")], "url string, to string")
     seeds = spark.createDataFrame([("a",)], "url string")
