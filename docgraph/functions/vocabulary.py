@@ -92,8 +92,9 @@ FAMILIES = {
     "USES_MATERIAL": "Physical / Material", "USES_FILL_PATTERN": "Physical / Material", "USES_LINE_PATTERN": "Physical / Material",
     "ASSIGNED_TO_LEVEL": "Spatial / Level", "ASSIGNED_TO_PHASE": "Lifecycle / Phase", "ASSIGNED_TO_DESIGN_OPTION": "Design Options",
     "HOSTED_BY": "Model Structure", "DEPENDS_ON": "Model Structure", "TYPE_OF": "Model Structure", "INSTANCE_OF": "Model Structure", "BELONGS_TO_FAMILY": "Model Structure",
-    "PLACED_ON_SHEET": "Documentation", "TAGS_ELEMENT": "Annotation", "REFERENCES": "Referencing", "RETURNS_ELEMENT_IDS": "Referencing",
+    "PLACED_ON_SHEET": "Documentation", "TAGS_ELEMENT": "Annotation", "REFERENCES": "Referencing",
     "OWNED_BY_WORKSET": "Collaboration", "MEMBER_OF_GROUP": "Grouping", "MEMBER_OF_ASSEMBLY": "Grouping", "CONTROLLED_BY_TEMPLATE": "View Control",
+    "RETURNS_ELEMENT_IDS": "Referencing",
 }
 
 # Title suffixes in order and the kind of page that they name.

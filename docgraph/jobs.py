@@ -23,6 +23,10 @@ from .sinks import files, report
 from .sources import csharp, tables
 
 
+LIMITS = ["candidates come from documentation pages alone, until a manifest or descriptor sources are held against them", "pages whose layout is not known give notes and less data"]
+NEXT = ["check the candidates against the compiled manifest", "look at the largest groups of unknown relations"]
+
+
 def _save(df: DataFrame, out: str, name: str) -> DataFrame:
     """Writes a table and reads it back, so that what follows starts from it."""
     df.write.mode("overwrite").parquet(f"{out}/{name}.parquet")
@@ -83,7 +87,12 @@ def graphs(spark: SparkSession, out: str, label_fn: Callable | None = None) -> g
     _save(c.nodes, out, "graph_core_nodes")
     _save(c.edges, out, "graph_core_edges")
     _write_text(spark, f"{out}/graph.html", report.graph_page(c))
-    _write_text(spark, f"{out}/roles.svg", report.flow_chart(roles.relationship_map(c.nodes, c.edges)["triples"]))
+    _write_text(spark, f"{out}/roles.html", report.role_page(roles.relationship_map(c.nodes, c.edges)))
+    # both graphs as documents: metadata, nodes and edges, with the same communities
+    for name, own in (("graph", g), ("graph_core", c)):
+        files.json_table(own.nodes.orderBy("id"), f"{out}/{name}/nodes", None)
+        files.json_table(own.edges, f"{out}/{name}/edges")
+        files.json_table(named.orderBy("community_id"), f"{out}/{name}/communities", None)
     _refresh(spark, out, "Graph", report.table(graph.metadata(g).orderBy("axis", "value"), 100) + "\n\n" + report.table(named.select("community_id", "label", "size").orderBy("community_id"), 10))
     return g
 
@@ -98,14 +107,14 @@ def full(spark: SparkSession, pages: DataFrame, out: str, prefix: str | None = N
     """All outputs of cached pages (ord, url, html, version, hint). prefix keeps records of namespaces that start with it."""
     parsed = parse.parse(pages, F.col("hint") if "hint" in pages.columns else None)
     if prefix:
-        parsed = parsed.where((F.coalesce("namespace", F.lit("")) == "") | F.col("namespace").startswith(prefix))
+        parsed = parsed.where(parse.in_namespace(F.col("namespace"), prefix))
     parsed = _save(parsed, out, "parsed")
     files.api_pages(parsed.drop("links", "members_page", "sniffed"), f"{out}/api_pages", with_text)
     nodes, edges = _save(classify.nodes(parsed), out, "nodes"), _save(classify.edges(parsed), out, "edges")
     files.edges_by_kind(edges, f"{out}/edges_by_kind")
     files.json_table(files.enum_catalog(parsed), f"{out}/enums", None)
     g = graphs(spark, out, label_fn)
-    _write_text(spark, f"{out}/summary.md", report.summary(parsed, nodes, edges, g, _table(spark, out, "communities")))
+    _write_text(spark, f"{out}/summary.md", report.summary(parsed, nodes, edges, g, _table(spark, out, "communities"), scope={"namespace": prefix}, limits=LIMITS, next_steps=NEXT))
     return g
 
 
@@ -120,7 +129,7 @@ def manifest(spark: SparkSession, out: str, path: str) -> None:
     _replace(_table(spark, out, "manifest_types").select(*nodes.columns), out, "nodes")
     _replace(results.select(*edges.columns), out, "edges")
     graphs(spark, out)
-    _refresh(spark, out, "Compiled manifest", report.corroboration(results, "dll_verified_status"))
+    _refresh(spark, out, "Compiled manifest", report.corroboration(results, "dll_verified_status", scope="dll_relationship_scope"))
 
 
 def mine(spark: SparkSession, sources: str, tag: str, out: str) -> None:
@@ -148,7 +157,7 @@ def targeted(spark: SparkSession, pages: DataFrame, out: str, targets: list[str]
     members = parsed.select("ord", F.explode("members").alias("m")).select(F.col("m.declaring_type").alias("full_type_name"), F.col("m.name").alias("member_name"), "ord")
     found = corroborate.targets(wanted, parsed.select("full_type_name"), parsed)
     known = corroborate.known_edges(asked, members, classify.chains(parsed).select("full_type_name", "chain"), edges)
-    _write_text(spark, f"{out}/validation.md", report.validation(found.orderBy("full_type_name"), known.orderBy("check_ord"), edges))
+    _write_text(spark, f"{out}/validation.md", report.validation(found.orderBy("full_type_name"), known.orderBy("check_ord"), parsed, _table(spark, out, "nodes"), edges))
 
 
 def main(args: list[str] | None = None) -> None:

@@ -18,7 +18,8 @@ def chains(pages: DataFrame) -> DataFrame:
 
     A base is looked up by its full name, else by its short name in the last page of that short name. Each round appends
     to every unfinished chain the chain of its last base, so their lengths double; rounds end when all chains have ended,
-    at a name without a base or before the first name that would come again. No length is too long.
+    at a name without a base or before the first name that would come again. No length is too long. Element itself, and what
+    has it above, is one; a chain that ends at Object or ValueType, or comes round, is none; of others it is unknown.
     """
     own = pages.where(F.col("kind").isin(TYPE_KINDS))
     typed = own.where(F.col("kind").isin("class", "struct"))
@@ -41,12 +42,12 @@ def chains(pages: DataFrame) -> DataFrame:
         # each name has one base: behind the first name that comes again nothing is new
         grown = grown.withColumn("whole", F.array_distinct(F.concat(F.array("at"), "all"))).withColumn("again", F.size("whole") <= F.size("all"))
         now = cut(grown.select("at", F.slice("whole", F.lit(2), F.greatest(F.size("whole") - 1, F.lit(0))).alias("chain"), F.when(~F.col("again"), F.col("further")).alias("last"), F.when(F.col("again"), "loop").otherwise(F.coalesce("end", "far_end")).alias("end")))
-    done = names.join(now, F.col("full_type_name").eqNullSafe(F.col("at"))).select("full_type_name", "chain", "end")
-    shorts = F.transform("chain", lambda c: F.substring_index(c, ".", -1))
-    end = F.element_at(shorts, -1)
-    element = (
-        F.when(F.size("chain") == 0, "unknown").when(F.array_contains(shorts, "Element") | F.array_contains(shorts, "ElementType"), "true").when((F.col("end") == "loop") | end.isin("Object", "ValueType"), "false").otherwise("unknown")
-    )
+    done = names.join(now, F.col("full_type_name").eqNullSafe(F.col("at"))).select("full_type_name", "chain")
+    # a chain that came round again ends at a type whose base is known, if it is spelled in full
+    based = by_full.where("v <> ''").select(F.col("k").alias("end"), F.lit(True).alias("based"))
+    done = done.withColumn("end", F.try_element_at("chain", F.lit(-1))).join(based, "end", "left")
+    is_one = F.exists(F.concat("chain", F.array("full_type_name")), lambda c: F.substring_index(c, ".", -1) == "Element")
+    element = F.when(is_one, "true").when(F.size("chain") == 0, "unknown").when(F.substring_index("end", ".", -1).isin("Object", "ValueType") | F.col("based"), "false").otherwise("unknown")
     return done.select("full_type_name", "chain", element.alias("is_element"))
 
 

@@ -3,16 +3,30 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which driver and executors share. Where it is unset, a temporary folder in
+    local mode (tests) and an error on a cluster."""
+    if at := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())
+    return spark.sparkContext.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df as a checkpoint in the folder that spark.checkpoint.dir names, which driver and executors share, so that a lost
-    executor costs no round. Where it is unset, a temporary folder in local mode (tests) and an error on a cluster."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())
+    """df as a checkpoint in the shared folder, so that a lost executor costs no round."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new path in the shared folder; it is deleted when the driver ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return path.toString()

@@ -92,7 +92,7 @@ def cached_split(t, spark):
 @query("SELECT p_partkey, p_type, p_type = 'TYPE1' OR starts_with(p_type, 'TYPE1.') AS dotted_prefix, starts_with(p_type, 'TYPE1') AS plain_prefix FROM part")
 def namespace_prefix_filter(t, spark):
     c, p = F.col("p_type"), "TYPE1"
-    return t("part").select("p_partkey", "p_type", ((c == p) | c.startswith(p + ".")).alias("dotted_prefix"), c.startswith(p).alias("plain_prefix"))
+    return t("part").select("p_partkey", "p_type", ((c == p) | c.startswith(p + ".")).alias("dotted_prefix"), parse.in_namespace(c, p).alias("plain_prefix"))
 
 
 _PHRASES = "CASE " + " ".join(f"WHEN contains(lower(text), '{p}') THEN '{p}'" for p in [*V.DOC_PHRASES]) + " END"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import pages, registry, typed  # noqa: F401
+from .plans import pages, registry, typed, values  # noqa: F401
 
 
 def queries() -> dict:

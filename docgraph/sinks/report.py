@@ -8,7 +8,10 @@ import math
 import re
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..functions import rules as R
+from ..operators.corroborate import histogram
 from ..operators.graph import Graph, core, metadata
 from ..operators.pareto import breakdown, by_confidence, totals
 
@@ -43,32 +46,62 @@ def replaced(text: str | None, title: str, body: str) -> str | None:
     return text.rstrip("\n") + "\n\n" + new
 
 
-def summary(pages: DataFrame, nodes: DataFrame, edges: DataFrame, graph: Graph, communities: DataFrame | None = None, unknown_top: int = 15) -> str:
-    """The summary of a run, with numbered sections."""
+def bullets(items: list[str]) -> str:
+    return "\n".join(f"- {x}" for x in items) or "- none"
+
+
+def summary(pages: DataFrame, nodes: DataFrame, edges: DataFrame, graph: Graph, communities: DataFrame | None = None, unknown_top: int = 15, scope: dict[str, object] | None = None, limits: list[str] = (), next_steps: list[str] = ()) -> str:
+    """The summary of a run, with numbered sections. scope: what was asked for, by name."""
     unknown = edges.where("candidate_edge_type like 'UNKNOWN%'")
+    enums = pages.where("kind = 'enum'").agg(F.count("*").alias("enums"), F.coalesce(F.sum(F.size("enum_members")), F.lit(0)).alias("members"))
     parts = {
+        "Scope": bullets([f"{k}: {v}" for k, v in (scope or {}).items() if v is not None]),
         "Pages": table(pages.groupBy("kind").count().orderBy("kind")),
         "Nodes": table(nodes.groupBy("class_role").count().orderBy("class_role")),
         "Edges": table(edges.groupBy("member_kind").count().orderBy("member_kind")),
         "Unknown relations": table(totals(edges)) + "\n\n" + table(breakdown(unknown, "candidate_target_type", unknown_top)),
         "Most certain edges": table(by_confidence(edges).select("source_type", "member_name", "candidate_edge_type", "candidate_target_type", "edge_confidence")),
         "Least certain edges": table(by_confidence(edges, certain=False).select("source_type", "member_name", "candidate_edge_type", "candidate_target_type", "edge_confidence")),
+        "Enum members": table(enums),
         "Parser notes": table(pages.where("size(parser_notes) > 0").groupBy("kind").count().orderBy("kind")),
         "Graph": table(metadata(graph).orderBy("axis", "value"), 100),
         "Core": table(metadata(core(graph)).where("axis in ('nodes', 'edges')").orderBy("axis")),
     }
     if communities is not None:
         parts["Communities"] = table(communities.select("community_id", "label", "size").orderBy("community_id"), 10)
+    parts |= {"Limitations": bullets(list(limits)), "Next steps": bullets(list(next_steps))}
     return "# Summary\n\n" + "\n".join(section(f"{k}. {t}", b) for k, (t, b) in enumerate(parts.items(), 1))
 
 
-def validation(targets: DataFrame, known: DataFrame, edges: DataFrame) -> str:
-    """What a targeted run found of its targets and expected edges."""
-    return "# Validation\n\n" + section("1. Targets", table(targets)) + "\n" + section("2. Expected edges", table(known)) + "\n" + section("3. Confidence", table(edges.groupBy("edge_confidence").count().orderBy("edge_confidence")))
+def validation(targets: DataFrame, known: DataFrame, pages: DataFrame, nodes: DataFrame, edges: DataFrame, failed: list[str] = (), notes: list[str] = (), least_targets: int = 10, least_checks: int = 5) -> str:
+    """What a targeted run found, with three kinds of success apart: were pages found, was data extracted, is a relation sure."""
+    t = targets.agg(F.count("*").alias("n"), F.count_if("found").alias("found"), F.count_if("parsed").alias("parsed")).first()
+    k = known.agg(F.count("*").alias("n"), F.count_if("member_found").alias("found"), F.count_if("edge_found").alias("edges")).first()
+    p = pages.agg(F.count("*").alias("n"), F.count_if(F.size("parser_notes") > 0).alias("noted")).first()
+    kinds = {r.member_kind: r["count"] for r in edges.groupBy("member_kind").count().collect()}
+    order = R.rank(F.col("edge_confidence"))
+    done = lambda ok, text: f"[{'x' if ok else ' '}] {text}"
+    parts = {
+        "Scope": bullets([f"targets: {t.n}", f"expected edges: {k.n}"]),
+        "Coverage": bullets([f"{t.found} of {t.n} targets found in the index", f"{len(failed)} pages failed", *notes]),
+        "Parser": bullets([f"{t.parsed} of {t.n} targets parsed", f"{p.n} pages parsed, {p.noted} of them with a note", f"{k.found} of {k.n} expected members found"]),
+        "Confidence": bullets([f"{kinds.get('property', 0)} candidates of properties, {kinds.get('method', 0)} of methods", f"{k.edges} of {k.n} expected edges produced"]) + "\n\n" + table(edges.groupBy("edge_confidence").count().orderBy(order)) + "\n\n" + table(nodes.groupBy("class_role").count().orderBy("class_role")),
+        "Targets": table(targets, 100),
+        "Expected edges": table(known, 100),
+        "Checklist": bullets([done(t.found >= least_targets, f"at least {least_targets} of {t.n} targets found ({t.found})"), done(k.n >= least_checks, f"at least {least_checks} expected edges reported ({k.n})"), done(kinds.get("property") and kinds.get("method"), "candidates of properties and of methods"), done(True, "coverage, parser and confidence are told apart")]),
+        "Limitations": bullets(["a target that was not found has no data in this run", "candidates come from documentation alone"]),
+    }
+    return "# Validation\n\n" + "\n".join(section(f"{n}. {title}", body) for n, (title, body) in enumerate(parts.items(), 1))
 
 
-def corroboration(results: DataFrame, column: str, top: int = 20) -> str:
-    return table(results.groupBy(column).count().orderBy(column)) + "\n\n" + table(results.select("source_type", "member_name", column).orderBy("source_type", "member_name"), top)
+def corroboration(results: DataFrame, column: str, top: int = 10, scope: str | None = None, notes: list[str] = ()) -> str:
+    """Counts and shares of each status (and scope), and the first rows of each status."""
+    parts = [bullets(list(notes))] if notes else []
+    parts += [table(histogram(results, c).orderBy("value")) for c in filter(None, (column, scope))]
+    for value in [r[0] for r in results.select(column).distinct().orderBy(column).collect()]:
+        rows = results.where(F.col(column).eqNullSafe(F.lit(value))).select("source_type", "member_name", *([scope] if scope else []))
+        parts.append(f"{column} {value}:\n\n" + table(rows.orderBy("source_type", "member_name"), top))
+    return "\n\n".join(parts)
 
 
 def embedded(template: str, mark: str, data: object) -> str:
@@ -85,6 +118,27 @@ def graph_page(g: Graph) -> str:
     return embedded(GRAPH_PAGE, "__DATA__", {"nodes": rows(g.nodes.select("id", "short_name", "external", "class_role")), "edges": rows(g.edges.select("source", "target", "edge_type", "confidence_tier"))})
 
 
+def heatmap(cells: DataFrame, role: str = "source_role", relation: str = "edge_type") -> str:
+    """An HTML table of weights by role and relation, in the order of the rows; shades go by the square root of the weight."""
+    data = cells.collect()
+    rows, columns = [*dict.fromkeys(r[role] for r in data)], [*dict.fromkeys(r[relation] for r in data)]
+    weight, most = {(r[role], r[relation]): r["weight"] for r in data}, max((r["weight"] for r in data), default=1)
+    cell = lambda n: f'<td style="background:rgba(74,120,176,{math.sqrt(n / most):.2f})">{n:,}</td>' if n else "<td></td>"
+    head = "".join(f"<th>{html_.escape(c)}</th>" for c in columns)
+    body = "".join(f"<tr><th>{html_.escape(r)}</th>" + "".join(cell(weight.get((r, c), 0)) for c in columns) + "</tr>" for r in rows)
+    return f"<table><tr><th></th>{head}</tr>{body}</table>"
+
+
+def role_page(made: dict[str, DataFrame]) -> str:
+    """The relationship map as one page: flow chart, heatmap, and the first edges behind each triple to unfold."""
+    told = made["disclosed"].first()
+    behind: dict[tuple, list[str]] = {}
+    for r in made["drilldown"].orderBy("source_role", "edge_type", "target_role", "place").toLocalIterator():
+        behind.setdefault((r.source_role, r.edge_type, r.target_role), []).append(f"{r.source}.{r.member_name} → {r.target}")
+    unfold = "".join(f"<details><summary>{html_.escape(' → '.join(k))}</summary><ul>{''.join(f'<li>{html_.escape(x)}</li>' for x in v)}</ul></details>" for k, v in behind.items())
+    return f"<!doctype html><meta charset=utf-8><title>Roles</title><p>{told.included:,} of {told.total:,} edges are shown</p>{flow_chart(made['triples'])}{heatmap(made['heatmap'])}{unfold}"
+
+
 def flow_chart(triples: DataFrame, width: int = 900, row: int = 22) -> str:
     """Triples as an SVG of curves from source to target roles; widths and opacities go by the square root of the weight."""
     data = triples.collect()

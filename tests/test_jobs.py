@@ -19,7 +19,7 @@ def test_lifecycle(spark, tmp_path):
     g = jobs.full(spark, pages, out)
     assert {r.id: r.community_id for r in g.nodes.collect()} == {"Autodesk.Revit.DB.Wall": 0, "Autodesk.Revit.DB.Level": 0, "Autodesk.Revit.DB.Kind": None}
     summary = (tmp_path / "out" / "summary.md").read_text()
-    assert "ASSIGNED_TO_LEVEL" in summary and "## 8. Graph" in summary
+    assert "ASSIGNED_TO_LEVEL" in summary and "## 10. Graph" in summary and "## 14. Next steps" in summary and "| 1 | 1 |" in summary
     (tmp_path / "m.json").write_text(json.dumps({"types": [{"full_type_name": "Autodesk.Revit.DB.Wall", "members": [{"name": "LevelId", "kind": "property", "return_type": "Autodesk.Revit.DB.ElementId", "parameters": []}]}]}))
     jobs.manifest(spark, out, str(tmp_path / "m.json"))
     (tmp_path / "r.json").write_text(json.dumps({"revitlookup_tag": "1", "descriptor_map": [{"target_type_short_name": "Wall", "descriptor_class": "D", "section": "S"}], "descriptors": [{"descriptor_class": "D", "resolved_members": [{"member_name": "LevelId", "name_source": "nameof", "requires_document_context": True, "has_multiple_variants": False}], "synthetic_extensions": [], "parser_notes": []}]}))
@@ -28,8 +28,16 @@ def test_lifecycle(spark, tmp_path):
     assert (e.dll_verified_status, e.dll_relationship_scope, e.lookup_referenced, e.lookup_requires_document_context) == ("signature_confirmed", "declared", True, True)
     again = (tmp_path / "out" / "summary.md").read_text()
     assert again.count("Compiled manifest") == again.count("Descriptor sources") == 1
+    assert "| signature_confirmed | 1 | 100.0 |" in again and "| declared | 1 | 100.0 |" in again
+    assert {r.id: r.community_id for r in spark.read.json(f"{out}/graph_core/nodes").collect()} == {"Autodesk.Revit.DB.Wall": 0, "Autodesk.Revit.DB.Level": 0} and spark.read.json(f"{out}/graph/nodes").count() == 3
+    page = (tmp_path / "out" / "roles.html").read_text()
+    assert "1 of 1 edges are shown" in page and "<details>" in page and "Autodesk.Revit.DB.Wall.LevelId" in page
+    # a crash between the two renamings of a replacement
+    (tmp_path / "out" / "nodes.parquet").rename(tmp_path / "out" / "nodes.new.parquet")
+    assert jobs._table(spark, out, "nodes").count() == 3
     jobs.targeted(spark, pages, out, ["Autodesk.Revit.DB.Wall", "Autodesk.Revit.DB.Gone"], [("Autodesk.Revit.DB.Wall", "LevelId")])
-    assert "ASSIGNED_TO_LEVEL" in (tmp_path / "out" / "validation.md").read_text()
+    told = (tmp_path / "out" / "validation.md").read_text()
+    assert "ASSIGNED_TO_LEVEL" in told and "1 of 2 targets found" in told and "[ ] at least 10 of 2 targets found (1)" in told and "1 of 1 expected edges produced" in told
     jobs.main(["pareto", "--out", out])
 
 

@@ -117,7 +117,9 @@ def test_candidates_and_graph(spark):
 def test_chain_with_cycle(spark):
     rows = spark.createDataFrame([(1, "N.A", "class", "B"), (2, "N.B", "class", "C"), (3, "N.C", "class", "A"), (4, "N.D", "struct", "ValueType")], "ord long, full_type_name string, kind string, base_type string")
     got = {r.full_type_name: (len(r.chain), r.is_element) for r in classify.chains(rows).collect()}
-    assert got["N.D"] == (1, "false") and all(got[f"N.{x}"][1] == "false" for x in "ABC")
+    assert got["N.D"] == (1, "false") and all(got[f"N.{x}"] == (3, "unknown") for x in "ABC")
+    full = spark.createDataFrame([(1, "N.A", "class", "N.B"), (2, "N.B", "class", "N.A"), (3, "N.Element", "class", None), (4, "N.T", "class", "ElementType")], "ord long, full_type_name string, kind string, base_type string")
+    assert {r.full_type_name: (r.chain, r.is_element) for r in classify.chains(full).collect()} == {"N.A": (["N.B"], "false"), "N.B": (["N.A"], "false"), "N.Element": ([], "true"), "N.T": (["ElementType"], "unknown")}
 
 
 def test_chains_of_any_length(spark):
@@ -125,4 +127,4 @@ def test_chains_of_any_length(spark):
     rows = [(k, f"N.C{k}", "class", f"C{k - 1}" if k else "System.Object") for k in range(n)] + [(n + k, f"N.L{k}", "class", f"L{(k + 1) % 70}") for k in range(70)] + [(n + 70, "N.Own", "class", "N.Own"), (n + 71, None, "class", None)]
     got = {r.full_type_name: r for r in classify.chains(spark.createDataFrame(rows, "ord long, full_type_name string, kind string, base_type string")).collect()}
     assert len(got) == len(rows) and all(got[f"N.C{k}"].chain == [*(f"C{j}" for j in range(k - 1, -1, -1)), "System.Object"] and got[f"N.C{k}"].is_element == "false" for k in range(n))
-    assert all(len(got[f"N.L{k}"].chain) == 70 and got[f"N.L{k}"].is_element == "false" for k in range(70)) and got["N.Own"].chain == [] == got[None].chain
+    assert all(len(got[f"N.L{k}"].chain) == 70 and got[f"N.L{k}"].is_element == "unknown" for k in range(70)) and got["N.Own"].chain == [] == got[None].chain
