@@ -15,9 +15,9 @@ of its clauses, so matched clauses count and isolated words do not.
 
 Insults are learned: words, and stems that take many endings, which stand in labelled toxic rows so much more often than in
 clean ones that no chance explains it, however few the rows (choose()). The rows to learn from are at most `sample` labelled
-rows, those of the smallest hash of doc_id; all of them if there are fewer. Of rows that are copies by all of SIGNS
-min-hashes of their three-word shingles, and have the same label, one counts. Both the lexicon and the weights come from
-them. Without labelled rows of both kinds the lexicon is empty and every score is the share of toxic labels (0 without any).
+rows, those of the smallest hash of doc_id; all of them if there are fewer. Near copies among them (rows that share one of
+BANDS bands of WIDTH min-hashes of three-word shingles, or are linked by others that do) weigh as much as one row
+together, so that no group of copies teaches its own words. Both the lexicon and the weights come from them. Without labelled rows of both kinds the lexicon is empty and every score is the share of toxic labels (0 without any).
 
 Null and empty texts have no clause and get the score of a document without matches. Very long texts are walked once; clauses
 without insult or threat are skipped. Rows with a null doc_id are scored but never learned from. Repeated rows, and ties of
@@ -49,7 +49,7 @@ REPORTS = {"said", "says", "quoted", "quote", "wrote", "reported", "called", "sa
 LABELS = {"insult": 1.0, "insult_target": 1.5, "insult_negated": 0.0, "insult_reported": 0.0, "threat": 0.0, "threat_target": 1.0, "threat_negated": 0.0, "threat_reported": 0.0}
 CLAUSE_END = re.compile(r"[.!?;\n]")
 TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
-STEMS, SCOPE, SIGNS = (4, 5, 6, 7), 4, 6
+STEMS, SCOPE, BANDS, WIDTH = (4, 5, 6, 7), 4, 12, 5
 #: How much more frequent an insult is in toxic rows than in clean ones, at least.
 RATIO = 8.0
 #: Symbols: insult I, threat H, target T, negation N, report R, the end of a clause ".", any other token "-"; a letter behind
@@ -203,14 +203,14 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
-def stands_out(a: int, b: int, share: float, features: int) -> bool:
+def stands_out(a: float, b: float, share: float, features: int) -> bool:
     """Whether a of a + b rows being toxic is less likely than once in all features by chance (Chernoff's bound)."""
     p = a / (a + b)
     gain = p * math.log(p / share) + ((1 - p) * math.log((1 - p) / (1 - share)) if p < 1 else 0.0)
     return p > share and (a + b) * gain >= math.log(features)
 
 
-def choose(counts: list[tuple[str, int, int]], n1: int, n0: int, features: int, ratio: float = RATIO) -> tuple[dict[str, float], dict[str, float]]:
+def choose(counts: list[tuple[str, float, float]], n1: float, n0: float, features: int, ratio: float = RATIO) -> tuple[dict[str, float], dict[str, float]]:
     """Words and stems (marked by a final '*') that stand out in toxic rows, with log-odds between 0.5 and 3.
 
     They must be `ratio` times as frequent there as in clean rows, and not by chance among as many features as there are.
@@ -229,70 +229,85 @@ def choose(counts: list[tuple[str, int, int]], n1: int, n0: int, features: int,
     return lexicon, stems
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray) -> list[float]:
-    """Ridge logistic regression towards the weights of LABELS by Newton steps; the intercept comes first."""
+def fit_weights(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[float]:
+    """Ridge logistic regression of weighted rows towards the weights of LABELS by Newton steps; the intercept comes first."""
     x = np.column_stack([np.ones(len(x)), x])
     before = np.array([0.0, *LABELS.values()])
     w, ridge = before.copy(), np.eye(x.shape[1]) * 0.1
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (y - p) - ridge @ (w - before))
+        step = np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + ridge, x.T @ (weight * (y - p)) - ridge @ (w - before))
         w += step
         if np.abs(step).max() < 1e-8:
             break
     return w.tolist()
 
 
-def sign(text: str) -> bytes:
-    """SIGNS minima of differently mixed hashes of the text's three-word shingles."""
+def bands(text: str) -> list[int]:
+    """BANDS hashes of WIDTH min-hashes each of the text's three-word shingles; none without words."""
     w, _, _, count = kernels.words(*kernels.packed(pa.array([text])))
     run, _ = kernels.shingles(w, count, 3)
-    return b"".join(int(kernels.mix(run + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))).min()).to_bytes(8, "little") for k in range(SIGNS)) if len(run) else b""
+    if not len(run):
+        return []
+    least = np.array([kernels.mix(run + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))).min() for k in range(BANDS * WIDTH)]).reshape(BANDS, WIDTH)
+    own = np.arange(BANDS, dtype=np.uint64)
+    for c in least.T:
+        own = kernels.mix(own * np.uint64(0xD6E8FEB86659FD93) + c)
+    return own.view(np.int64).tolist()
 
 
 def _signed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, pa.array([sign(t or "") for t in batch.column(1).to_pylist()], pa.binary())], ["doc_id", "text", "toxic", "sign"])
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array([bands(t or "") for t in batch.column(0).to_pylist()], pa.list_(pa.int64()))], ["text", "toxic", "bands"])
+
+
+def _weighted(rows: DataFrame) -> DataFrame:
+    """text, toxic and weight of rows (text, toxic): one over the size of the row's group of near copies."""
+    signed = common.arrow_map(rows, _signed, "text string, toxic int, bands array<bigint>", "text")
+    rows = common.cut(signed.withColumn("rid", F.monotonically_increasing_id()), "toxic-sample")
+    each = rows.select("rid", F.explode("bands").alias("band"))
+    heads = each.groupBy("band").agg(F.min("rid").alias("head"))
+    edges = common.join_hot(each, heads, ["band"], "rid").where("rid <> head").select("rid", "head")
+    group = common.components(edges, "rid", "head", "toxic-copies").withColumnRenamed("node", "rid")
+    own = rows.select("rid", "text", "toxic").join(group, "rid", "left").withColumn("of", F.coalesce("component", "rid"))
+    return common.cut(common.join_hot(own, own.groupBy("of").agg((1 / F.count("*")).alias("weight")), ["of"], "rid").select("text", "toxic", "weight"), "toxic-weighted")
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     """A scorer from labelled rows of docs (doc_id, text); labels: (doc_id, toxic). At most `sample` rows are read."""
     ids = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic")
-    # one of near copies counts, so that no group of copies teaches its own words
-    signed = common.arrow_map(rows, _signed, "doc_id long, text string, toxic int, sign binary", "text")
-    rows = common.cut(signed.groupBy("sign", "toxic").agg(F.min(F.struct("doc_id", "text")).alias("r")).select("r.text", "toxic"), "toxic-sample")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").select("text", "toxic")
+    rows = _weighted(rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, list[int]] = {"": [0, 0]}
+        found: dict[str, list[float]] = {"": [0.0, 0.0]}
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, toxic, weight in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tokens = set(TOKEN.findall((text or "").lower()))
                 tokens |= {t[:n] + "*" for t in tokens for n in STEMS if len(t) > n}
-                found[""][toxic] += 1
-                for t in tokens:
-                    found.setdefault(t, [0, 0])[toxic] += 1
+                for t in ("", *tokens):
+                    found.setdefault(t, [0.0, 0.0])[toxic] += weight
         yield pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array([x[1] for x in found.values()]), pa.array([x[0] for x in found.values()])], ["f", "a", "b"])
 
-    counts = common.cut(rows.mapInArrow(count, "f string, a long, b long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "toxic-counts")
+    # sums are rounded, so that their order has no effect
+    total = lambda c: F.round(F.sum(c), 6).alias(c)
+    counts = common.cut(rows.mapInArrow(count, "f string, a double, b double").groupBy("f").agg(total("a"), total("b")), "toxic-counts")
     n1, n0 = next(((r.a, r.b) for r in counts.where("f = ''").collect()), (0, 0))
     if not n1 or not n0:
-        share = (n1 + 0.0) / max(1, n1 + n0)
+        share = n1 / max(1, n1 + n0)
         return Scorer({}, {}, [math.log((share + 1e-6) / (1 - share + 1e-6)), *[0.0] * len(LABELS)])
     features = counts.where("a + b >= 3").count()
     # what can pass choose(); bounded by the words of the sample
     top = counts.where((F.col("f") != "") & (F.col("a") + F.col("b") >= 3) & (F.col("a") * n0 >= RATIO * F.col("b") * n1)).collect()
-    scorer = Scorer(*choose([(r.f, r.a, r.b) for r in top], n1, n0, max(2, features)))
-    lexicon = scorer.parts
+    lexicon = choose([(r.f, r.a, r.b) for r in top], n1, n0, max(2, features))
 
     def features_of(batch: pa.RecordBatch) -> pa.RecordBatch:
         s = Scorer(*lexicon)
         x = [s.features(t) for t in batch.column(0).to_pylist()]
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], ["x", "toxic"])
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), *batch.columns[1:]], ["x", "toxic", "weight"])
 
-    got = common.arrow_map(rows, features_of, "x array<double>, toxic int", "text").groupBy("x", "toxic").count().orderBy("x", "toxic").collect()
-    x, y = np.array([r.x for r in got for _ in range(r["count"])]), np.array([r.toxic for r in got for _ in range(r["count"])], float)
-    return Scorer(*lexicon, fit_weights(x, y))
+    got = common.arrow_map(rows, features_of, "x array<double>, toxic int, weight double", "text").groupBy("x", "toxic").agg(total("weight")).orderBy("x", "toxic").collect()
+    return Scorer(*lexicon, fit_weights(np.array([r.x for r in got]), np.array([r.toxic for r in got], float), np.array([r.weight for r in got])))
 
 
 def score(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD) -> DataFrame:

@@ -129,19 +129,17 @@ def test_op9(spark, folder, documents):
 
 def test_op10(spark, folder, documents):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if not held_out(r.doc_id)}
-    seen = {}
-    for d, t in sorted(((d, t) for d, t in documents if d in labels), key=lambda x: (x[0], x[1] is not None, x[1] or "")):
-        seen.setdefault((toxicity.sign(t or ""), labels[d]), (t or "", labels[d]))
-    counts, total = {}, [sum(y == k for _, y in seen.values()) for k in (0, 1)]
-    for t, y in seen.values():
+    rows = [(t or "", labels[d]) for d, t in documents if d in labels]
+    weight = [1 / n for n in T.copies([t for t, _ in rows])]
+    counts, total = {}, [sum(w for (_, y), w in zip(rows, weight, strict=True) if y == k) for k in (0, 1)]
+    for (t, y), x in zip(rows, weight, strict=True):
         tokens = set(toxicity.TOKEN.findall(t.lower()))
         for f in tokens | {w[:n] + "*" for w in tokens for n in toxicity.STEMS if len(w) > n}:
-            counts.setdefault(f, [0, 0])[y] += 1
-    features = sum(a + b >= 3 for a, b in counts.values())
-    parts = toxicity.choose([(f, a, b) for f, (b, a) in counts.items() if a + b >= 3], total[1], total[0], max(2, features))
+            counts.setdefault(f, [0.0, 0.0])[y] += x
+    features = sum(round(a + b, 6) >= 3 for a, b in counts.values())
+    parts = toxicity.choose([(f, round(a, 6), round(b, 6)) for f, (b, a) in counts.items() if round(a + b, 6) >= 3], total[1], total[0], max(2, features))
     plain = toxicity.Scorer(*parts)
-    rows = sorted((plain.features(t), y) for t, y in seen.values())
-    scorer = toxicity.Scorer(*parts, toxicity.fit_weights(np.array([x for x, _ in rows]), np.array([y for _, y in rows], float)))
+    scorer = toxicity.Scorer(*parts, toxicity.fit_weights(np.array([plain.features(t) for t, _ in rows]), np.array([y for _, y in rows], float), np.array(weight)))
     got = ran(spark, folder, "op10_toxicity")
     same([(r["doc_id"], r["held_out"], round(r["score"], 6), r["predicted"]) for r in got], [(d, held_out(d), round(s := scorer.score(t), 6), int(s >= 0.3)) for d, t in documents])
 

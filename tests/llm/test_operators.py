@@ -582,9 +582,30 @@ def test_toxic_grammar_is_the_composition_of_its_parts():
             assert out == symbol and x == 0
 
 
-def test_toxicity_counts_one_of_near_copies_only():
+def copies(texts):
+    """Brute force: of each text, the size of its group of near copies."""
+    made, parent = [set(toxicity.bands(t or "")) for t in texts], list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if made[i] & made[j]:
+                parent[root(i)] = root(j)
+    of = [root(i) for i in range(len(texts))]
+    return [of.count(x) for x in of]
+
+
+def test_toxicity_weighs_near_copies_as_one(spark):
     text = prose(60)
-    assert toxicity.sign(text) == toxicity.sign(f" {text.replace("W", "w")}\n") != toxicity.sign(prose(60)) and toxicity.sign("") == b"" == toxicity.sign(" ")
+    assert toxicity.bands(text) == toxicity.bands(f" {text.replace('W', 'w')}\n") and toxicity.bands("") == [] == toxicity.bands(" ")
+    texts = [text, text, text + " and more of it", *[f"{prose(20)} {k}" for k in range(30)], "", None, "", *[f"{text} {k}" for k in range(40)]]
+    assert copies(texts)[:3] == [43] * 3 and copies(texts)[3:33] == [1] * 30
+    got = toxicity._weighted(spark.createDataFrame([(t, k % 2) for k, t in enumerate(texts)], "text string, toxic int")).collect()
+    assert sorted((r.text or "", round(1 / r.weight)) for r in got) == sorted((t or "", n) for t, n in zip(texts, copies(texts), strict=True))
     assert toxicity.stands_out(6, 0, 0.1, 50_000) and not toxicity.stands_out(3, 0, 0.1, 50_000) and not toxicity.stands_out(1, 30, 0.1, 10)
 
 
