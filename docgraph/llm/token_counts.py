@@ -123,7 +123,7 @@ def edited(text: str, chars: list[int], tokens: list[int], edits: list[tuple[int
         for s, e, r in own:
             parts += [old[last : s - begin], r]
             last = e - begin
-        new = "".join([*parts, old[last:]])
+        new, more = "".join([*parts, old[last:]]), 1
         while True:
             ahead, k = "", b + 1
             while k < tree.n and len(ahead) < 256:
@@ -137,8 +137,10 @@ def edited(text: str, chars: list[int], tokens: list[int], edits: list[tuple[int
                 end = m.end()
             if end == len(new) or b + 1 >= tree.n:
                 break
-            b += 1
-            new += texts[b]
+            # twice as many leaves each time, so that what is read again stays in proportion
+            to = min(b + more, tree.n - 1)
+            new += "".join(texts[b + 1 : to + 1])
+            b, more = to, 2 * more
         again += len(pieces)
         texts[a] = new
         tree.set(a, len(new), sum(counter.counts(pieces)))
