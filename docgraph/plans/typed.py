@@ -214,11 +214,15 @@ def overload_match(t, spark):
 def descriptor_corroborate(t, spark):
     """Parts as members of type T: class A resolves the even ones, B every fifth; both add every third themselves."""
     part = t("part").select("p_partkey", "p_size", F.concat(F.lit("M"), "p_partkey").alias("m"))
-    resolved = lambda cond: F.transform(F.filter(F.collect_list(F.when(cond, F.col("m"))), lambda x: x.isNotNull()), lambda x: F.struct(x.alias("member_name"), F.lit("nameof").alias("name_source"), F.lit(False).alias("requires_document_context"), F.lit(False).alias("has_multiple_variants")))
+    # a reference of many rows: the map in one, and what the classes say of each member in one of its own
+    one_member = F.array(F.struct(F.col("m").alias("member_name"), F.lit("nameof").alias("name_source"), F.lit(False).alias("requires_document_context"), F.lit(False).alias("has_multiple_variants")))
+    resolved = lambda cond: F.when(cond, one_member).otherwise(F.slice(one_member, 1, 0))
     k = F.col("p_partkey")
-    made = F.collect_list(F.when(k % 3 == 0, F.col("m")))
+    made = F.when(k % 3 == 0, F.array("m")).otherwise(F.array().cast("array<string>"))
     one = lambda name, cond: F.struct(F.lit(name).alias("descriptor_class"), resolved(cond).alias("resolved_members"), made.alias("synthetic_extensions"), F.array().cast("array<string>").alias("parser_notes"))
-    reference = part.agg(F.array(one("A", k % 2 == 0), one("B", k % 5 == 0)).alias("descriptors")).select("descriptors", F.array(*[F.struct(F.lit("T").alias("target_type_short_name"), F.lit(c).alias("descriptor_class"), F.lit("S").alias("section")) for c in "AB"]).alias("descriptor_map"))
+    said = part.select(F.array(one("A", k % 2 == 0), one("B", k % 5 == 0)).alias("descriptors"))
+    classes = spark.range(1).select(F.array(*[F.struct(F.lit("T").alias("target_type_short_name"), F.lit(c).alias("descriptor_class"), F.lit("S").alias("section")) for c in "AB"]).alias("descriptor_map"))
+    reference = said.unionByName(classes, allowMissingColumns=True)
     edges = part.select(k.alias("ord"), "p_partkey", F.when(F.col("p_size") <= 25, "N.T").otherwise("N.U").alias("source_type"), F.col("m").alias("member_name"), F.lit(None).cast("boolean").alias("lookup_referenced"), F.lit(None).cast("boolean").alias("lookup_requires_document_context"))
     return corroborate.descriptor_results(edges, reference).select("p_partkey", F.col("lookup_referenced").alias("referenced"), "descriptor_class")
 
