@@ -109,6 +109,7 @@ def full(spark: SparkSession, pages: DataFrame, out: str, prefix: str | None = N
     if prefix:
         parsed = parsed.where(parse.in_namespace(F.col("namespace"), prefix))
     parsed = _save(parsed, out, "parsed")
+    files.json_table(pages.select(*[c for c in ("ord", "url", "link_text", "discovered_via", "hint") if c in pages.columns]), f"{out}/raw_index")
     files.api_pages(parsed.drop("links", "members_page", "sniffed"), f"{out}/api_pages", with_text)
     nodes, edges = _save(classify.nodes(parsed), out, "nodes"), _save(classify.edges(parsed), out, "edges")
     files.edges_by_kind(edges, f"{out}/edges_by_kind")

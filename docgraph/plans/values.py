@@ -341,6 +341,21 @@ def manifest_totals(t, spark):
     return tables.manifest_summary(rows).withColumn("n", F.col("n").cast("int"))
 
 
+def _types(spark):
+    types = [{"full_type_name": "N.A", "inheritance_chain": ["N.Base", "N.Top"], "members": [_member("F", None, "out int", "ref N.B"), _member("F", "int"), _member("G", "int", "out int")]}, {"full_type_name": "N.B", "inheritance_chain": [], "members": []}]
+    return frame(spark, [(types,)], f"types array<struct<full_type_name:string,inheritance_chain:array<string>,members:{MEMBER}>>")
+
+
+@query(expected([(0, "N.A", "F", True, "N.Base -> N.Top", 2, "void (out int, ref N.B); int ()"), (1, "N.B", "F", True, "", 0, ""), (2, "N.C", "F", False, None, 0, "")], "place, full_type_name, member_name, type_found, chain, overloads, signatures"))
+def manifest_tracked_facts(t, spark):
+    return tables.tracked(_types(spark), [("N.A", "F"), ("N.B", "F"), ("N.C", "F")])
+
+
+@query(expected([("out int", "N.A.F"), ("ref N.B", "N.A.F")], "type, member"))
+def manifest_by_reference(t, spark):
+    return tables.by_reference(_types(spark))
+
+
 CLIQUES = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e"), ("e", "f"), ("f", "d"), ("g", "h")]
 
 

@@ -109,11 +109,29 @@ def embedded(template: str, mark: str, data: object) -> str:
     return template.replace(mark, json.dumps(data, ensure_ascii=False).replace("</", "<\\/"))
 
 
-GRAPH_PAGE = "<!doctype html><meta charset=utf-8><title>Graph</title><input id=q placeholder=Search><ul id=l></ul><script>const g=__DATA__;const d={};for(const e of g.edges){d[e.source]=(d[e.source]||0)+1;if(e.target&&e.target!==e.source)d[e.target]=(d[e.target]||0)+1}const l=document.getElementById('l'),q=document.getElementById('q');function show(){l.replaceChildren(...g.nodes.filter(n=>n.id.toLowerCase().includes(q.value.toLowerCase())).map(n=>{const x=document.createElement('li');x.textContent=n.id+' ('+(d[n.id]||0)+')';return x}))}q.oninput=show;show()</script>"
+GRAPH_PAGE = """<!doctype html><meta charset=utf-8><title>Graph</title>
+<input id=q placeholder=Search><select id=tier></select><select id=role></select><span id=n></span><ul id=list></ul><pre id=inspector></pre>
+<script>
+const g = __DATA__, $ = id => document.getElementById(id), degree = {}
+for (const e of g.edges) { degree[e.source] = (degree[e.source] || 0) + 1; if (e.target && e.target !== e.source) degree[e.target] = (degree[e.target] || 0) + 1 }
+const fill = (id, all, name) => $(id).replaceChildren(...["all " + name, ...new Set(all)].map(x => new Option(x, x)))
+fill("tier", g.edges.map(e => e.confidence_tier).sort(), "tiers"); fill("role", g.nodes.map(n => n.class_role || "unknown").sort(), "roles")
+const edges = () => g.edges.filter(e => $("tier").selectedIndex < 1 || e.confidence_tier === $("tier").value)
+function inspect(id) { $("inspector").textContent = id + "\\n" + edges().filter(e => e.source === id || e.target === id).map(e => e.source + " " + e.edge_type + " " + (e.target || "?") + " (" + e.confidence_tier + ")").join("\\n") }
+function show() {
+  const ends = new Set(edges().flatMap(e => [e.source, e.target])), text = $("q").value.toLowerCase()
+  const own = g.nodes.filter(n => n.id.toLowerCase().includes(text) && ($("role").selectedIndex < 1 || (n.class_role || "unknown") === $("role").value) && ($("tier").selectedIndex < 1 || ends.has(n.id)))
+  $("n").textContent = own.length + " nodes"
+  $("list").replaceChildren(...own.map(n => { const x = document.createElement("li"); x.textContent = n.id + " (" + (degree[n.id] || 0) + ")"; x.onclick = () => inspect(n.id); return x }))
+}
+for (const id of ["q", "tier", "role"]) $(id).oninput = show
+show()
+</script>"""
 
 
 def graph_page(g: Graph) -> str:
-    """A page with the graph's projected columns, search, and each node's degree (a loop counts once)."""
+    """A page with the graph's projected columns: search, filters by tier and role, each node's degree (a loop counts once), and
+    the edges of the node that is clicked."""
     rows = lambda df: [r.asDict() for r in df.toLocalIterator()]
     return embedded(GRAPH_PAGE, "__DATA__", {"nodes": rows(g.nodes.select("id", "short_name", "external", "class_role")), "edges": rows(g.edges.select("source", "target", "edge_type", "confidence_tier"))})
 

@@ -77,13 +77,19 @@ def stream(spark: SparkSession, folder: str, checkpoint: str, write: Callable[[d
     return query
 
 
-def fetch_all(fetcher, entries: list[dict], version: str, write: Callable[[list[tuple], bool], None], most: int | None = None, every: int = 25, gap: float = 30.0) -> dict[str, list]:
+def _cached(fetcher, url: str) -> bool:
+    return bool(getattr(fetcher, "is_cached", lambda _: False)(url))
+
+
+def fetch_all(fetcher, entries: list[dict], version: str, write: Callable[[list[tuple], bool], None], most: int | None = None, every: int = 25, gap: float = 30.0, say: Callable[[dict], None] | None = None) -> dict[str, list]:
     """The polite crawl itself, on the driver: it is bound by the throttle, one page at a time.
 
     entries: dicts with url and declaring_type_hint. Members pages and member links of a page join the queue; a link to a
     page that is known but not yet visited corrects its hint. write(rows, final) gets (ord, url, html, version, hint) of
     the pages since the last call: after `every` pages if `gap` seconds have passed since it ended, and always at the
-    end, also by an error. Returns what was visited and what failed.
+    end, also by an error. say(), a listener, is told after `every` pages how many are done, queued, not cached and
+    failed, the recent and overall rates, and the seconds that the queue will take at the mean times of pages fetched and
+    cached. Returns what was visited and what failed.
     """
     hints = {e["url"]: e.get("declaring_type_hint") for e in reversed(entries)}
     queue, known = [*dict.fromkeys(e["url"] for e in entries)], {e["url"] for e in entries}
@@ -92,13 +98,17 @@ def fetch_all(fetcher, entries: list[dict], version: str, write: Callable[[list[
     failed: list[tuple[str, str]] = []
     rows: list[tuple] = []
     wrote, at = fetcher.clock(), 0
+    began, samples, took = wrote, [(0, wrote)], {True: [0, 0.0], False: [0, 0.0]}
     try:
         while at < len(queue) and (most is None or len(visited) < most):
             url = queue[at]
             at += 1
             visited.append(url)
             try:
+                cached, asked = _cached(fetcher, url), fetcher.clock() if say else 0.0
                 html = fetcher.fetch(url)
+                if say:
+                    took[cached] = [took[cached][0] + 1, took[cached][1] + fetcher.clock() - asked]
             except Exception as e:
                 failed.append((url, str(e)))
                 continue
@@ -115,6 +125,14 @@ def fetch_all(fetcher, entries: list[dict], version: str, write: Callable[[list[
                     if to not in known:
                         known.add(to)
                         queue.append(to)
+            if say and len(visited) % every == 0:
+                now, done_then = fetcher.clock(), samples[-6:][0]
+                samples.append((len(visited), now))
+                missing = sum(not _cached(fetcher, u) for u in queue[at:])
+                mean = {c: s / n if n else 0.0 for c, (n, s) in took.items()}
+                rate = lambda n, s: n / s if s > 0 else 0.0
+                left = missing * mean[False] + (len(queue) - at - missing) * mean[True]
+                say({"done": len(visited), "queued": len(queue) - at, "uncached": missing, "failed": len(failed), "recent_rate": rate(len(visited) - done_then[0], now - done_then[1]), "overall_rate": rate(len(visited), now - began), "seconds_left": left})
             if len(visited) % every == 0 and fetcher.clock() - wrote >= gap:
                 write(rows, False)
                 rows, wrote = [], fetcher.clock()

@@ -54,7 +54,8 @@ class Fake:
 
 
 def test_crawl():
-    said = []
-    got = crawl.fetch_all(Fake(), [{"url": "http://h/1/w.htm", "declaring_type_hint": None}, {"url": "http://h/1/gone.htm"}], "1", lambda rows, final: said.append((final, [(r[1], r[4]) for r in rows])), every=2)
+    said, told = [], []
+    got = crawl.fetch_all(Fake(), [{"url": "http://h/1/w.htm", "declaring_type_hint": None}, {"url": "http://h/1/gone.htm"}], "1", lambda rows, final: said.append((final, [(r[1], r[4]) for r in rows])), every=2, say=told.append)
+    assert [(x["done"], x["queued"], x["uncached"], x["failed"]) for x in told] == [(4, 0, 0, 1)] and told[0]["overall_rate"] > 0
     assert got["visited"] == ["http://h/1/w.htm", "http://h/1/gone.htm", "http://h/1/m.htm", "http://h/1/l.htm"] and [u for u, _ in got["failed"]] == ["http://h/1/gone.htm"]
     assert said[-1][0] and [x for _, rows in said for x in rows][-1] == ("http://h/1/l.htm", "Autodesk.Revit.DB.Wall")
