@@ -40,12 +40,17 @@ def edge_results(edges: DataFrame, types: DataFrame) -> DataFrame:
         "owner", "place", F.col("x.name").alias("member_name"), F.col("x.kind").alias("member_kind"), F.col("x.declaring_type").alias("declared_by"), F.col("x.return_type").alias("actual_return_type"),
         canonical(F.col("x.return_type")).alias("actual"), F.transform("x.parameters", lambda p: canonical(p["type"])).alias("actual_parameters"),
     )
-    wanted = e.select("ord", "m", "member_name", "member_kind", canonical(F.col("return_type")).alias("expected"), F.transform(F.coalesce("parameter_types", F.array().cast("array<string>")), canonical).alias("expected_parameters"))
-    seen = wanted.join(chain, "m").join(members, ["owner", "member_name", "member_kind"])
+    columns = [c for c in e.columns if c != "m"]
+    # an edge without a type has a key of its own, so that such edges do not meet in one task
+    key = F.coalesce("m", F.concat(F.lit("\0"), F.xxhash64("ord").cast("string")))
+    wanted = e.select("ord", key.alias("key"), "member_name", "member_kind", F.struct(*[F.col(c) for c in e.columns]).alias("e"), canonical(F.col("return_type")).alias("expected"), F.transform(F.coalesce("parameter_types", F.array().cast("array<string>")), canonical).alias("expected_parameters"))
+    # each edge stays, and goes through the joins with all its columns: it is resolved once
+    seen = wanted.join(chain.withColumnRenamed("m", "key"), "key", "left").withColumn("owner", F.coalesce("owner", "key")).join(members, ["owner", "member_name", "member_kind"], "left")
     agrees = (F.col("expected") == F.col("actual")) & (F.col("expected_parameters") == F.coalesce("actual_parameters", F.array().cast("array<string>")))
-    choice = F.struct(~agrees, F.when(agrees, 0).otherwise((F.col("up") > 0).cast("int")), "up", "place")
-    best = seen.groupBy("ord").agg(F.min_by(F.struct(agrees.alias("agrees"), (F.col("up") == 0).alias("own"), "actual_return_type", F.coalesce("declared_by", "owner").alias("actual_declaring_type")), choice).alias("b"))
-    out = e.join(best, "ord", "left").withColumn("dll_signature_verified", F.coalesce("b.agrees", F.lit(False)))
+    choice = F.when(F.col("place").isNotNull(), F.struct(~agrees, F.when(agrees, 0).otherwise((F.col("up") > 0).cast("int")), "up", "place"))
+    found = F.struct(agrees.alias("agrees"), (F.col("up") == 0).alias("own"), "actual_return_type", F.coalesce("declared_by", "owner").alias("actual_declaring_type"))
+    best = seen.groupBy("ord").agg(F.first("e").alias("e"), F.min_by(found, choice).alias("b"))
+    out = best.select(*[F.col(f"e.{c}").alias(c) for c in columns], F.col("e.m").alias("m"), F.when(F.col("b.own").isNotNull(), F.col("b")).alias("b")).withColumn("dll_signature_verified", F.coalesce("b.agrees", F.lit(False)))
     status = F.when(F.col("b").isNull(), "member_not_found").when(F.col("b.agrees"), "signature_confirmed").otherwise("signature_mismatch")
     note = F.when(F.col("m").isNull(), "source type is not in the manifest").when(F.col("b").isNull(), "member is on neither the type nor an ancestor").when(~F.col("b.agrees"), "no overload has this signature").otherwise("")
     scope = F.when(F.col("b.own"), "declared").when(~F.col("b.own"), "inherited")
