@@ -249,7 +249,8 @@ def bands(text: str) -> list[int]:
     run, _ = kernels.shingles(w, count, 3)
     if not len(run):
         return []
-    least = np.array([kernels.mix(run + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))).min() for k in range(BANDS * WIDTH)]).reshape(BANDS, WIDTH)
+    each = (np.arange(BANDS * WIDTH, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+    least = np.min([kernels.mix(run[k : k + 4096] + each).min(axis=1) for k in range(0, len(run), 4096)], axis=0).reshape(BANDS, WIDTH)
     own = np.arange(BANDS, dtype=np.uint64)
     for c in least.T:
         own = kernels.mix(own * np.uint64(0xD6E8FEB86659FD93) + c)
