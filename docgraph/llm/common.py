@@ -139,19 +139,24 @@ def _stars(batches):
     yield pa.RecordBatch.from_arrays([pa.array(ids[root[own]]), pa.array(ids[own])], ["u", "v"])
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", what: str = "cc") -> DataFrame:
+#: Edges that one task contracts to the end.
+FEW = 1 << 14
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", what: str = "cc", few: int = FEW) -> DataFrame:
     """Connected components of undirected edges: (node, component = smallest reachable node).
 
     Edges are contracted within each partition first. Then alternating large-star and small-star rounds; every round is
-    cut to the shared folder. Edges only shrink in number, the edges of a hub are dealt to parts, nothing comes to the
-    driver but a signature of each round. Nodes without edges are not returned; loops and nulls are ignored.
+    cut to the shared folder, and where at most `few` edges are left one task ends it. Edges only shrink in number, the
+    edges of a hub are dealt to parts, nothing comes to the driver but a signature of each round. Nodes without edges are
+    not returned; loops and nulls are ignored.
     """
     spark = edges.sparkSession
     e = edges.select(F.least(a, b).cast("long").alias("u"), F.greatest(a, b).cast("long").alias("v")).where("u is not null and v is not null and u <> v")
     e = cut(e.mapInArrow(_stars, "u long, v long"), what)
     sign = lambda e: tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % 1000003)).first())
     last = sign(e)
-    while True:
+    while last[0] > few:
         both = _salted(e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))), "v")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), _mask())
         # large star: neighbours above u go to the smallest neighbour of u
@@ -165,6 +170,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", what: str = "cc") -
         e, before, last = new, last, sign(new)
         if last == before:
             break
+    else:
+        e = cut(e.coalesce(1).mapInArrow(_stars, "u long, v long"), what)
     return e.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("component")).union(e.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())
 
 

@@ -137,9 +137,10 @@ def test_divide_skip():
         assert ids[order].tolist() == np.flatnonzero(count >= least).tolist() and total[order].tolist() == count[ids[order]].tolist()
 
 
-def test_components_of_a_star(spark):
+@pytest.mark.parametrize("few", [0, 1 << 14])
+def test_components_of_a_star(spark, few):
     edges = [(0, k) for k in range(1, 300)] + [(900, k) for k in range(500, 900)] + [(1000, 1001), (1001, 1002), (5, 5)]
-    got = dict(map(tuple, common.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    got = dict(map(tuple, common.components(spark.createDataFrame(edges, "a long, b long"), few=few).collect()))
     assert got == {**dict.fromkeys(range(300), 0), **dict.fromkeys(range(500, 901), 500), 1000: 1000, 1001: 1000, 1002: 1000}
 
 
@@ -673,7 +674,8 @@ def test_sharding_schema_grows(spark):
     assert store.read().count() == 3
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 1 << 14])
+def test_components(spark, few):
     edges = [(R.randint(0, 300), R.randint(0, 300)) for _ in range(220)] + [(k, k + 1) for k in range(1000, 1060)] + [(2000, k) for k in range(2001, 2100)] + [(None, 1), (7, 7)]
     parent = {}
 
@@ -686,5 +688,5 @@ def test_components(spark):
         if a is not None and a != b:
             x, y = root(a), root(b)
             parent[max(x, y)] = min(x, y)
-    got = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long"), few=few).collect()}
     assert got == {x: root(x) for x in parent}
