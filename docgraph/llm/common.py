@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +61,49 @@ def forget(spark: SparkSession, df: DataFrame) -> None:
         fs.delete(p, True)
 
 
+#: Files whose names are sent to the executors; a name has some hundred bytes.
+FILES = 50_000
+
+
+def _scan_of_files(df: DataFrame) -> bool:
+    """Whether the rows of df are rows of stored files, projected and filtered at most."""
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A name like `name` that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    return next(x for k in range(len(taken) + 1) if (x := f"{name}{k or ''}") not in taken)
+
+
+def numbered(df: DataFrame, rid: str = "rid", what: str = "rows") -> DataFrame:
+    """df with a number `rid` for each row, which stays that row's own in all later jobs.
+
+    A number by partition would not: how files are split follows the size of the cluster when they are read. Rows of Parquet
+    files are numbered by file and place in it; all others, and those of more than FILES files, are numbered once and written
+    with their numbers.
+    """
+    file, row = free_name(df, "_file"), free_name(df, "_row")
+    files = sorted(df.inputFiles()) if _scan_of_files(df) else []
+    if 0 < len(files) <= FILES:
+        try:
+            at = df.metadataColumn("_metadata")
+            placed = df.select("*", at["file_path"].alias(file), at["row_index"].alias(row))
+        except AnalysisException:  # of another format
+            return cut(df.withColumn(rid, F.monotonically_increasing_id()), what)
+        path = F.regexp_replace("f", "^file:/+", "file:/").alias(file)
+        number = df.sparkSession.createDataFrame(list(enumerate(files)), "k long, f string").select(path, F.col("k").alias(k := free_name(df, "_k")))
+        own = F.shiftleft(k, 40).bitwiseOR(F.col(row))
+        of = F.when(F.col(k).isNull(), F.raise_error(F.concat(F.lit("not among the files of the table: "), file))).otherwise(own)
+        return placed.join(F.broadcast(number), file, "left").select(*[f"`{c}`" for c in df.columns], of.alias(rid))
+    return cut(df.withColumn(rid, F.monotonically_increasing_id()), what)
+
+
 def held_out(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string").cast("binary")) % 4 == 2
 

@@ -16,6 +16,9 @@ MODULES = {
     "op8_embedding_dedup": "embedding_dedup",
     "op9_token_counts": "token_counts",
     "op10_toxicity": "toxicity",
+    "op11_spelling": "spelling",
+    "op12_substring_dedup": "substring_dedup",
+    "op13_fill_in_middle": "fill_middle",
 }
 
 
@@ -24,6 +27,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    from .sharding import SQL
+    from . import fill_middle, sharding, spelling, substring_dedup
 
-    return {"op1_sharding": SQL}
+    return {"op1_sharding": sharding.SQL, "op11_spelling": spelling.SQL, "op12_substring_dedup": substring_dedup.SQL, "op13_fill_in_middle": fill_middle.SQL}
