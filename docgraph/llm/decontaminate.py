@@ -3,7 +3,8 @@
 Words are runs of ASCII letters, digits and non-ASCII bytes, A-Z lower-cased. An item is aligned locally: 2 for an equal
 word, -1 for another one, -1 for one left out. The score is divided by that of the whole item, so edited, shortened and
 reordered-by-a-few copies still score; a document holds an item from `threshold` on, if at least `least` words are equal
-(all words of an item that has fewer). Items of fewer than FEW words are phrases that stand anywhere and can't be found.
+(all words of an item that has fewer). Items of fewer than FEW words are too short for an alignment to tell; they are held where
+all their words stand in a row, with score 1. Items without words are never held.
 
 No alignment that scores is missed. Its equal words are at most 2 apart, in item and document, at k places at least, where
 k is threshold * words of the item - 1: were fewer so near, the words between would cost more. So pairs of words that are 1 or
@@ -17,8 +18,7 @@ Items are shipped to the executors in blocks of bounded size, every block agains
 collected. Null and empty texts hold nothing, nor do null items. Rows are told apart by their place in the table: rows
 that are repeated, share a doc_id or have none each give rows of their own, and so do items that stand twice. Items with a
 null item_id count like others. Of equal alignments of a document the first counts. Without documents or items there
-are no rows. Other columns, of whatever name, are never read. clean() needs docs that give the same rows in the same order
-whenever they are read, as a stored table does.
+are no rows. Other columns, of whatever name, are never read.
 """
 
 from __future__ import annotations
@@ -44,6 +44,14 @@ def _pairs(w: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(made), np.concatenate(first)
 
 
+def _rows_of(w: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of n words."""
+    h = w[: max(0, len(w) - n + 1)]
+    for i in range(1, n):
+        h = kernels.mix(h * U64(0xE7037ED1A0B428DB) + w[i : i + len(h)])
+    return h
+
+
 class Items:
     """A block of test items: their words, and their seeds as sorted hashes with a bit table in front."""
 
@@ -52,6 +60,13 @@ class Items:
         at = np.concatenate([[0], np.cumsum(count)])
         keep = [k for k in range(len(rows)) if count[k] >= FEW]
         self.ids = [rows[k][0] for k in keep]
+        self.phrases: dict[int, tuple[np.ndarray, list[int]]] = {}
+        for n in range(1, FEW):
+            own = np.flatnonzero(count == n)
+            if len(own):
+                h = np.concatenate([_rows_of(w[at[k] : at[k + 1]], n) for k in own])
+                order = np.argsort(h, kind="stable")
+                self.phrases[n] = h[order], [rows[k][0] for k in own[order]]
         self.words = [w[at[k] : at[k + 1]] for k in keep]
         size = np.array([len(x) for x in self.words], np.int64)
         k = np.maximum(1, np.ceil(threshold * size - 1 - 1e-9)).astype(np.int64)
@@ -82,6 +97,22 @@ class Items:
         return at[self.unique[k] == grams[at]]
 
 
+    def stated(self, w: np.ndarray, count: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(text, item_id, first word, words) where a phrase first stands in a text."""
+        text, begin, out = np.repeat(np.arange(len(count)), count), np.cumsum(count) - count, []
+        for n, (known, ids) in self.phrases.items():
+            h = _rows_of(w, n)
+            k = np.searchsorted(known, h)
+            place = np.flatnonzero((known[np.minimum(k, len(known) - 1)] == h) & (text[: len(h)] == text[n - 1 : n - 1 + len(h)]))
+            first = np.unique(np.stack([text[place], k[place]]), axis=1, return_index=True)[1] if len(place) else place
+            for p in place[first].tolist():
+                j = int(k[p])
+                while j < len(known) and known[j] == h[p]:  # items that are the same phrase
+                    out.append((int(text[p]), ids[j], p - int(begin[text[p]]), n))
+                    j += 1
+        return out
+
+
 def align(item: np.ndarray, windows: list[np.ndarray]) -> list[tuple[int, int, int, int]]:
     """Smith-Waterman of an item with each window: (score, equal words, first word, end word) of the best alignment.
 
@@ -145,9 +176,10 @@ def matches(docs: DataFrame, items: Items, threshold: float, least: int = LEAST)
         buf, off = kernels.packed(part.column(2))
         w, s, e, count = kernels.words(buf, off, space=kernels.SIGNS)
         s, e, at = s - np.repeat(off[:-1], count), e - np.repeat(off[:-1], count), np.concatenate([[0], np.cumsum(count)])
+        rows = [(d, item, 1.0, n, int(s[at[d] + a]), int(e[at[d] + a + n - 1])) for d, item, a, n in items.stated(w, count)]
         grams, place = _pairs(w, count)
         hit = items.hits(grams)
-        if not len(hit):
+        if not len(hit) and not rows:
             return None
         lo, hi = np.searchsorted(items.gram, grams[hit], "left"), np.searchsorted(items.gram, grams[hit], "right")
         k = np.repeat(np.arange(len(hit)), hi - lo)
@@ -167,7 +199,6 @@ def matches(docs: DataFrame, items: Items, threshold: float, least: int = LEAST)
                 own[-1] = d, own[-1][1], max(z, own[-1][2])
             else:
                 own.append((d, a, z))
-        rows = []
         for i, own in windows.items():
             n = len(items.words[i])
             best: dict[int, tuple] = {}
@@ -191,9 +222,14 @@ def matches(docs: DataFrame, items: Items, threshold: float, least: int = LEAST)
 def find(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """rid, doc_id, item_id, score, equal_words and the bytes of the passage, a row for each item that a document holds.
 
-    rid is the row's monotonically_increasing_id() in docs. block: bytes of test items that are shipped at once.
+    rid is the row's number in common.numbered(docs). block: bytes of test items that are shipped at once.
     """
-    docs = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _found(common.numbered(docs.select("doc_id", "text")), benchmark, threshold, block)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """find() in numbered rows."""
+    docs = docs.select("rid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     blocks = max(1, -(-int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block))
     out = None
@@ -207,9 +243,10 @@ def find(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, bl
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, with all their columns, that hold no item."""
-    rid = next(x for k in range(len(docs.columns) + 1) if (x := f"rid{k}") not in {c.lower() for c in docs.columns})
-    found = find(docs, benchmark, threshold).select(F.col("rid").alias(rid)).distinct()
-    return docs.withColumn(rid, F.monotonically_increasing_id()).join(found, rid, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    rid = common.free_name(docs, "rid")
+    rows = common.numbered(docs, rid)
+    found = _found(rows.select(F.col(rid).alias("rid"), "doc_id", "text"), benchmark, threshold).select(F.col("rid").alias(rid)).distinct()
+    return rows.join(found, rid, "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

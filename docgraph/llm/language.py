@@ -9,7 +9,7 @@ Models are learned from at most `sample` rows of known language, those of the sm
 is a logistic function of the smallest margin that the winner has over another language, of the family models for
 languages of other families. Text that is null or has no letter gives `und` and 0. With one learned language that
 one is given with score 1 to every text with a letter; with none, `und`. Ties go to the first name in order.
-Repeated rows get the same answer; of rows that share a doc_id one is learned from. Rows with a null doc_id are
+Repeated rows get the same answer; of rows that share a doc_id one is learned from, its text with its own label. Rows with a null doc_id are
 answered, not learned from. Very long texts are read whole, in pieces. An empty table gives no rows, and no languages
 to learn. Other columns, of whatever name, are never read.
 """
@@ -158,7 +158,7 @@ def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = EPOCHS) ->
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from at most `sample` rows of docs (doc_id, text, lang) whose lang is not null."""
     one = docs.where("lang is not null and doc_id is not null").select("doc_id", "lang", F.xxhash64("text").alias("h"))
-    ids = one.groupBy("doc_id").agg(F.min("lang").alias("known"), F.min("h").alias("h")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    ids = one.groupBy("doc_id").agg(F.min(F.struct("h", "lang")).alias("one")).select("doc_id", F.col("one.lang").alias("known"), F.col("one.h").alias("h")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h")).join(F.broadcast(ids), ["doc_id", "h"]).select(F.col("doc_id").cast("string").alias("doc_id"), "text", "known")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:

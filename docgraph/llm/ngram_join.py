@@ -26,7 +26,6 @@ that share a doc_id, stand for themselves, each is returned and counts as a link
 part; a group of them alone has a null component_id. Texts that are null or without words have an empty set and link
 with nothing. A very long text is one set of many elements, a tile holds about SIZE bytes of sets. Ties: equal doc_ids
 count in the order of rows. An empty table gives no rows. Other columns, of whatever name, are never read.
-docs must give the same rows in the same order whenever it is read, as a stored table does.
 """
 
 from __future__ import annotations
@@ -322,12 +321,17 @@ def _tiles(batches):
 def join(docs: DataFrame, tile: int = TILE, sent: int = SENT) -> DataFrame:
     """rid, doc_id, n_shingles, n_links (documents linked directly), component_id and `first` for each row of docs (doc_id, text).
 
-    rid is the row's monotonically_increasing_id() in docs; first marks one row of each group, that of smallest doc_id.
+    rid is the row's number in common.numbered(docs); first marks one row of each group, that of smallest doc_id.
     """
+    return _joined(common.numbered(docs.select("doc_id", "text")), tile, sent)
+
+
+def _joined(docs: DataFrame, tile: int = TILE, sent: int = SENT) -> DataFrame:
+    """join() of numbered rows."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(512, 8 * parts)
-    clean = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    clean = docs.select("rid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = _spread(clean, ranges).repartition("range").mapInArrow(_shared, SHARED)
     sized = common.cut(out.repartition("block").mapInArrow(_gathered, DOCS), "ngram-sets")
 
@@ -367,9 +371,10 @@ def join(docs: DataFrame, tile: int = TILE, sent: int = SENT) -> DataFrame:
 def first_of_each(docs: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that are the first of their group; every other one has a near-duplicate that stays
     or is linked with one through others."""
-    rid = next(x for k in range(len(docs.columns) + 1) if (x := f"rid{k}") not in {c.lower() for c in docs.columns})
-    first = join(docs.select("doc_id", "text")).where("first").select(F.col("rid").alias(rid))
-    return docs.withColumn(rid, F.monotonically_increasing_id()).join(first, rid, "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    rid = common.free_name(docs, "rid")
+    rows = common.numbered(docs, rid)
+    first = _joined(rows.select(F.col(rid).alias("rid"), "doc_id", "text")).where("first").select(F.col("rid").alias(rid))
+    return rows.join(first, rid, "left_semi").select(*[f"`{c}`" for c in docs.columns])
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

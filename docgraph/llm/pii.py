@@ -15,8 +15,7 @@ class enough. Words, tokens and gaps may have any length.
 
 Null texts are empty. Rows are told apart by their place in the table, not by doc_id: a repeated row, and one with a null
 doc_id, is scanned and returned like any other. Ties: spans are ordered by start, then by kind as listed. An empty table
-gives no rows. Further columns of any name are kept by redacted() and never read. docs must give the same rows in the
-same order whenever it is read, as a stored table does.
+gives no rows. Further columns of any name are kept by redacted() and never read.
 """
 
 from __future__ import annotations
@@ -66,7 +65,8 @@ def _found(text: Column, rank: int, pattern: str, when: Column, good=None) -> Co
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """rid, rank, i, gap, size, good, inst, seed, pat: a row for each match; gap is what lies between it and the one before."""
+    """rid, rank, i, gap, size, good, inst, seed, pat of docs (rid, text): a row for each match; gap is what lies between it and
+    the one before."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     t = F.col("text")
     part = lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3) & (F.coalesce(F.regexp_extract(p, "([0-9]{1,3})$", 1).cast("int"), F.lit(0)) <= 255)
@@ -78,7 +78,7 @@ def matches(docs: DataFrame) -> DataFrame:
         _found(t, TOKEN_RANK, TOKEN, t.rlike("[0-9]")),
         _found(t, WORD_RANK, WORD, t.rlike("[0-9@]")),
     ]
-    d = docs.select(F.monotonically_increasing_id().alias("rid"), text.alias("text"))
+    d = docs.select("rid", text.alias("text"))
     each = d.select("rid", F.explode(F.array(*found)).alias("own")).select("rid", F.posexplode("own").alias("i", "m"))
     return each.select("rid", "i", "m.*").where("size is not null")
 
@@ -137,9 +137,10 @@ def joined(spans: Column) -> Column:
 
 def extract(docs: DataFrame, precision: float = PRECISION, support: int = SUPPORT) -> DataFrame:
     """rid, doc_id, base and spans (arrays of start, rank, end, base) for every row of docs (doc_id, text)."""
+    docs = common.numbered(docs.select("doc_id", "text"))
     spans = _spans(common.cut(scan(docs), "pii-scan"), precision, support)
     each = spans.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "end", "base"))).alias("all"))  # of one text
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id").join(each, "rid", "left")
+    rows = docs.select("rid", "doc_id").join(each, "rid", "left")
     all_ = F.coalesce("all", F.array().cast("array<struct<start:int,rank:int,end:int,base:boolean>>"))
     return rows.select("rid", "doc_id", F.filter(all_, lambda x: x["base"]).alias("base"), all_.alias("spans"))
 
@@ -167,18 +168,17 @@ def redacted(docs: DataFrame, precision: float = PRECISION, support: int = SUPPO
 
     Spans that overlap are one run, which has the mark of the first one.
     """
-    spans = _spans(common.cut(scan(docs), "pii-scan"), precision, support)
+    rid, run = common.free_name(docs, "rid"), common.free_name(docs, "runs")
+    rows = common.numbered(docs, rid)
+    spans = _spans(common.cut(scan(rows.select(F.col(rid).alias("rid"), "text")), "pii-scan"), precision, support)
     before = Window.partitionBy("rid").orderBy("start", "rank", "end").rowsBetween(Window.unboundedPreceding, -1)
     to_here = Window.partitionBy("rid").orderBy("start", "rank", "end").rowsBetween(Window.unboundedPreceding, 0)
     new = spans.withColumn("new", (F.coalesce(F.max("end").over(before), F.lit(0)) <= F.col("start")).cast("int"))
     runs = new.withColumn("run", F.sum("new").over(to_here)).groupBy("rid", "run").agg(F.min(F.struct("start", "rank")).alias("first"), F.max("end").alias("end"))
     runs = runs.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("first.start", "first.rank", "end"))).alias("runs"))  # of one text
-    taken, names = {c.lower() for c in docs.columns}, []
-    for name in ("rid", "runs"):
-        names.append(next(x for k in range(len(taken) + 2) if (x := f"{name}{k}") not in taken))
-    rows = docs.withColumn(names[0], F.monotonically_increasing_id()).join(runs.toDF(*names), names[0], "left")
+    rows = rows.join(runs.toDF(rid, run), rid, "left")
     text = docs.columns.index("text")
-    return rows.select(*[redact(F.col("text"), F.col(names[1])).alias("text") if i == text else F.col(f"`{c}`") for i, c in enumerate(docs.columns)])
+    return rows.select(*[redact(F.col("text"), F.col(run)).alias("text") if i == text else F.col(f"`{c}`") for i, c in enumerate(docs.columns)])
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ keep="first" removes a repeated string except where it comes first (by row, then
 its places. All bytes that a removed string covers go; strings are judged on the input. Matches do not cross documents.
 Null and empty texts, and texts below `size` bytes, lose nothing. Very long texts are read in segments. Rows are told apart
 by their place in the table, not by doc_id: repeated rows, rows that share a doc_id and those without one are documents of
-their own. docs must give the same rows in the same order whenever it is read, as a stored table does. Ties do not occur.
+their own, in the order of common.numbered(). Ties do not occur.
 An empty table gives no rows. Other columns, of whatever name, are never read. Cut characters decode with U+FFFD.
 """
 
@@ -421,7 +421,7 @@ def dedup(docs: DataFrame, size: int = SIZE, keep: str = "first", hot: int = HOT
     first = keep == "first"
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(512, 8 * parts)
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = common.numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
     clean = rows.select("rid", "text")
     met = common.cut(_deal(clean, size, ranges, first, parts).repartition("range").mapInArrow(_meet(size, hot, first, parts), "bucket long, kind int, a binary"), "suffix-met")
     asked = met.where("kind = 1").select("bucket", "a").repartition("bucket").mapInArrow(_by_document(REQUEST), "doc long, a binary")

@@ -514,8 +514,8 @@ def test_decontamination_of_long_repeating_texts_and_short_items(spark):
     texts = [f"{half} between these words " * 4000, f"x {items[1]} y", "q1w0 q1w1 q1w2 q1w4", f"{items[2]}, {items[3]}", items[4].replace("q4w4", "other"), *[f"{prose(20)} {half}" for _ in range(60)]]
     docs = spark.createDataFrame([(None if k == 3 else 7 if k < 3 else k, t) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
     tests = spark.createDataFrame([(k or None, t) for k, t in enumerate(items)], "item_id long, text string")
-    got = decontaminate.find(docs, tests).orderBy("rid").collect()
-    assert [(r.doc_id, r.item_id, r.equal_words) for r in got] == [(7, None, 15), (7, 1, 5), (None, 2, 6), (4, 4, 8), *[(k, None, 15) for k in range(5, 65)]]
+    got = decontaminate.find(docs, tests).orderBy("rid", "equal_words").collect()
+    assert [(r.doc_id, r.item_id, r.equal_words) for r in got] == [(7, None, 15), (7, 1, 5), (None, 3, 4), (None, 2, 6), (4, 4, 8), *[(k, None, 15) for k in range(5, 65)]]
     assert got[0].first_byte == 0 and [r.doc_id for r in decontaminate.clean(docs.withColumn("rid0", F.lit(1)).withColumn("item_id", F.lit(1)), tests).collect()] == [7]
     cut = decontaminate.pieces([(0, 5, 1000), (1, 0, 10)], 20)
     assert cut[-1] == (1, 0, 10) and max(z - a for _, a, z in cut) <= 80 and all(any(a <= k and k + 20 <= z for d, a, z in cut if not d) for k in range(5, 981))
@@ -690,3 +690,30 @@ def test_components(spark, few):
             parent[max(x, y)] = min(x, y)
     got = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long"), few=few).collect()}
     assert got == {x: root(x) for x in parent}
+
+
+def test_phrases_of_few_words_are_found(spark):
+    docs = spark.createDataFrame([(1, "say: Blue, whales sing!"), (2, "blue the whales sing"), (3, "BLUE-WHALES-SING"), (4, None), (5, "whales"), (5, "so blue")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "blue whales sing"), (2, "Whales!"), (3, "blue whales sing."), (4, "?"), (5, None), (6, "so blue whales sing")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.score, r.equal_words, r.first_byte, r.end_byte) for r in decontaminate.find(docs, items).collect())
+    assert got == [(1, 1, 1.0, 3, 5, 22), (1, 2, 1.0, 1, 11, 17), (1, 3, 1.0, 3, 5, 22), (2, 2, 1.0, 1, 9, 15), (3, 1, 1.0, 3, 0, 16), (3, 2, 1.0, 1, 5, 11), (3, 3, 1.0, 3, 0, 16), (5, 2, 1.0, 1, 0, 6)]
+
+
+def test_language_of_rows_that_share_an_id(spark):
+    """The text that is learned keeps its own label, whichever of the rows of a doc_id it is."""
+    text = {"en": "the quick brown fox jumps over the lazy dog and the cat", "de": "der schnelle braune Fuchs springt ueber den faulen Hund und die Katze"}
+    rows = [(i, f"{text[k]} {i}", k) for i in range(40) for k in ("en", "de")]
+    seen = {}
+
+    def fit(vectors, raw, names):
+        seen["rows"] = sorted(zip(map(bytes, raw), names, strict=True))
+        return language.Model(["de", "en"], [[0, 1]], np.zeros((1, language.BINS)), {}, 1.0)
+
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept, language.fit = language.fit, fit
+    try:
+        language.learn(df)
+    finally:
+        language.fit = kept
+    want = {bytes(language.counts(t).astype(np.float32)): k for _, t, k in rows}
+    assert len(seen["rows"]) == 40 and all(want[c] == k for c, k in seen["rows"])
