@@ -20,9 +20,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df as a checkpoint in the shared folder, so that a lost executor costs no round."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """df as a table in the shared folder, so that a lost executor costs no round; unlike a checkpoint it is computed once, its
+    size is known to joins, and it is deleted when the driver ends."""
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch(spark: SparkSession, what: str) -> str:

@@ -5,37 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from ..functions import typenames
 from ..functions import vocabulary as V
-from ..operators import classify, community, corroborate, graph, pareto, roles
-from ..operators.lineage import scratch
+from ..operators import communities, community, corroborate, graph, pareto, roles
+from ..operators.lineage import cut, scratch
 from ..operators.resolve import two_pass
 from ..sinks import files
 from .registry import query, sql_keyword, sql_values
 
-# Member names and types that the rules are tried on.
-MEMBERS = [
-    ("Symbol", "property", "FamilySymbol"), ("ViewTemplateId", "property", "ElementId"), ("Id", "property", "ElementId"), ("Number", "property", "string"), ("WorksetId", "property", "WorksetId"), ("GetDependentElements", "method", "IList<ElementId>"),
-    ("GetMaterialIds", "method", "ICollection<ElementId>"), ("Children", "method", "IList<ElementId>"), ("CreateLevel", "method", "Level"), ("CreatedPhaseId", "property", "ElementId"), ("Level", "property", "FailureDefinitionId"), ("LevelThing", "property", "Material"),
-    ("Widgets", "method", "IList<Widget>"), ("HostedRoom", "property", "bool"), ("Percentage", "property", "double"), ("SetSelf", "method", "Owner"), ("Parent", "property", "Owner"), ("Room", "property", "Room"), ("Plain", "property", "Unheard"), ("Doc", "property", "Document"), ("PlacementLevelId", "property", "LinkElementId"), ("Nothing", "property", None),
-]
-_DB = V.DB_NAMESPACE
-EXPECTED = [
-    ("Symbol", "INSTANCE_OF", "direct_return_type", f"{_DB}.FamilySymbol"), ("ViewTemplateId", "CONTROLLED_BY_TEMPLATE", "elementid_with_strong_name", f"{_DB}.View"), ("Id", "UNKNOWN_ELEMENTID_REFERENCE", "unknown_reference", None),
-    ("WorksetId", "OWNED_BY_WORKSET", "direct_return_type", f"{_DB}.Workset"), ("GetDependentElements", "DEPENDS_ON", "elementid_collection_with_strong_name", None), ("GetMaterialIds", "USES_MATERIAL", "elementid_collection_with_strong_name", f"{_DB}.Material"),
-    ("Children", "RETURNS_ELEMENT_IDS", "unknown_reference", None), ("CreatedPhaseId", "ASSIGNED_TO_PHASE", "elementid_with_strong_name", f"{_DB}.Phase"), ("LevelThing", "UNKNOWN_DB_OBJECT_REFERENCE", "direct_return_type", f"{_DB}.Material"),
-    ("Widgets", "UNKNOWN_DB_OBJECT_REFERENCE", "needs_runtime_validation", f"{_DB}.Widget"), ("HostedRoom", "HOSTED_BY", "name_only_candidate", None), ("Percentage", "TAGS_ELEMENT", "name_only_candidate", None), ("Parent", "UNKNOWN_DB_OBJECT_REFERENCE", "direct_return_type", f"{_DB}.Owner"),
-    ("Room", "REFERENCES", "direct_return_type", V.OTHER_NAMESPACE_TARGETS["Room"]), ("Doc", "UNKNOWN_DB_OBJECT_REFERENCE", "direct_return_type", f"{_DB}.Document"), ("PlacementLevelId", "ASSIGNED_TO_LEVEL", "elementid_with_strong_name", f"{_DB}.Level"),
-]
-
-
-@query("SELECT * FROM " + sql_values(EXPECTED, "member_name, candidate_edge_type, edge_confidence, candidate_target_type"))
-def member_tree(t, spark):
-    m = spark.createDataFrame([(i, *r) for i, r in enumerate(MEMBERS)], "ord long, name string, kind string, return_type string")
-    m = m.withColumn("source_type", F.lit(f"{_DB}.Owner")).withColumn("raw_signature", F.lit("")).withColumn("parameters", F.array().cast("array<struct<name:string,type:string>>")).withColumn("summary", F.lit("")).withColumn("remarks", F.lit("")).withColumn("source_url", F.lit(""))
-    return classify.member_edges(m, F.col("bare").isin(V.KNOWN_REFERENCES + ["Owner"])).select("member_name", "candidate_edge_type", "edge_confidence", "candidate_target_type")
-
-
 _NAMES = "SELECT p_partkey, p_name, {r} AS r FROM part"
 _RULES = sql_values([(i, e, h) for i, (_, _, e, h) in enumerate(V.KEYWORDS)], "r, edge_type, target_hint")
 
@@ -47,18 +23,6 @@ def keyword_first_match(t, spark):
     return t("part").select("p_partkey", R.keyword(name).alias("k")).select("p_partkey", "k.edge_type", "k.target_hint")
 
 
-TYPE_NAMES = [
-    ("ICollection(ElementId)", "ICollection<ElementId>"), ("System.Collections.Generic.ICollection`1[[Autodesk.Revit.DB.ElementId, RevitAPI, Version=1.0]]", "ICollection<ElementId>"), ("System.Collections.Generic.ICollection`1[Autodesk.Revit.DB.ElementId]", "ICollection<ElementId>"),
-    ("ICollection < ElementId >", "ICollection<ElementId>"), ("void", ""), ("System.Void", ""), ("Outer+Inner", "Inner"), ("Autodesk.Revit.DB.Outer+Inner", "Inner"), ("bool", "Boolean"), ("System.Int32", "Int32"), ("int", "Int32"), ("float", "Single"),
-    ("out ModelCurveArray", "out ModelCurveArray"), ("IDictionary < K , V >", "IDictionary<K,V>"), ("  ElementId ", "ElementId"), ("string", "String"), ("Dictionary`2[A.K,B.V]", "Dictionary<K,V>"), (None, ""),
-]
-
-
-@query("SELECT * FROM " + sql_values(TYPE_NAMES, "spelled, canonical"))
-def signature_normalize(t, spark):
-    return spark.createDataFrame([(a,) for a, _ in TYPE_NAMES], "spelled string").withColumn("canonical", typenames.canonical(F.col("spelled")))
-
-
 _CONF = "CASE " + " ".join(f"WHEN e % 7 = {i} THEN '{c}'" for i, c in enumerate(V.CONFIDENCE_ORDER)) + " END"
 _EDGE = "CASE WHEN e % 5 = 0 THEN 'UNKNOWN_DB_OBJECT_REFERENCE' WHEN e % 5 = 1 THEN 'UNKNOWN_ELEMENTID_REFERENCE' WHEN e % 5 = 2 THEN 'USES_MATERIAL' WHEN e % 5 = 3 THEN 'HOSTED_BY' ELSE 'REFERENCES' END"
 #: Candidate edges made of order lines: part -> supplier with cycling labels.
@@ -340,3 +304,18 @@ def member_name_key(t, spark):
     k = F.col("s_suppkey")
     name = F.concat(F.when(k % 3 == 0, "GetAll").when(k % 3 == 1, "Set").otherwise("Get"), "s_name", F.when(k % 2 == 0, "Ids").otherwise("Id"))
     return t("supplier").select("s_suppkey", R.member_key(name).alias("key"))
+
+
+@query("""WITH e AS (SELECT 'P' || l_partkey AS a, 'S.S' || l_suppkey AS b FROM lineitem), n AS (SELECT a AS id, count(*) AS k FROM e GROUP BY 1 UNION ALL SELECT b, count(*) FROM e GROUP BY 1)
+SELECT count(*) AS nodes, count(DISTINCT id) AS ids, sum(k)::BIGINT AS ends, true AS named_by_least, true AS better_than_alone, true AS fewer FROM n""")
+def communities_parallel(t, spark):
+    """Every node is in one community, named by its smallest member; the partition is better than that of lone nodes."""
+    pairs = t("lineitem").groupBy(F.concat(F.lit("P"), "l_partkey").alias("a"), F.concat(F.lit("S.S"), "l_suppkey").alias("b")).agg(F.count("*").alias("weight"))
+    found = cut(communities.detect(pairs))
+    k = communities.both_ways(pairs).groupBy("id").agg(F.sum("weight").alias("k"))
+    groups = found.join(k, "id").groupBy("community").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.sum("k").alias("mass"), F.sum(F.col("k") * F.col("k")).alias("alone"))
+    total = groups.agg(F.sum("n").alias("nodes"), F.sum("mass").alias("ends"), F.every(F.col("least") == F.col("community")).alias("named_by_least"), (F.count("*") < F.sum("n")).alias("fewer"), F.sum("alone").alias("alone"), F.sum(F.col("mass") * F.col("mass")).alias("squares"))
+    of = found.select("id", "community")
+    inside = pairs.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").agg(F.sum(F.when(F.col("x") == F.col("y"), 2 * F.col("weight")).otherwise(0)).alias("w"))
+    better = (F.col("w").cast("double") * F.col("ends") - F.col("squares")) > -F.col("alone")
+    return total.crossJoin(inside).crossJoin(found.agg(F.countDistinct("id").alias("ids"))).select("nodes", "ids", "ends", "named_by_least", better.alias("better_than_alone"), "fewer")  # one row each

@@ -1,4 +1,4 @@
-"""Queries on inline pages, declarations, sources and small graphs, whose results are worked out by hand."""
+"""Operators on inline pages, declarations, sources and small graphs, whose results are worked out by hand."""
 
 from __future__ import annotations
 
@@ -6,14 +6,28 @@ import json
 
 from pyspark.sql import functions as F
 
-from ..functions import html as H
-from ..functions import text as X
-from ..functions import vocabulary as V
-from ..operators import classify, community, corroborate, graph, parse, pareto, progress, roles
-from ..operators.parse import udf
-from ..sources import csharp, discover, tables
-from ..streaming import crawl
-from .registry import query, sql_values
+from docgraph.functions import html as H
+from docgraph.functions import text as X
+from docgraph.functions import typenames
+from docgraph.functions import vocabulary as V
+from docgraph.operators import classify, community, corroborate, graph, parse, pareto, progress, roles
+from docgraph.operators.parse import udf
+from docgraph.plans.registry import sql_values
+from docgraph.sources import csharp, discover, tables
+from docgraph.streaming import crawl
+
+CASES, SQL = {}, {}
+
+
+def query(sql: str):
+    """Registers a case with the SQL of its result."""
+
+    def put(f):
+        CASES[f.__name__], SQL[f.__name__] = f, sql
+        return f
+
+    return put
+
 
 DB = V.DB_NAMESPACE
 SPACE = f'<script>var x = {{"namespace": "{DB}"}};</script>'
@@ -263,7 +277,7 @@ def descriptor_map_entries(t, spark):
 
 
 def _descriptors(spark):
-    from .. import schemas
+    from docgraph import schemas
 
     rows = [(SOURCE,), ("class Empty : IDescriptorResolver, IDescriptorExtension { }",), ("// nothing",)]
     return frame(spark, rows, "content string").select(udf(csharp.descriptor, schemas.DESCRIPTOR)("content").alias("d")).select("d.*")
@@ -397,3 +411,39 @@ def pareto_shown(t, spark):
     """Clusters of at least two, the largest first; the others go."""
     rows = frame(spark, [("A", 3, "x"), ("B", 2, "y"), ("C", 1, "z")], "key string, count int, rest string").withColumn("first", F.col("key"))
     return pareto.shown(rows, 2, 2).select("key", "count", "rest")
+
+
+# rules
+
+# Member names and types that the rules are tried on.
+MEMBERS = [
+    ("Symbol", "property", "FamilySymbol"), ("ViewTemplateId", "property", "ElementId"), ("Id", "property", "ElementId"), ("Number", "property", "string"), ("WorksetId", "property", "WorksetId"), ("GetDependentElements", "method", "IList<ElementId>"),
+    ("GetMaterialIds", "method", "ICollection<ElementId>"), ("Children", "method", "IList<ElementId>"), ("CreateLevel", "method", "Level"), ("CreatedPhaseId", "property", "ElementId"), ("Level", "property", "FailureDefinitionId"), ("LevelThing", "property", "Material"),
+    ("Widgets", "method", "IList<Widget>"), ("HostedRoom", "property", "bool"), ("Percentage", "property", "double"), ("SetSelf", "method", "Owner"), ("Parent", "property", "Owner"), ("Room", "property", "Room"), ("Plain", "property", "Unheard"), ("Doc", "property", "Document"), ("PlacementLevelId", "property", "LinkElementId"), ("Nothing", "property", None),
+]
+EXPECTED = [
+    ("Symbol", "INSTANCE_OF", "direct_return_type", f"{DB}.FamilySymbol"), ("ViewTemplateId", "CONTROLLED_BY_TEMPLATE", "elementid_with_strong_name", f"{DB}.View"), ("Id", "UNKNOWN_ELEMENTID_REFERENCE", "unknown_reference", None),
+    ("WorksetId", "OWNED_BY_WORKSET", "direct_return_type", f"{DB}.Workset"), ("GetDependentElements", "DEPENDS_ON", "elementid_collection_with_strong_name", None), ("GetMaterialIds", "USES_MATERIAL", "elementid_collection_with_strong_name", f"{DB}.Material"),
+    ("Children", "RETURNS_ELEMENT_IDS", "unknown_reference", None), ("CreatedPhaseId", "ASSIGNED_TO_PHASE", "elementid_with_strong_name", f"{DB}.Phase"), ("LevelThing", "UNKNOWN_DB_OBJECT_REFERENCE", "direct_return_type", f"{DB}.Material"),
+    ("Widgets", "UNKNOWN_DB_OBJECT_REFERENCE", "needs_runtime_validation", f"{DB}.Widget"), ("HostedRoom", "HOSTED_BY", "name_only_candidate", None), ("Percentage", "TAGS_ELEMENT", "name_only_candidate", None), ("Parent", "UNKNOWN_DB_OBJECT_REFERENCE", "direct_return_type", f"{DB}.Owner"),
+    ("Room", "REFERENCES", "direct_return_type", V.OTHER_NAMESPACE_TARGETS["Room"]), ("Doc", "UNKNOWN_DB_OBJECT_REFERENCE", "direct_return_type", f"{DB}.Document"), ("PlacementLevelId", "ASSIGNED_TO_LEVEL", "elementid_with_strong_name", f"{DB}.Level"),
+]
+
+
+@query("SELECT * FROM " + sql_values(EXPECTED, "member_name, candidate_edge_type, edge_confidence, candidate_target_type"))
+def member_tree(t, spark):
+    m = spark.createDataFrame([(i, *r) for i, r in enumerate(MEMBERS)], "ord long, name string, kind string, return_type string")
+    m = m.withColumn("source_type", F.lit(f"{DB}.Owner")).withColumn("raw_signature", F.lit("")).withColumn("parameters", F.array().cast("array<struct<name:string,type:string>>")).withColumn("summary", F.lit("")).withColumn("remarks", F.lit("")).withColumn("source_url", F.lit(""))
+    return classify.member_edges(m, F.col("bare").isin(V.KNOWN_REFERENCES + ["Owner"])).select("member_name", "candidate_edge_type", "edge_confidence", "candidate_target_type")
+
+
+TYPE_NAMES = [
+    ("ICollection(ElementId)", "ICollection<ElementId>"), ("System.Collections.Generic.ICollection`1[[Autodesk.Revit.DB.ElementId, RevitAPI, Version=1.0]]", "ICollection<ElementId>"), ("System.Collections.Generic.ICollection`1[Autodesk.Revit.DB.ElementId]", "ICollection<ElementId>"),
+    ("ICollection < ElementId >", "ICollection<ElementId>"), ("void", ""), ("System.Void", ""), ("Outer+Inner", "Inner"), ("Autodesk.Revit.DB.Outer+Inner", "Inner"), ("bool", "Boolean"), ("System.Int32", "Int32"), ("int", "Int32"), ("float", "Single"),
+    ("out ModelCurveArray", "out ModelCurveArray"), ("IDictionary < K , V >", "IDictionary<K,V>"), ("  ElementId ", "ElementId"), ("string", "String"), ("Dictionary`2[A.K,B.V]", "Dictionary<K,V>"), (None, ""),
+]
+
+
+@query("SELECT * FROM " + sql_values(TYPE_NAMES, "spelled, canonical"))
+def signature_normalize(t, spark):
+    return spark.createDataFrame([(a,) for a, _ in TYPE_NAMES], "spelled string").withColumn("canonical", typenames.canonical(F.col("spelled")))
