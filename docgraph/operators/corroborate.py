@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.typenames import canonical, dotted
+from . import ancestry
+from .lineage import cut
 from .resolve import two_pass
 
 
@@ -33,28 +35,42 @@ def edge_results(edges: DataFrame, types: DataFrame) -> DataFrame:
 
     Members are looked up on the type itself, then on its ancestors in order; of all overloads the first that agrees in
     return and parameter types matches. Without one, an own member stands for the mismatch before an inherited one.
+
+    The types and all that they inherit from are a forest with intervals; the first owner of a member above a type is the
+    innermost interval of such owners around it. Each question (type, member and signature) is asked once, however many
+    edges have it, and no edge is multiplied by the length of a chain.
     """
     e = two_pass(edges.drop("dll_signature_verified", "dll_relationship_scope", "dll_verified_status"), "source_type", types, "full_type_name", "short", dotted=True, as_="m").drop("m_how")
-    chain = types.select(F.col("full_type_name").alias("m"), F.posexplode(F.concat(F.array("full_type_name"), F.coalesce("inheritance_chain", F.array().cast("array<string>")))).alias("up", "owner"))
-    members = types.select(F.col("full_type_name").alias("owner"), F.posexplode("members").alias("place", "x")).select(
-        "owner", "place", F.col("x.name").alias("member_name"), F.col("x.kind").alias("member_kind"), F.col("x.declaring_type").alias("declared_by"), F.col("x.return_type").alias("actual_return_type"),
-        canonical(F.col("x.return_type")).alias("actual"), F.transform("x.parameters", lambda p: canonical(p["type"])).alias("actual_parameters"),
+    none = F.array().cast("array<string>")
+    # a type is a node by its whole line, so that lines that disagree about a name's ancestors stay apart
+    line = types.select("full_type_name", F.concat(F.array("full_type_name"), F.coalesce("inheritance_chain", none)).alias("line"))
+    path = lambda i: F.array_join(F.slice("line", i + 1, F.size("line")), "\1")
+    nodes = line.select("line", F.posexplode("line").alias("i", "name")).select(path(F.col("i")).alias("id"), F.when(F.col("i") + 1 < F.size("line"), path(F.col("i") + 1)).alias("parent"), "name").distinct()
+    place = cut(ancestry.tour(nodes.select("id", "parent")).join(nodes.select("id", "name"), "id"))
+    members = types.select(F.col("full_type_name").alias("name"), F.posexplode("members").alias("place", "x")).select(
+        "name", "place", F.col("x.name").alias("member_name"), F.col("x.kind").alias("member_kind"), F.struct(F.col("x.return_type").alias("actual_return_type"), F.coalesce("x.declaring_type", "name").alias("actual_declaring_type")).alias("actual"),
+        F.struct(canonical(F.col("x.return_type")).alias("returns"), F.coalesce(F.transform("x.parameters", lambda p: canonical(p["type"])), none).alias("takes")).alias("signature"),
     )
-    columns = [c for c in e.columns if c != "m"]
+    owners = lambda *by: members.groupBy("name", *by).agg(F.min_by("actual", "place").alias("actual")).join(place.select("name", "root", "pre", "post"), "name").drop("name")
+    signature = F.struct(canonical(F.col("return_type")).alias("returns"), F.transform(F.coalesce("parameter_types", none), canonical).alias("takes"))
+    key = ["m", "member_name", "member_kind", "signature"]
     # an edge without a type has a key of its own, so that such edges do not meet in one task
-    key = F.coalesce("m", F.concat(F.lit("\0"), F.xxhash64("ord").cast("string")))
-    wanted = e.select("ord", key.alias("key"), "member_name", "member_kind", F.struct(*[F.col(c) for c in e.columns]).alias("e"), canonical(F.col("return_type")).alias("expected"), F.transform(F.coalesce("parameter_types", F.array().cast("array<string>")), canonical).alias("expected_parameters"))
-    # each edge stays, and goes through the joins with all its columns: it is resolved once
-    seen = wanted.join(chain.withColumnRenamed("m", "key"), "key", "left").withColumn("owner", F.coalesce("owner", "key")).join(members, ["owner", "member_name", "member_kind"], "left")
-    agrees = (F.col("expected") == F.col("actual")) & (F.col("expected_parameters") == F.coalesce("actual_parameters", F.array().cast("array<string>")))
-    choice = F.when(F.col("place").isNotNull(), F.struct(~agrees, F.when(agrees, 0).otherwise((F.col("up") > 0).cast("int")), "up", "place"))
-    found = F.struct(agrees.alias("agrees"), (F.col("up") == 0).alias("own"), "actual_return_type", F.coalesce("declared_by", "owner").alias("actual_declaring_type"))
-    best = seen.groupBy("ord").agg(F.first("e").alias("e"), F.min_by(found, choice).alias("b"))
-    out = best.select(*[F.col(f"e.{c}").alias(c) for c in columns], F.col("e.m").alias("m"), F.when(F.col("b.own").isNotNull(), F.col("b")).alias("b")).withColumn("dll_signature_verified", F.coalesce("b.agrees", F.lit(False)))
+    asked = cut(e.withColumn("signature", signature).withColumn("key", F.coalesce("m", F.concat(F.lit("\0"), F.xxhash64("ord").cast("string")))))
+    own = line.select(F.col("full_type_name").alias("m"), F.array_join("line", "\1").alias("id")).distinct().join(place.select("id", "root", "pre"), "id").drop("id")
+    wanted = asked.where("m is not null").select(*key).distinct().join(own, "m")
+    exact = ancestry.nearest(wanted, owners("member_name", "member_kind", "signature"), ["member_name", "member_kind", "signature"], ["actual"])
+    either = ancestry.nearest(exact.withColumnRenamed("found", "exact"), owners("member_name", "member_kind"), ["member_name", "member_kind"], ["actual"])
+    agrees = F.col("exact").isNotNull()
+    which = F.when(agrees, F.col("exact")).otherwise(F.col("found"))
+    answer = either.where(which.isNotNull()).select(*key, F.struct(agrees.alias("agrees"), (which["pre"] == F.col("pre")).alias("own"), which["actual"]["actual_return_type"].alias("actual_return_type"), which["actual"]["actual_declaring_type"].alias("actual_declaring_type")).alias("b"))
+    answer = answer.groupBy(*key).agg(F.max("b").alias("b")).withColumnRenamed("m", "key")
+    out = asked.join(answer, ["key", *key[1:]], "left").drop("key", "signature")
+    out = out.withColumn("dll_signature_verified", F.coalesce("b.agrees", F.lit(False)))
     status = F.when(F.col("b").isNull(), "member_not_found").when(F.col("b.agrees"), "signature_confirmed").otherwise("signature_mismatch")
     note = F.when(F.col("m").isNull(), "source type is not in the manifest").when(F.col("b").isNull(), "member is on neither the type nor an ancestor").when(~F.col("b.agrees"), "no overload has this signature").otherwise("")
     scope = F.when(F.col("b.own"), "declared").when(~F.col("b.own"), "inherited")
-    return out.withColumn("dll_relationship_scope", scope).withColumn("dll_verified_status", status).withColumn("note", note).withColumn("expected_return_type", F.col("return_type")).withColumn("actual_return_type", F.col("b.actual_return_type")).withColumn("actual_declaring_type", F.col("b.actual_declaring_type")).drop("b", "m")
+    out = out.withColumn("dll_relationship_scope", scope).withColumn("dll_verified_status", status).withColumn("note", note).withColumn("expected_return_type", F.col("return_type")).withColumn("actual_return_type", F.col("b.actual_return_type")).withColumn("actual_declaring_type", F.col("b.actual_declaring_type"))
+    return out.select(*[c for c in e.columns if c != "m"], "dll_signature_verified", "dll_relationship_scope", "dll_verified_status", "note", "expected_return_type", "actual_return_type", "actual_declaring_type")
 
 
 def descriptor_results(edges: DataFrame, reference: DataFrame) -> DataFrame:
