@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import pages, registry, relations, typed  # noqa: F401
+from .plans import pages, registry, relations, streams, typed  # noqa: F401
 
 
 def queries() -> dict:
