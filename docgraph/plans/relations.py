@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import ancestry, corroborate, nodes
-from ..operators.lineage import cut
+from ..operators import ancestry, corroborate, incremental, nodes
+from ..operators.lineage import cut, scratch
 from .pages import _ABSOLUTE, _TITLE
 from .registry import query
 
@@ -81,3 +81,21 @@ def manifest_members_on_chains(t, spark):
     types = c.select(name(F.col("turn")).alias("full_type_name"), name(F.col("turn")).alias("short"), above.alias("inheritance_chain"), F.when(F.col("role") == "user", F.array(member)).otherwise(F.array().cast("array<struct<name:string,kind:string,declaring_type:string,return_type:string,parameters:array<struct<name:string,type:string>>>>")).alias("members"))
     edges = c.select("conv_id", "turn", F.xxhash64("conv_id", "turn").alias("ord"), name(F.col("turn")).alias("source_type"), F.lit("Ask").alias("member_name"), F.lit("property").alias("member_kind"), F.lit("R0").alias("return_type"), F.array().cast("array<string>").alias("parameter_types"))
     return corroborate.edge_results(edges, types).select("conv_id", "turn", F.col("dll_verified_status").alias("status"), F.col("dll_relationship_scope").alias("scope"), F.col("actual_return_type").alias("actual"))
+
+
+_KNOWN = "SELECT 'N' || p_size % 3 || '.P' || p_partkey % 700 AS f, 'P' || p_partkey % 700 AS s FROM part"
+_NAMED = "SELECT 'S' || l_suppkey AS source, CASE WHEN l_partkey % 3 = 0 THEN 'N1.P' ELSE 'Q.P' END || l_partkey % 700 AS q FROM lineitem"
+
+
+@query(f"WITH k AS ({_KNOWN}), one AS (SELECT s, min(f) AS f FROM k GROUP BY s HAVING count(*) = 1) SELECT source, coalesce(e.f, o.f, q) AS target, CASE WHEN e.f IS NOT NULL THEN 'exact' WHEN o.f IS NOT NULL THEN 'short_name_fallback' ELSE 'external' END AS how, count(*) AS n FROM ({_NAMED}) x LEFT JOIN (SELECT DISTINCT f FROM k) e ON e.f = q LEFT JOIN one o ON o.s = regexp_extract(q, '[^.]*$') GROUP BY 1, 2, 3")
+def incremental_resolution(t, spark):
+    """Parts as nodes and order lines as edges arrive in four batches; short names become known, and then ambiguous."""
+    kept = incremental.Maintained(spark, scratch(spark, "incremental"), 16)
+    p, l = t("part"), t("lineitem")  # noqa: E741
+    short = F.concat(F.lit("P"), (F.col("p_partkey") % 700).cast("string"))
+    nodes_ = p.select("p_partkey", F.concat(F.lit("N"), (F.col("p_size") % 3).cast("string"), F.lit("."), short).alias("full"), short.alias("short"), F.lit(1).cast("long").alias("n"))
+    target = F.concat(F.when(F.col("l_partkey") % 3 == 0, "N1.P").otherwise("Q.P"), (F.col("l_partkey") % 700).cast("string"))
+    edges = l.select("l_orderkey", F.concat(F.lit("S"), "l_suppkey").alias("source"), target.alias("target"), F.lit("core").alias("tier"), F.lit(1).cast("long").alias("n"))
+    for k in range(4):
+        kept.apply(nodes_.where(F.floor(F.col("p_partkey") / 700) % 4 == k).drop("p_partkey"), edges.where(F.col("l_orderkey") % 4 == k).drop("l_orderkey"), k)
+    return kept.result().select("source", "target", "how", "n")
