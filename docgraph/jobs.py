@@ -78,7 +78,7 @@ def graphs(spark: SparkSession, out: str, label_fn: Callable | None = None) -> g
     """Graph, core, communities, relationship map and pages from the saved candidates; refreshes the summary's section."""
     g = graph.build(_table(spark, out, "nodes"), _table(spark, out, "edges"))
     c = graph.core(graph.Graph(_save(g.nodes, out, "graph_nodes"), _save(g.edges, out, "graph_edges")))
-    assigned = _save(community.detect(c.nodes, c.edges), out, "communities_of")
+    assigned = _save(community.assign(c.nodes, c.edges), out, "communities_of")
     named = _save(community.summarise(assigned, c.nodes, c.edges, label_fn=label_fn), out, "communities")
     g = graph.Graph(_replace(community.with_communities(_table(spark, out, "graph_nodes"), assigned), out, "graph_nodes"), _table(spark, out, "graph_edges"))
     c = graph.core(g)

@@ -1,4 +1,4 @@
-"""Communities: exact greedy modularity moves for small graphs, label propagation for large ones; sizes and labels."""
+"""Communities: sequential modularity moves for small graphs, parallel ones for large graphs; sizes and labels."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import communities
 from .graph import ends_count, projection
+from .lineage import cut
 
 
 def local_moves(pairs: list[tuple[str, str, int]], passes: int = 20) -> dict[str, int]:
@@ -51,7 +53,7 @@ def local_moves(pairs: list[tuple[str, str, int]], passes: int = 20) -> dict[str
     return {x: n for n, g in enumerate(ordered) for x in g}
 
 
-def detect(nodes: DataFrame, edges: DataFrame, passes: int = 20) -> DataFrame:
+def detect(nodes: DataFrame, edges: DataFrame, passes: int = 20, pairs: DataFrame | None = None) -> DataFrame:
     """(id, community_id) of nodes with edges. The moves are sequential: one task has the whole (core) projection."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -59,23 +61,26 @@ def detect(nodes: DataFrame, edges: DataFrame, passes: int = 20) -> DataFrame:
         found = local_moves(list(zip(pdf["a"], pdf["b"], pdf["weight"], strict=True)), passes)
         return pd.DataFrame({"id": list(found), "community_id": list(found.values())})
 
-    pairs = projection(nodes, edges).withColumn("place", F.row_number().over(Window.orderBy("first")))
+    pairs = (projection(nodes, edges) if pairs is None else pairs).withColumn("place", F.row_number().over(Window.orderBy("first")))
     return pairs.select("a", "b", "weight", "place", F.lit(0).alias("all")).groupBy("all").applyInPandas(run, "id string, community_id long")
 
 
-def propagate(pairs: DataFrame, rounds: int = 10) -> DataFrame:
-    """(id, label) by label propagation, for graphs of any size: each node takes the heaviest label around it, the
-    smallest of equals. Another partition than detect()'s; every round is one join and one aggregation."""
-    both = pairs.select("a", "b", "weight").union(pairs.select("b", "a", "weight")).toDF("id", "near", "weight").cache()
-    labels = both.select("id").distinct().withColumn("label", F.col("id"))
-    for k in range(rounds):
-        votes = both.join(labels.withColumnRenamed("id", "near"), "near").union(labels.select(F.lit(None).cast("string"), "id", F.lit(1).cast("long"), "label")) if k else both.select("near", "id", "weight", F.col("near").alias("label"))
-        sums = votes.groupBy("id", "label").agg(F.sum("weight").alias("w"))
-        new = sums.groupBy("id").agg(F.min(F.struct(-F.col("w"), "label")).alias("m")).select("id", F.col("m.label").alias("label")).cache()
-        if k and new.join(labels.withColumnRenamed("label", "old"), "id").where("label <> old").isEmpty():
-            return new
-        labels = new
-    return labels
+#: Edges of a projection that one task moves in sequence; beyond that moves are parallel.
+FEW = 200_000
+
+
+def assign(nodes: DataFrame, edges: DataFrame, few: int = FEW) -> DataFrame:
+    """(id, community_id) of nodes with edges, numbered by size, then by smallest member: by detect() where the projection has at
+    most `few` edges, by the parallel moves of `communities` where it has more."""
+    pairs = cut(projection(nodes, edges))
+    if pairs.count() <= few:
+        return detect(nodes, edges, pairs=pairs)
+    found = communities.detect(pairs)
+    size = found.groupBy("community").agg(F.count("*").alias("size"))
+    # a number is the place among communities of its size behind all larger ones; sizes differ far less than communities do
+    larger = size.groupBy("size").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    number = size.join(larger.select("size", "before"), "size").select("community", (F.col("before") + F.row_number().over(Window.partitionBy("size").orderBy("community")) - 1).alias("community_id"))
+    return found.join(number, "community").select("id", "community_id")
 
 
 def summarise(assigned: DataFrame, nodes: DataFrame, edges: DataFrame, top: int = 3, label_fn: Callable[[list[str]], str | None] | None = None) -> DataFrame:

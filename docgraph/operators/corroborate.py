@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -122,4 +122,4 @@ def targets(wanted: DataFrame, found: DataFrame, pages: DataFrame) -> DataFrame:
 def histogram(results: DataFrame, column: str) -> DataFrame:
     """value, n and percent of all rows."""
     counts = results.groupBy(F.coalesce(F.col(column).cast("string"), F.lit("none")).alias("value")).agg(F.count("*").alias("n"))
-    return counts.withColumn("percent", 100 * F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
+    return counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("_all")))).withColumn("percent", 100 * F.col("n") / F.col("_all")).drop("_all")

@@ -38,8 +38,9 @@ def shown(rows: DataFrame, top: int, least: int = 1, count: str = "count", order
 def breakdown(rows: DataFrame, key: str, top: int = 15) -> DataFrame:
     """The top keys with count and percent of all, and how many keys there are besides."""
     counts = rows.groupBy(key).agg(F.count("*").alias("n"))
-    all_ = Window.partitionBy(F.lit(0))
-    return counts.withColumn("percent", 100 * F.col("n") / F.sum("n").over(all_)).withColumn("more", F.greatest(F.count("*").over(all_) - top, F.lit(0))).orderBy(F.desc("n"), key).limit(top)
+    total = counts.agg(F.sum("n").alias("_all"), F.count("*").alias("_keys"))  # one row
+    out = counts.crossJoin(F.broadcast(total)).withColumn("percent", 100 * F.col("n") / F.col("_all")).withColumn("more", F.greatest(F.col("_keys") - top, F.lit(0)))
+    return out.drop("_all", "_keys").orderBy(F.desc("n"), key).limit(top)
 
 
 def by_confidence(edges: DataFrame, k: int = 25, certain: bool = True) -> DataFrame:

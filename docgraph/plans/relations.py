@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ancestry, corroborate, incremental, nodes
 from ..operators.lineage import cut, scratch
+from ..sources import page_files
 from .pages import _ABSOLUTE, _TITLE
 from .registry import query
 
@@ -99,3 +100,12 @@ def incremental_resolution(t, spark):
     for k in range(4):
         kept.apply(nodes_.where(F.floor(F.col("p_partkey") / 700) % 4 == k).drop("p_partkey"), edges.where(F.col("l_orderkey") % 4 == k).drop("l_orderkey"), k)
     return kept.result().select("source", "target", "how", "n")
+
+
+@query("SELECT url, regexp_extract(url, '^https?://([^/?#:]+)', 1) AS host, length(html) AS n_chars FROM pages WHERE starts_with(url, (SELECT regexp_extract(min(url), '^https?://[^/?#:]+', 0) FROM pages))")
+def pages_by_prefix(t, spark):
+    """The pages of one site, served from files by host of which the others are not opened."""
+    at = scratch(spark, "page-files")
+    page_files.write_pages(t("pages"), at)
+    site = t("pages").agg(F.regexp_extract(F.min("url"), "^https?://[^/?#:]+", 0)).first()[0]
+    return page_files.load(spark, at).where(F.col("url").startswith(site)).select("url", "host", F.length("html").cast("long").alias("n_chars"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from ..operators.lineage import cut
 from ..sources.discover import first_wins
 
 
-def frontier(seeds: DataFrame, links: DataFrame, most: int | None = None, rounds: int = 10_000) -> DataFrame:
+def frontier(seeds: DataFrame, links: DataFrame, most: int | None = None) -> DataFrame:
     """(url, round) of all pages reachable from seeds (url) by links (url, to), breadth first.
 
     Each round is one join with what is not visited yet; rounds end at the fixpoint or when `most` pages are visited. Every
@@ -20,7 +21,7 @@ def frontier(seeds: DataFrame, links: DataFrame, most: int | None = None, rounds
     """
     visited = cut(seeds.select("url").distinct().withColumn("round", F.lit(0)))
     now, n = visited, visited.count()
-    for k in range(1, rounds):
+    for k in itertools.count(1):
         if most is not None and n >= most:
             break
         new = now.join(links, "url").select(F.col("to").alias("url")).distinct().join(visited.select("url"), "url", "left_anti").withColumn("round", F.lit(k))
@@ -99,11 +100,16 @@ def fetch_all(fetcher, entries: list[dict], version: str, write: Callable[[list[
     rows: list[tuple] = []
     wrote, at = fetcher.clock(), 0
     began, samples, took = wrote, [(0, wrote)], {True: [0, 0.0], False: [0, 0.0]}
+    absent = set() if say else None  # of the queue, what the cache does not have; each page is asked for once, when it joins
+    if say:
+        absent.update(u for u in queue if not _cached(fetcher, u))
     try:
         while at < len(queue) and (most is None or len(visited) < most):
             url = queue[at]
             at += 1
             visited.append(url)
+            if say:
+                absent.discard(url)
             try:
                 cached, asked = _cached(fetcher, url), fetcher.clock() if say else 0.0
                 html = fetcher.fetch(url)
@@ -125,10 +131,12 @@ def fetch_all(fetcher, entries: list[dict], version: str, write: Callable[[list[
                     if to not in known:
                         known.add(to)
                         queue.append(to)
+                        if say and not _cached(fetcher, to):
+                            absent.add(to)
             if say and len(visited) % every == 0:
                 now, done_then = fetcher.clock(), samples[-6:][0]
                 samples.append((len(visited), now))
-                missing = sum(not _cached(fetcher, u) for u in queue[at:])
+                missing = len(absent)
                 mean = {c: s / n if n else 0.0 for c, (n, s) in took.items()}
                 rate = lambda n, s: n / s if s > 0 else 0.0
                 left = missing * mean[False] + (len(queue) - at - missing) * mean[True]

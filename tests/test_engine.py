@@ -33,7 +33,8 @@ def test_communities(spark):
     s = {r.community_id: r for r in community.summarise(found, n, e, label_fn=lambda ids: "mine" if "a" in ids else 1 / 0).collect()}
     assert (s[0].label, s[0].label_source, s[1].label, s[1].label_source) == ("mine", "given", "d · e · f", "heuristic")
     assert {r.id: (r.ends, r.degree) for r in graph.ends_count(n, e).collect()}["g"] == (2, 1)
-    assert community.propagate(graph.projection(n, e)).count() == 6
+    assert sorted(map(tuple, community.assign(n, e).collect())) == sorted(map(tuple, found.collect()))
+    assert sorted(map(tuple, community.assign(n, e, few=0).collect())) == sorted(map(tuple, found.collect()))
 
 
 def manifest(spark, tmp_path, types):
