@@ -1,5 +1,7 @@
 """The jobs of the engine on a folder of tables and reports: full and targeted runs, corroboration, refreshes.
 
+Each job is one run (`sinks.publish`): readers see all that it wrote at once, or nothing of it.
+
     python -m docgraph.jobs full --pages pages.parquet --out out
     python -m docgraph.jobs manifest --out out --manifest manifest.json
     python -m docgraph.jobs mine --sources checkout --tag 1.0 --out out
@@ -12,14 +14,14 @@
 from __future__ import annotations
 
 import argparse
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import classify, community, corroborate, graph, pareto, parse, roles
-from .sinks import files, report
+from .sinks import files, publish, report
+from .sinks.publish import Run
 from .sources import csharp, tables
 
 
@@ -27,39 +29,18 @@ LIMITS = ["candidates come from documentation pages alone, until a manifest or d
 NEXT = ["check the candidates against the compiled manifest", "look at the largest groups of unknown relations"]
 
 
-def _save(df: DataFrame, out: str, name: str) -> DataFrame:
+def _save(df: DataFrame, out: Run, name: str) -> DataFrame:
     """Writes a table and reads it back, so that what follows starts from it."""
-    df.write.mode("overwrite").parquet(f"{out}/{name}.parquet")
-    return df.sparkSession.read.schema(df.schema).parquet(f"{out}/{name}.parquet")
-
-
-def _renamed(spark: SparkSession, out: str, name: str, to: str) -> bool:
-    """Whether out/name.parquet was there and has the new name now."""
-    path = lambda x: spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{x}.parquet")
-    fs = path(name).getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(path(name)) and fs.rename(path(name), path(to))
-
+    path = out.new(f"{name}.parquet")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def _replace(df: DataFrame, out: str, name: str) -> DataFrame:
-    """As _save(), for a table that df itself is read from: written beside it, then the two are switched by renaming.
 
-    At every moment one whole version is there; _table() takes up what a crash between the two renamings left.
-    """
-    spark = df.sparkSession
-    _save(df, out, f"{name}.new")
-    old = f"{name}.old-{uuid.uuid4().hex}"
-    if _renamed(spark, out, name, old):
-        _renamed(spark, out, f"{name}.new", name)
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{old}.parquet")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return spark.read.schema(df.schema).parquet(f"{out}/{name}.parquet")
-
-
-def _table(spark: SparkSession, out: str, name: str) -> DataFrame:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{name}.parquet")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        _renamed(spark, out, f"{name}.new", name)
-    return spark.read.parquet(f"{out}/{name}.parquet")
+def _table(spark: SparkSession, out: str | Run, name: str) -> DataFrame:
+    path = out.find(f"{name}.parquet") if isinstance(out, Run) else publish.path(spark, out, f"{name}.parquet")
+    if path is None:
+        raise FileNotFoundError(f"no run has published {name}")
+    return spark.read.parquet(path)
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -69,96 +50,101 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
     stream.close()
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return spark.read.text(path, wholetext=True).first()[0] if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p) else None
+def _read_text(spark: SparkSession, path: str | None) -> str | None:
+    return spark.read.text(path, wholetext=True).first()[0] if path else None
 
 
-def graphs(spark: SparkSession, out: str, label_fn: Callable | None = None) -> graph.Graph:
+def graphs(spark: SparkSession, out: str | Run, label_fn: Callable | None = None) -> graph.Graph:
     """Graph, core, communities, relationship map and pages from the saved candidates; refreshes the summary's section."""
-    g = graph.build(_table(spark, out, "nodes"), _table(spark, out, "edges"))
-    c = graph.core(graph.Graph(_save(g.nodes, out, "graph_nodes"), _save(g.edges, out, "graph_edges")))
-    assigned = _save(community.assign(c.nodes, c.edges), out, "communities_of")
-    named = _save(community.summarise(assigned, c.nodes, c.edges, label_fn=label_fn), out, "communities")
-    g = graph.Graph(_replace(community.with_communities(_table(spark, out, "graph_nodes"), assigned), out, "graph_nodes"), _table(spark, out, "graph_edges"))
-    c = graph.core(g)
-    files.json_table(graph.metadata(g).orderBy("axis", "value"), f"{out}/graph_metadata", None)
-    files.json_table(graph.metadata(c).orderBy("axis", "value"), f"{out}/graph_core_metadata", None)
-    _save(c.nodes, out, "graph_core_nodes")
-    _save(c.edges, out, "graph_core_edges")
-    _write_text(spark, f"{out}/graph.html", report.graph_page(c))
-    _write_text(spark, f"{out}/roles.html", report.role_page(roles.relationship_map(c.nodes, c.edges)))
-    # both graphs as documents: metadata, nodes and edges, with the same communities
-    for name, own in (("graph", g), ("graph_core", c)):
-        files.json_table(own.nodes.orderBy("id"), f"{out}/{name}/nodes", None)
-        files.json_table(own.edges, f"{out}/{name}/edges")
-        files.json_table(named.orderBy("community_id"), f"{out}/{name}/communities", None)
-    _refresh(spark, out, "Graph", report.table(graph.metadata(g).orderBy("axis", "value"), 100) + "\n\n" + report.table(named.select("community_id", "label", "size").orderBy("community_id"), 10))
-    return g
-
-
-def _refresh(spark: SparkSession, out: str, title: str, body: str) -> None:
-    text = report.replaced(_read_text(spark, f"{out}/summary.md"), title, body)
+    with publish.run(spark, out) as out:
+        g = graph.build(_table(spark, out, "nodes"), _table(spark, out, "edges"))
+        c = graph.core(graph.Graph(_save(g.nodes, out, "graph_nodes"), _save(g.edges, out, "graph_edges")))
+        assigned = _save(community.assign(c.nodes, c.edges), out, "communities_of")
+        named = _save(community.summarise(assigned, c.nodes, c.edges, label_fn=label_fn), out, "communities")
+        g = graph.Graph(_save(community.with_communities(_table(spark, out, "graph_nodes"), assigned), out, "graph_nodes"), _table(spark, out, "graph_edges"))
+        c = graph.core(g)
+        files.json_table(graph.metadata(g).orderBy("axis", "value"), out.new("graph_metadata"), None)
+        files.json_table(graph.metadata(c).orderBy("axis", "value"), out.new("graph_core_metadata"), None)
+        _save(c.nodes, out, "graph_core_nodes")
+        _save(c.edges, out, "graph_core_edges")
+        _write_text(spark, out.new("graph.html"), report.graph_page(c))
+        _write_text(spark, out.new("roles.html"), report.role_page(roles.relationship_map(c.nodes, c.edges)))
+        # both graphs as documents: metadata, nodes and edges, with the same communities
+        for name, own in (("graph", g), ("graph_core", c)):
+            files.json_table(own.nodes.orderBy("id"), out.new(f"{name}/nodes"), None)
+            files.json_table(own.edges, out.new(f"{name}/edges"))
+            files.json_table(named.orderBy("community_id"), out.new(f"{name}/communities"), None)
+        _refresh(spark, out, "Graph", report.table(graph.metadata(g).orderBy("axis", "value"), 100) + "\n\n" + report.table(named.select("community_id", "label", "size").orderBy("community_id"), 10))
+        return g
+
+
+def _refresh(spark: SparkSession, out: Run, title: str, body: str) -> None:
+    text = report.replaced(_read_text(spark, out.find("summary.md")), title, body)
     if text is not None:
-        _write_text(spark, f"{out}/summary.md", text)
+        _write_text(spark, out.new("summary.md"), text)
 
 
-def full(spark: SparkSession, pages: DataFrame, out: str, prefix: str | None = None, with_text: bool = False, label_fn: Callable | None = None) -> graph.Graph:
+def full(spark: SparkSession, pages: DataFrame, out: str | Run, prefix: str | None = None, with_text: bool = False, label_fn: Callable | None = None) -> graph.Graph:
     """All outputs of cached pages (ord, url, html, version, hint). prefix keeps records of namespaces that start with it."""
-    parsed = parse.parse(pages, F.col("hint") if "hint" in pages.columns else None)
-    if prefix:
-        parsed = parsed.where(parse.in_namespace(F.col("namespace"), prefix))
-    parsed = _save(parsed, out, "parsed")
-    files.json_table(pages.select(*[c for c in ("ord", "url", "link_text", "discovered_via", "hint") if c in pages.columns]), f"{out}/raw_index")
-    files.api_pages(parsed.drop("links", "members_page", "sniffed"), f"{out}/api_pages", with_text)
-    nodes, edges = _save(classify.nodes(parsed), out, "nodes"), _save(classify.edges(parsed), out, "edges")
-    files.edges_by_kind(edges, f"{out}/edges_by_kind")
-    files.json_table(files.enum_catalog(parsed), f"{out}/enums", None)
-    g = graphs(spark, out, label_fn)
-    _write_text(spark, f"{out}/summary.md", report.summary(parsed, nodes, edges, g, _table(spark, out, "communities"), scope={"namespace": prefix}, limits=LIMITS, next_steps=NEXT))
-    return g
-
-
-def manifest(spark: SparkSession, out: str, path: str) -> None:
+    with publish.run(spark, out) as out:
+        parsed = parse.parse(pages, F.col("hint") if "hint" in pages.columns else None)
+        if prefix:
+            parsed = parsed.where(parse.in_namespace(F.col("namespace"), prefix))
+        parsed = _save(parsed, out, "parsed")
+        files.json_table(pages.select(*[c for c in ("ord", "url", "link_text", "discovered_via", "hint") if c in pages.columns]), out.new("raw_index"))
+        files.api_pages(parsed.drop("links", "members_page", "sniffed"), out.new("api_pages"), with_text)
+        nodes, edges = _save(classify.nodes(parsed), out, "nodes"), _save(classify.edges(parsed), out, "edges")
+        files.edges_by_kind(edges, out.new("edges_by_kind"))
+        files.json_table(files.enum_catalog(parsed), out.new("enums"), None)
+        g = graphs(spark, out, label_fn)
+        _write_text(spark, out.new("summary.md"), report.summary(parsed, nodes, edges, g, _table(spark, out, "communities"), scope={"namespace": prefix}, limits=LIMITS, next_steps=NEXT))
+        return g
+
+
+def manifest(spark: SparkSession, out: str | Run, path: str) -> None:
     """Checks the saved candidates against a compiled manifest; graph and summary follow."""
-    types = corroborate.manifest_types(tables.manifest(spark, path))
-    nodes, edges = _table(spark, out, "nodes"), _table(spark, out, "edges")
-    found = corroborate.type_results(nodes, types)
-    results = _save(corroborate.edge_results(edges, types), out, "manifest_edges")
-    _save(corroborate.undocumented(found, types), out, "manifest_only")
-    _save(found, out, "manifest_types")
-    _replace(_table(spark, out, "manifest_types").select(*nodes.columns), out, "nodes")
-    _replace(results.select(*edges.columns), out, "edges")
-    graphs(spark, out)
-    _refresh(spark, out, "Compiled manifest", report.corroboration(results, "dll_verified_status", scope="dll_relationship_scope"))
+    with publish.run(spark, out) as out:
+        types = corroborate.manifest_types(tables.manifest(spark, path))
+        nodes, edges = _table(spark, out, "nodes"), _table(spark, out, "edges")
+        found = corroborate.type_results(nodes, types)
+        results = _save(corroborate.edge_results(edges, types), out, "manifest_edges")
+        _save(corroborate.undocumented(found, types), out, "manifest_only")
+        _save(found, out, "manifest_types")
+        _save(_table(spark, out, "manifest_types").select(*nodes.columns), out, "nodes")
+        _save(results.select(*edges.columns), out, "edges")
+        graphs(spark, out)
+        _refresh(spark, out, "Compiled manifest", report.corroboration(results, "dll_verified_status", scope="dll_relationship_scope"))
 
 
 def mine(spark: SparkSession, sources: str, tag: str, out: str) -> None:
     if not csharp.checkout_matches(sources, tag):
         raise ValueError(f"{sources} does not stand clean at {tag}")
-    _save(csharp.mine(csharp.sources(spark, sources), tag), out, "descriptors")
+    with publish.run(spark, out) as own:
+        _save(csharp.mine(csharp.sources(spark, sources), tag), own, "descriptors")
 
 
-def descriptors(spark: SparkSession, out: str, path: str | None = None) -> None:
+def descriptors(spark: SparkSession, out: str | Run, path: str | None = None) -> None:
     """Marks the saved edges that descriptor sources refer to; graph and summary follow."""
-    reference = tables.reference(spark, path) if path else _table(spark, out, "descriptors")
-    edges = _table(spark, out, "edges")
-    results = _save(corroborate.descriptor_results(edges, reference), out, "descriptor_edges")
-    _replace(corroborate.annotate_descriptors(edges, reference).select(*edges.columns), out, "edges")
-    graphs(spark, out)
-    _refresh(spark, out, "Descriptor sources", report.corroboration(results, "lookup_referenced"))
+    with publish.run(spark, out) as out:
+        reference = tables.reference(spark, path) if path else _table(spark, out, "descriptors")
+        edges = _table(spark, out, "edges")
+        results = _save(corroborate.descriptor_results(edges, reference), out, "descriptor_edges")
+        _save(corroborate.annotate_descriptors(edges, reference).select(*edges.columns), out, "edges")
+        graphs(spark, out)
+        _refresh(spark, out, "Descriptor sources", report.corroboration(results, "lookup_referenced"))
 
 
-def targeted(spark: SparkSession, pages: DataFrame, out: str, targets: list[str], checks: list[tuple[str, str]]) -> None:
+def targeted(spark: SparkSession, pages: DataFrame, out: str | Run, targets: list[str], checks: list[tuple[str, str]]) -> None:
     """A full run of the targets' pages, and a report on targets and expected edges."""
-    full(spark, pages, out)
-    parsed, edges = _table(spark, out, "parsed"), _table(spark, out, "edges")
-    wanted = spark.createDataFrame([(t,) for t in targets], "full_type_name string")
-    asked = spark.createDataFrame([(k, *c) for k, c in enumerate(checks)], "check_ord int, source_type string, member_name string")
-    members = parsed.select("ord", F.explode("members").alias("m")).select(F.col("m.declaring_type").alias("full_type_name"), F.col("m.name").alias("member_name"), "ord")
-    found = corroborate.targets(wanted, parsed.select("full_type_name"), parsed)
-    known = corroborate.known_edges(asked, members, classify.chains(parsed).select("full_type_name", "chain"), edges)
-    _write_text(spark, f"{out}/validation.md", report.validation(found.orderBy("full_type_name"), known.orderBy("check_ord"), parsed, _table(spark, out, "nodes"), edges))
+    with publish.run(spark, out) as out:
+        full(spark, pages, out)
+        parsed, edges = _table(spark, out, "parsed"), _table(spark, out, "edges")
+        wanted = spark.createDataFrame([(t,) for t in targets], "full_type_name string")
+        asked = spark.createDataFrame([(k, *c) for k, c in enumerate(checks)], "check_ord int, source_type string, member_name string")
+        members = parsed.select("ord", F.explode("members").alias("m")).select(F.col("m.declaring_type").alias("full_type_name"), F.col("m.name").alias("member_name"), "ord")
+        found = corroborate.targets(wanted, parsed.select("full_type_name"), parsed)
+        known = corroborate.known_edges(asked, members, classify.chains(parsed).select("full_type_name", "chain"), edges)
+        _write_text(spark, out.new("validation.md"), report.validation(found.orderBy("full_type_name"), known.orderBy("check_ord"), parsed, _table(spark, out, "nodes"), edges))
 
 
 def main(args: list[str] | None = None) -> None:
@@ -188,7 +174,8 @@ def main(args: list[str] | None = None) -> None:
         graphs(spark, a.out)
     else:
         rows = pareto.clusters(_table(spark, a.out, "edges"))
-        files.csv_table(rows, f"{a.out}/pareto")
+        with publish.run(spark, a.out) as out:
+            files.csv_table(rows, out.new("pareto"))
         print(report.table(pareto.totals(_table(spark, a.out, "edges"))))
         print(report.table(pareto.shown(rows.drop("examples").withColumn("first", F.to_json("first")), a.top, a.min_count), a.top))
 
