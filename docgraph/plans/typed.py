@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import vocabulary as V
-from ..operators import communities, community, corroborate, graph, pareto, roles
+from ..operators import classify, communities, community, corroborate, graph, pareto, roles
 from ..operators.lineage import cut, scratch
 from ..operators.resolve import two_pass
 from ..sinks import files
@@ -319,3 +319,47 @@ def communities_parallel(t, spark):
     inside = pairs.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b").agg(F.sum(F.when(F.col("x") == F.col("y"), 2 * F.col("weight")).otherwise(0)).alias("w"))
     better = (F.col("w").cast("double") * F.col("ends") - F.col("squares")) > -F.col("alone")
     return total.crossJoin(inside).crossJoin(found.agg(F.countDistinct("id").alias("ids"))).select("nodes", "ids", "ends", "named_by_least", better.alias("better_than_alone"), "fewer")  # one row each
+
+
+_DB = V.DB_NAMESPACE
+# Member names and types that the rules are tried on.
+MEMBERS = [
+    ("Symbol", "property", "FamilySymbol"), ("ViewTemplateId", "property", "ElementId"), ("Id", "property", "ElementId"), ("Number", "property", "string"), ("WorksetId", "property", "WorksetId"), ("GetDependentElements", "method", "IList<ElementId>"),
+    ("GetMaterialIds", "method", "ICollection<ElementId>"), ("Children", "method", "IList<ElementId>"), ("CreateLevel", "method", "Level"), ("CreatedPhaseId", "property", "ElementId"), ("Level", "property", "FailureDefinitionId"), ("LevelThing", "property", "Material"),
+    ("Widgets", "method", "IList<Widget>"), ("HostedRoom", "property", "bool"), ("Percentage", "property", "double"), ("SetSelf", "method", "Owner"), ("Parent", "property", "Owner"), ("Room", "property", "Room"), ("Plain", "property", "Unheard"), ("Doc", "property", "Document"), ("PlacementLevelId", "property", "LinkElementId"), ("Nothing", "property", None),
+]
+EXPECTED = [
+    ("Symbol", "INSTANCE_OF", "direct_return_type", f"{_DB}.FamilySymbol"), ("ViewTemplateId", "CONTROLLED_BY_TEMPLATE", "elementid_with_strong_name", f"{_DB}.View"), ("Id", "UNKNOWN_ELEMENTID_REFERENCE", "unknown_reference", None),
+    ("WorksetId", "OWNED_BY_WORKSET", "direct_return_type", f"{_DB}.Workset"), ("GetDependentElements", "DEPENDS_ON", "elementid_collection_with_strong_name", None), ("GetMaterialIds", "USES_MATERIAL", "elementid_collection_with_strong_name", f"{_DB}.Material"),
+    ("Children", "RETURNS_ELEMENT_IDS", "unknown_reference", None), ("CreatedPhaseId", "ASSIGNED_TO_PHASE", "elementid_with_strong_name", f"{_DB}.Phase"), ("LevelThing", "UNKNOWN_DB_OBJECT_REFERENCE", "direct_return_type", f"{_DB}.Material"),
+    ("Widgets", "UNKNOWN_DB_OBJECT_REFERENCE", "needs_runtime_validation", f"{_DB}.Widget"), ("HostedRoom", "HOSTED_BY", "name_only_candidate", None), ("Percentage", "TAGS_ELEMENT", "name_only_candidate", None), ("Parent", "UNKNOWN_DB_OBJECT_REFERENCE", "direct_return_type", f"{_DB}.Owner"),
+    ("Room", "REFERENCES", "direct_return_type", V.OTHER_NAMESPACE_TARGETS["Room"]), ("Doc", "UNKNOWN_DB_OBJECT_REFERENCE", "direct_return_type", f"{_DB}.Document"), ("PlacementLevelId", "ASSIGNED_TO_LEVEL", "elementid_with_strong_name", f"{_DB}.Level"),
+]
+_MADE = sql_values([(k, *next(((e, c, x) for name, e, c, x in EXPECTED if name == m[0]), (None, None, None))) for k, m in enumerate(MEMBERS)], "k, edge_type, confidence, target")
+
+
+@query(f"SELECT p_partkey, edge_type, confidence, target FROM part JOIN {_MADE} ON k = p_partkey % {len(MEMBERS)} WHERE edge_type IS NOT NULL")
+def member_edges_of_parts(t, spark):
+    """Each part as a member whose name and types are one of MEMBERS."""
+    pick = lambda i: F.element_at(F.array(*[F.lit(m[i]) for m in MEMBERS]), (F.col("p_partkey") % len(MEMBERS) + 1).cast("int"))
+    blank = F.lit("")
+    m = t("part").select(
+        F.col("p_partkey").alias("ord"), pick(0).alias("name"), pick(1).alias("kind"), pick(2).alias("return_type"), F.lit(f"{_DB}.Owner").alias("source_type"), blank.alias("raw_signature"),
+        F.array().cast("array<struct<name:string,type:string>>").alias("parameters"), blank.alias("summary"), blank.alias("remarks"), blank.alias("source_url"),
+    )
+    made = classify.member_edges(m, F.col("bare").isin(V.KNOWN_REFERENCES + ["Owner"]))
+    return made.select(F.col("ord").alias("p_partkey"), F.col("candidate_edge_type").alias("edge_type"), F.col("edge_confidence").alias("confidence"), F.col("candidate_target_type").alias("target"))
+
+
+@query(f"SELECT coalesce(verified, 'none') AS value, count(*) AS n, count(*) * 1000 // sum(count(*)) OVER () AS permille FROM ({_CAND}) GROUP BY 1")
+def evidence_shares(t, spark):
+    """How the candidates stand to the evidence, with their shares."""
+    h = corroborate.histogram(_candidates(t), "dll_verified_status")
+    return h.select("value", "n", F.floor(F.col("percent") * 10 + 1e-9).alias("permille"))
+
+
+@query("SELECT p_type AS key, count(*) AS count, min(p_partkey) AS first FROM part GROUP BY 1 HAVING count(*) >= 2 ORDER BY 2 DESC, 3 LIMIT 12")
+def clusters_shown(t, spark):
+    """The largest groups of at least two, of equal ones that which comes first."""
+    rows = t("part").groupBy(F.col("p_type").alias("key")).agg(F.count("*").alias("count"), F.min("p_partkey").alias("first"))
+    return pareto.shown(rows, 12, 2)

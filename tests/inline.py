@@ -13,6 +13,7 @@ from docgraph.functions import vocabulary as V
 from docgraph.operators import classify, community, corroborate, graph, parse, pareto, progress, roles
 from docgraph.operators.parse import udf
 from docgraph.plans.registry import sql_values
+from docgraph.plans.typed import EXPECTED, MEMBERS
 from docgraph.sources import csharp, discover, tables
 from docgraph.streaming import crawl
 
@@ -415,21 +416,6 @@ def pareto_shown(t, spark):
 
 # rules
 
-# Member names and types that the rules are tried on.
-MEMBERS = [
-    ("Symbol", "property", "FamilySymbol"), ("ViewTemplateId", "property", "ElementId"), ("Id", "property", "ElementId"), ("Number", "property", "string"), ("WorksetId", "property", "WorksetId"), ("GetDependentElements", "method", "IList<ElementId>"),
-    ("GetMaterialIds", "method", "ICollection<ElementId>"), ("Children", "method", "IList<ElementId>"), ("CreateLevel", "method", "Level"), ("CreatedPhaseId", "property", "ElementId"), ("Level", "property", "FailureDefinitionId"), ("LevelThing", "property", "Material"),
-    ("Widgets", "method", "IList<Widget>"), ("HostedRoom", "property", "bool"), ("Percentage", "property", "double"), ("SetSelf", "method", "Owner"), ("Parent", "property", "Owner"), ("Room", "property", "Room"), ("Plain", "property", "Unheard"), ("Doc", "property", "Document"), ("PlacementLevelId", "property", "LinkElementId"), ("Nothing", "property", None),
-]
-EXPECTED = [
-    ("Symbol", "INSTANCE_OF", "direct_return_type", f"{DB}.FamilySymbol"), ("ViewTemplateId", "CONTROLLED_BY_TEMPLATE", "elementid_with_strong_name", f"{DB}.View"), ("Id", "UNKNOWN_ELEMENTID_REFERENCE", "unknown_reference", None),
-    ("WorksetId", "OWNED_BY_WORKSET", "direct_return_type", f"{DB}.Workset"), ("GetDependentElements", "DEPENDS_ON", "elementid_collection_with_strong_name", None), ("GetMaterialIds", "USES_MATERIAL", "elementid_collection_with_strong_name", f"{DB}.Material"),
-    ("Children", "RETURNS_ELEMENT_IDS", "unknown_reference", None), ("CreatedPhaseId", "ASSIGNED_TO_PHASE", "elementid_with_strong_name", f"{DB}.Phase"), ("LevelThing", "UNKNOWN_DB_OBJECT_REFERENCE", "direct_return_type", f"{DB}.Material"),
-    ("Widgets", "UNKNOWN_DB_OBJECT_REFERENCE", "needs_runtime_validation", f"{DB}.Widget"), ("HostedRoom", "HOSTED_BY", "name_only_candidate", None), ("Percentage", "TAGS_ELEMENT", "name_only_candidate", None), ("Parent", "UNKNOWN_DB_OBJECT_REFERENCE", "direct_return_type", f"{DB}.Owner"),
-    ("Room", "REFERENCES", "direct_return_type", V.OTHER_NAMESPACE_TARGETS["Room"]), ("Doc", "UNKNOWN_DB_OBJECT_REFERENCE", "direct_return_type", f"{DB}.Document"), ("PlacementLevelId", "ASSIGNED_TO_LEVEL", "elementid_with_strong_name", f"{DB}.Level"),
-]
-
-
 @query("SELECT * FROM " + sql_values(EXPECTED, "member_name, candidate_edge_type, edge_confidence, candidate_target_type"))
 def member_tree(t, spark):
     m = spark.createDataFrame([(i, *r) for i, r in enumerate(MEMBERS)], "ord long, name string, kind string, return_type string")
