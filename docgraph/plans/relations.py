@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ancestry, corroborate, incremental, nodes
 from ..operators.lineage import cut, scratch
-from ..sources import page_files
+from ..sources import page_files, tolerant
 from .pages import _ABSOLUTE, _TITLE
 from .registry import query
 
@@ -109,3 +109,23 @@ def pages_by_prefix(t, spark):
     page_files.write_pages(t("pages"), at)
     site = t("pages").agg(F.regexp_extract(F.min("url"), "^https?://[^/?#:]+", 0)).first()[0]
     return page_files.load(spark, at).where(F.col("url").startswith(site)).select("url", "host", F.length("html").cast("long").alias("n_chars"))
+
+
+def _event_texts(t):
+    """Events as JSON texts: some cut off, some without a field, with one more, or with one of another type."""
+    k = F.col("event_id")
+    number = F.when(k % 5 == 0, F.lit("")).when(k % 11 == 0, F.lit('"value": "many", ')).otherwise(F.concat(F.lit('"value": '), F.col("user_id").cast("string"), F.lit(", ")))
+    more = F.when(k % 3 == 0, F.concat(F.lit(', "colour": {"k": '), (k % 9).cast("string"), F.lit("}"))).otherwise("")
+    whole = F.concat(F.lit("{"), number, F.lit('"type": "'), F.col("event_type"), F.lit('"'), more, F.lit("}"))
+    return t("events").select("event_id", F.when(k % 7 == 0, F.substring(whole, 1, 9)).when(k % 13 == 0, F.concat(F.lit("["), whole, F.lit(", 1]"))).otherwise(whole).alias("text"))
+
+
+@query("SELECT event_id, 0 AS ord, CASE WHEN event_id % 5 = 0 OR event_id % 11 = 0 THEN -1 ELSE user_id END AS value, event_type AS type, CASE WHEN event_id % 3 = 0 THEN '{\"k\":' || event_id % 9 || '}' END AS colour, event_id % 11 = 0 AND event_id % 5 <> 0 AS unfit FROM events WHERE event_id % 7 <> 0")
+def tolerant_scan(t, spark):
+    fields = [tolerant.Field("value", "bigint", -1), tolerant.Field("type", "string")]
+    return tolerant.scan(_event_texts(t), fields).select("event_id", "ord", "value", "type", F.col("more")["colour"].alias("colour"), (F.size("unfit") > 0).alias("unfit"))
+
+
+@query("SELECT event_id, 0 AS ord, 'no JSON' AS why FROM events WHERE event_id % 7 = 0 UNION ALL SELECT event_id, 1, 'not an object but bigint' FROM events WHERE event_id % 7 <> 0 AND event_id % 13 = 0")
+def tolerant_malformed(t, spark):
+    return tolerant.malformed(_event_texts(t)).select("event_id", "ord", "why")
