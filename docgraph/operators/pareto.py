@@ -9,15 +9,49 @@ from ..functions import rules as R
 from ..functions import vocabulary as V
 
 
-def clusters(edges: DataFrame, examples: int = 5) -> DataFrame:
-    """axis, key, count, distinct source types and members, corroborated counts and the first examples, by count.
+def on_axes(edges: DataFrame) -> DataFrame:
+    """The edges of the long tail with axis and key, src and member.
 
     An edge of unknown type counts on the axis of its type, one that needs validation on that axis too.
     """
     e = edges.withColumn("src", F.coalesce("source_type", F.lit(""))).withColumn("member", F.coalesce("member_name", F.lit("")))
     by_type = e.where(F.col("candidate_edge_type").isin(V.UNKNOWN_EDGES)).select("*", F.col("candidate_edge_type").alias("axis"), F.when(F.col("candidate_edge_type").isin(V.EDGES_BY_MEMBER_NAME), R.member_key(F.col("member"))).otherwise(R.bare_name(F.col("candidate_target_type"))).alias("key"))
     by_need = e.where("edge_confidence = 'needs_runtime_validation'").select("*", F.lit("needs_runtime_validation").alias("axis"), R.bare_name(F.col("candidate_target_type")).alias("key"))
-    rows = by_type.union(by_need)
+    return by_type.union(by_need)
+
+
+#: Registers of a sketch, as a power of two: the standard error of an estimate is 1.04 / sqrt(2**BITS).
+BITS = 12
+
+
+def state(edges: DataFrame, bits: int = BITS) -> DataFrame:
+    """What a batch of edges adds to its clusters: counts, and sketches of distinct source types and members. States of any batches, in
+    any order, become one by merged(); no edge is read again. clusters() counts exactly, from all edges at once."""
+    rows = on_axes(edges)
+    return rows.groupBy("axis", "key").agg(
+        F.count("*").alias("count"), F.hll_sketch_agg("src", bits).alias("sources"), F.hll_sketch_agg("member", bits).alias("members"), F.count_if("lookup_referenced").alias("lookup_referenced_count"),
+        F.count_if(F.col("dll_verified_status") == "member_not_found").alias("member_not_found_count"), F.min("ord").alias("first"),
+    )
+
+
+def merged(states: DataFrame) -> DataFrame:
+    """One state of a union of states."""
+    return states.groupBy("axis", "key").agg(
+        F.sum("count").alias("count"), F.hll_union_agg("sources").alias("sources"), F.hll_union_agg("members").alias("members"), F.sum("lookup_referenced_count").alias("lookup_referenced_count"),
+        F.sum("member_not_found_count").alias("member_not_found_count"), F.min("first").alias("first"),
+    )
+
+
+def estimated(states: DataFrame) -> DataFrame:
+    """As clusters(), without examples, with estimates for source_types and member_names. A state that was never merged is merged
+    with nothing first, so that the estimate depends on the edges alone."""
+    m = merged(states)
+    return m.select("axis", "key", "count", F.hll_sketch_estimate("sources").alias("source_types"), F.hll_sketch_estimate("members").alias("member_names"), "lookup_referenced_count", "member_not_found_count", "first")
+
+
+def clusters(edges: DataFrame, examples: int = 5) -> DataFrame:
+    """axis, key, count, distinct source types and members, corroborated counts and the first examples, by count."""
+    rows = on_axes(edges)
     first = rows.withColumn("place", F.row_number().over(Window.partitionBy("axis", "key").orderBy("ord"))).where(F.col("place") <= examples)
     shown = first.groupBy("axis", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "src", "member"))), lambda x: F.concat_ws(".", x["src"], x["member"])).alias("examples"))
     counted = rows.groupBy("axis", "key").agg(F.count("*").alias("count"), F.countDistinct("src").alias("source_types"), F.countDistinct("member").alias("member_names"), F.count_if("lookup_referenced").alias("lookup_referenced_count"), F.count_if(F.col("dll_verified_status") == "member_not_found").alias("member_not_found_count"), F.min("ord").alias("first"))

@@ -363,3 +363,17 @@ def clusters_shown(t, spark):
     """The largest groups of at least two, of equal ones that which comes first."""
     rows = t("part").groupBy(F.col("p_type").alias("key")).agg(F.count("*").alias("count"), F.min("p_partkey").alias("first"))
     return pareto.shown(rows, 12, 2)
+
+
+@query(f"SELECT axis, key, count(*) AS count, count(*) FILTER (referenced) AS lookup_referenced_count, count(*) FILTER (verified = 'member_not_found') AS member_not_found_count, min(ord) AS \"first\", count(DISTINCT source_type) AS exact, true AS near, true AS as_one_pass FROM ({_AXES}) GROUP BY 1, 2")
+def cluster_sketches(t, spark):
+    """Clusters from the states of four batches, beside exact counts; estimates are near these, and those of one pass."""
+    e = _candidates(t)
+    states = [pareto.state(e.where(F.col("ord") % 4 == k)) for k in range(4)]
+    got = pareto.estimated(states[0].union(states[1]).union(states[2]).union(states[3]))
+    once = pareto.estimated(pareto.state(e)).select("axis", "key", F.col("source_types").alias("o"), F.col("member_names").alias("p"))
+    exact = pareto.clusters(e).select("axis", "key", F.col("source_types").alias("exact"), F.col("member_names").alias("names"))
+    error = 4 * 1.04 / 2 ** (pareto.BITS / 2)
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 1 + error * F.col(b)
+    both = got.join(exact, ["axis", "key"]).join(once, ["axis", "key"])
+    return both.select("axis", "key", "count", "lookup_referenced_count", "member_not_found_count", "first", "exact", (near("source_types", "exact") & near("member_names", "names")).alias("near"), ((F.col("source_types") == F.col("o")) & (F.col("member_names") == F.col("p"))).alias("as_one_pass"))

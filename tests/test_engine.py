@@ -220,3 +220,19 @@ def test_frontier(spark):
     seeds = spark.createDataFrame([("a",)], "url string")
     assert {(r.url, r.round) for r in crawl.frontier(seeds, links).collect()} == {("a", 0), ("b", 1), ("c", 2)}
     assert crawl.frontier(seeds, links, most=2).count() == 2
+
+
+def test_sketches_of_batches(spark):
+    """Merging is the same in any order and grouping, and the error is within four standard errors."""
+    from docgraph.operators import pareto
+
+    rows = [(k, f"T{k % 5000}", f"M{k % 7}", f"A.X{k % 2}", "UNKNOWN_DB_OBJECT_REFERENCE", "needs_runtime_validation" if k % 3 else "direct_return_type", k % 4 == 0, None) for k in range(20000)]
+    e = spark.createDataFrame(rows, "ord long, source_type string, member_name string, candidate_target_type string, candidate_edge_type string, edge_confidence string, lookup_referenced boolean, dll_verified_status string")
+    parts = [pareto.state(e.where(F.col("ord") % 3 == k)) for k in range(3)]
+    one = sorted(map(tuple, pareto.estimated(pareto.state(e)).collect()))
+    assert sorted(map(tuple, pareto.estimated(pareto.merged(parts[2].union(parts[0])).union(parts[1])).collect())) == one
+    exact = {(r.axis, r.key): r for r in pareto.clusters(e).collect()}
+    assert len(one) == len(exact) == 4
+    for axis, key, count, sources, members, *_ in one:
+        x = exact[axis, key]
+        assert count == x["count"] and members == x.member_names and abs(sources - x.source_types) <= 4 * 1.04 / 64 * x.source_types
