@@ -14,13 +14,16 @@ Each job is one run (`sinks.publish`): readers see all that it wrote at once, or
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import vocabulary as V
 from .operators import classify, community, corroborate, graph, pareto, parse, roles
 from .sinks import files, publish, report
+from .sinks.observed import observed
 from .sinks.publish import Run
 from .sources import csharp, tables
 
@@ -90,10 +93,15 @@ def full(spark: SparkSession, pages: DataFrame, out: str | Run, prefix: str | No
         parsed = parse.parse(pages, F.col("hint") if "hint" in pages.columns else None)
         if prefix:
             parsed = parsed.where(parse.in_namespace(F.col("namespace"), prefix))
-        parsed = _save(parsed, out, "parsed")
+        kinds = [k for _, k in V.TITLE_KINDS]
+        counted, pages_by_kind = observed(parsed, {"kind": (F.col("kind"), sorted({*kinds}))})
+        parsed = _save(counted, out, "parsed")
         files.json_table(pages.select(*[c for c in ("ord", "url", "link_text", "discovered_via", "hint") if c in pages.columns]), out.new("raw_index"))
         files.api_pages(parsed.drop("links", "members_page", "sniffed"), out.new("api_pages"), with_text)
-        nodes, edges = _save(classify.nodes(parsed), out, "nodes"), _save(classify.edges(parsed), out, "edges")
+        kept, edges_by_kind = observed(classify.edges(parsed), {"member_kind": (F.col("member_kind"), ["property", "method"]), "confidence": (F.col("edge_confidence"), [*V.CONFIDENCE_ORDER])})
+        nodes, edges = _save(classify.nodes(parsed), out, "nodes"), _save(kept, out, "edges")
+        # counted while they were written
+        _write_text(spark, out.new("metrics.json"), json.dumps({"pages": pages_by_kind(), "edges": edges_by_kind()}, indent=1))
         files.edges_by_kind(edges, out.new("edges_by_kind"))
         files.json_table(files.enum_catalog(parsed), out.new("enums"), None)
         g = graphs(spark, out, label_fn)

@@ -24,6 +24,9 @@ def test_lifecycle(spark, tmp_path):
     at = lambda name: publish.path(spark, out, name)
     told = lambda name: open(at(name), encoding="utf-8").read()
     summary = told("summary.md")
+    counts = json.loads(told("metrics.json"))
+    assert (counts["pages"]["rows"], counts["pages"]["kind=class"], counts["pages"]["kind=enum"], counts["pages"]["kind=*"]) == (5, 2, 1, 0)
+    assert (counts["edges"]["rows"], counts["edges"]["member_kind=property"], counts["edges"]["member_kind=*"]) == (1, 1, 0)
     assert "ASSIGNED_TO_LEVEL" in summary and "## 10. Graph" in summary and "## 14. Next steps" in summary and "| 1 | 1 |" in summary
     (tmp_path / "m.json").write_text(json.dumps({"types": [{"full_type_name": "Autodesk.Revit.DB.Wall", "members": [{"name": "LevelId", "kind": "property", "return_type": "Autodesk.Revit.DB.ElementId", "parameters": []}]}]}))
     jobs.manifest(spark, out, str(tmp_path / "m.json"))
