@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.typenames import canonical, dotted
-from . import ancestry
+from . import ancestry, graph
 from .lineage import cut
 from .resolve import two_pass
 
@@ -30,17 +30,56 @@ def undocumented(results: DataFrame, types: DataFrame) -> DataFrame:
     return types.select("full_type_name").join(matched, "full_type_name", "left_anti").orderBy("full_type_name")
 
 
+_TOLD = ["dll_signature_verified", "dll_relationship_scope", "dll_verified_status"]
+
+
+def signature() -> Column:
+    """Return and parameter types of an edge, as they are compared."""
+    return F.struct(canonical(F.col("return_type")).alias("returns"), F.transform(F.coalesce("parameter_types", F.array().cast("array<string>")), canonical).alias("takes"))
+
+
+def question() -> Column:
+    """What an edge (with its signature) asks of the manifest, as one text: edges of equal texts get the same answer.
+
+    An edge without a type has a text of its own, so that such edges do not meet in one task.
+    """
+    asked = F.to_json(F.struct("source_type", "member_name", "member_kind", "signature"))
+    return F.when(F.coalesce("source_type", F.lit("")) == "", F.concat(F.lit("-"), F.xxhash64("ord").cast("string"))).otherwise(asked)
+
+
 def edge_results(edges: DataFrame, types: DataFrame) -> DataFrame:
     """edges (with ord) with the dll_ columns, expected and actual return types, and the declaring type.
 
     Members are looked up on the type itself, then on its ancestors in order; of all overloads the first that agrees in
     return and parameter types matches. Without one, an own member stands for the mismatch before an inherited one.
+    Each question (type, member and signature) is asked once, however many edges have it: edges join with answers, and
+    with nothing else.
+    """
+    q = graph.free_name(edges, "_question")
+    e = edges.withColumn("signature", signature()).withColumn(q, question())
+    asked = e.where(F.coalesce("source_type", F.lit("")) != "").select(q, "source_type", "member_name", "member_kind", "signature").distinct()
+    return with_answers(e.join(answers(asked, types, q), q, "left"), edges.columns)
+
 
-    The types and all that they inherit from are a forest with intervals; the first owner of a member above a type is the
-    innermost interval of such owners around it. Each question (type, member and signature) is asked once, however many
-    edges have it, and no edge is multiplied by the length of a chain.
+def with_answers(told: DataFrame, columns: list[str]) -> DataFrame:
+    """edge_results() of edges (of these columns) that have m and b of their questions."""
+    status = F.when(F.col("b").isNull(), "member_not_found").when(F.col("b.agrees"), "signature_confirmed").otherwise("signature_mismatch")
+    note = F.when(F.col("m").isNull(), "source type is not in the manifest").when(F.col("b").isNull(), "member is on neither the type nor an ancestor").when(~F.col("b.agrees"), "no overload has this signature").otherwise("")
+    scope = F.when(F.col("b.own"), "declared").when(~F.col("b.own"), "inherited")
+    return told.select(
+        *[c for c in columns if c not in _TOLD], F.coalesce("b.agrees", F.lit(False)).alias("dll_signature_verified"), scope.alias("dll_relationship_scope"), status.alias("dll_verified_status"), note.alias("note"),
+        F.col("return_type").alias("expected_return_type"), F.col("b.actual_return_type").alias("actual_return_type"), F.col("b.actual_declaring_type").alias("actual_declaring_type"),
+    )
+
+
+def answers(asked: DataFrame, types: DataFrame, q: str) -> DataFrame:
+    """q, m (the manifest type meant) and b (whether a member agrees, is the type's own, and its types; null if there is none).
+
+    asked: q, source_type, member_name, member_kind and signature, a row for each q. The types and all that they inherit
+    from are a forest with intervals; the first owner of a member above a type is the innermost interval of such owners around
+    it, so that no question is multiplied by the length of a chain.
     """
-    e = two_pass(edges.drop("dll_signature_verified", "dll_relationship_scope", "dll_verified_status"), "source_type", types, "full_type_name", "short", dotted=True, as_="m").drop("m_how")
+    asked = cut(two_pass(asked, "source_type", types, "full_type_name", "short", dotted=True, as_="m").drop("m_how"))
     none = F.array().cast("array<string>")
     # a type is a node by its whole line, so that lines that disagree about a name's ancestors stay apart
     line = types.select("full_type_name", F.concat(F.array("full_type_name"), F.coalesce("inheritance_chain", none)).alias("line"))
@@ -52,10 +91,7 @@ def edge_results(edges: DataFrame, types: DataFrame) -> DataFrame:
         F.struct(canonical(F.col("x.return_type")).alias("returns"), F.coalesce(F.transform("x.parameters", lambda p: canonical(p["type"])), none).alias("takes")).alias("signature"),
     )
     owners = lambda *by: members.groupBy("name", *by).agg(F.min_by("actual", "place").alias("actual")).join(place.select("name", "root", "pre", "post"), "name").drop("name")
-    signature = F.struct(canonical(F.col("return_type")).alias("returns"), F.transform(F.coalesce("parameter_types", none), canonical).alias("takes"))
     key = ["m", "member_name", "member_kind", "signature"]
-    # an edge without a type has a key of its own, so that such edges do not meet in one task
-    asked = cut(e.withColumn("signature", signature).withColumn("key", F.coalesce("m", F.concat(F.lit("\0"), F.xxhash64("ord").cast("string")))))
     own = line.select(F.col("full_type_name").alias("m"), F.array_join("line", "\1").alias("id")).distinct().join(place.select("id", "root", "pre"), "id").drop("id")
     wanted = asked.where("m is not null").select(*key).distinct().join(own, "m")
     exact = ancestry.nearest(wanted, owners("member_name", "member_kind", "signature"), ["member_name", "member_kind", "signature"], ["actual"])
@@ -63,14 +99,8 @@ def edge_results(edges: DataFrame, types: DataFrame) -> DataFrame:
     agrees = F.col("exact").isNotNull()
     which = F.when(agrees, F.col("exact")).otherwise(F.col("found"))
     answer = either.where(which.isNotNull()).select(*key, F.struct(agrees.alias("agrees"), (which["pre"] == F.col("pre")).alias("own"), which["actual"]["actual_return_type"].alias("actual_return_type"), which["actual"]["actual_declaring_type"].alias("actual_declaring_type")).alias("b"))
-    answer = answer.groupBy(*key).agg(F.max("b").alias("b")).withColumnRenamed("m", "key")
-    out = asked.join(answer, ["key", *key[1:]], "left").drop("key", "signature")
-    out = out.withColumn("dll_signature_verified", F.coalesce("b.agrees", F.lit(False)))
-    status = F.when(F.col("b").isNull(), "member_not_found").when(F.col("b.agrees"), "signature_confirmed").otherwise("signature_mismatch")
-    note = F.when(F.col("m").isNull(), "source type is not in the manifest").when(F.col("b").isNull(), "member is on neither the type nor an ancestor").when(~F.col("b.agrees"), "no overload has this signature").otherwise("")
-    scope = F.when(F.col("b.own"), "declared").when(~F.col("b.own"), "inherited")
-    out = out.withColumn("dll_relationship_scope", scope).withColumn("dll_verified_status", status).withColumn("note", note).withColumn("expected_return_type", F.col("return_type")).withColumn("actual_return_type", F.col("b.actual_return_type")).withColumn("actual_declaring_type", F.col("b.actual_declaring_type"))
-    return out.select(*[c for c in e.columns if c != "m"], "dll_signature_verified", "dll_relationship_scope", "dll_verified_status", "note", "expected_return_type", "actual_return_type", "actual_declaring_type")
+    answer = answer.groupBy(*key).agg(F.max("b").alias("b"))
+    return asked.join(answer, key, "left").select(q, "m", "b")
 
 
 def descriptor_results(edges: DataFrame, reference: DataFrame) -> DataFrame:

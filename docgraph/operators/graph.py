@@ -30,13 +30,23 @@ def stubs(ends: DataFrame, known: DataFrame, id_: str = "id", full: str = "full_
     return ends.where(F.coalesce(id_, F.lit("")) != "").select(id_).distinct().join(known.select(F.col(full).alias(id_)), id_, "left_anti")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A name like `name` that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    return next(x for k in range(len(taken) + 1) if (x := f"{name}{k or ''}") not in taken)
+
+
 def build(nodes: DataFrame, edges: DataFrame) -> Graph:
-    """Resolves both ends of every edge. A source never takes another type's short name; what is unknown gets a stub node."""
-    e = two_pass(edges, "source_type", nodes, "full_type_name", "short_name", allow_short=False, as_="s")
-    e = two_pass(e, "candidate_target_type", nodes, "full_type_name", "short_name", as_="t")
+    """Resolves the ends of every edge. A source never takes another type's short name, so it resolves to itself or not at
+    all, and its name stays; a target is looked up in two passes. What is unknown gets a stub node."""
+    return typed(nodes, two_pass(edges, "candidate_target_type", nodes, "full_type_name", "short_name", as_="t"))
+
+
+def typed(nodes: DataFrame, e: DataFrame) -> Graph:
+    """The graph of edges whose targets are resolved (t, t_how)."""
     e = e.withColumn("target", F.when(F.col("t_how") == "none", None).otherwise(F.coalesce("t", "candidate_target_type")))
     e = e.select(
-        "ord", F.coalesce("s", "source_type").alias("source"), "target", "member_name", "member_kind", F.col("candidate_edge_type").alias("edge_type"), F.col("edge_confidence").alias("confidence"),
+        "ord", F.col("source_type").alias("source"), "target", "member_name", "member_kind", F.col("candidate_edge_type").alias("edge_type"), F.col("edge_confidence").alias("confidence"),
         R.tier(F.col("edge_confidence"), F.col("candidate_edge_type")).alias("confidence_tier"), F.col("t_how").alias("target_resolution"), "evidence", "source_url", *CARRIED,
     )
     known = nodes.select(F.col("full_type_name").alias("id"), "short_name", F.lit(False).alias("external"), "kind", "namespace", "class_role", "is_element_candidate", "base_type", "source_url", "dll_type_verified")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import ancestry, corroborate, incremental, nodes
+from ..operators import ancestry, copartitioned, corroborate, incremental, nodes
 from ..operators.lineage import cut, scratch
 from ..sources import page_files, tolerant
+from . import registry, typed
 from .pages import _ABSOLUTE, _TITLE
 from .registry import query
 
@@ -102,6 +103,29 @@ def incremental_resolution(t, spark):
     return kept.result().select("source", "target", "how", "n")
 
 
+_TWO = f"WITH k AS ({_KNOWN}), one AS (SELECT s, min(f) AS f FROM k GROUP BY s HAVING count(*) = 1) SELECT l_orderkey, l_linenumber, coalesce(e.f, o.f) AS resolved, CASE WHEN e.f IS NOT NULL THEN 'exact' WHEN o.f IS NOT NULL THEN 'short_name_fallback' ELSE 'external' END AS how FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 3 = 0 THEN 'N1.P1' WHEN l_partkey % 3 = 1 THEN 'N1.P' || l_partkey % 700 ELSE 'Q.P' || l_partkey % 700 END AS q FROM lineitem) x LEFT JOIN (SELECT DISTINCT f FROM k) e ON e.f = q LEFT JOIN one o ON o.s = regexp_extract(q, '[^.]*$')"
+
+
+@query(_TWO)
+def stored_resolution(t, spark):
+    """Order lines in buckets by the name they ask for, a third of them for one; names are looked up, lines stay."""
+    p, l = t("part"), t("lineitem")  # noqa: E741
+    short = F.concat(F.lit("P"), (F.col("p_partkey") % 700).cast("string"))
+    known = p.select(F.concat(F.lit("N"), (F.col("p_size") % 3).cast("string"), F.lit("."), short).alias("full"), short.alias("short"))
+    k, rest = F.col("l_partkey") % 3, (F.col("l_partkey") % 700).cast("string")
+    name = F.when(k == 0, "N1.P1").when(k == 1, F.concat(F.lit("N1.P"), rest)).otherwise(F.concat(F.lit("Q.P"), rest))
+    lines = l.select("l_orderkey", "l_linenumber", F.xxhash64("l_orderkey", "l_linenumber").alias("ord"), name.alias("q"))
+    stored = copartitioned.by_name(lines, "q", buckets=16)
+    return copartitioned.resolved(stored, "q", known, "full", "short").select("l_orderkey", "l_linenumber", "resolved", F.col("resolved_how").alias("how"))
+
+
+@query(registry.SQL["overload_match"])
+def stored_overloads(t, spark):
+    """overload_match over orders in buckets by what they ask of the manifest."""
+    edges, types = typed._overloads(t)
+    return copartitioned.edge_results(copartitioned.by_question(edges, buckets=16), types).select("o_orderkey", F.col("dll_verified_status").alias("status"), F.col("dll_relationship_scope").alias("scope"))
+
+
 @query("SELECT url, regexp_extract(url, '^https?://([^/?#:]+)', 1) AS host, length(html) AS n_chars FROM pages WHERE starts_with(url, (SELECT regexp_extract(min(url), '^https?://[^/?#:]+', 0) FROM pages))")
 def pages_by_prefix(t, spark):
     """The pages of one site, served from files by host of which the others are not opened."""

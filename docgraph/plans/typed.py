@@ -90,13 +90,17 @@ def external_stubs(t, spark):
     return graph.stubs(ends, t("part").where("p_size > 10").select(F.concat(F.lit("P"), "p_partkey").alias("full_type_name")))
 
 
-def _graph(t):
+def _nodes_and_edges(t):
     """Parts and suppliers as nodes, order lines as typed edges; some parts are missing on purpose."""
     nodes = t("part").where("p_size > 5").select(F.concat(F.lit("P"), "p_partkey").alias("full_type_name"), F.col("p_brand").alias("namespace")).union(t("supplier").select(F.concat(F.lit("S.S"), "s_suppkey"), F.lit("S")))
     nodes = nodes.select("*", R.short_name(F.col("full_type_name")).alias("short_name"), F.lit("class").alias("kind"), F.lit("unknown").alias("class_role"), F.lit("unknown").alias("is_element_candidate"), F.lit(None).cast("string").alias("base_type"), F.lit("").alias("source_url"), F.lit(None).cast("boolean").alias("dll_type_verified"))
     none = lambda c: F.lit(None).cast(c)
     edges = _candidates(t).select("*", F.lit("property").alias("member_kind"), none("array<string>").alias("evidence"), F.lit("").alias("source_url"), none("boolean").alias("dll_signature_verified"), none("string").alias("dll_relationship_scope"), none("boolean").alias("dll_semantic_verified"), none("boolean").alias("lookup_requires_document_context"))
-    return graph.build(nodes, edges)
+    return nodes, edges
+
+
+def _graph(t):
+    return graph.build(*_nodes_and_edges(t))
 
 
 _GE = f"SELECT *, {_TIER} AS tier FROM ({_CAND})"
@@ -165,13 +169,18 @@ def manifest_only(t, spark):
 
 @query("WITH m AS (SELECT o_orderkey, l_linenumber - 1 AS place, CASE WHEN l_linenumber % 2 = 0 THEN 'int' ELSE 'System.String' END AS r FROM orders JOIN lineitem ON l_orderkey = o_orderkey), x AS (SELECT o_orderkey, min(place) FILTER (r = 'int') AS hit, min(place) AS any_ FROM m GROUP BY 1) SELECT o.o_orderkey, CASE WHEN x.o_orderkey IS NULL THEN 'member_not_found' WHEN hit IS NOT NULL THEN 'signature_confirmed' ELSE 'signature_mismatch' END AS status, CASE WHEN x.o_orderkey IS NOT NULL THEN 'declared' END AS scope FROM orders o LEFT JOIN x USING (o_orderkey)")
 def overload_match(t, spark):
+    return corroborate.edge_results(*_overloads(t)).select("o_orderkey", F.col("dll_verified_status").alias("status"), F.col("dll_relationship_scope").alias("scope"))
+
+
+def _overloads(t):
+    """Orders as edges and, with their lines as overloads, as types."""
     order = F.concat(F.lit("N.O"), "o_orderkey")
     lines = t("orders").join(t("lineitem"), F.col("l_orderkey") == F.col("o_orderkey")).select("o_orderkey", F.struct(F.col("l_linenumber").alias("n"), F.when(F.col("l_linenumber") % 2 == 0, "int").otherwise("System.String").alias("r")).alias("x"))
     member = "struct<name:string,kind:string,declaring_type:string,return_type:string,is_static:boolean,parameters:array<struct<name:string,type:string>>>"
     made = F.transform(F.array_sort(F.collect_list("x")), lambda x: F.struct(F.lit("Get").alias("name"), F.lit("method").alias("kind"), F.lit(None).cast("string").alias("declaring_type"), x["r"].alias("return_type"), F.lit(False).alias("is_static"), F.array().cast("array<struct<name:string,type:string>>").alias("parameters")))
     types = lines.groupBy("o_orderkey").agg(made.cast(f"array<{member}>").alias("members")).select(order.alias("full_type_name"), F.concat(F.lit("O"), "o_orderkey").alias("short"), F.array().cast("array<string>").alias("inheritance_chain"), "members")
     edges = t("orders").select(F.col("o_orderkey").alias("ord"), "o_orderkey", order.alias("source_type"), F.lit("Get").alias("member_name"), F.lit("method").alias("member_kind"), F.lit("Int32").alias("return_type"), F.array().cast("array<string>").alias("parameter_types"))
-    return corroborate.edge_results(edges, types).select("o_orderkey", F.col("dll_verified_status").alias("status"), F.col("dll_relationship_scope").alias("scope"))
+    return edges, types
 
 
 @query("SELECT p_partkey, CASE WHEN p_partkey % 3 <> 0 AND (p_partkey % 2 = 0 OR p_partkey % 5 = 0) THEN TRUE END AS referenced, CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 2 = 0 THEN 'A' WHEN p_partkey % 3 <> 0 AND p_partkey % 5 = 0 THEN 'B' END AS descriptor_class FROM part WHERE p_size <= 25")
