@@ -2,10 +2,12 @@
 
 Dense groups first. Each vector of a bounded sample (`sample` vectors, those of the smallest hash of vec_id) moves twice to
 the mean of its neighbours; places with about TILE / 2 of all vectors within the threshold (4 sample vectors at least) become
-centres, until none is left. A vector within the threshold of a centre is in the core of the nearest one, and goes to the
-ball of every centre within twice that angle: whatever it links with is there. So all links of core vectors are found,
+centres, until none is left. A vector within the threshold of a centre is in the core of the nearest one. Cores are cut into
+RINGS rings by the angle to their centre, and the angles of all their vectors measured; a vector goes to the ball of every
+centre that has a ring which reaches to within the threshold's angle of it: whatever it links with is there. So all links of core vectors are found,
 however large and dense the group, and each pair is counted in the smaller centre of its cores. A ball of n vectors takes
-about n * n / 2 comparisons, as its links are about as many.
+about n * n / 2 comparisons, as its links are about as many. Vectors with a common direction lie near all centres, but only
+the rings that are there count, so a tight core draws what is near it and no more.
 
 The other vectors go through trees. Each tree splits recursively at random directions, at the median of the projections, and
 vectors near a split go to both sides. Trees are fitted on the rest of the sample, so deep that a last leaf has about
@@ -29,6 +31,7 @@ name, are never read.
 
 from __future__ import annotations
 
+import math
 import pickle
 
 import numpy as np
@@ -40,6 +43,7 @@ from . import common, kernels
 
 TREES, SAMPLE, SPILL, THRESHOLD = 8, 20_000, 0.06, 0.9
 TILE = 1024
+RINGS = 8
 
 
 def _directions(seed: int, dim: int) -> np.ndarray:
@@ -70,15 +74,34 @@ def centres(x: np.ndarray, least: int, threshold: float) -> tuple[np.ndarray, np
     return np.array(found, np.float64).reshape(len(found), x.shape[1] if x.ndim > 1 else 0), left
 
 
-def balls(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Of each row of x the centre whose core it is in, or -1, and all centres in whose balls it is."""
+def cosines(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return x @ (c / np.linalg.norm(c, axis=1)[:, None]).T
+
+
+def cores(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row of x the centre whose core it is in, or -1, and its angle to that centre."""
     if not len(c):
-        return np.full(len(x), -1), [np.zeros(0, np.int64)] * len(x)
-    cos = x @ (c / np.linalg.norm(c, axis=1)[:, None]).T
+        return np.full(len(x), -1), np.zeros(len(x))
+    cos = cosines(x, c)
     nearest = cos.argmax(axis=1)
-    core = np.where(cos[np.arange(len(x)), nearest] >= threshold, nearest, -1)
-    far = 2 * threshold**2 - 1 if threshold > 0 else -2  # the cosine of the double angle
-    return core, [np.flatnonzero(r) for r in cos >= far - 1e-9]
+    most = cos[np.arange(len(x)), nearest]
+    return np.where(most >= threshold, nearest, -1), np.arccos(np.clip(most, -1, 1))
+
+
+def balls(x: np.ndarray, core: np.ndarray, c: np.ndarray, rings: np.ndarray, threshold: float) -> list[np.ndarray]:
+    """Of each row of x (and its core) all centres in whose balls it is. rings: (centre, least angle, largest angle) of each
+    ring that has vectors."""
+    if not len(c):
+        return [np.zeros(0, np.int64)] * len(x)
+    # the angles of two vectors to a centre differ by no more than the vectors do; rounding is far below a millionth
+    angle, reach = np.arccos(np.clip(cosines(x, c), -1, 1)).T, math.acos(max(-1.0, min(1.0, threshold))) + 1e-6
+    inside = np.zeros(angle.shape, bool)
+    for k, low, high in rings:
+        own = angle[int(k)]
+        inside[int(k)] |= (own <= high + reach) & (own >= low - reach)
+    rows = np.flatnonzero(core >= 0)
+    inside[core[rows], rows] = True
+    return [np.flatnonzero(r) for r in inside.T]
 
 
 def grow(x: np.ndarray, leaf: int, spill: float, seed: int) -> list[tuple]:
@@ -327,22 +350,36 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, s
 
     def routed(batch: pa.RecordBatch) -> pa.RecordBatch:
         dim = batch.column(3).to_numpy()
-        core, places, near = np.full(len(dim), -1), [[np.zeros(0, np.int64)] * 3], [[] for _ in range(len(dim))]
+        core, angle, places = np.full(len(dim), -1), np.zeros(len(dim)), [[np.zeros(0, np.int64)] * 3]
         for d in np.unique(dim):
             own = np.flatnonzero(dim == d)
             x = _matrix(batch.column(2), own)
             middle, forest = shipped.value[int(d)]
-            core[own], of = balls(x, middle, threshold)
-            for r, k in enumerate(of):
-                near[own[r]] = k.tolist()
+            core[own], angle[own] = cores(x, middle, threshold)
             out = np.flatnonzero(core[own] < 0)
             for t, tree in enumerate(forest):
                 row, leaf = route(tree, x[out])
                 places.append([own[out[row]], np.full(len(row), t), leaf])
         row, tree, leaf = (np.concatenate(c) for c in zip(*places, strict=True))
-        return pa.RecordBatch.from_arrays([*batch.columns[:4], _nested(row, tree, leaf, len(dim), trees), pa.array(near, pa.list_(pa.int64())), pa.array(core, pa.int64())], ["cid", "copies", "x", "dim", "leaves", "near", "core"])
+        return pa.RecordBatch.from_arrays([*batch.columns[:4], _nested(row, tree, leaf, len(dim), trees), pa.array(core, pa.int64()), pa.array(angle)], ["cid", "copies", "x", "dim", "leaves", "core", "angle"])
+
+    dealt = common.cut(common.arrow_map(classes.select("cid", "copies", "x", "dim"), routed, "cid long, copies long, x binary, dim int, leaves array<array<bigint>>, core long, angle double"), "rp-routed")
+    turn = math.acos(max(-1.0, min(1.0, threshold)))
+    # at most RINGS + 1 rows for each centre
+    ring = F.floor(F.col("angle") * (RINGS / (turn or 1e-9)))
+    measured = dealt.where("core >= 0").groupBy("dim", "core", ring.alias("ring")).agg(F.min("angle").alias("low"), F.max("angle").alias("high")).orderBy("dim", "core", "ring").collect()
+    rings = {d: np.array([(r.core, r.low, r.high) for r in measured if r.dim == d]).reshape(-1, 3) for d in forests}
+
+    def placed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        dim, core, near = batch.column(1).to_numpy(), batch.column(2).to_numpy(), [[] for _ in range(batch.num_rows)]
+        for d in np.unique(dim):
+            own = np.flatnonzero(dim == d)
+            for r, k in zip(own, balls(_matrix(batch.column(3), own), core[own], shipped.value[int(d)][0], rings[int(d)], threshold), strict=True):
+                near[r] = k.tolist()
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(near, pa.list_(pa.int64()))], ["cid", "dim", "near"])
 
-    dealt = common.cut(common.arrow_map(classes.select("cid", "copies", "x", "dim"), routed, "cid long, copies long, x binary, dim int, leaves array<array<bigint>>, near array<bigint>, core long"), "rp-routed")
+    near = common.arrow_map(dealt.select("cid", "dim", "core", "x"), placed, "cid long, dim int, near array<bigint>")
+    near = common.cut(near.select("cid", "dim", F.lit(-1).alias("tree"), F.explode("near").alias("leaf")), "rp-near") if measured else None
     at = dealt.select("cid", "dim", F.posexplode("leaves").alias("tree", "own")).select("cid", "dim", "tree", F.explode("own").alias("leaf"))
     deeper = deepened(at, classes.select("cid", "x"), most, sample, spill)
     if deeper is not at:
@@ -350,7 +387,8 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, s
         by_tree = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.transform(F.filter("all", lambda p: p["tree"] == t), lambda p: p["leaf"]))
         none = F.array_repeat(F.array().cast("array<bigint>"), trees)
         dealt = common.cut(dealt.drop("leaves").join(own, "cid", "left").withColumn("leaves", F.coalesce(by_tree, none)).drop("all"), "rp-leaves")
-    at = deeper.select("cid", *LEAF).union(dealt.select("cid", "dim", F.lit(-1), F.explode("near")))
+    at = deeper.select("cid", *LEAF)
+    at = at if near is None else at.union(near.select("cid", *LEAF))
     size = at.groupBy(*LEAF).agg(F.ceil(F.count("*") / F.when(F.col("tree") < 0, 8 * part).otherwise(part)).cast("int").alias("parts"))
     at = common.join_hot(at, size, LEAF, "cid").withColumn("mine", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
     at = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(

@@ -449,6 +449,27 @@ def test_embedding_dedup_of_a_dense_group_larger_than_a_leaf(spark):
         assert [got[k] for k in range(2500)] == near.sum(1)[:2500].tolist() and sum(got.values()) >= 0.999 * near.sum()
 
 
+def test_embedding_dedup_with_a_common_direction(spark):
+    """All vectors lie near all centres; a vector still goes to few balls, and no link of the groups is lost."""
+    g = np.random.Generator(np.random.PCG64(21))
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    common_, own = unit(g.standard_normal(64)), unit(g.standard_normal((20, 64)))
+    x = unit(np.repeat(0.75**0.5 * common_ + 0.25**0.5 * own, 60, axis=0) + 0.018 * g.standard_normal((1200, 64)))
+    middle, left = embedding_dedup.centres(x, 30, 0.9)
+    core, angle = embedding_dedup.cores(x, middle, 0.9)
+    wide = (embedding_dedup.cosines(x, middle) >= 2 * 0.9**2 - 1).sum(1).mean()
+    ring = np.floor(angle * embedding_dedup.RINGS / np.arccos(0.9))
+    rings = np.array([(k, angle[own].min(), angle[own].max()) for k in range(len(middle)) for r in set(ring[core == k]) if (own := (core == k) & (ring == r)).any()])
+    balls = embedding_dedup.balls(x, core, middle, rings, 0.9)
+    assert len(middle) == 20 and wide > 15 and np.mean([len(b) for b in balls]) < 3
+    near, low = links_of(x)
+    missed = [(i, j) for i, j in zip(*np.nonzero(near), strict=True) if core[i] >= 0 and core[i] not in balls[j]]
+    assert not missed
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.link(df).collect()}
+    assert [got[k].n_links for k in range(len(x))] == near.sum(1).tolist() and [got[k].component_id for k in range(len(x))] == low.tolist()
+
+
 # decontamination
 
 
