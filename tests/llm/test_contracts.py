@@ -145,4 +145,4 @@ def test_op10(spark, folder, documents):
 
 
 def test_every_query_is_registered():
-    assert {f"op{k}" for k in range(1, 11)} == {n.split("_")[0] for n in E.queries() if n.startswith("op")} and "pipeline" in E.queries()
+    assert {f"op{k}" for k in range(1, 14)} == {n.split("_")[0] for n in E.queries() if n.startswith("op")} and "pipeline" in E.queries()
