@@ -9,9 +9,10 @@ does not know. They are composed, and the result is composed with transducers ov
     clause      the strongest insult and threat of a clause; one that a target follows within SCOPE tokens is aimed at it,
                 one that a verb of saying follows is reported; at the end of the clause its labels are emitted
 
-Arcs have weights: those of the insult transducer are the log-odds of the words (a threat has 1), those that close a clause the learned
-weights of its labels. A document's score is a logistic function of its labels, each counted by the logarithm of the weights
-of its clauses, so matched clauses count and isolated words do not.
+The five lexical transducers are kept as one table of tokens, which is what they compose to. Its insults weigh the log-odds of
+the words (a threat has 1). The arcs that close a clause carry the learned weights of its labels, but the score does not read
+them there: it is a logistic function of a document's labels, each counted by the logarithm of the lexical weights of its clauses,
+with these learned weights. So matched clauses count and isolated words do not.
 
 Insults are learned: words, and stems that take many endings, which stand in labelled toxic rows so much more often than in
 clean ones that no chance explains it, however few the rows (choose()). The rows to learn from are at most `sample` labelled
