@@ -20,33 +20,39 @@ def on_axes(edges: DataFrame) -> DataFrame:
     return by_type.union(by_need)
 
 
-#: Registers of a sketch, as a power of two: the standard error of an estimate is 1.04 / sqrt(2**BITS).
+#: Smallest hashes that a merged sketch keeps, as a power of two: the standard error of an estimate is 1 / sqrt(2**BITS), and up to 2**BITS
+#: distinct values are counted exactly.
 BITS = 12
 
 
 def state(edges: DataFrame, bits: int = BITS) -> DataFrame:
     """What a batch of edges adds to its clusters: counts, and sketches of distinct source types and members. States of any batches, in
-    any order, become one by merged(); no edge is read again. clusters() counts exactly, from all edges at once."""
+    any order, become one by merged(); no edge is read again. clusters() counts exactly, from all edges at once.
+
+    These are theta sketches: once merged, one keeps the 2**bits smallest hashes of all distinct values and the next one as its bound,
+    so its estimate depends on the values alone. Estimates of HLL sketches depend on how values came into them. Sketches skip empty
+    strings, clusters() counts them: hence the sign before each value."""
     rows = on_axes(edges)
+    seen = lambda c: F.theta_sketch_agg(F.concat(F.lit("="), c), bits)
     return rows.groupBy("axis", "key").agg(
-        F.count("*").alias("count"), F.hll_sketch_agg("src", bits).alias("sources"), F.hll_sketch_agg("member", bits).alias("members"), F.count_if("lookup_referenced").alias("lookup_referenced_count"),
+        F.count("*").alias("count"), seen("src").alias("sources"), seen("member").alias("members"), F.count_if("lookup_referenced").alias("lookup_referenced_count"),
         F.count_if(F.col("dll_verified_status") == "member_not_found").alias("member_not_found_count"), F.min("ord").alias("first"),
     )
 
 
-def merged(states: DataFrame) -> DataFrame:
-    """One state of a union of states."""
+def merged(states: DataFrame, bits: int = BITS) -> DataFrame:
+    """One state of a union of states; bits: those of the states."""
     return states.groupBy("axis", "key").agg(
-        F.sum("count").alias("count"), F.hll_union_agg("sources").alias("sources"), F.hll_union_agg("members").alias("members"), F.sum("lookup_referenced_count").alias("lookup_referenced_count"),
+        F.sum("count").alias("count"), F.theta_union_agg("sources", bits).alias("sources"), F.theta_union_agg("members", bits).alias("members"), F.sum("lookup_referenced_count").alias("lookup_referenced_count"),
         F.sum("member_not_found_count").alias("member_not_found_count"), F.min("first").alias("first"),
     )
 
 
-def estimated(states: DataFrame) -> DataFrame:
+def estimated(states: DataFrame, bits: int = BITS) -> DataFrame:
     """As clusters(), without examples, with estimates for source_types and member_names. A state that was never merged is merged
     with nothing first, so that the estimate depends on the edges alone."""
-    m = merged(states)
-    return m.select("axis", "key", "count", F.hll_sketch_estimate("sources").alias("source_types"), F.hll_sketch_estimate("members").alias("member_names"), "lookup_referenced_count", "member_not_found_count", "first")
+    m = merged(states, bits)
+    return m.select("axis", "key", "count", F.theta_sketch_estimate("sources").alias("source_types"), F.theta_sketch_estimate("members").alias("member_names"), "lookup_referenced_count", "member_not_found_count", "first")
 
 
 def clusters(edges: DataFrame, examples: int = 5) -> DataFrame:

@@ -236,3 +236,24 @@ def test_sketches_of_batches(spark):
     for axis, key, count, sources, members, *_ in one:
         x = exact[axis, key]
         assert count == x["count"] and members == x.member_names and abs(sources - x.source_types) <= 4 * 1.04 / 64 * x.source_types
+
+
+def test_sketches_depend_on_edges_alone(spark):
+    """Estimates of merged batches are those of one pass at any number of distinct values, also past each size of a sketch; few values,
+    and missing ones among them, are counted exactly."""
+    from docgraph.operators import pareto
+
+    sizes = [1, 300, 1000, 1724, 3000, 20000]
+    e = spark.range(2 * sum(sizes), numPartitions=5).select(F.col("id").alias("ord"), F.element_at(F.array(*[F.lit(n) for n in sizes]), (F.col("id") % len(sizes) + 1).cast("int")).alias("n"), F.floor(F.col("id") / len(sizes)).alias("m"))
+    e = e.select("ord", F.when(F.col("m") % F.col("n") > 0, F.concat(F.lit("P"), F.col("m") % F.col("n"))).alias("source_type"), F.lit(None).cast("string").alias("member_name"), F.concat(F.lit("A.X"), "n").alias("candidate_target_type"), F.lit("UNKNOWN_DB_OBJECT_REFERENCE").alias("candidate_edge_type"), F.lit("x").alias("edge_confidence"), F.lit(False).alias("lookup_referenced"), F.lit(None).cast("string").alias("dll_verified_status"))
+    for bits in ((), (8,)):
+        one = {r.key: r for r in pareto.estimated(pareto.state(e, *bits), *bits).collect()}
+        four = [pareto.state(e.where(F.col("ord") % 28 % 4 == k), *bits) for k in range(4)]
+        again = pareto.merged(four[3].union(four[1]), *bits).union(pareto.merged(four[0], *bits)).union(four[2])
+        for states in (four[0].union(four[1]).union(four[2]).union(four[3]), again):
+            assert {r.key: r for r in pareto.estimated(states, *bits).collect()} == one
+        kept = 2 ** (*bits, pareto.BITS)[0]
+        for r in pareto.clusters(e).collect():
+            x = one[r["key"]]
+            assert x["count"] == r["count"] and x.member_names == r.member_names == 1
+            assert x.source_types == r.source_types if r.source_types <= kept else abs(x.source_types - r.source_types) <= 4 / kept**0.5 * r.source_types
