@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import vocabulary as V
-from ..operators import parse, progress
+from ..operators import nodes, parse, progress
 from ..operators.resolve import two_pass
 from ..sinks import files
 from ..sources import discover, fetch
@@ -36,7 +36,7 @@ for _entity, _sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;",
 
 @query(f"SELECT page_id, {_TITLE} AS title FROM pages")
 def pages_title_fallback(t, spark):
-    return t("pages").select("page_id", parse.title_udf("html").alias("title"))
+    return t("pages").select("page_id", nodes.title_text(F.col("html")).alias("title"))
 
 
 @query(f"SELECT page_id, link, count(*) AS n FROM ({_ABSOLUTE}) GROUP BY 1, 2")
