@@ -319,9 +319,11 @@ def member_name_key(t, spark):
 SELECT count(*) AS nodes, count(DISTINCT id) AS ids, sum(k)::BIGINT AS ends, true AS named_by_least, true AS better_than_alone, true AS fewer FROM n""")
 def communities_parallel(t, spark):
     """Every node is in one community, named by its smallest member; the partition is better than that of lone nodes."""
-    pairs = t("lineitem").groupBy(F.concat(F.lit("P"), "l_partkey").alias("a"), F.concat(F.lit("S.S"), "l_suppkey").alias("b")).agg(F.count("*").alias("weight"))
+    keys = t("lineitem").groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("weight"))
+    pairs = cut(keys.select(F.concat(F.lit("P"), "l_partkey").alias("a"), F.concat(F.lit("S.S"), "l_suppkey").alias("b"), "weight"))
     found = cut(communities.detect(pairs))
-    k = communities.both_ways(pairs).groupBy("id").agg(F.sum("weight").alias("k"))
+    # no id is on both sides
+    k = pairs.groupBy(F.col("a").alias("id")).agg(F.sum("weight").alias("k")).union(pairs.groupBy("b").agg(F.sum("weight")))
     groups = found.join(k, "id").groupBy("community").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.sum("k").alias("mass"), F.sum(F.col("k") * F.col("k")).alias("alone"))
     total = groups.agg(F.sum("n").alias("nodes"), F.sum("mass").alias("ends"), F.every(F.col("least") == F.col("community")).alias("named_by_least"), (F.count("*") < F.sum("n")).alias("fewer"), F.sum("alone").alias("alone"), F.sum(F.col("mass") * F.col("mass")).alias("squares"))
     of = found.select("id", "community")
