@@ -126,7 +126,7 @@ def sweep(held: Held, state: DataFrame, turns: int, double: int) -> DataFrame:
     """state after the nodes of each turn have moved."""
     for c in range(turns):
         masses = state.groupBy("label").agg(F.sum("k").alias("mass"), (F.count("*") == 1).alias("lone"))
-        now = state.join(masses.hint("shuffle_hash"), "label")
+        now = state.join(masses, "label")  # no hint: where communities are few and large, masses are broadcast
         around = held.told(now.select(F.col("id").alias("near"), "label", "mass", "lone"), c)
         own = now.where(F.pmod(F.xxhash64("id"), F.lit(turns)) == c).select("id", F.col("label").alias("home"), "k", F.col("mass").alias("at_home"), F.col("lone").alias("alone"))
         # pulls go to their node once, and are summed there
